@@ -27,10 +27,19 @@ def two_phase(df: DataFrame, keys: list[str], row_id: list[str], salts: int,
 
 def distribute_sort(df: DataFrame, by: list[str], sort: list[Column],
                     partitions: int | None = None) -> DataFrame:
-    """``DISTRIBUTE BY by SORT BY sort``."""
-    spread = df.repartition(partitions, *by) if partitions else df.repartition(*by)
-    return spread.sortWithinPartitions(*sort)
+    """``DISTRIBUTE BY by SORT BY by, sort`` without a one-task-per-key limit.
+
+    Range partitioning on the keys and the sort columns keeps the rows of a key
+    in neighbouring partitions, sorted within and across them; a key larger
+    than a partition spills into the next one.
+    """
+    cols = [*[F.col(c) for c in by], *sort]
+    spread = (
+        df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    )
+    return spread.sortWithinPartitions(*cols)
 
 
-def cluster_by(df: DataFrame, by: list[str]) -> DataFrame:
-    return distribute_sort(df, by, [F.col(c) for c in by])
+def cluster_by(df: DataFrame, by: list[str], tie: list[str]) -> DataFrame:
+    """``CLUSTER BY by``; ``tie`` columns decide where a large key is split."""
+    return distribute_sort(df, by, [F.col(c) for c in tie])

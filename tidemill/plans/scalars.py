@@ -80,8 +80,8 @@ def regex(t):
 @query("h06_hash_code", """
 WITH s AS (SELECT p_partkey, p_name || '_' || p_partkey AS x FROM part),
 h AS (SELECT p_partkey, list_reduce(list_prepend(0::BIGINT,
-  list_transform(string_split(x, ''), c -> ascii(c)::BIGINT)),
-  (a, c) -> (a * 31 + c) & 4294967295) AS u FROM s)
+  list_transform(string_split(x, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, c: (a * 31 + c) & 4294967295) AS u FROM s)
 SELECT p_partkey, CAST(CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS INT) AS code
 FROM h""")
 def hash_code(t):
