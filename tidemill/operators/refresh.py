@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.spread import rebalanced
+
 
 class InactiveView(RuntimeError):
     """The view cannot be refreshed; its stored rows can still be read."""
@@ -106,7 +108,9 @@ class DerivedTable:
         """Overwrite the chosen partitions only."""
         rows = base.filter(self.base_part.cast("string").isin(*chosen))
         out = self.build(rows, dims)
-        out = out.select(*[c for c in out.columns if c != self.part], self.part)
+        out = rebalanced(
+            out.select(*[c for c in out.columns if c != self.part], self.part), self.part
+        )
         if not exists:
             out.write.partitionBy(self.part).format("parquet").saveAsTable(self.table)
             return

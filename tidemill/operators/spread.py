@@ -43,3 +43,12 @@ def distribute_sort(df: DataFrame, by: list[str], sort: list[Column],
 def cluster_by(df: DataFrame, by: list[str], tie: list[str]) -> DataFrame:
     """``CLUSTER BY by``; ``tie`` columns decide where a large key is split."""
     return distribute_sort(df, by, [F.col(c) for c in tie])
+
+
+def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
+    """Group rows for a partitioned write; adaptive execution splits hot values.
+
+    One task then writes few partition folders, and a folder holding a third of
+    the rows is written by several tasks of about the advisory size.
+    """
+    return df.hint("rebalance", *cols) if cols else df.hint("rebalance")

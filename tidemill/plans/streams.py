@@ -1 +1,538 @@
-"""Queries."""
+"""Streaming queries (I), and the stream forms of joins, sinks and sources.
+
+Every query runs a real stream over the given table with an available-now
+trigger and reads back what it wrote. Append-mode windows close when the
+watermark passes their end, which the check SQL repeats as a filter.
+"""
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemill.catalog import query
+from tidemill.functions.columns import day_text, exact_sum, money, ts_text
+from tidemill.operators.joining import interval_join
+from tidemill.operators.partitions import commit_partition, committable, path_exists
+from tidemill.operators.spread import rebalanced
+from tidemill.operators.tables import between_commits
+from tidemill.plans.joins import (
+    INTERVAL_SQL, SIX_HOURS, clicks_and_views,
+)
+from tidemill.plans.lifecycle import CHANGES_SQL, STATE_SQL, changes
+from tidemill.session import checkpointed, managed_database, work_dir
+from tidemill.sources import broker
+from tidemill.streaming import state
+from tidemill.streaming.enrich import async_enrich
+from tidemill.streaming.keyvalue import KeyValueSink, live_values
+from tidemill.streaming.runner import run_batches, run_to_files
+from tidemill.streaming.sinks import (
+    BatchLog, BudgetedLoad, LateSplitter, UpsertLog, fan_out, reloading_lookup,
+)
+
+SUM = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)".format
+TS = "strftime({0}, '%Y-%m-%d %H:%M:%S')".format
+
+
+def windowed_sql(unit, keys, aggs, delay="30 SECOND", source="events"):
+    """Closed tumbling windows of ``unit`` (interval text) by keys."""
+    key_list = f"{keys}, " if keys else ""
+    group = f"w, {keys}" if keys else "w"
+    return f"""
+WITH e AS (SELECT *, time_bucket(INTERVAL {unit}, ts, TIMESTAMP '1970-01-01') AS w FROM {source})
+SELECT {TS('w')} AS window_start, {TS(f'w + INTERVAL {unit}')} AS window_end, {key_list}{aggs}
+FROM e WHERE w + INTERVAL {unit} <= (SELECT max(ts) FROM {source}) - INTERVAL {delay}
+GROUP BY {group}"""
+
+
+def flat(df):
+    """Window columns as text."""
+    return df.select(
+        ts_text(F.col("window.start")).alias("window_start"),
+        ts_text(F.col("window.end")).alias("window_end"),
+        *[c for c in df.columns if c != "window"],
+    )
+
+
+def tumble(df, size, keys, aggs, delay="30 seconds"):
+    """One function for batch and stream frames; a batch ignores the watermark."""
+    return df.withWatermark("ts", delay).groupBy(F.window("ts", size), *keys).agg(*aggs)
+
+
+@query("i01_watermark", windowed_sql("1 DAY", "user_id", "count(*) AS n", "2 HOUR"))
+def watermark(t):
+    rows = tumble(t.events_stream, "1 day", ["user_id"], [F.count("*").alias("n")], "2 hours")
+    return flat(run_to_files(rows, "i01"))
+
+
+@query("i02_monotonous", windowed_sql("1 HOUR", "", "count(*) AS n", "0 SECOND"))
+def monotonous(t):
+    rows = tumble(t.events_stream, "1 hour", [], [F.count("*").alias("n")], "0 seconds")
+    return flat(run_to_files(rows, "i02"))
+
+
+@query("i04_minimum_watermark", INTERVAL_SQL.format(how=""))
+def minimum_watermark(t):
+    """Two inputs with their own watermark; time follows the slower one."""
+    clicks, views = clicks_and_views(t.events_stream)
+    rows = interval_join(
+        clicks.withWatermark("click_ts", "30 seconds"), views.withWatermark("view_ts", "30 seconds"),
+        [("click_user", "view_user")], "click_ts", "view_ts", 0, SIX_HOURS,
+    ).select("click_id", "view_id")
+    return run_to_files(
+        rows, "i04", spark__sql__streaming__multipleWatermarkPolicy="min")
+
+
+@query("i05_idle_input", windowed_sql("6 HOUR", "", "count(*) AS n", source="""(SELECT ts FROM events
+  WHERE event_type <> 'signup' UNION ALL SELECT ts FROM events WHERE event_type = 'signup'
+  AND user_id < 0)"""))
+def idle_input(t):
+    """An input without rows does not hold time back: union first, then watermark."""
+    active = t.events_stream.filter("event_type <> 'signup'").select("ts")
+    idle = t.events_stream.filter("event_type = 'signup' AND user_id < 0").select("ts")
+    rows = tumble(active.unionByName(idle), "6 hours", [], [F.count("*").alias("n")])
+    return flat(run_to_files(rows, "i05"))
+
+
+@query("i06_processing_time", """
+SELECT event_type, count(*) AS n, true AS stamped FROM events GROUP BY event_type""")
+def processing_time(t):
+    """Windows on the arrival time; all rows of this run arrive in one window or two."""
+    rows = t.events_stream.withColumn("proc_time", F.current_timestamp())
+    out = run_to_files(rows.select("event_type", "proc_time"), "i06")
+    windows = out.groupBy(F.window("proc_time", "10 minutes"), "event_type").agg(
+        F.count("*").alias("n"))
+    return windows.groupBy("event_type").agg(
+        F.sum("n").alias("n"), F.every(F.col("window").isNotNull()).alias("stamped"))
+
+
+@query("i07_tumbling_window", windowed_sql("1 DAY", "event_type", f"""count(*) AS n,
+  {SUM('value')} AS total, max(value) AS high, arg_max(user_id, ts) AS last_user"""))
+def tumbling_window(t):
+    rows = tumble(t.events_stream, "1 day", ["event_type"], [
+        F.count("*").alias("n"), exact_sum("value").alias("total"), F.max("value").alias("high"),
+        F.max_by("user_id", "ts").alias("last_user"),
+    ])
+    return flat(run_to_files(rows, "i07"))
+
+
+@query("i08_subsecond_window", """
+SELECT w AS window_ms, count(*) AS n FROM (SELECT epoch_ms(time_bucket(INTERVAL 300 MILLISECOND, ts,
+  TIMESTAMP '1970-01-01')) AS w FROM events) WHERE w + 300 <= (SELECT epoch_ms(max(ts)) FROM events)
+GROUP BY w""")
+def subsecond_window(t):
+    rows = tumble(t.events_stream, "300 milliseconds", [], [F.count("*").alias("n")], "0 seconds")
+    out = run_to_files(rows, "i08")
+    return out.select(F.unix_millis("window.start").alias("window_ms"), "n")
+
+
+@query("i09_window_list", windowed_sql(
+    "1 DAY", "user_id", "string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types"))
+def window_list(t):
+    """The elements of each keyed window, as the set of a bounded domain."""
+    rows = tumble(t.events_stream, "1 day", ["user_id"],
+                  [F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("types")])
+    return flat(run_to_files(rows, "i09"))
+
+
+@query("i10_incremental_window", windowed_sql(
+    "12 HOUR", "user_id", f"""count(*) AS n, {SUM('value')} / count(*) AS mean,
+  'user ' || user_id AS label""").replace("GROUP BY w, user_id", "GROUP BY w, user_id"))
+def incremental_window(t):
+    rows = tumble(t.events_stream, "12 hours", ["user_id"],
+                  [F.count("*").alias("n"), F.sum(money("value")).alias("s")])
+    named = rows.select(
+        "window", "user_id", "n", (F.col("s").cast("double") / F.col("n")).alias("mean"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("label"))
+    return flat(run_to_files(named, "i10"))
+
+
+@query("i11_global_window", windowed_sql("6 HOUR", "", f"count(*) AS n, {SUM('value')} AS total"))
+def global_window(t):
+    rows = tumble(t.events_stream, "6 hours", [],
+                  [F.count("*").alias("n"), exact_sum("value").alias("total")])
+    return flat(run_to_files(rows, "i11"))
+
+
+@query("i12_late_side_output", """
+WITH m AS (SELECT max(ts) - INTERVAL 30 MINUTE AS wm FROM events WHERE event_type <> 'error')
+SELECT event_type, event_type = 'error' AND time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01')
+  + INTERVAL 1 HOUR <= wm AS late, count(*) AS n FROM events, m GROUP BY 1, 2""")
+def late_side_output(t):
+    """Errors come in a second batch; those of closed windows are the late side."""
+    split = LateSplitter(t.spark, work_dir(t.spark, "i12"), "ts", "1 hour", "30 minutes")
+    split.process(t.events_ts.filter("event_type <> 'error'"), 0)
+    split.process(t.events_ts.filter("event_type = 'error'"), 1)
+    return split.rows().groupBy("event_type", "late").agg(F.count("*").alias("n"))
+
+
+RUNNING_SQL = f"""
+SELECT user_id, count(*) AS n, {SUM('value')} AS total FROM events GROUP BY user_id"""
+
+
+@query("i13_running_aggregate", RUNNING_SQL)
+def running_aggregate(t):
+    """Update mode: each batch stores its changed totals, the newest per key counts."""
+    rows = t.events_stream.groupBy("user_id").agg(
+        F.count("*").alias("n"), exact_sum("value").alias("total"))
+    log = UpsertLog(t.spark, work_dir(t.spark, "i13"), ["user_id"])
+    run_batches(rows, log.upsert, "i13", mode="update")
+    return log.current()
+
+
+@query("i14_keyed_state", """
+WITH c AS (SELECT user_id AS key, event_type, count(*) k FROM events GROUP BY 1, 2),
+r AS (SELECT user_id AS key, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC)
+  rn FROM events)
+SELECT key, (SELECT count(*) FROM events e WHERE e.user_id = c.key) AS n,
+  (SELECT string_agg(event_id, ',' ORDER BY event_id) FROM r WHERE r.key = c.key AND rn <= 3) AS newest,
+  string_agg(event_type || '=' || k, ',' ORDER BY event_type) AS kinds FROM c GROUP BY key""")
+def keyed_state(t):
+    """Value, list and map state per user, kept in the state store."""
+    rows = t.events_stream.select(
+        F.col("user_id").alias("key"), F.col("event_id").alias("id"),
+        F.col("event_type").alias("kind"))
+    log = UpsertLog(t.spark, work_dir(t.spark, "i14"), ["key"], seq=["n"])
+    run_batches(state.keyed_totals(rows), log.upsert, "i14", mode="update", rocksdb=True)
+    return log.current()
+
+
+@query("i15_running_sum_in_sink", f"SELECT {SUM('value')} AS total FROM events")
+def running_sum_in_sink(t):
+    """Each batch adds one partial sum to the log; the total is their sum."""
+    log = BatchLog(t.spark, work_dir(t.spark, "i15"))
+    run_batches(
+        t.events_stream,
+        lambda b, i: log.write(b.agg(F.sum(money("value")).alias("s")).coalesce(1), i), "i15")
+    return log.rows().agg(F.sum("s").cast("double").alias("total"))
+
+
+@query("i17_async_enrich", """
+SELECT event_id, 'user-' || user_id AS label FROM events""")
+def async_lookup(t):
+    def client():
+        return lambda k: f"user-{k}"
+
+    rows = async_enrich(t.events_stream.select("event_id", "user_id"), "user_id", "label", client)
+    return run_to_files(rows.select("event_id", "label"), "i17")
+
+
+@query("i18_feedback_loop", """
+SELECT p_partkey, p_size + 2 * s AS v FROM part, (VALUES (1), (2), (3), (4), (5)) AS x(s)
+WHERE p_size + 2 * s <= 10""")
+def feedback_loop(t):
+    """``v + 2`` is fed back while it is at most 10; each round is checkpointed."""
+    current = t.part.select("p_partkey", F.col("p_size").alias("v"))
+    out = None
+    while True:
+        current = checkpointed(
+            current.select("p_partkey", (F.col("v") + 2).alias("v")).filter("v <= 10"))
+        if current.isEmpty():
+            break
+        out = current if out is None else out.unionByName(current)
+    return current if out is None else out
+
+
+@query("i19_map_filter_flatmap", """
+SELECT event_id, unnest([event_type, upper(event_type)]) AS tag FROM events WHERE value > 20""")
+def map_filter_flatmap(t):
+    rows = t.events_stream.filter("value > 20").select(
+        "event_id", F.explode(F.array("event_type", F.upper("event_type"))).alias("tag"))
+    return run_to_files(rows, "i19")
+
+
+@query("i20_record_rewrite", """
+SELECT 'new-' || user_id AS key, 'new-' || event_type AS value FROM events""")
+def record_rewrite(t):
+    rows = t.events_stream.select(
+        F.concat(F.lit("new-"), F.col("user_id").cast("string")).alias("key"),
+        F.concat(F.lit("new-"), "event_type").alias("value"))
+    return run_to_files(rows, "i20")
+
+
+def priced(df):
+    """The same transformation for both kinds of reader."""
+    return df.filter("event_type = 'purchase'").select(
+        "event_id", F.round(F.col("value").cast("decimal(18,2)") * 2, 1).cast("double").alias("p"))
+
+
+@query("i21_batch_stream_switch", """
+SELECT m AS mode, event_id, CAST(round(CAST(value AS DECIMAL(18,2)) * 2, 1) AS DOUBLE) AS p
+FROM events, (VALUES ('batch'), ('stream')) AS v(m) WHERE event_type = 'purchase'""")
+def batch_stream_switch(t):
+    stream = run_to_files(priced(t.events_stream), "i21").withColumn("mode", F.lit("stream"))
+    return priced(t.events_ts).withColumn("mode", F.lit("batch")).unionByName(stream)
+
+
+@query("i22_start_commit", f"""
+WITH {CHANGES_SQL} SELECT event_id, op, commit_id FROM ch WHERE commit_id >= 20""")
+def start_commit(t):
+    """A stream of commit-tagged rows from a start commit on."""
+    out = work_dir(t.spark, "i22")
+    rebalanced(changes(t).select("event_id", "op", "commit_id"), "commit_id").write.partitionBy(
+        "commit_id").parquet(out)
+    rows = t.spark.readStream.schema("event_id BIGINT, op STRING, commit_id BIGINT").parquet(out)
+    return run_to_files(
+        between_commits(rows, "commit_id", F.lit(20), include_start=True), "i22")
+
+
+@query("i23_error_budget", """
+SELECT count(*) AS scan_rows, count(*) FILTER (event_type = 'error') AS filtered_rows,
+  count(*) FILTER (event_type <> 'error') AS sink_rows, count(*) FILTER (event_type <> 'error')
+  AS stored FROM events""")
+def error_budget(t):
+    load = BudgetedLoad(t.spark, work_dir(t.spark, "i23"), F.col("event_type") == "error",
+                        max_ratio=0.5)
+    run_batches(t.events_stream, load.process, "i23")
+    stored = load.rows().agg(F.count("*")).scalar()
+    return load.report.rows().select("scan_rows", "filtered_rows", "sink_rows").agg(
+        *[F.sum(c).alias(c) for c in ("scan_rows", "filtered_rows", "sink_rows")]
+    ).withColumn("stored", stored)
+
+
+# --- joins on streams -------------------------------------------------------
+
+
+@query("d10_stream_window_join", """
+SELECT c.event_id AS click_id, v.event_id AS view_id
+FROM (SELECT * FROM events WHERE event_type = 'click') c
+JOIN (SELECT * FROM events WHERE event_type = 'view') v
+ON c.user_id = v.user_id AND date_trunc('hour', c.ts) = date_trunc('hour', v.ts)""")
+def stream_window_join(t):
+    clicks, views = clicks_and_views(t.events_stream)
+    c = clicks.withWatermark("click_ts", "1 minute").withColumn("cw", F.window("click_ts", "1 hour"))
+    v = views.withWatermark("view_ts", "1 minute").withColumn("vw", F.window("view_ts", "1 hour"))
+    rows = c.join(v, (F.col("click_user") == F.col("view_user")) & (F.col("cw") == F.col("vw")))
+    return run_to_files(rows.select("click_id", "view_id"), "d10")
+
+
+@query("d12_stream_lookup", """
+SELECT l_orderkey, l_linenumber, p_name AS alias FROM lineitem
+LEFT JOIN part ON l_partkey = p_partkey AND p_brand = 'Brand#2'""")
+def stream_lookup(t):
+    dim = t.part.filter("p_brand = 'Brand#2'").select("p_partkey", F.col("p_name").alias("alias"))
+    rows = t.stream("lineitem").join(dim, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return run_to_files(rows.select("l_orderkey", "l_linenumber", "alias"), "d12")
+
+
+@query("d13_lookup_reload", """
+SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
+def lookup_reload(t):
+    """The dimension is read again by the first batch after its time to live."""
+    import time
+
+    log = BatchLog(t.spark, work_dir(t.spark, "d13"))
+    handle = reloading_lookup(
+        lambda: t.read("customer").select("c_custkey", "c_name"),
+        lambda b, d: b.join(d, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+            "o_orderkey", "c_name"),
+        log.write, ttl_s=600, clock=time.monotonic)
+    run_batches(t.stream("orders"), handle, "d13")
+    return log.rows().drop("batch_id")
+
+
+@query("d14_growing_table_join", """
+SELECT event_id, n_name FROM events JOIN nation ON n_nationkey = user_id % 25
+WHERE event_type = 'signup'""")
+def growing_table_join(t):
+    """Both sides are streams; the table side keeps every row it has seen."""
+    left = t.events_stream.filter("event_type = 'signup'").select(
+        "event_id", F.pmod("user_id", F.lit(25)).cast("int").alias("nk"))
+    rows = left.join(t.stream("nation"), F.col("nk") == F.col("n_nationkey"))
+    return run_to_files(rows.select("event_id", "n_name"), "d14")
+
+
+DEALS_SQL = """
+SELECT l_partkey AS item, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS deal_id, CAST(round(
+  CAST(p_retailprice AS DECIMAL(10,2)) * CAST(l_quantity AS DECIMAL(10,2)), 2) AS DOUBLE) AS amount
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {0}"""
+
+
+def _deals(t, salts, label, where):
+    prices = t.stream("part").select(
+        F.col("p_partkey").alias("item"), F.lit(0).cast("bigint").alias("seq"),
+        F.col("p_retailprice").alias("price"))
+    deals = t.stream("lineitem").filter(where).select(
+        F.col("l_partkey").alias("item"), (F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+        .alias("seq"), F.col("l_quantity").alias("qty"))
+    out = run_to_files(state.priced_deals(prices, deals, salts), label, rocksdb=True)
+    amount = F.round(F.col("price").cast("decimal(10,2)") * F.col("qty").cast("decimal(10,2)"), 2)
+    return out.select("item", "deal_id", amount.cast("double").alias("amount"))
+
+
+@query("d17_stream_priced_deals", DEALS_SQL.format("l_returnflag = 'R'"))
+def stream_priced_deals(t):
+    """Prices go to all salts of an item, deals to one: a hot item is shared."""
+    return _deals(t, 4, "d17", "l_returnflag = 'R'")
+
+
+@query("d18_buffered_join", DEALS_SQL.format("l_returnflag = 'A'"))
+def buffered_join(t):
+    """Keyed join with buffering; the buffer is released by the price itself."""
+    return _deals(t, 1, "d18", "l_returnflag = 'A'")
+
+
+@query("d19_stream_header_packages", """
+SELECT l_orderkey AS code, CAST(l_linenumber AS BIGINT) AS package, o_orderstatus AS info
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) JOIN orders ON o_orderkey = l_orderkey
+UNION ALL SELECT o_orderkey, NULL, o_orderstatus FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+def stream_header_packages(t):
+    """Packages sort before headers here, so each header meets all its packages."""
+    headers = t.stream("orders").select(
+        F.col("o_orderkey").alias("code"), F.lit(2).cast("bigint").alias("seq"),
+        F.col("o_orderstatus").alias("info"))
+    packages = t.stream("lineitem").select(
+        F.col("l_orderkey").alias("code"), F.lit(1).cast("bigint").alias("seq"),
+        F.col("l_linenumber").alias("package"))
+    return run_to_files(state.header_packages(headers, packages), "d19", rocksdb=True)
+
+
+# --- stream sinks and sources -----------------------------------------------
+
+
+@query("b08_partition_commit", """
+SELECT strftime(d, '%Y-%m-%d') AS dt, n, true AS marked FROM (SELECT CAST(ts AS DATE) AS d, count(*) AS n
+  FROM events GROUP BY 1) WHERE (SELECT max(ts) FROM events) - INTERVAL 30 SECOND > d + INTERVAL 25 HOUR""")
+def partition_commit(t):
+    """Days are announced once the watermark is an hour past their end."""
+    spark = t.spark
+    table = f"{managed_database(spark, 'commit')}.ev"
+    root = work_dir(spark, "commit-data")
+    spark.sql(f"CREATE TABLE {table} (event_id BIGINT, dt STRING) USING parquet "
+              f"PARTITIONED BY (dt) LOCATION '{root}'")
+
+    def handle(batch, batch_id):
+        rows = rebalanced(batch.select("event_id", "ts", day_text("ts").alias("dt")), "dt")
+        rows.drop("ts").write.mode("append").partitionBy("dt").parquet(root)
+        days = batch.select(F.to_date("ts").alias("d")).distinct().select(
+            day_text("d").alias("dt"), F.col("d").cast("timestamp").alias("day_start"))
+        newest = batch.agg((F.max("ts") - F.expr("INTERVAL '30' SECOND"))).scalar()
+        for row in committable(days, newest, "INTERVAL '25' HOUR", "day_start").collect():
+            commit_partition(spark, table, "dt", row["dt"], f"{root}/dt={row['dt']}")
+
+    run_batches(t.events_stream, handle, "b08")
+    marked = [r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
+              if path_exists(spark, f"{root}/{r[0]}/_SUCCESS")]
+    return spark.table(table).filter(F.col("dt").isin(*marked)).groupBy("dt").agg(
+        F.count("*").alias("n")).withColumn("marked", F.lit(True))
+
+
+@query("b15_upsert_sink", """
+SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (
+  PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""")
+def upsert_sink(t):
+    log = UpsertLog(t.spark, work_dir(t.spark, "b15"), ["user_id"], seq=["event_id"])
+    run_batches(t.events_stream.select("user_id", "event_type", "value", "event_id"),
+                log.upsert, "b15")
+    return log.current().drop("event_id")
+
+
+@query("b16_key_value_sink", """
+SELECT CAST(user_id AS VARCHAR) AS key, event_type AS value, CASE WHEN event_type = 'click' THEN NULL
+  WHEN event_type = 'view' THEN 1000000060000 ELSE 1000000600000 END AS expire_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type <> 'view'""")
+def key_value_sink(t):
+    """Time to live comes from a column; views have expired when read."""
+    spark = t.spark
+    spark.dataSource.register(KeyValueSink)
+    out = work_dir(spark, "b16")
+    kind = F.col("event_type")
+    rows = t.events_stream.select(
+        F.col("user_id").cast("string").alias("key"), kind.alias("value"),
+        F.col("event_id").alias("seq"),
+        F.when(kind == "view", 60).when(kind != "click", 600).alias("ttl"))
+    q = (rows.writeStream.format("tidemill_kv").option("flush_rows", 10)
+         .option("flush_seconds", 30).option("now_ms", "1000000000000")
+         .option("checkpointLocation", f"{out}/checkpoint")
+         .trigger(availableNow=True).start(f"{out}/store"))
+    q.awaitTermination()
+    return live_values(spark, f"{out}/store", 1000000000000 + 120000)
+
+
+@query("b17_fan_out", """
+SELECT 'latest' AS sink, count(DISTINCT user_id) AS n FROM events
+UNION ALL SELECT 'errors', count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'all', count(*) FROM events""")
+def fan_out_sinks(t):
+    root = work_dir(t.spark, "b17")
+    latest = UpsertLog(t.spark, f"{root}/latest", ["user_id"], seq=["event_id"])
+    errors, everything = BatchLog(t.spark, f"{root}/errors"), BatchLog(t.spark, f"{root}/all")
+    run_batches(t.events_stream.select("user_id", "event_id", "event_type"), fan_out([
+        latest.upsert,
+        lambda b, i: errors.write(b.filter("event_type = 'error'"), i),
+        everything.write,
+    ]), "b17")
+    out = None
+    for name, df in (("latest", latest.current()), ("errors", errors.rows()),
+                     ("all", everything.rows())):
+        part = df.agg(F.lit(name).alias("sink"), F.count("*").alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("b18_exactly_once", """
+SELECT 'value#' || event_type AS value, count(*) AS n FROM events GROUP BY 1""")
+def exactly_once(t):
+    """Each batch is delivered twice on purpose; it still counts once."""
+    log = BatchLog(t.spark, work_dir(t.spark, "b18"))
+
+    def handle(batch, batch_id):
+        out = batch.select(F.concat(F.lit("value#"), "event_type").alias("value"))
+        log.write(out, batch_id)
+        log.write(out, batch_id)
+
+    run_batches(t.events_stream.select("event_type"), handle, "b18")
+    return log.rows().groupBy("value").agg(F.count("*").alias("n"))
+
+
+@query("a18_stream_decode", """
+SELECT event_type, count(*) AS n FROM events GROUP BY event_type""")
+def stream_decode(t):
+    """Messages are encoded and decoded on the stream as a broker would carry them."""
+    messages = broker.encode(
+        t.events_stream, "user_id", ["event_id", "event_type"]
+    ).withColumns({
+        "topic": F.lit("events"), "partition": F.lit(0), "offset": F.lit(0).cast("bigint"),
+        "timestamp": F.current_timestamp()})
+    rows = broker.decode(messages, "event_id BIGINT, event_type STRING", "json", "id")
+    return run_to_files(rows, "a18").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("a22_change_sync", f"""
+WITH {CHANGES_SQL} SELECT s.*, (SELECT strftime(max(ts), '%Y-%m-%d') FROM ch
+  WHERE ch.user_id = s.user_id) AS dt FROM {STATE_SQL('true')} s""")
+def change_sync(t):
+    """A change stream kept as a keyed table with a computed partition column."""
+    rows = changes_stream(t)
+    log = UpsertLog(t.spark, work_dir(t.spark, "a22"), ["user_id"], seq=["event_id"], op="op")
+    run_batches(rows, log.upsert, "a22")
+    return log.current().select("user_id", "event_type", "value", "dt")
+
+
+def changes_stream(t):
+    kind = F.col("event_type")
+    return t.events_stream.select(
+        "user_id", "event_type", "value", "event_id",
+        F.when(kind == "signup", "+I").when(kind == "error", "-D").otherwise("+U").alias("op"),
+        day_text("ts").alias("dt"))
+
+
+@query("a23_partition_stream", """
+SELECT rule, event_id FROM events, (VALUES ('name'), ('time')) AS v(rule)
+WHERE CASE WHEN rule = 'name' THEN CAST(hour(ts) AS VARCHAR) >= '5' ELSE hour(ts) >= 5 END""")
+def partition_stream(t):
+    """A partitioned folder read as a stream from a start partition on.
+
+    By name the order is that of text, where '9' comes after '11'; by time it
+    is that of the number.
+    """
+    root = work_dir(t.spark, "a23")
+    rebalanced(t.events.select("event_id", F.hour("ts").alias("h")), "h").write.partitionBy(
+        "h").parquet(root)
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("h", T.StringType())])
+    rows = t.spark.readStream.schema(schema).parquet(root)
+    by_name = run_to_files(rows.filter(F.col("h") >= "5").select("event_id"), "a23n")
+    by_time = run_to_files(rows.filter(F.col("h").cast("int") >= 5).select("event_id"), "a23t")
+    return by_name.withColumn("rule", F.lit("name")).unionByName(
+        by_time.withColumn("rule", F.lit("time")))
