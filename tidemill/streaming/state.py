@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections import Counter
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -15,31 +16,30 @@ class PricedDeals(StatefulProcessor):
         self.price = handle.getValueState("price", "price double")
         self.waiting = handle.getListState("waiting", "deal_id long, qty double")
 
-    def handleInputRows(self, key, rows, timer_values):
-        for pdf in rows:
-            prices = pdf[pdf["kind"] == "price"]
-            if len(prices):
-                newest = prices.sort_values("seq")["price"].iloc[-1]
-                self.price.update((float(newest),))
-                held = list(self.waiting.get())
-                if held:
+    def handleInputRows(self, key, rows, timerValues):
+        item = key[0]
+        price = self.price.get()[0] if self.price.exists() else None
+        held = []
+        for row in rows:
+            if row.kind == "price":
+                if price is None:
+                    for deal_id, qty in self.waiting.get():
+                        yield Row(item=item, deal_id=deal_id, qty=qty, price=row.price)
+                    for deal_id, qty in held:
+                        yield Row(item=item, deal_id=deal_id, qty=qty, price=row.price)
+                    held.clear()
                     self.waiting.clear()
-                    yield self._out(key, [d[0] for d in held], [d[1] for d in held])
-            deals = pdf[pdf["kind"] == "deal"]
-            if not len(deals):
-                continue
-            if self.price.exists():
-                yield self._out(key, deals["seq"].tolist(), deals["qty"].tolist())
+                price = row.price
+                self.price.update((price,))
+            elif price is None:
+                held.append((row.seq, row.qty))
+                if len(held) >= 1000:
+                    self.waiting.appendList(held)
+                    held = []
             else:
-                self.waiting.appendList(
-                    [(int(i), float(q)) for i, q in zip(deals["seq"], deals["qty"])])
-
-    def _out(self, key, ids, qty) -> pd.DataFrame:
-        price = self.price.get()[0]
-        return pd.DataFrame({
-            "item": [int(key[0])] * len(ids), "deal_id": [int(i) for i in ids],
-            "qty": [float(q) for q in qty], "price": [price] * len(ids),
-        })
+                yield Row(item=item, deal_id=row.seq, qty=row.qty, price=price)
+        if held:
+            self.waiting.appendList(held)
 
     def close(self) -> None:
         pass
@@ -61,7 +61,7 @@ def priced_deals(prices: DataFrame, deals: DataFrame, salts: int = 1) -> DataFra
         "item", "seq", F.lit("deal").alias("kind"), F.lit(None).cast("double").alias("price"),
         "qty", F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int").alias("salt"),
     )
-    return p.unionByName(d).groupBy("item", "salt").transformWithStateInPandas(
+    return p.unionByName(d).groupBy("item", "salt").transformWithState(
         PricedDeals(), "item long, deal_id long, qty double, price double", "append", "none")
 
 
@@ -72,26 +72,26 @@ class HeaderPackages(StatefulProcessor):
         self.header = handle.getValueState("header", "info string")
         self.packages = handle.getMapState("packages", "package long", "seq long")
 
-    def handleInputRows(self, key, rows, timer_values):
-        for pdf in rows:
-            out = []
-            ordered = pdf.sort_values("seq")
-            for kind, package, info in zip(ordered["kind"], ordered["package"], ordered["info"]):
-                if kind == "header":
-                    self.header.update((info,))
-                    known = [p[0] for p, _ in self.packages.iterator()]
-                    out.extend((p, info) for p in known or [None])
-                    self.packages.clear()
-                elif self.header.exists():
-                    out.append((int(package), self.header.get()[0]))
+    def handleInputRows(self, key, rows, timerValues):
+        code = key[0]
+        known = self.header.exists()
+        info = self.header.get()[0] if known else None
+        for row in rows:
+            if row.kind == "header":
+                info, known = row.info, True
+                self.header.update((info,))
+                alone = True
+                for package, _ in self.packages.iterator():
+                    alone = False
+                    yield Row(code=code, package=package[0], info=info)
+                if alone:
+                    yield Row(code=code, package=None, info=info)
                 else:
-                    self.packages.updateValue((int(package),), (0,))
-            if out:
-                yield pd.DataFrame({
-                    "code": [int(key[0])] * len(out),
-                    "package": pd.array([p for p, _ in out], dtype="Int64"),
-                    "info": [i for _, i in out],
-                })
+                    self.packages.clear()
+            elif known:
+                yield Row(code=code, package=row.package, info=info)
+            else:
+                self.packages.updateValue((row.package,), (row.seq,))
 
     def close(self) -> None:
         pass
@@ -103,7 +103,7 @@ def header_packages(headers: DataFrame, packages: DataFrame) -> DataFrame:
                        F.lit(None).cast("bigint").alias("package"), "info")
     p = packages.select("code", "seq", F.lit("package").alias("kind"),
                         F.col("package").cast("bigint"), F.lit(None).cast("string").alias("info"))
-    return h.unionByName(p).groupBy("code").transformWithStateInPandas(
+    return p.unionByName(h).groupBy("code").transformWithState(
         HeaderPackages(), "code long, package long, info string", "append", "none")
 
 
@@ -121,23 +121,24 @@ class KeyedTotals(StatefulProcessor):
         self.kinds = handle.getMapState(
             "kinds", "kind string", "n long", ttlDurationMs=self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timer_values):
+    def handleInputRows(self, key, rows, timerValues):
         n = self.count.get()[0] if self.count.exists() else 0
         ids = [r[0] for r in self.newest.get()] if self.newest.exists() else []
-        for pdf in rows:
-            n += len(pdf)
-            ids = sorted([*ids, *pdf["id"].nlargest(self.KEEP).tolist()])[-self.KEEP:]
-            for kind, add in pdf["kind"].value_counts().items():
-                old = self.kinds.getValue((kind,)) if self.kinds.containsKey((kind,)) else (0,)
-                self.kinds.updateValue((kind,), (int(old[0]) + int(add),))
-        self.count.update((int(n),))
-        self.newest.put([(int(i),) for i in ids])
+        added = Counter()
+        for row in rows:
+            n += 1
+            added[row.kind] += 1
+            ids = sorted([*ids, row.id])[-self.KEEP:]
+        self.count.update((n,))
+        self.newest.put([(i,) for i in ids])
+        for kind, add in added.items():
+            old = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
+            self.kinds.updateValue((kind,), (old + add,))
         kinds = sorted((k[0], v[0]) for k, v in self.kinds.iterator())
-        yield pd.DataFrame({
-            "key": [int(key[0])], "n": [int(n)],
-            "newest": [",".join(str(i) for i in ids)],
-            "kinds": [",".join(f"{k}={v}" for k, v in kinds)],
-        })
+        yield Row(
+            key=key[0], n=n, newest=",".join(str(i) for i in ids),
+            kinds=",".join(f"{k}={v}" for k, v in kinds),
+        )
 
     def close(self) -> None:
         pass
@@ -146,5 +147,5 @@ class KeyedTotals(StatefulProcessor):
 def keyed_totals(rows: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """``rows(key, id, kind)`` summarised per key; state older than the TTL is forgotten."""
     mode = "none" if ttl_ms is None else "processingTime"
-    return rows.groupBy("key").transformWithStateInPandas(
+    return rows.groupBy("key").transformWithState(
         KeyedTotals(ttl_ms), "key long, n long, newest string, kinds string", "update", mode)
