@@ -11,14 +11,14 @@ from tidemill.operators.ordered import row_numbers
 def extend_dictionary(existing: DataFrame, keys: DataFrame, key: str, id_col: str) -> DataFrame:
     """``(key, id)`` with dense new ids after the largest old one; old ids are kept.
 
-    Only unseen keys are numbered. They are ordered by a 3-digit hash prefix and
-    the key, so numbering runs inside 4096 hash chunks and only the chunk counts
+    Only unseen keys are numbered. They are ordered by a 4-digit hash prefix and
+    the key, so numbering runs inside 65536 hash chunks and only the chunk counts
     meet in one place.
     """
     unseen = keys.select(key).filter(F.col(key).isNotNull()).distinct().join(
         existing.select(key), key, "left_anti"
     )
-    prefix = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 3)
+    prefix = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 4)
     start = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
     fresh = row_numbers(
         unseen.withColumn("__p", prefix), [], [F.col("__p"), F.col(key)], [F.col("__p")], "__n"

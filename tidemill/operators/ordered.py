@@ -1,13 +1,19 @@
-"""Ordered (window-like) operators that do not put a whole key in one task.
+"""Ordered (window-like) operators that never put a hot key in one task.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` sorts every row of a key in one
-task. These versions cut each key into *chunks* along the order, work inside
-``(key, chunk)`` and carry a one-row summary per chunk forward. Only the chunk
-summaries are ever grouped by key alone.
+A plain ``Window.partitionBy(key).orderBy(ts)`` sorts all rows of a key in one
+task. That is the best plan while a key is small, and the end of the job when
+one key holds a third of the rows. So each operator splits its input:
+
+* keys of at most ``hot_rows`` rows take the plain window;
+* larger keys are cut into *chunks* along the order. The window runs inside
+  ``(key, chunk)`` and a one-row summary per chunk is carried forward, so only
+  the summaries of a key ever meet in one task.
 
 ``chunk`` is a list of columns that must be monotone in ``order``: sorting by
-``chunk`` must never contradict sorting by ``order`` (e.g. the hour of the
-timestamp, or a value bucket plus an id bucket where the order is value, id).
+``chunk`` must never contradict sorting by ``order`` (the hour of the timestamp,
+a bucket of an id). Without ``chunk``, range partitions of ``keys + order`` are
+the chunks; they are checkpointed so that both uses see the same cut. ``order``
+has to be unique within a key for repeatable results.
 """
 
 from __future__ import annotations
@@ -17,21 +23,61 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import checkpointed
+
+HOT_ROWS = 5_000_000
 _CHUNK = "__chunk"
 
 
-def _with_chunk(df: DataFrame, chunk: list[Column]) -> DataFrame:
-    return df.withColumn(_CHUNK, F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)]))
+def _same(pairs: list[tuple[str, str]]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
+
+
+def _renamed(df: DataFrame, on: list[str]) -> DataFrame:
+    return df.select(
+        *[F.col(c).alias(f"__r_{c}") for c in on], *[F.col(c) for c in df.columns if c not in on]
+    )
 
 
-def _join_carry(df: DataFrame, carry: DataFrame, keys: list[str], on: list[str]) -> DataFrame:
-    """Left-join chunk summaries back, treating null keys as equal."""
-    renamed = carry.select(
-        *[F.col(c).alias(f"__r_{c}") for c in on],
-        *[F.col(c) for c in carry.columns if c not in on],
+def join_back(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Left-join columns of ``side``, unique on ``on``, treating null keys as equal."""
+    return df.join(_renamed(side, on), _same([(c, f"__r_{c}") for c in on]), "left").drop(
+        *[f"__r_{c}" for c in on]
     )
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on])
-    return df.join(renamed, cond, "left").drop(*[f"__r_{c}" for c in on])
+
+
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``(cold, hot)`` rows by the row count of their key.
+
+    At most ``rows / hot_rows`` keys can be hot, which bounds the broadcast list
+    (200,000 keys for a trillion rows).
+    """
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    hot = F.broadcast(_renamed(hot.select(*keys), keys))
+    cond = _same([(c, f"__r_{c}") for c in keys])
+    return df.join(hot, cond, "left_anti"), df.join(hot, cond, "left_semi")
+
+
+def _chunked(df: DataFrame, keys: list[str], order: list[Column],
+             chunk: list[Column] | None) -> DataFrame:
+    if chunk is not None:
+        return df.withColumn(
+            _CHUNK, F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
+        )
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+    return checkpointed(ranged.withColumn(_CHUNK, F.spark_partition_id()))
+
+
+def _by_size(df, keys, order, chunk, hot_rows, plain, chunked) -> DataFrame:
+    """Plain window for small keys, chunks for large ones or for no keys at all."""
+    if not keys:
+        return chunked(_chunked(df, keys, order, chunk)).drop(_CHUNK)
+    cold, hot = split_hot(df, keys, hot_rows)
+    if chunk is None:
+        # ranges are materialised; do that only when some key is really hot
+        if hot.isEmpty():
+            return plain(df)
+    return plain(cold).unionByName(chunked(_chunked(hot, keys, order, chunk)).drop(_CHUNK))
 
 
 def _preceding(keys: list[str], descending: bool = False):
@@ -45,146 +91,165 @@ def row_numbers(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    chunk: list[Column],
+    chunk: list[Column] | None = None,
     name: str = "row_num",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)``."""
-    df = _with_chunk(df, chunk)
-    on = [*keys, _CHUNK]
-    before = (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(_preceding(keys)), F.lit(0)))
-        .drop("__n")
-    )
-    local = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*on).orderBy(*order)))
-    return (
-        _join_carry(local, before, keys, on)
-        .withColumn(name, (F.col("__rn") + F.col("__before")).cast("bigint"))
-        .drop("__rn", "__before", _CHUNK)
-    )
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn(name, F.row_number().over(w).cast("bigint"))
+
+    def chunked(rows: DataFrame) -> DataFrame:
+        on = [*keys, _CHUNK]
+        before = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).withColumn(
+            "__before", F.coalesce(F.sum("__n").over(_preceding(keys)), F.lit(0))
+        ).drop("__n")
+        w = Window.partitionBy(*on).orderBy(*order)
+        local = rows.withColumn("__rn", F.row_number().over(w))
+        return join_back(local, before, on).withColumn(
+            name, (F.col("__rn") + F.col("__before")).cast("bigint")
+        ).drop("__rn", "__before")
+
+    return _by_size(df, keys, order, chunk, hot_rows, plain, chunked)
+
+
+def _merge(kind: str, before: Column, here: Column) -> Column:
+    """Running value of a row from the carry of earlier chunks and its own chunk."""
+    if kind == "sum":
+        return F.when(before.isNull(), here).when(here.isNull(), before).otherwise(before + here)
+    if kind == "count":
+        return F.coalesce(before, F.lit(0)) + here
+    if kind == "last_value":
+        return F.coalesce(here, before)
+    return F.least(before, here) if kind == "min" else F.greatest(before, here)
+
+
+_PLAIN = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
 def running(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    chunk: list[Column],
+    chunk: list[Column] | None,
     aggs: dict[str, tuple[str, Column]],
     reverse: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running aggregates over ROWS unbounded preceding .. current row.
 
     ``aggs`` maps the output name to ``(kind, column)`` with kind one of ``sum``,
     ``count``, ``min``, ``max``, ``last_value`` (latest non-null, for which
-    ``order`` must be plain ascending columns). With ``reverse`` the frame is current row .. unbounded
-    following for sum, count, min and max.
+    ``order`` must be plain ascending columns). With ``reverse`` the frame is
+    current row .. unbounded following for sum, count, min and max.
     """
-    df = _with_chunk(df, chunk)
-    on = [*keys, _CHUNK]
-    local_w = Window.partitionBy(*on).orderBy(*order)
-    local_w = (
-        local_w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        if reverse
-        else local_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    over = _preceding(keys, descending=reverse)
-    seq = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    plain = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-    totals, carries = [], []
-    for name, (kind, col) in aggs.items():
-        if kind in plain:
-            totals.append(plain[kind](col).alias(f"__t_{name}"))
-            merge = F.sum if kind == "count" else plain[kind]
-            carries.append(merge(f"__t_{name}").over(over).alias(f"__c_{name}"))
-        elif kind == "last_value":
-            totals.append(
-                F.max_by(F.when(col.isNotNull(), F.struct(col.alias("v"))),
-                         F.when(col.isNotNull(), seq)).alias(f"__t_{name}")
-            )
-            carries.append(
-                F.last(f"__t_{name}", ignorenulls=True).over(over).alias(f"__c_{name}")
-            )
-        else:
-            raise ValueError(f"unknown running aggregate {kind}")
-    carry = df.groupBy(*on).agg(*totals).select(*on, *carries)
-    local = df
-    for name, (kind, col) in aggs.items():
-        if kind in plain:
-            value = plain[kind](col).over(local_w)
-        else:
-            value = F.last(col, ignorenulls=True).over(local_w)
-        local = local.withColumn(f"__l_{name}", value)
-    out = _join_carry(local, carry, keys, on)
-    for name, (kind, _) in aggs.items():
-        left, right = F.col(f"__c_{name}"), F.col(f"__l_{name}")
-        if kind == "sum":
-            value = F.when(left.isNull(), right).when(right.isNull(), left).otherwise(left + right)
-        elif kind == "count":
-            value = F.coalesce(left, F.lit(0)) + right
-        elif kind == "min":
-            value = F.least(left, right)
-        elif kind == "max":
-            value = F.greatest(left, right)
-        else:
-            value = F.coalesce(right, left["v"])
-        out = out.withColumn(name, value)
-    drop = [f"__{p}_{n}" for n in aggs for p in ("c", "l")]
-    return out.drop(*drop, _CHUNK)
+    unknown = {k for k, _ in aggs.values()} - {*_PLAIN, "last_value"}
+    if unknown:
+        raise ValueError(f"unknown running aggregates {sorted(unknown)}")
+
+    def frame(w):
+        return (
+            w.rowsBetween(Window.currentRow, Window.unboundedFollowing) if reverse
+            else w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+
+    def local(kind: str, col: Column, w) -> Column:
+        return _PLAIN[kind](col).over(w) if kind in _PLAIN else F.last(col, True).over(w)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = frame(Window.partitionBy(*keys).orderBy(*order))
+        return rows.withColumns({n: local(k, c, w) for n, (k, c) in aggs.items()})
+
+    def chunked(rows: DataFrame) -> DataFrame:
+        on = [*keys, _CHUNK]
+        over = _preceding(keys, descending=reverse)
+        totals, carries, merged = [], [], {}
+        for name, (kind, col) in aggs.items():
+            total, carry, here = f"__t_{name}", f"__c_{name}", F.col(f"__l_{name}")
+            if kind in _PLAIN:
+                totals.append(_PLAIN[kind](col).alias(total))
+                merge = F.sum if kind == "count" else _PLAIN[kind]
+                carries.append(merge(total).over(over).alias(carry))
+            else:
+                seq = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+                some = col.isNotNull()
+                totals.append(F.max_by(F.when(some, F.struct(col.alias("v"))),
+                                       F.when(some, seq)).alias(total))
+                carries.append(F.last(total, True).over(over)["v"].alias(carry))
+            merged[name] = _merge(kind, F.col(carry), here)
+        carry = rows.groupBy(*on).agg(*totals).select(*on, *carries)
+        w = frame(Window.partitionBy(*on).orderBy(*order))
+        inside = rows.withColumns({f"__l_{n}": local(k, c, w) for n, (k, c) in aggs.items()})
+        out = join_back(inside, carry, on).withColumns(merged)
+        return out.drop(*[f"__{p}_{n}" for n in aggs for p in ("c", "l")])
+
+    return _by_size(df, keys, order, chunk, hot_rows, plain, chunked)
 
 
 def framed(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    chunk: list[Column],
+    chunk: list[Column] | None,
     before: int,
     after: int,
     columns,
-    block_rows: int = 65536,
+    block_rows: int = 1 << 20,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Functions over ROWS ``before`` preceding .. ``after`` following, and lead/lag.
 
-    Rows get their number within the key, are cut into blocks of ``block_rows``
-    and the edge rows a neighbouring block needs are copied to it, so that each
-    block is complete on its own. ``columns(ordered, frame)`` returns the new
-    columns by name; ``ordered`` serves lead/lag, ``frame`` the aggregates.
+    Rows of a large key get their number within the key, are cut into blocks of
+    ``block_rows``, and the edge rows a neighbouring block needs are copied to
+    it, so that each block is complete on its own. ``columns(ordered, frame)``
+    returns the new columns by name; ``ordered`` serves lead/lag, ``frame`` the
+    aggregates.
     """
     if max(before, after) >= block_rows:
         raise ValueError("frame is wider than a block")
-    size = F.lit(block_rows)
-    ranked = row_numbers(df, keys, order, chunk, "__pos").withColumn(
-        "__pos", F.col("__pos") - 1
-    )
-    home = F.floor(F.col("__pos") / size)
-    offset = F.col("__pos") % size
-    copies = [F.struct(home.alias("b"), F.lit(False).alias("halo"))]
-    if before:
-        copies.append(
-            F.when(offset >= block_rows - before,
-                   F.struct((home + 1).alias("b"), F.lit(True).alias("halo")))
-        )
-    if after:
-        copies.append(
-            F.when((offset < after) & (home > 0),
-                   F.struct((home - 1).alias("b"), F.lit(True).alias("halo")))
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumns(columns(w, w.rowsBetween(-before, after)))
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        ranked = row_numbers(rows, keys, order, chunk, "__pos", hot_rows).withColumn(
+            "__pos", F.col("__pos") - 1
         )
-    spread = ranked.withColumn(
-        "__copy", F.explode(F.array_compact(F.array(*copies)))
-    ).withColumn("__block", F.col("__copy.b"))
-    ordered = Window.partitionBy(*keys, "__block").orderBy("__pos")
-    frame = ordered.rowsBetween(-before, after)
-    out = spread.withColumns(columns(ordered, frame))
-    return out.filter(~F.col("__copy.halo")).drop("__copy", "__block", "__pos")
+        home = F.floor(F.col("__pos") / block_rows)
+        offset = F.col("__pos") % block_rows
+        copies = [F.struct(home.alias("b"), F.lit(False).alias("halo"))]
+        if before:
+            copies.append(F.when(
+                offset >= block_rows - before,
+                F.struct((home + 1).alias("b"), F.lit(True).alias("halo"))))
+        if after:
+            copies.append(F.when(
+                (offset < after) & (home > 0),
+                F.struct((home - 1).alias("b"), F.lit(True).alias("halo"))))
+        spread = ranked.withColumn(
+            "__copy", F.explode(F.array_compact(F.array(*copies)))
+        ).withColumn("__block", F.col("__copy.b"))
+        ordered = Window.partitionBy(*keys, "__block").orderBy("__pos")
+        out = spread.withColumns(columns(ordered, ordered.rowsBetween(-before, after)))
+        return out.filter(~F.col("__copy.halo")).drop("__copy", "__block", "__pos")
+
+    if not keys:
+        return blocks(df)
+    cold, hot = split_hot(df, keys, hot_rows)
+    return plain(cold).unionByName(blocks(hot))
 
 
 def ranks(
     df: DataFrame,
     keys: list[str],
     value: str,
-    chunk: list[Column],
+    chunk: list[Column] | None = None,
     rank: str = "rnk",
     dense: str = "dense_rnk",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``rank`` and ``dense_rank`` of ``value`` within ``keys``.
 
@@ -194,9 +259,9 @@ def ranks(
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     placed = running(
         counts, keys, [F.col(value)], chunk,
-        {rank: ("sum", F.col("__n")), dense: ("count", F.lit(1))},
+        {rank: ("sum", F.col("__n")), dense: ("count", F.lit(1))}, hot_rows=hot_rows,
     ).withColumn(rank, F.col(rank) - F.col("__n") + 1).drop("__n")
-    return _join_carry(df, placed, keys, [*keys, value])
+    return join_back(df, placed, [*keys, value])
 
 
 def with_group_stats(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
@@ -206,4 +271,4 @@ def with_group_stats(df: DataFrame, keys: list[str], aggs: list[Column]) -> Data
     execution broadcasts it when its measured size allows and splits hot keys
     of the sort-merge join otherwise.
     """
-    return _join_carry(df, df.groupBy(*keys).agg(*aggs), keys, keys)
+    return join_back(df, df.groupBy(*keys).agg(*aggs), keys)

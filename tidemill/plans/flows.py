@@ -80,7 +80,7 @@ def backfill_per_window(t):
     rows = t.events_ts.withColumn(
         "v", F.when(~F.col("event_type").isin("view", "error"), F.col("value")))
     rows = running(
-        rows, ["user_id"], [F.col("ts"), F.col("event_id")], [F.date_trunc("day", F.col("ts"))],
+        rows, ["user_id"], [F.col("ts"), F.col("event_id")], [F.date_trunc("hour", F.col("ts"))],
         {"hist": ("last_value", F.col("v"))},
     ).withColumn("filled", F.coalesce("v", "hist"))
     return rows.groupBy("user_id", F.window("ts", "1 day").alias("w")).agg(

@@ -168,7 +168,7 @@ def temporal_join(t):
     )
     return asof_join(
         left, versions, ["user_id"], "ts", ["view_id", "view_value"],
-        chunk=lambda ts: [F.date_trunc("day", ts)],
+        chunk=lambda ts: [F.date_trunc("hour", ts)],
     ).select("event_id", "view_id", "view_value")
 
 

@@ -254,10 +254,10 @@ def expired_partitions(t):
 
 @query("k14_dictionary", """
 WITH old AS (SELECT DISTINCT p_name k FROM part WHERE p_size <= 10),
-o AS (SELECT k, row_number() OVER (ORDER BY substr(md5(k), 1, 3), k) AS id FROM old),
+o AS (SELECT k, row_number() OVER (ORDER BY substr(md5(k), 1, 4), k) AS id FROM old),
 f AS (SELECT DISTINCT p_name k FROM part WHERE p_name NOT IN (SELECT k FROM old))
 SELECT k AS p_name, id AS name_id FROM o UNION ALL
-SELECT k, row_number() OVER (ORDER BY substr(md5(k), 1, 3), k) + (SELECT count(*) FROM o) FROM f""")
+SELECT k, row_number() OVER (ORDER BY substr(md5(k), 1, 4), k) + (SELECT count(*) FROM o) FROM f""")
 def dictionary(t):
     """A second load adds ids after the first one's; known keys keep theirs."""
     empty = t.part.select("p_name", F.lit(0).cast("bigint").alias("name_id")).filter("false")

@@ -7,8 +7,7 @@ from tidemill.catalog import EMPLOYEES_SQL, query
 from tidemill.functions.columns import exact_avg, exact_sum, money
 from tidemill.operators.ordered import framed, ranks, row_numbers, running, with_group_stats
 
-DAY = [F.date_trunc("day", F.col("ts"))]
-PRICE_STEP = [F.floor(F.col("o_totalprice") / 1000)]
+HOUR = [F.date_trunc("hour", F.col("ts"))]
 BY_TIME = [F.col("ts"), F.col("event_id")]
 
 
@@ -16,7 +15,7 @@ BY_TIME = [F.col("ts"), F.col("event_id")]
 SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS row_num
 FROM events""")
 def row_number(t):
-    return row_numbers(t.events, ["user_id"], BY_TIME, DAY).select("event_id", "row_num")
+    return row_numbers(t.events, ["user_id"], BY_TIME, HOUR).select("event_id", "row_num")
 
 
 @query("f02_rank", """
@@ -25,9 +24,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
   dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) AS dense_rnk FROM lineitem""")
 def rank(t):
     """Ranks are placed on the distinct quantities and joined back."""
-    return ranks(
-        t.lineitem, ["l_returnflag"], "l_quantity", [F.floor(F.col("l_quantity") / 10)]
-    ).select("l_orderkey", "l_linenumber", "l_partkey", "rnk", "dense_rnk")
+    return ranks(t.lineitem, ["l_returnflag"], "l_quantity").select("l_orderkey", "l_linenumber", "l_partkey", "rnk", "dense_rnk")
 
 
 @query("f03_lead_lag", """
@@ -35,7 +32,7 @@ SELECT event_id, lead(event_type) OVER w AS next_type, lag(event_type) OVER w AS
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def lead_lag(t):
     return framed(
-        t.events, ["user_id"], BY_TIME, DAY, 1, 1,
+        t.events, ["user_id"], BY_TIME, HOUR, 1, 1,
         lambda w, _: {
             "next_type": F.lead("event_type").over(w),
             "prev_type": F.lag("event_type").over(w),
@@ -56,11 +53,10 @@ FROM {EMPLOYEES_SQL}""")
 def sum_over(t):
     """Whole table, partition, order, and both; the whole-table sum is a scalar."""
     order = [F.col("salary"), F.col("emp_no")]
-    chunk = [F.floor(F.col("salary") / 100)]
     pay = money("salary")
     rows = with_group_stats(t.employees, ["dept_no"], [exact_sum("salary").alias("dept_sum")])
-    rows = running(rows, [], order, chunk, {"run_sum": ("sum", pay)})
-    rows = running(rows, ["dept_no"], order, chunk, {"dept_run_sum": ("sum", pay)})
+    rows = running(rows, [], order, None, {"run_sum": ("sum", pay)})
+    rows = running(rows, ["dept_no"], order, None, {"dept_run_sum": ("sum", pay)})
     total = t.employees.agg(exact_sum("salary")).scalar()
     return rows.select(
         "emp_no", total.alias("all_sum"), "dept_sum",
@@ -78,10 +74,10 @@ def rows_frames(t):
     order = [F.col("o_totalprice"), F.col("o_orderkey")]
     price = money("o_totalprice")
     rows = framed(
-        t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), [], order, PRICE_STEP,
+        t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), [], order, None,
         2, 3, lambda _, f: {"near_sum": F.sum(price).over(f).cast("double")},
     )
-    rows = running(rows, ["o_orderstatus"], order, PRICE_STEP, {"rest": ("sum", price)},
+    rows = running(rows, ["o_orderstatus"], order, None, {"rest": ("sum", price)},
                    reverse=True)
     return rows.select("o_orderkey", "near_sum", F.col("rest").cast("double").alias("rest_sum"))
 
@@ -95,7 +91,7 @@ FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def avg_min_count_over(t):
     rows = running(
-        t.events, ["user_id"], BY_TIME, DAY,
+        t.events, ["user_id"], BY_TIME, HOUR,
         {"min_so_far": ("min", F.col("value")), "n_so_far": ("count", F.col("value"))},
     )
     rows = with_group_stats(rows, ["user_id"], [F.count("*").alias("user_n")])
@@ -113,7 +109,7 @@ def running_last_value(t):
     rows = t.events.withColumn(
         "v", F.when(~F.col("event_type").isin("view", "error"), F.col("value"))
     )
-    rows = running(rows, ["user_id"], BY_TIME, DAY, {"hist": ("last_value", F.col("v"))})
+    rows = running(rows, ["user_id"], BY_TIME, HOUR, {"hist": ("last_value", F.col("v"))})
     return rows.select("event_id", F.coalesce("v", "hist").alias("filled"))
 
 

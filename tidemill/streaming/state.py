@@ -18,7 +18,8 @@ class PricedDeals(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         item = key[0]
-        price = self.price.get()[0] if self.price.exists() else None
+        stored = self.price.get()
+        price = stored[0] if stored is not None else None
         held = []
         for row in rows:
             if row.kind == "price":
@@ -74,24 +75,27 @@ class HeaderPackages(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         code = key[0]
-        known = self.header.exists()
-        info = self.header.get()[0] if known else None
+        stored = self.header.get()
+        info, known = (stored[0], True) if stored is not None else (None, False)
+        held = {}
         for row in rows:
             if row.kind == "header":
+                waiting = [p[0] for p, _ in self.packages.iterator()] if not known else []
                 info, known = row.info, True
                 self.header.update((info,))
-                alone = True
-                for package, _ in self.packages.iterator():
-                    alone = False
-                    yield Row(code=code, package=package[0], info=info)
-                if alone:
-                    yield Row(code=code, package=None, info=info)
-                else:
+                if waiting:
                     self.packages.clear()
+                for package in dict.fromkeys([*waiting, *held]):
+                    yield Row(code=code, package=package, info=info)
+                if not waiting and not held:
+                    yield Row(code=code, package=None, info=info)
+                held.clear()
             elif known:
                 yield Row(code=code, package=row.package, info=info)
             else:
-                self.packages.updateValue((row.package,), (row.seq,))
+                held[row.package] = row.seq
+        for package, seq in held.items():
+            self.packages.updateValue((package,), (seq,))
 
     def close(self) -> None:
         pass
