@@ -32,7 +32,9 @@ def apply_ops(current: DataFrame, changes: DataFrame, keys: list[str], op: str,
     Ops are ``+I -U +U -D``; ``-U`` carries old values and is skipped. Deleting
     a missing key does nothing. ``current`` has one row per key.
     """
-    last = latest_per_key(changes.filter(~F.col(op).isin(*IGNORED)), keys, seq)
+    needed = list(dict.fromkeys([*current.columns, op, *seq]))
+    live = changes.filter(~F.col(op).isin(*IGNORED)).select(*needed)
+    last = latest_per_key(live, keys, seq)
     touched = last.select(*keys)
     kept = current.alias("c").join(
         touched.alias("t"), _same(keys, "c", "t"), "left_anti"
@@ -94,10 +96,12 @@ def aggregate_merge(parts: list[DataFrame], keys: list[str], spec: dict[str, str
 
 
 def as_of(changes: DataFrame, keys: list[str], op: str, commit: str, seq: list[str],
-          at: Column) -> DataFrame:
-    """Table state after all commits up to ``at``."""
-    seen = changes.filter((F.col(commit) <= at) & ~F.col(op).isin(*IGNORED))
-    return latest_per_key(seen, keys, [commit, *seq]).filter(F.col(op).isin(*UPSERTS))
+          at: Column, columns: list[str]) -> DataFrame:
+    """Keys and ``columns`` of the table after all commits up to ``at``."""
+    seen = changes.filter((F.col(commit) <= at) & ~F.col(op).isin(*IGNORED)).select(
+        *dict.fromkeys([*keys, *columns, op, commit, *seq]))
+    return latest_per_key(seen, keys, [commit, *seq]).filter(
+        F.col(op).isin(*UPSERTS)).select(*keys, *columns)
 
 
 def commit_at(commits: DataFrame, commit: str, ts: str, at: Column) -> Column:

@@ -197,7 +197,7 @@ def state_and_changelog(t):
     stored = log.current()
 
     def state(at):
-        return tbl.as_of(stored, ["user_id"], "op", "commit_id", ["event_id"], F.lit(at)).select(
-            "user_id", "event_type", "value")
+        return tbl.as_of(stored, ["user_id"], "op", "commit_id", ["event_id"], F.lit(at),
+                         ["event_type", "value"])
 
     return tbl.changelog(state(20), state(22), ["user_id"])

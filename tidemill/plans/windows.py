@@ -7,15 +7,20 @@ from tidemill.catalog import EMPLOYEES_SQL, query
 from tidemill.functions.columns import exact_avg, exact_sum, money
 from tidemill.operators.ordered import framed, ranks, row_numbers, running, with_group_stats
 
-HOUR = [F.date_trunc("hour", F.col("ts"))]
-BY_TIME = [F.col("ts"), F.col("event_id")]
+
+def hour():
+    return [F.date_trunc("hour", F.col("ts"))]
+
+
+def by_time():
+    return [F.col("ts"), F.col("event_id")]
 
 
 @query("f01_row_number", """
 SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS row_num
 FROM events""")
 def row_number(t):
-    return row_numbers(t.events, ["user_id"], BY_TIME, HOUR).select("event_id", "row_num")
+    return row_numbers(t.events, ["user_id"], by_time(), hour()).select("event_id", "row_num")
 
 
 @query("f02_rank", """
@@ -32,7 +37,7 @@ SELECT event_id, lead(event_type) OVER w AS next_type, lag(event_type) OVER w AS
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def lead_lag(t):
     return framed(
-        t.events, ["user_id"], BY_TIME, HOUR, 1, 1,
+        t.events, ["user_id"], by_time(), hour(), 1, 1,
         lambda w, _: {
             "next_type": F.lead("event_type").over(w),
             "prev_type": F.lag("event_type").over(w),
@@ -91,7 +96,7 @@ FROM events
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def avg_min_count_over(t):
     rows = running(
-        t.events, ["user_id"], BY_TIME, HOUR,
+        t.events, ["user_id"], by_time(), hour(),
         {"min_so_far": ("min", F.col("value")), "n_so_far": ("count", F.col("value"))},
     )
     rows = with_group_stats(rows, ["user_id"], [F.count("*").alias("user_n")])
@@ -109,7 +114,7 @@ def running_last_value(t):
     rows = t.events.withColumn(
         "v", F.when(~F.col("event_type").isin("view", "error"), F.col("value"))
     )
-    rows = running(rows, ["user_id"], BY_TIME, HOUR, {"hist": ("last_value", F.col("v"))})
+    rows = running(rows, ["user_id"], by_time(), hour(), {"hist": ("last_value", F.col("v"))})
     return rows.select("event_id", F.coalesce("v", "hist").alias("filled"))
 
 

@@ -25,16 +25,15 @@ class BatchLog:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
 
+    def _finished(self, pattern: str) -> list[int]:
+        """Numbers at the end of finished folder names matching ``pattern``."""
+        path = self._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.root).getFileSystem(self._conf)
+        found = fs.globStatus(path(f"{self.root}/{pattern}/_SUCCESS")) or []
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+
     def committed(self) -> list[int]:
-        """Ids of finished batches, from a listing of the log folder."""
-        path = self._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self._conf)
-        done = []
-        for status in fs.globStatus(
-            self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/batch_id=*/_SUCCESS")
-        ) or []:
-            done.append(int(status.getPath().getParent().getName().split("=")[1]))
-        return sorted(done)
+        return self._finished("batch_id=*")
 
     def rows(self, before: int | None = None) -> DataFrame | None:
         """Rows of finished batches with their ``batch_id``; None when there are none."""
@@ -61,6 +60,42 @@ class UpsertLog(BatchLog):
             batch = latest_per_key(batch, self.keys, self.seq)
         self.write(batch, batch_id)
 
+    def rows(self, before: int | None = None) -> DataFrame | None:
+        """The newest finished compaction and the batches after it."""
+        bases = [i for i in self._finished("upto=*") if before is None or i < before]
+        if not bases:
+            return super().rows(before)
+        out = self.spark.read.parquet(f"{self.root}/upto={bases[-1]}").withColumnRenamed(
+            "__batch", "batch_id")
+        for i in self.committed():
+            if i > bases[-1] and (before is None or i < before):
+                part = self.spark.read.parquet(f"{self.root}/batch_id={i}")
+                out = out.unionByName(part.withColumn("batch_id", F.lit(i)))
+        return out
+
+    def compact(self) -> None:
+        """Merge all finished batches into one ``upto=N`` folder.
+
+        Readers switch when its success marker appears, so a crash on the way
+        changes nothing. Older folders are left for :meth:`purge`.
+        """
+        ids = self.committed()
+        if ids and ids[-1] not in self._finished("upto=*"):
+            merged = latest_per_key(self.rows(), self.keys, ["batch_id", *self.seq])
+            merged.withColumnRenamed("batch_id", "__batch").write.mode("overwrite").parquet(
+                f"{self.root}/upto={ids[-1]}")
+
+    def purge(self) -> None:
+        """Drop batches and compactions the newest compaction already holds."""
+        bases = self._finished("upto=*")
+        if not bases:
+            return
+        path = self._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.root).getFileSystem(self._conf)
+        old = [f"batch_id={i}" for i in self.committed() if i <= bases[-1]]
+        for name in [*old, *[f"upto={i}" for i in bases[:-1]]]:
+            fs.delete(path(f"{self.root}/{name}"), True)
+
     def current(self) -> DataFrame:
         rows = latest_per_key(self.rows(), self.keys, ["batch_id", *self.seq]).drop("batch_id")
         return rows if self.op is None else rows.filter(F.col(self.op).isin(*UPSERTS))
