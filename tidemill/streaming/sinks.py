@@ -143,6 +143,10 @@ class LateSplitter(BatchLog):
         row = self.spark.createDataFrame([(stats.get["max_ts"],)], "max_ts timestamp")
         self.progress.write(row.coalesce(1), batch_id)
 
+    def rows(self, before: int | None = None) -> DataFrame | None:
+        out = super().rows(before)
+        return None if out is None else out.withColumn("late", F.col("late").cast("boolean"))
+
     def write_split(self, batch: DataFrame, late: Column, batch_id: int) -> None:
         batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(
             f"{self.root}/batch_id={batch_id}")

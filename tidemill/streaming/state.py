@@ -149,7 +149,11 @@ class KeyedTotals(StatefulProcessor):
 
 
 def keyed_totals(rows: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """``rows(key, id, kind)`` summarised per key; state older than the TTL is forgotten."""
+    """``rows(key, id, kind)`` summarised per key; state older than the TTL is forgotten.
+
+    A TTL is processing time, for which Spark plans batches without data for
+    ever; an available-now run therefore has to switch no-data batches off.
+    """
     mode = "none" if ttl_ms is None else "processingTime"
     return rows.groupBy("key").transformWithState(
         KeyedTotals(ttl_ms), "key long, n long, newest string, kinds string", "update", mode)
