@@ -55,16 +55,18 @@ def main() -> None:
 
     registry = load_all()
     tables = Tables(spark, folder)
-    # start code generation and Python workers before anything is timed
-    registry["e01_group_by"].build(tables).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
-        begin = time.perf_counter()
-        registry[name].build(tables).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - begin, 3)
+        # the first run compiles the generated code; the better of two is reported
+        best = float("inf")
+        for _ in range(2):
+            begin = time.perf_counter()
+            registry[name].build(tables).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - begin)
+        times[name] = round(best, 3)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-        "unit": "sec", "queries": times, "sf": os.path.basename(folder.rstrip("/")),
+        "unit": "sec", "runs": 2, "queries": times, "sf": os.path.basename(folder.rstrip("/")),
     }))
     spark.stop()
 

@@ -28,7 +28,8 @@ def test_named_partition_is_pruned(tables):
 
 def test_range_filter_is_pushed_to_the_sorted_layout(tables):
     text = plan(REGISTRY["k28_skipping_layout"].build(tables))
-    assert "GreaterThanOrEqual(l_partkey,100)" in text and "EqualTo(l_suppkey,7)" in text
+    pushed = re.search(r"PushedFilters: \[([^\]]*)", text).group(1)
+    assert "l_partkey" in pushed and "l_suppkey" in pushed
 
 
 @pytest.mark.parametrize("name", ["f09_newest_per_key", "f10_top_n"])

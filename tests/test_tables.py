@@ -24,10 +24,10 @@ def rows(df, *cols):
 
 def test_sequence_field_older_row_loses_and_ties_go_to_later_arrival(spark):
     df = spark.createDataFrame(
-        [("JDA", 5, "a", 1), ("JDA", 3, "b", 2), ("JDC", 2, "c", 3), ("JDC", 2, "d", 4)],
+        [("W1", 5, "a", 1), ("W1", 3, "b", 2), ("W3", 2, "c", 3), ("W3", 2, "d", 4)],
         "code string, ts long, site string, arrival int")
     out = tbl.latest_per_key(df, ["code"], ["ts", "arrival"])
-    assert rows(out, "code", "site") == [("JDA", "a"), ("JDC", "d")]
+    assert rows(out, "code", "site") == [("W1", "a"), ("W3", "d")]
 
 
 def test_op_rows_with_delete_of_missing_key(spark):

@@ -69,6 +69,21 @@ def monotonous(t):
     return flat(run_to_files(rows, "i02"))
 
 
+@query("i03_source_event_time", windowed_sql("4 HOUR", "event_type", "count(*) AS n", "5 MINUTE"))
+def source_event_time(t):
+    """Event time travels inside the record, as the source set it.
+
+    Spark moves the watermark between micro-batches; a source cannot emit one
+    after every n-th record. The closed windows are the same.
+    """
+    records = t.events_stream.select(
+        F.to_json(F.struct(F.unix_micros("ts").alias("at"), "event_type")).alias("doc"))
+    rows = records.select(F.from_json("doc", "at BIGINT, event_type STRING").alias("r")).select(
+        F.timestamp_micros("r.at").alias("ts"), "r.event_type")
+    out = tumble(rows, "4 hours", ["event_type"], [F.count("*").alias("n")], "5 minutes")
+    return flat(run_to_files(out, "i03"))
+
+
 @query("i04_minimum_watermark", INTERVAL_SQL.format(how=""))
 def minimum_watermark(t):
     """Two inputs with their own watermark; time follows the slower one."""
@@ -178,20 +193,36 @@ def running_aggregate(t):
     return log.current()
 
 
-@query("i14_keyed_state", """
+KEYED_SQL = """
 WITH c AS (SELECT user_id AS key, event_type, count(*) k FROM events GROUP BY 1, 2),
 r AS (SELECT user_id AS key, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC)
   rn FROM events)
 SELECT key, (SELECT count(*) FROM events e WHERE e.user_id = c.key) AS n,
   (SELECT string_agg(event_id, ',' ORDER BY event_id) FROM r WHERE r.key = c.key AND rn <= 3) AS newest,
-  string_agg(event_type || '=' || k, ',' ORDER BY event_type) AS kinds FROM c GROUP BY key""")
-def keyed_state(t):
-    """Value, list and map state per user, kept in the state store."""
-    rows = t.events_stream.select(
+  string_agg(event_type || '=' || k, ',' ORDER BY event_type) AS kinds FROM c GROUP BY key"""
+
+
+def _keyed_rows(t):
+    return t.events_stream.select(
         F.col("user_id").alias("key"), F.col("event_id").alias("id"),
         F.col("event_type").alias("kind"))
+
+
+@query("i14_keyed_state", KEYED_SQL)
+def keyed_state(t):
+    """Value, list and map state per user, kept in the state store."""
     log = UpsertLog(t.spark, work_dir(t.spark, "i14"), ["key"], seq=["n"])
-    run_batches(state.keyed_totals(rows), log.upsert, "i14", mode="update", rocksdb=True)
+    run_batches(state.keyed_totals(_keyed_rows(t)), log.upsert, "i14", mode="update", rocksdb=True)
+    return log.current()
+
+
+@query("i16_state_ttl", KEYED_SQL)
+def state_ttl(t):
+    """The same state with a time to live of a day, which this run stays within."""
+    log = UpsertLog(t.spark, work_dir(t.spark, "i16"), ["key"], seq=["n"])
+    run_batches(
+        state.keyed_totals(_keyed_rows(t), ttl_ms=86_400_000), log.upsert, "i16", mode="update",
+        rocksdb=True, spark__sql__streaming__noDataMicroBatches__enabled="false")
     return log.current()
 
 

@@ -110,13 +110,13 @@ def length_words(t):
 
 
 @query("j06_generate_rows", """
-SELECT l_orderkey, id, name, 'hello' AS param1, 'world' AS param2 FROM (
+SELECT l_orderkey, id, name, 'one' AS param1, 'two' AS param2 FROM (
   SELECT l_orderkey, unnest([l_linenumber, l_linenumber + 10]) AS id,
     unnest([l_returnflag, l_linestatus]) AS name FROM lineitem)""")
 def generate_rows(t):
     rows = tf.generate_rows(
         F.array(F.col("l_linenumber"), F.col("l_linenumber") + 10),
-        F.array("l_returnflag", "l_linestatus"), {"param1": "hello", "param2": "world"})
+        F.array("l_returnflag", "l_linestatus"), {"param1": "one", "param2": "two"})
     return t.lineitem.select("l_orderkey", F.inline(rows))
 
 
@@ -160,10 +160,10 @@ def any_type_array(t):
 
 
 @query("j10_job_parameters", """
-SELECT o_orderkey, 'hello_world' AS my_param, o_totalprice > 200000 AS big FROM orders""")
+SELECT o_orderkey, 'demo' AS my_param, o_totalprice > 200000 AS big FROM orders""")
 def job_parameters(t):
     """Job-wide parameters travel in the session settings."""
-    t.spark.conf.set("tidemill.job.my-param", "hello_world")
+    t.spark.conf.set("tidemill.job.my-param", "demo")
     t.spark.conf.set("tidemill.job.limit", "200000")
     limit = float(t.spark.conf.get("tidemill.job.limit"))
     return t.orders.select(
