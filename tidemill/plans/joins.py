@@ -200,7 +200,7 @@ SELECT p_partkey, word, length(word) AS word_length FROM (SELECT p_partkey,
 def lateral_inner(t):
     """Rows whose table function yields nothing (null text here) are dropped."""
     return t.spark.sql(
-        """SELECT p_partkey, word, length(word) AS word_length
+        """SELECT p_partkey, word, cast(length(word) AS bigint) AS word_length
            FROM {part} p, LATERAL explode(split(if(p_size > 25, p_name, null), ' ')) AS w(word)""",
         part=t.part,
     )
