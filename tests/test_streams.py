@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.joining import interval_join
 from tidemill.plans.streams import tumble
+from tidemill.session import managed_database
 from tidemill.streaming import state
 from tidemill.streaming.enrich import async_enrich
 from tidemill.streaming.keyvalue import KeyValueSink, KeyValueWriter, PartWritten, live_values
 from tidemill.streaming.runner import run_batches, run_to_files, stream_settings
 from tidemill.streaming.sinks import (
-    BatchLog, BudgetedLoad, LateSplitter, UpsertLog, reloading_lookup,
+    BatchLog, BudgetedLoad, LateSplitter, PartitionCommitter, UpsertLog, reloading_lookup,
 )
 
 START = dt.datetime(2024, 1, 1)
@@ -190,6 +191,30 @@ def test_replayed_and_aborted_batches(spark, folder):
     assert sorted(r["v"] for r in log.rows().collect()) == [1, 2]
 
 
+def test_day_is_announced_by_a_later_batch_and_takes_late_rows(spark, folder):
+    table = f"{managed_database(spark, 'pc')}.t"
+    spark.sql(f"CREATE TABLE {table} (id INT, ts TIMESTAMP, dt STRING, batch_id INT) USING parquet "
+              f"PARTITIONED BY (dt, batch_id) LOCATION '{folder}/data'")
+    sink = PartitionCommitter(spark, table, f"{folder}/data", f"{folder}/log", "dt", "ts",
+                              "30 SECOND", "24 HOUR")
+
+    def deliver(n, *days):
+        rows = [(i, dt.datetime(2024, 1, d, 12), f"2024-01-{d:02d}") for i, d in enumerate(days)]
+        sink.process(spark.createDataFrame(rows, "id int, ts timestamp, dt string"), n)
+
+    def ids():
+        spark.catalog.refreshTable(table)
+        return sorted((r["dt"], r["batch_id"]) for r in spark.table(table).collect())
+
+    deliver(0, 1)
+    assert sink.announced() == [] and ids() == []
+    deliver(1, 2)
+    assert sink.announced() == ["2024-01-01"] and ids() == [("2024-01-01", 0)]
+    deliver(2, 1)
+    deliver(2, 1)  # replay
+    assert ids() == [("2024-01-01", 0), ("2024-01-01", 2)]
+
+
 def test_upsert_log_compaction_keeps_the_table(spark, folder):
     log = UpsertLog(spark, folder, ["k"], seq=["s"], op="op")
     schema = "k int, v string, s int, op string"

@@ -49,14 +49,14 @@ def mark_success(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(conf).create(path, True).close()
 
 
-def path_exists(spark: SparkSession, location: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(location)
-    return path.getFileSystem(conf).exists(path)
-
-
-def commit_partition(spark: SparkSession, table: str, part: str, value: str, folder: str) -> None:
-    """Announce a partition: the metastore entry, then the success file."""
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({part}='{value}')")
-    mark_success(spark, folder)
+def commit_partitions(spark: SparkSession, table: str, specs: list[dict],
+                      folders: list[str]) -> None:
+    """Announce partitions: catalog entries, then the success files in ``folders``."""
+    for i in range(0, len(specs), 200):
+        parts = " ".join(
+            "PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in spec.items()) + ")"
+            for spec in specs[i:i + 200]
+        )
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    for folder in folders:
+        mark_success(spark, folder)

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from tidemill.catalog import query
 from tidemill.functions.columns import day_text, exact_sum, money, ts_text
 from tidemill.operators.joining import interval_join
-from tidemill.operators.partitions import commit_partition, committable, path_exists
 from tidemill.operators.spread import rebalanced
 from tidemill.operators.tables import between_commits
 from tidemill.plans.joins import (
@@ -25,7 +24,8 @@ from tidemill.streaming.enrich import async_enrich
 from tidemill.streaming.keyvalue import KeyValueSink, live_values
 from tidemill.streaming.runner import run_batches, run_to_files
 from tidemill.streaming.sinks import (
-    BatchLog, BudgetedLoad, LateSplitter, UpsertLog, fan_out, reloading_lookup,
+    BatchLog, BudgetedLoad, LateSplitter, PartitionCommitter, UpsertLog, fan_out,
+    reloading_lookup,
 )
 
 SUM = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)".format
@@ -436,23 +436,15 @@ def partition_commit(t):
     spark = t.spark
     table = f"{managed_database(spark, 'commit')}.ev"
     root = work_dir(spark, "commit-data")
-    spark.sql(f"CREATE TABLE {table} (event_id BIGINT, dt STRING) USING parquet "
-              f"PARTITIONED BY (dt) LOCATION '{root}'")
-
-    def handle(batch, batch_id):
-        rows = rebalanced(batch.select("event_id", "ts", day_text("ts").alias("dt")), "dt")
-        rows.drop("ts").write.mode("append").partitionBy("dt").parquet(root)
-        days = batch.select(F.to_date("ts").alias("d")).distinct().select(
-            day_text("d").alias("dt"), F.col("d").cast("timestamp").alias("day_start"))
-        newest = batch.agg((F.max("ts") - F.expr("INTERVAL '30' SECOND"))).scalar()
-        for row in committable(days, newest, "INTERVAL '25' HOUR", "day_start").collect():
-            commit_partition(spark, table, "dt", row["dt"], f"{root}/dt={row['dt']}")
-
-    run_batches(t.events_stream, handle, "b08")
-    marked = [r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
-              if path_exists(spark, f"{root}/{r[0]}/_SUCCESS")]
-    return spark.table(table).filter(F.col("dt").isin(*marked)).groupBy("dt").agg(
-        F.count("*").alias("n")).withColumn("marked", F.lit(True))
+    spark.sql(f"CREATE TABLE {table} (event_id BIGINT, ts TIMESTAMP, dt STRING, batch_id INT) "
+              f"USING parquet PARTITIONED BY (dt, batch_id) LOCATION '{root}'")
+    sink = PartitionCommitter(spark, table, root, work_dir(spark, "commit-log"), "dt", "ts",
+                              "30 SECOND", "25 HOUR")
+    run_batches(t.events_stream.select("event_id", "ts", day_text("ts").alias("dt")),
+                sink.process, "b08")
+    marked = F.col("dt").isin(*sink.announced())
+    return spark.table(table).groupBy("dt").agg(F.count("*").alias("n")).withColumn(
+        "marked", marked)
 
 
 @query("b15_upsert_sink", """

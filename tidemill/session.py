@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_roots: dict[str, str] = {}
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,10 +32,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tidemill-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="tidemill-")
+    return _local_roots[app]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.partitions import commit_partitions, committable
+from tidemill.operators.spread import rebalanced
 from tidemill.operators.tables import UPSERTS, latest_per_key
 
 
@@ -152,6 +154,48 @@ class LateSplitter(BatchLog):
             f"{self.root}/batch_id={batch_id}")
 
 
+class PartitionCommitter(BatchLog):
+    """Writes by day and announces a day once the watermark is ``delay`` past its start.
+
+    Data lies in ``<data>/<part>=<day>/batch_id=<n>``, which a replayed batch
+    overwrites. Days of all earlier batches are looked at again with each
+    batch, so a day is announced even when its own rows stopped long before;
+    rows that come later still are added to the announced day.
+    """
+
+    def __init__(self, spark, table: str, data: str, log: str, part: str, ts: str,
+                 disorder: str, delay: str):
+        super().__init__(spark, log)
+        self.table, self.data, self.part, self.ts = table, data, part, ts
+        self.disorder, self.delay = disorder, delay
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("batch_id", F.lit(batch_id))
+        rebalanced(rows, self.part).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(self.part, "batch_id").parquet(self.data)
+        self.write(batch.groupBy(self.part).agg(F.max(self.ts).alias("max_ts")), batch_id)
+        seen = self.rows()
+        watermark = seen.agg(F.max("max_ts") - F.expr(f"INTERVAL {self.disorder}")).scalar()
+        starts = seen.withColumn("start", F.to_timestamp(self.part))
+        ready = committable(starts, watermark, f"INTERVAL {self.delay}", "start")
+        known = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()}
+        fresh = [
+            (day, n) for day, n in ready.select(self.part, "batch_id").collect()
+            if f"{self.part}={day}/batch_id={n}" not in known
+        ]
+        commit_partitions(
+            self.spark, self.table, [{self.part: day, "batch_id": n} for day, n in fresh],
+            [f"{self.data}/{self.part}={day}" for day in sorted({day for day, _ in fresh})])
+
+    def announced(self) -> list[str]:
+        """Days with a success marker."""
+        path = self._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.data).getFileSystem(self._conf)
+        found = fs.globStatus(path(f"{self.data}/{self.part}=*/_SUCCESS")) or []
+        return sorted(s.getPath().getParent().getName().split("=")[1] for s in found)
+
+
 class BudgetExceeded(RuntimeError):
     """More bad rows than allowed; the load is paused."""
 
