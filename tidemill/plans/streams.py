@@ -322,6 +322,22 @@ def error_budget(t):
 # --- joins on streams -------------------------------------------------------
 
 
+@query("d08_stream_left_join", f"""
+WITH p AS ({INTERVAL_SQL.format(how='LEFT')}),
+w AS (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'view'))
+  - INTERVAL 30 SECOND - INTERVAL 6 HOUR AS closed FROM events)
+SELECT click_id, view_id FROM p JOIN events ON event_id = click_id, w
+WHERE view_id IS NOT NULL OR ts < closed""")
+def stream_left_join(t):
+    """Unmatched clicks appear once both watermarks are past their interval."""
+    clicks, views = clicks_and_views(t.events_stream)
+    rows = interval_join(
+        clicks.withWatermark("click_ts", "30 seconds"), views.withWatermark("view_ts", "30 seconds"),
+        [("click_user", "view_user")], "click_ts", "view_ts", 0, SIX_HOURS, "left",
+    ).select("click_id", "view_id")
+    return run_to_files(rows, "d08", spark__sql__streaming__multipleWatermarkPolicy="min")
+
+
 @query("d10_stream_window_join", """
 SELECT c.event_id AS click_id, v.event_id AS view_id
 FROM (SELECT * FROM events WHERE event_type = 'click') c
