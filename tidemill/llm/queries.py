@@ -29,3 +29,18 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
 
     return near_groups(read(spark, folder, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@op("op2_packing")
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.packing import pack_documents
+
+    return pack_documents(read(spark, folder, "documents"), with_ids=False).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@op("op3_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.decontam import mark, report
+
+    return report(mark(read(spark, folder, "documents"), read(spark, folder, "benchmark")))
