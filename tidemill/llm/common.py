@@ -32,3 +32,6 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also where body uses it in a lambda."""
+    return F.get(F.transform(F.array(value), body), 0)

@@ -44,3 +44,47 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from tidemill.llm.decontam import mark, report
 
     return report(mark(read(spark, folder, "documents"), read(spark, folder, "benchmark")))
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@op("op6_line_dedup", f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM split),
+keyed AS (SELECT *, translate(trim(line, {_BLANKS}), {_LOWER}) AS key FROM lines),
+common AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+           GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT k.*, c.keeper IS NOT NULL AND c.keeper <> k.doc_id AS gone
+           FROM keyed k LEFT JOIN common c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
+    AS kept_sha256
+FROM judged GROUP BY doc_id""")
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.linededup import dedup_lines
+
+    return dedup_lines(read(spark, folder, "documents")).select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
+        F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+@op("op8_exact_dedup", f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), {_LOWER}) AS norm FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id,
+  count(*) OVER (PARTITION BY norm) AS group_size,
+  doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
+FROM d""")
+def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.exactdedup import dedup
+
+    return dedup(spark, f"{folder.rstrip('/')}/documents.parquet").select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@op("op10_pii")
+def pii(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.pii import find, report
+
+    return report(find(read(spark, folder, "documents")))
