@@ -88,3 +88,19 @@ def pii(spark: SparkSession, folder: str) -> DataFrame:
     from tidemill.llm.pii import find, report
 
     return report(find(read(spark, folder, "documents")))
+
+
+@op("op7_sharding")
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.sharding import shard
+
+    return shard(read(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@op("op9_url_filter")
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.urlfilter import judge
+
+    return judge(read(spark, folder, "pages"))
