@@ -104,3 +104,23 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     from tidemill.llm.urlfilter import judge
 
     return judge(read(spark, folder, "pages"))
+
+
+@op("op5_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.licenses import scan
+
+    return scan(read(spark, folder, "documents")).select(
+        "doc_id", F.size("matches").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("matches", lambda m: m["license"]), ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0))
+        .alias("containment"))
+
+
+@op("op4_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.langid import fit, held_out, predict, sample
+
+    docs = read(spark, folder, "documents")
+    return predict(docs, fit(sample(docs)), with_segments=False).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
