@@ -13,10 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import ascii_lower, stored
-from tidemill.session import use_rocksdb_state, work_dir
+from tidemill.session import work_dir
 
 #: Input bytes of one micro-batch.
 BATCH_BYTES = 256 << 30
+#: State on disk; only changes go to the shared folder; no disk is set aside for logs to come, which
+#: would be megabytes for each state partition.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normal_text(text: Column) -> Column:
@@ -52,14 +60,16 @@ def digest_stream(spark: SparkSession, path: str, log: str, checkpoint: str,
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    use_rocksdb_state(spark)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         query = (state.writeStream.outputMode("update").foreachBatch(write)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def states(spark: SparkSession, log: str) -> DataFrame:
