@@ -39,7 +39,29 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-@op("op3_decontamination")
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), "
+          r"'[0-9a-z\x{80}-\x{10FFFF}]+')")
+
+
+@op("op3_decontamination", f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w, least(len(w), 10) AS n FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS g FROM
+  (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM b WHERE n > 0)),
+dw AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS g FROM
+  (SELECT *, unnest(range(1, len(w) - n + 2)) AS p
+   FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, item_id, n, p FROM dw JOIN bw USING (n, g)),
+places AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM
+  (SELECT doc_id, unnest(range(p, p + n)) AS pos FROM hits) GROUP BY doc_id),
+names AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS joined FROM
+  (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits WHERE item_id IS NOT NULL)
+  GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(joined, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN names USING (doc_id)""")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from tidemill.llm.decontam import mark, report
 
@@ -47,7 +69,6 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
 @op("op6_line_dedup", f"""
@@ -106,7 +127,35 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge(read(spark, folder, "pages"))
 
 
-@op("op5_license_scan")
+def _license_sql() -> str:
+    """Containment of every template in every window, by plain joins."""
+    from tidemill.llm.licenses import CONTAINED, TEMPLATES, shingles, template_words
+
+    rows, sizes = [], []
+    for name, text in TEMPLATES.items():
+        parts = shingles(template_words(text))
+        rows += [f"('{name}', '{p}')" for p in sorted(set(parts))]
+        stride = max(1, len(parts) // 2)
+        sizes.append(f"('{name}', {len(set(parts))}, {stride}, {len(parts) + stride - 1})")
+    return f"""
+WITH t(license, part) AS (VALUES {', '.join(rows)}),
+s(license, size, stride, width) AS (VALUES {', '.join(sizes)}),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, pos, array_to_string(w[pos + 1:pos + 5], ' ') AS part FROM
+  (SELECT *, unnest(range(0, len(w) - 4)) AS pos FROM d WHERE len(w) >= 5)),
+m AS (SELECT doc_id, license, part, size,
+    unnest(range(greatest(0, (pos - width + stride) // stride), pos // stride + 1)) AS win
+  FROM p JOIN t USING (part) JOIN s USING (license)),
+c AS (SELECT doc_id, license, max(held) AS containment FROM
+  (SELECT doc_id, license, win, count(DISTINCT part) / size::DOUBLE AS held
+   FROM m GROUP BY doc_id, license, win, size) GROUP BY doc_id, license HAVING max(held) >= {CONTAINED})
+SELECT doc_id, count(license) AS n_licenses,
+  coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses,
+  coalesce(max(containment), 0.0)::DOUBLE AS containment
+FROM d LEFT JOIN c USING (doc_id) GROUP BY doc_id"""
+
+
+@op("op5_license_scan", _license_sql())
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     from tidemill.llm.licenses import scan
 
