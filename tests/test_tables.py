@@ -262,3 +262,49 @@ def test_refresh_rules(spark):
     with pytest.raises(InactiveView):
         mv.refresh(gone, {"sex": other})
     assert mv.read().count() == 3
+
+
+def test_limit_leaves_the_rest_stale(spark):
+    base = spark.createDataFrame([(f"d{k}", 1) for k in range(9)], "dt string, sex int")
+    one, two = (spark.createDataFrame([(1, x)], "sex int, sex_name string") for x in "ab")
+    mv = derived(spark, "mvlimits", limit=2)
+    mv.refresh(base, {"sex": one})
+    for k in (7, 5, 3, 1):
+        assert mv.refresh(base, {"sex": two})["partitions"] == [f"d{k}", f"d{k + 1}"]
+    mv.limit = None
+    assert mv.refresh(base, {"sex": two})["partitions"] == ["d0"]
+    assert mv.refresh(base, {"sex": two})["state"] == "unchanged"
+    assert {r.sex_name for r in mv.read().collect()} == {"b"}
+
+
+def test_emptied_null_and_vanished_partitions_and_a_second_object(spark):
+    sex = spark.createDataFrame([(1, "m"), (2, "f")], "sex int, sex_name string")
+    schema = "dt string, sex int"
+    build = lambda b, d: b.where("sex > 0").groupBy("dt").agg(F.count("*").alias("n"))
+    name = f"{managed_database(spark, 'mvodd')}.mv"
+    mv = DerivedTable(spark, name, "dt", F.col("dt"), build)
+    mv.refresh(spark.createDataFrame([("a", 1), ("b", 1), (None, 1), ("c", 1)], schema), {"s": sex})
+    assert sorted(map(tuple, mv.read().select("dt", "n").collect()), key=repr) == [
+        ("a", 1), ("b", 1), ("c", 1), (None, 1)]
+    again = DerivedTable(spark, name, "dt", F.col("dt"), build)
+    changed = spark.createDataFrame([("a", 1), ("b", 0), (None, 0)], schema)
+    assert again.refresh(changed, {"s": sex})["partitions"] == [
+        "__HIVE_DEFAULT_PARTITION__", "b", "c"]
+    assert [tuple(r) for r in again.read().select("dt", "n").collect()] == [("a", 1)]
+    assert again.refresh(changed, {"s": sex})["state"] == "unchanged"
+    assert mv.refresh(changed, {"s": sex})["state"] == "unchanged"
+
+
+def test_delete_update_and_empty_stage(spark):
+    name = f"{managed_database(spark, 'dmlcases')}.t"
+    spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None), (5, "it's")],
+                          "id int, dt string").write.partitionBy("dt").saveAsTable(name)
+    tbl.delete_where(spark, name, F.col("dt") == "a")
+    assert sorted(r.id for r in spark.table(name).collect()) == [3, 4, 5]
+    tbl.delete_where(spark, name, F.col("id") == 4)
+    tbl.update_where(spark, name, F.col("id") == 5, {"id": F.lit(50)})
+    assert sorted(r.id for r in spark.table(name).collect()) == [3, 50]
+    swap_partition(spark.table(name).filter("false"), name, "dt", "b")
+    assert [r.id for r in spark.table(name).collect()] == [50]
+    tbl.delete_where(spark, name, F.lit(True))
+    assert spark.table(name).count() == 0

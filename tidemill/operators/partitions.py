@@ -13,20 +13,14 @@ class RangeMismatch(RuntimeError):
 
 
 def swap_partition(staged: DataFrame, table: str, part: str, value: str) -> None:
-    """Replace one partition by staged rows, all of which must belong to it."""
+    """Replace one partition by staged rows, all of which must belong to it.
+
+    No staged rows leave the partition empty.
+    """
     outside = staged.filter(~F.col(part).eqNullSafe(F.lit(value)))
     if not outside.isEmpty():
         raise RangeMismatch(f"staged rows outside {part}={value}")
-    overwrite_partitions(staged, table)
-
-
-def clear_partition(spark: SparkSession, table: str, part: str, value: str) -> None:
-    """``INSERT OVERWRITE ... PARTITION (part=value) SELECT ... WHERE false``."""
-    fields = [f for f in spark.table(table).schema.fields if f.name != part]
-    nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in fields)
-    spark.sql(
-        f"INSERT OVERWRITE {table} PARTITION ({part}='{value}') SELECT {nulls} WHERE false"
-    )
+    overwrite_partitions(staged, table, touched=[{part: value}])
 
 
 def committable(partitions: DataFrame, watermark: Column | None, delay: str,

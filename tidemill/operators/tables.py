@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.refresh import overwrite_partitions, partition_columns
+
 UPSERTS = ("+I", "+U")
 IGNORED = ("-U",)
 
@@ -208,3 +210,27 @@ def load_gate(df: DataFrame, bad: Column, max_filter_ratio: float = 0.0) -> dict
     if total and filtered / total > max_filter_ratio:
         raise LoadRejected(f"{filtered} of {total} rows are bad, limit {max_filter_ratio}")
     return {"scan_rows": total, "filtered_rows": filtered, "sink_rows": total - filtered}
+
+
+def _rewrite(spark: SparkSession, table: str, cond: Column, change) -> None:
+    """Rewrite the partitions that hold rows under ``cond`` by ``change(rows)``."""
+    parts = partition_columns(spark, table)
+    rows = spark.table(table)
+    touched = [r.asDict() for r in rows.filter(cond).select(*parts).distinct().collect()]
+    if not touched:
+        return
+    here = reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in t.items()])
+        for t in touched])
+    overwrite_partitions(change(rows.filter(here)).select(*rows.columns), table, touched)
+
+
+def delete_where(spark: SparkSession, table: str, cond: Column) -> None:
+    """``DELETE FROM table WHERE cond``; rows for which ``cond`` is null stay."""
+    _rewrite(spark, table, cond, lambda rows: rows.filter(~F.coalesce(cond, F.lit(False))))
+
+
+def update_where(spark: SparkSession, table: str, cond: Column, sets: dict[str, Column]) -> None:
+    """``UPDATE table SET ... WHERE cond``; partition columns cannot be set."""
+    _rewrite(spark, table, cond, lambda rows: rows.withColumns(
+        {c: F.when(cond, v).otherwise(F.col(c)) for c, v in sets.items()}))

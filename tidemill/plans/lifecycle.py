@@ -145,17 +145,24 @@ def update_delete(t):
     name = f"{managed_database(t.spark, 'dml')}.orders_t"
     t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus").write.option(
         "compression", "snappy").partitionBy("o_orderstatus").saveAsTable(name)
-    table = t.spark.table(name)
-    overwrite_partitions(
-        table.filter("o_orderstatus = 'F'").withColumn(
-            "o_totalprice",
-            F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") * 2)
-            .otherwise(F.col("o_totalprice")),
-        ), name)
-    t.spark.catalog.refreshTable(name)
-    overwrite_partitions(
-        t.spark.table(name).filter("o_orderstatus = 'O' AND NOT (o_totalprice < 50000)"), name)
-    t.spark.catalog.refreshTable(name)
+    tbl.update_where(
+        t.spark, name,
+        (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"),
+        {"o_totalprice": F.col("o_totalprice") * 2})
+    tbl.delete_where(
+        t.spark, name, (F.col("o_orderstatus") == "O") & (F.col("o_totalprice") < 50000))
+    return totals(t.spark.table(name))
+
+
+@query("k08_delete_partition", f"""
+SELECT o_orderstatus, count(*) AS n, {SUM('o_totalprice')} AS total FROM orders
+WHERE o_orderstatus <> 'O' GROUP BY o_orderstatus""")
+def delete_partition(t):
+    """A DELETE that takes every row of a partition leaves it empty."""
+    name = f"{managed_database(t.spark, 'dmlall')}.orders_t"
+    t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus").write.partitionBy(
+        "o_orderstatus").saveAsTable(name)
+    tbl.delete_where(t.spark, name, F.col("o_orderstatus") == "O")
     return totals(t.spark.table(name))
 
 
@@ -299,6 +306,11 @@ def _base_table(t, rows, label, part):
     return name
 
 
+def _folder(t, table):
+    rows = t.spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return rows.where("col_name = 'Location'").first()["data_type"]
+
+
 def _refresh_twice(t, mv, base, extra, part, expected):
     """Refresh, append to one partition, refresh again: only that one is rewritten."""
     mv.refresh(t.spark.table(base), {"kinds": _kinds(t)})
@@ -317,7 +329,7 @@ def partition_refresh(t):
     rows = t.events.select("event_type", "value", day_text("ts").alias("dt"))
     base = _base_table(t, rows, "mvpart", "dt")
     mv = DerivedTable(t.spark, base.replace(".base", ".daily"), "dt", F.col("dt"), _daily,
-                      by_files=True)
+                      files=_folder(t, base))
     return _refresh_twice(t, mv, base, rows.filter("dt = '2024-01-07'"), "dt", "2024-01-07")
 
 
@@ -334,7 +346,7 @@ def rollup_refresh(t):
         t.spark, base.replace(".base", ".monthly"), "month", month,
         lambda b, _: b.groupBy("event_type", month.alias("month")).agg(
             F.count("*").alias("n"), F.sum(money("value")).cast("double").alias("total")),
-        by_files=True)
+        files=_folder(t, base))
     return _refresh_twice(t, mv, base, rows.filter("dt = '2024-01-07'"), "month", "2024-01")
 
 
@@ -353,6 +365,51 @@ def limited_refresh(t):
     return mv.read().select("dt", "label", "n")
 
 
+@query("k18_limit_then_rest", """
+SELECT strftime(ts, '%Y-%m-%d') AS dt, upper(event_type) || '!' AS label, count(*) AS n
+FROM events GROUP BY 1, 2""")
+def limit_then_rest(t):
+    """Days left out by the limit stay stale; a refresh without limit takes them."""
+    base = t.events.withColumn("dt", day_text("ts"))
+    mv = DerivedTable(t.spark, f"{managed_database(t.spark, 'mvrest')}.daily", "dt",
+                      F.col("dt"), _daily, limit=3)
+    mv.refresh(base, {"kinds": _kinds(t)})
+    left_out = mv.refresh(base, {"kinds": _kinds(t, "!")})["skipped"]
+    mv.limit = None
+    if mv.refresh(base, {"kinds": _kinds(t, "!")})["partitions"] != left_out:
+        raise AssertionError("the days left out were not refreshed")
+    return mv.read().select("dt", "label", "n")
+
+
+@query("k16_emptied_day", """
+SELECT strftime(ts, '%Y-%m-%d') AS dt, upper(event_type) AS label, count(*) AS n
+FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-07' GROUP BY 1, 2""")
+def emptied_day(t):
+    """A changed day of which nothing is left in the result loses its rows."""
+    base = t.events.withColumn("dt", day_text("ts"))
+    name = f"{managed_database(t.spark, 'mvempty')}.daily"
+    mv = DerivedTable(t.spark, name, "dt", F.col("dt"),
+                      lambda b, d: _daily(b.filter("value is not null"), d))
+    mv.refresh(base, {"kinds": _kinds(t)})
+    day = F.col("dt") == "2024-01-07"
+    changed = base.withColumn("value", F.when(~day, F.col("value")))
+    mv.refresh(changed, {"kinds": _kinds(t)})
+    return mv.read().select("dt", "label", "n")
+
+
+@query("k15_second_session", DAILY_SQL)
+def second_session(t):
+    """A new object on the same table knows what the first one has done."""
+    base = t.events.withColumn("dt", day_text("ts"))
+    name = f"{managed_database(t.spark, 'mvsecond')}.daily"
+    DerivedTable(t.spark, name, "dt", F.col("dt"), _daily).refresh(base, {"kinds": _kinds(t)})
+    more = base.unionByName(base.filter("dt = '2024-01-07'"))
+    second = DerivedTable(t.spark, name, "dt", F.col("dt"), _daily)
+    if not set(second.refresh(more, {"kinds": _kinds(t)})["partitions"]) <= {"2024-01-07"}:
+        raise AssertionError("the second object started anew")
+    return second.read()
+
+
 @query("k19_load_labels", """
 SELECT 'FINISHED' AS state, 'load_a' AS label, (SELECT count(*) FROM orders) AS scan_rows,
   (SELECT count(*) FROM orders WHERE o_totalprice < 1000) AS filtered_rows,

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from tidemill.catalog import EMPLOYEES_SQL, query
 from tidemill.functions.columns import day_text, exact_sum
 from tidemill.operators import cells as cell
-from tidemill.operators.partitions import clear_partition, swap_partition
-from tidemill.operators.refresh import overwrite_mode, overwrite_partitions
+from tidemill.operators.partitions import swap_partition
+from tidemill.operators.refresh import clear_partition, overwrite_mode, overwrite_partitions
 from tidemill.operators.spread import rebalanced
 from tidemill.plans.scans import customer_cells, emp_sums
 from tidemill.session import managed_database, work_dir
@@ -102,7 +102,7 @@ def overwrite_touched(t):
 def cleared_partition(t):
     name = daily_table(t, "clear")
     rebalanced(daily_rows(t), "dt").write.insertInto(name)
-    clear_partition(t.spark, name, "dt", "2024-01-05")
+    clear_partition(t.spark, name, {"dt": "2024-01-05"})
     return by_day(t.spark.table(name))
 
 
@@ -120,6 +120,16 @@ def staged_swap(t):
     return by_day(t.spark.table(name))
 
 
+@query("b07_empty_stage", day_sql(
+    "(SELECT * FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-09')"))
+def empty_stage(t):
+    """A stage without rows leaves the partition empty."""
+    name = daily_table(t, "swapempty")
+    rebalanced(daily_rows(t), "dt").write.insertInto(name)
+    swap_partition(daily_rows(t).filter("false"), name, "dt", "2024-01-09")
+    return by_day(t.spark.table(name))
+
+
 @query("b09_file_sizing", f"""
 SELECT o_orderstatus, count(*) AS n, {SUM('o_totalprice')} AS total, true AS rolled FROM orders
 GROUP BY 1""")
