@@ -167,3 +167,16 @@ def test_asof_join_takes_version_at_same_instant(spark):
     versions = spark.createDataFrame([("a", 5, "x"), ("a", 9, "y")], "k string, t int, name string")
     out = asof_join(left, versions, ["k"], "t", ["name"], chunk=lambda c: [F.floor(c / 3)])
     assert {r["id"]: r["name"] for r in out.collect()} == {1: "x", 2: "y", 3: None}
+
+
+def test_a_key_hot_within_one_hour(spark):
+    """Thousands of rows in one second of one key; fixed chunks would not cut them."""
+    rows = spark.range(3000).select(
+        F.lit("k").alias("k"), F.col("id"), F.lit(0).alias("t"))
+    hour = [F.floor(F.col("t") / 3600)]
+    out = ordered.row_numbers(rows, ["k"], [F.col("t"), F.col("id")], hour, hot_rows=100)
+    got = out.select("id", "row_num").collect()
+    assert all(r["row_num"] == r["id"] + 1 for r in got) and len(got) == 3000
+    total = ordered.running(rows, ["k"], [F.col("t"), F.col("id")], hour,
+                            {"s": ("sum", F.col("id"))}, hot_rows=100)
+    assert all(r["s"] == r["id"] * (r["id"] + 1) // 2 for r in total.collect())

@@ -64,3 +64,12 @@ def test_range_chunks_need_no_single_partition_for_rows(spark, tables):
     singles = [line for line in plan(out).split("\n") if "Exchange SinglePartition" in line]
     # only the chunk counts meet in one task
     assert len(singles) == 1 and "partial_count" in plan(out)
+
+
+def test_windows_without_hot_keys_scan_once(spark, tables):
+    from tidemill.catalog import load_all
+
+    for name, scans in (("f01_row_number", 1), ("f03_lead_lag", 1), ("f07_running_last_value", 1),
+                        ("d11_temporal_join", 2)):
+        plan = load_all()[name].build(tables)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") <= scans, name

@@ -1,6 +1,7 @@
 """Streams over several micro-batches: late rows, restarts, state, replay."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,10 +146,10 @@ def test_state_is_kept_or_forgotten(spark, folder):
 
     def totals(ttl, name):
         feed = Feed(spark, f"{folder}/{name}", "key long, id long, kind string")
-        log = UpsertLog(spark, f"{folder}/{name}/log", ["key"])
+        log = BatchLog(spark, f"{folder}/{name}/log")
 
         def run():
-            run_batches(state.keyed_totals(feed.stream(), ttl), log.upsert, name, mode="update",
+            run_batches(state.keyed_totals(feed.stream(), ttl), log.write, name, mode="update",
                         checkpoint=f"{folder}/{name}/c", rocksdb=True,
                         spark__sql__streaming__noDataMicroBatches__enabled="false")
 
@@ -157,10 +158,12 @@ def test_state_is_kept_or_forgotten(spark, folder):
         time.sleep(1.5)
         feed.add([(1, 3, "a")])
         run()
-        return tuple(log.current().select("n", "newest", "kinds").first())
+        return [(r["first"], sorted(r.ids), r.n, r.kinds) for r in log.rows().orderBy(
+            "batch_id").collect()]
 
-    assert totals(None, "keep") == (3, "1,2,3", "a=2,b=1")
-    assert totals(1000, "ttl") == (1, "3", "a=1")
+    begin = (0, [1, 2], 2, "a=1,b=1")
+    assert totals(None, "keep") == [begin, (2, [3], 3, "a=2,b=1")]
+    assert totals(1000, "ttl") == [begin, (0, [3], 1, "a=1")]
 
 
 def test_budget_pauses_and_resumes_from_the_checkpoint(spark, folder):
@@ -177,7 +180,7 @@ def test_budget_pauses_and_resumes_from_the_checkpoint(spark, folder):
         run(2)
     load = run(3)
     assert sorted(r["id"] for r in load.rows().collect()) == [1, 2]
-    assert load.report.rows().agg(F.sum("filtered_rows")).first()[0] == 3
+    assert load.report.rows().agg(F.max("filtered_so_far")).first()[0] == 3
 
 
 def test_replayed_and_aborted_batches(spark, folder):
@@ -261,8 +264,65 @@ def test_async_enrich_times_out_to_the_fallback(spark):
     out = async_enrich(df, "id", "v", client, timeout_s=0.5, fallback="late").collect()
     assert [(r["id"], r["v"]) for r in out] == [
         (i, "late" if i == 3 else f"v{i}") for i in range(6)]
-    loose = async_enrich(df, "id", "v", client, timeout_s=0.5, fallback="late", ordered=False)
-    assert [r["id"] for r in loose.collect()] == [0, 1, 2, 4, 5, 3]
+    loose = async_enrich(df, "id", "v", client, timeout_s=0.5, fallback="late", ordered=False,
+                         chunk=1)
+    got = [r["id"] for r in loose.collect()]
+    assert sorted(got) == list(range(6)) and got[-1] == 3
+    assert async_enrich(df, "id", "v", client, timeout_s=0.5).where("v is null").count() == 1
+
+
+def test_async_enrich_ends_in_time_and_follows_the_error_policy(spark):
+    def hung():
+        import time
+
+        return lambda k: time.sleep(60)
+
+    begin = time.monotonic()
+    df = spark.range(4).coalesce(1)
+    assert async_enrich(df, "id", "v", hung, timeout_s=2).where("v is null").count() == 4
+    assert time.monotonic() - begin < 4 + 2
+
+    def failing():
+        return lambda k: str(10 // k)
+
+    out = async_enrich(df, "id", "v", failing, fallback="bad", on_error="fallback").collect()
+    assert [r["v"] for r in out] == ["bad", "10", "5", "3"]
+    with pytest.raises(Exception, match="division"):
+        async_enrich(df, "id", "v", failing).collect()
+
+
+def test_older_sequence_in_a_later_batch_loses_and_an_empty_log_is_empty(spark, folder):
+    log = UpsertLog(spark, f"{folder}/seq", ["k"], seq=["s"], schema="k int, s int, v string")
+    assert log.current().collect() == []
+    log.upsert(spark.createDataFrame([(1, 5, "new")], "k int, s int, v string"), 0)
+    log.upsert(spark.createDataFrame([(1, 3, "old"), (2, 1, "x")], "k int, s int, v string"), 1)
+    assert sorted((r.k, r.v) for r in log.current().collect()) == [(1, "new"), (2, "x")]
+    log.compact()
+    log.purge()
+    log.upsert(spark.createDataFrame([(1, 5, "same")], "k int, s int, v string"), 2)
+    assert sorted((r.k, r.v) for r in log.current().collect()) == [(1, "same"), (2, "x")]
+
+
+def test_twenty_batches_keep_two_log_rows(spark, folder):
+    split = LateSplitter(spark, f"{folder}/split20", "ts", "3 seconds", "2 seconds")
+    start = dt.datetime(2024, 1, 1)
+    for n in range(20):
+        ts = start + dt.timedelta(seconds=n if n != 7 else 100)
+        split.process(spark.createDataFrame([(ts,)], "ts timestamp"), n)
+    assert len(split.progress.committed()) == 2
+    assert sorted(r.batch_id for r in split.rows().where("late").collect()) == list(range(8, 20))
+
+
+def test_timed_join_needs_both_sides_in_time(spark, folder):
+    feed = Feed(spark, folder, "side string, k int, v int")
+    feed.add([("l", 1, 10), ("r", 2, 20), ("l", 9, 90)])
+    feed.add([("r", 1, 11), ("l", 2, 21), ("l", 1, 12)])
+    rows = feed.stream()
+    left = rows.filter("side = 'l'").select("k", F.col("v").alias("lv"))
+    right = rows.filter("side = 'r'").select("k", F.col("v").alias("rv"))
+    for ttl, want in (("1 HOUR", [(10, 11), (12, 11), (21, 20)]), ("0 SECOND", [(12, 11)])):
+        out = run_to_files(state.timed_join(left, right, "k", ttl, "lv"), f"tj{ttl[0]}")
+        assert sorted((r.lv, r.rv) for r in out.collect()) == want
 
 
 def test_key_value_entries_expire_and_uncommitted_parts_are_ignored(spark, folder):

@@ -9,11 +9,14 @@ one key holds a third of the rows. So each operator splits its input:
   ``(key, chunk)`` and a one-row summary per chunk is carried forward, so only
   the summaries of a key ever meet in one task.
 
-``chunk`` is a list of columns that must be monotone in ``order``: sorting by
-``chunk`` must never contradict sorting by ``order`` (the hour of the timestamp,
-a bucket of an id). Without ``chunk``, range partitions of ``keys + order`` are
-the chunks; they are checkpointed so that both uses see the same cut. ``order``
-has to be unique within a key for repeatable results.
+Keys are counted once, when the plan is built and from the key columns alone;
+if none is hot, the plan is the plain window over one scan. The chunks of hot
+keys are range partitions of ``keys + order``, cut by measured size however
+dense the rows of an hour are, and checkpointed so that both uses see the same
+cut. ``chunk``, a list of columns monotone in ``order``, gives the chunks of
+windows without keys instead. ``order`` has to be unique within a key for
+repeatable results, and plain doubles may round differently on the two ways:
+sum decimals.
 """
 
 from __future__ import annotations
@@ -46,16 +49,24 @@ def join_back(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
     )
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """``(cold, hot)`` rows by the row count of their key.
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, stored in the shared folder; None without any.
 
-    At most ``rows / hot_rows`` keys can be hot, which bounds the broadcast list
-    (200,000 keys for a trillion rows).
+    At most ``rows / hot_rows`` keys can be hot, which bounds the list (200,000 keys for a
+    trillion rows).
     """
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    hot = F.broadcast(_renamed(hot.select(*keys), keys))
-    cond = _same([(c, f"__r_{c}") for c in keys])
-    return df.join(hot, cond, "left_anti"), df.join(hot, cond, "left_semi")
+    counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = checkpointed(counts.filter(F.col("__n") > hot_rows).select(*keys))
+    return None if hot.isEmpty() else hot
+
+
+def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(cold, hot)`` rows; the list is broadcast and every row is flagged once."""
+    listed = F.broadcast(_renamed(hot, keys).withColumn("__hot", F.lit(True)))
+    flagged = df.join(listed, _same([(c, f"__r_{c}") for c in keys]), "left").drop(
+        *[f"__r_{c}" for c in keys])
+    is_hot = F.col("__hot").isNotNull()
+    return flagged.filter(~is_hot).drop("__hot"), flagged.filter(is_hot).drop("__hot")
 
 
 def _chunked(df: DataFrame, keys: list[str], order: list[Column],
@@ -72,12 +83,11 @@ def _by_size(df, keys, order, chunk, hot_rows, plain, chunked) -> DataFrame:
     """Plain window for small keys, chunks for large ones or for no keys at all."""
     if not keys:
         return chunked(_chunked(df, keys, order, chunk)).drop(_CHUNK)
-    cold, hot = split_hot(df, keys, hot_rows)
-    if chunk is None:
-        # ranges are materialised; do that only when some key is really hot
-        if hot.isEmpty():
-            return plain(df)
-    return plain(cold).unionByName(chunked(_chunked(hot, keys, order, chunk)).drop(_CHUNK))
+    listed = hot_keys(df, keys, hot_rows)
+    if listed is None:
+        return plain(df)
+    cold, hot = split_hot(df, keys, listed)
+    return plain(cold).unionByName(chunked(_chunked(hot, keys, order, None)).drop(_CHUNK))
 
 
 def _preceding(keys: list[str], descending: bool = False):
@@ -101,18 +111,21 @@ def row_numbers(
         w = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(w).cast("bigint"))
 
-    def chunked(rows: DataFrame) -> DataFrame:
-        on = [*keys, _CHUNK]
-        before = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).withColumn(
-            "__before", F.coalesce(F.sum("__n").over(_preceding(keys)), F.lit(0))
-        ).drop("__n")
-        w = Window.partitionBy(*on).orderBy(*order)
-        local = rows.withColumn("__rn", F.row_number().over(w))
-        return join_back(local, before, on).withColumn(
-            name, (F.col("__rn") + F.col("__before")).cast("bigint")
-        ).drop("__rn", "__before")
+    return _by_size(df, keys, order, chunk, hot_rows, plain,
+                    lambda rows: _numbered(rows, keys, order, name))
 
-    return _by_size(df, keys, order, chunk, hot_rows, plain, chunked)
+
+def _numbered(rows: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Row numbers within ``keys`` of rows cut into chunks."""
+    on = [*keys, _CHUNK]
+    before = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).withColumn(
+        "__before", F.coalesce(F.sum("__n").over(_preceding(keys)), F.lit(0))
+    ).drop("__n")
+    w = Window.partitionBy(*on).orderBy(*order)
+    local = rows.withColumn("__rn", F.row_number().over(w))
+    return join_back(local, before, on).withColumn(
+        name, (F.col("__rn") + F.col("__before")).cast("bigint")
+    ).drop("__rn", "__before")
 
 
 def _merge(kind: str, before: Column, here: Column) -> Column:
@@ -215,7 +228,8 @@ def framed(
         return rows.withColumns(columns(w, w.rowsBetween(-before, after)))
 
     def blocks(rows: DataFrame) -> DataFrame:
-        ranked = row_numbers(rows, keys, order, chunk, "__pos", hot_rows).withColumn(
+        cut = _chunked(rows, keys, order, None if keys else chunk)
+        ranked = _numbered(cut, keys, order, "__pos").drop(_CHUNK).withColumn(
             "__pos", F.col("__pos") - 1
         )
         home = F.floor(F.col("__pos") / block_rows)
@@ -238,7 +252,10 @@ def framed(
 
     if not keys:
         return blocks(df)
-    cold, hot = split_hot(df, keys, hot_rows)
+    listed = hot_keys(df, keys, hot_rows)
+    if listed is None:
+        return plain(df)
+    cold, hot = split_hot(df, keys, listed)
     return plain(cold).unionByName(blocks(hot))
 
 

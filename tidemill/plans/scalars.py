@@ -12,10 +12,10 @@ TS = "strftime({0}, '%Y-%m-%d %H:%M:%S')".format
 
 
 @query("h01_union_distinct", """
-SELECT c_nationkey AS k, 'n' || c_nationkey AS v FROM customer WHERE c_acctbal > 0
+SELECT c_nationkey AS k, 'n' || c_nationkey AS v FROM customer
 UNION SELECT s_nationkey, CAST(NULL AS VARCHAR) FROM supplier""")
 def union_distinct(t):
-    a = t.customer.filter("c_acctbal > 0").select(
+    a = t.customer.select(
         F.col("c_nationkey").alias("k"),
         F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("v"),
     )

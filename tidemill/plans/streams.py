@@ -167,6 +167,14 @@ def global_window(t):
     return flat(run_to_files(rows, "i11"))
 
 
+def two_files(t, label, rows, second):
+    """Stream of ``rows`` in two files, those under ``second`` in the later one."""
+    out = work_dir(t.spark, label)
+    rows.filter(~second).coalesce(1).write.parquet(out)
+    rows.filter(second).coalesce(1).write.mode("append").parquet(out)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(out)
+
+
 @query("i12_late_side_output", """
 WITH m AS (SELECT max(ts) - INTERVAL 30 MINUTE AS wm FROM events WHERE event_type <> 'error')
 SELECT event_type, event_type = 'error' AND time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01')
@@ -174,8 +182,8 @@ SELECT event_type, event_type = 'error' AND time_bucket(INTERVAL 1 HOUR, ts, TIM
 def late_side_output(t):
     """Errors come in a second batch; those of closed windows are the late side."""
     split = LateSplitter(t.spark, work_dir(t.spark, "i12"), "ts", "1 hour", "30 minutes")
-    split.process(t.events_ts.filter("event_type <> 'error'"), 0)
-    split.process(t.events_ts.filter("event_type = 'error'"), 1)
+    rows = two_files(t, "i12-files", t.events_ts, F.col("event_type") == "error")
+    run_batches(rows, split.process, "i12")
     return split.rows().groupBy("event_type", "late").agg(F.count("*").alias("n"))
 
 
@@ -194,36 +202,50 @@ def running_aggregate(t):
 
 
 KEYED_SQL = """
-WITH c AS (SELECT user_id AS key, event_type, count(*) k FROM events GROUP BY 1, 2),
-r AS (SELECT user_id AS key, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC)
-  rn FROM events)
-SELECT key, (SELECT count(*) FROM events e WHERE e.user_id = c.key) AS n,
-  (SELECT string_agg(event_id, ',' ORDER BY event_id) FROM r WHERE r.key = c.key AND rn <= 3) AS newest,
-  string_agg(event_type || '=' || k, ',' ORDER BY event_type) AS kinds FROM c GROUP BY key"""
+WITH c AS (SELECT user_id AS key, event_type, count(*) k, sum(event_id) s FROM events
+  WHERE {} GROUP BY 1, 2)
+SELECT key, sum(k)::BIGINT AS n, sum(k)::BIGINT AS listed, sum(s)::BIGINT AS id_total,
+  string_agg(event_type || '=' || k, ',' ORDER BY event_type) AS kinds FROM c GROUP BY key""".format
 
 
-def _keyed_rows(t):
-    return t.events_stream.select(
-        F.col("user_id").alias("key"), F.col("event_id").alias("id"),
-        F.col("event_type").alias("kind"))
+def _keyed(df):
+    return df.select(F.col("user_id").alias("key"), F.col("event_id").alias("id"),
+                     F.col("event_type").alias("kind"))
+
+
+def _keyed_result(parts):
+    """Latest count and kinds of a key, and what its numbered list parts hold."""
+    return parts.groupBy("key").agg(
+        F.max("n").alias("n"), F.sum(F.size("ids")).alias("listed"),
+        F.sum(F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x)).alias("id_total"),
+        F.max_by("kinds", "n").alias("kinds"))
 
 
-@query("i14_keyed_state", KEYED_SQL)
+@query("i14_keyed_state", KEYED_SQL("true"))
 def keyed_state(t):
-    """Value, list and map state per user, kept in the state store."""
-    log = UpsertLog(t.spark, work_dir(t.spark, "i14"), ["key"], seq=["n"])
-    run_batches(state.keyed_totals(_keyed_rows(t)), log.upsert, "i14", mode="update", rocksdb=True)
-    return log.current()
+    """Value, list and map state per user, kept in the state store over two batches."""
+    log = BatchLog(t.spark, work_dir(t.spark, "i14"))
+    rows = two_files(t, "i14-files", t.events, F.col("event_id") % 2 == 1)
+    run_batches(state.keyed_totals(_keyed(rows)), log.write, "i14", mode="update", rocksdb=True)
+    return _keyed_result(log.rows())
 
 
-@query("i16_state_ttl", KEYED_SQL)
+@query("i16_state_ttl", KEYED_SQL("event_id % 2 = 1"))
 def state_ttl(t):
-    """The same state with a time to live of a day, which this run stays within."""
-    log = UpsertLog(t.spark, work_dir(t.spark, "i16"), ["key"], seq=["n"])
+    """The second batch comes after the state of the first has expired and starts anew."""
+    import time
+
+    log = BatchLog(t.spark, work_dir(t.spark, "i16"))
+    rows = two_files(t, "i16-files", t.events, F.col("event_id") % 2 == 1)
+
+    def slow(batch, batch_id):
+        log.write(batch, batch_id)
+        time.sleep(1.5)
+
     run_batches(
-        state.keyed_totals(_keyed_rows(t), ttl_ms=86_400_000), log.upsert, "i16", mode="update",
+        state.keyed_totals(_keyed(rows), ttl_ms=1000), slow, "i16", mode="update",
         rocksdb=True, spark__sql__streaming__noDataMicroBatches__enabled="false")
-    return log.current()
+    return _keyed_result(log.only(1))
 
 
 @query("i15_running_sum_in_sink", f"SELECT {SUM('value')} AS total FROM events")
@@ -377,14 +399,38 @@ def lookup_reload(t):
 
 
 @query("d14_growing_table_join", """
-SELECT event_id, n_name FROM events JOIN nation ON n_nationkey = user_id % 25
-WHERE event_type = 'signup'""")
+WITH e AS (SELECT *, user_id % 30 AS nk FROM events),
+closed AS (SELECT max(ts) - INTERVAL 30 SECOND AS wm FROM events)
+SELECT event_id, n_name FROM e LEFT JOIN nation ON n_nationkey = nk, closed
+WHERE n_name IS NOT NULL OR ts < wm""")
 def growing_table_join(t):
-    """Both sides are streams; the table side keeps every row it has seen."""
-    left = t.events_stream.filter("event_type = 'signup'").select(
-        "event_id", F.pmod("user_id", F.lit(25)).cast("int").alias("nk"))
-    rows = left.join(t.stream("nation"), F.col("nk") == F.col("n_nationkey"))
-    return run_to_files(rows.select("event_id", "n_name"), "d14")
+    """Both sides are streams; an event without partner goes out alone.
+
+    A table row serves the events of a year from its load time. That bounds the state of the table
+    side, and the watermark that of the events: unmatched ones go out when it has passed them.
+    """
+    loaded = F.lit("2023-12-31").cast("timestamp")
+    left = t.events_stream.select(
+        "event_id", "ts", F.pmod("user_id", F.lit(30)).cast("int").alias("nk")
+    ).withWatermark("ts", "30 seconds")
+    right = t.stream("nation").select("n_nationkey", "n_name", loaded.alias("loaded")).withWatermark(
+        "loaded", "0 seconds")
+    rows = left.join(right, (F.col("nk") == F.col("n_nationkey")) & (F.col("ts") >= F.col("loaded"))
+                     & (F.col("ts") <= F.col("loaded") + F.expr("INTERVAL 366 DAYS")), "left")
+    return run_to_files(rows.select("event_id", "n_name"), "d14",
+                        spark__sql__streaming__multipleWatermarkPolicy="max")
+
+
+@query("d09_stream_join", """
+SELECT l_orderkey AS key, count(*) AS n, sum(l_linenumber)::BIGINT AS total
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def stream_join(t):
+    """No bound in event time: each side is remembered for an hour of processing time."""
+    lines = t.stream("lineitem").select(
+        F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("long").alias("line"))
+    orders = t.stream("orders").select(F.col("o_orderkey").alias("key"))
+    pairs = run_to_files(state.timed_join(lines, orders, "key", "1 HOUR", "line"), "d09")
+    return pairs.groupBy("key").agg(F.count("*").alias("n"), F.sum("line").alias("total"))
 
 
 DEALS_SQL = """
@@ -408,13 +454,28 @@ def _deals(t, salts, label):
 @query("d17_stream_priced_deals", DEALS_SQL)
 def stream_priced_deals(t):
     """Prices go to all salts of an item, deals to one: a hot item is shared."""
-    return _deals(t, 4, "d17")
+    return _deals(t, 2, "d17")
 
 
 @query("d18_buffered_join", DEALS_SQL)
 def buffered_join(t):
-    """Keyed join with buffering; the buffer is released by the price itself."""
-    return _deals(t, 1, "d18")
+    """Deals arrive before all prices: the buffer of every key is filled, then released.
+
+    Two batches over two files; each item's deals are buffered in several salted states.
+    """
+    price = t.part.select(
+        F.col("p_partkey").alias("item"), F.lit(0).cast("bigint").alias("seq"),
+        F.lit("price").alias("kind"), F.col("p_retailprice").alias("price"),
+        F.lit(None).cast("double").alias("qty"))
+    deal = t.lineitem.select(
+        F.col("l_partkey").alias("item"), (F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+        .alias("seq"), F.lit("deal").alias("kind"), F.lit(None).cast("double").alias("price"),
+        F.col("l_quantity").cast("double").alias("qty"))
+    rows = two_files(t, "d18-files", price.unionByName(deal), F.col("kind") == "price")
+    out = run_to_files(state.priced_deals(
+        rows.filter("kind = 'price'"), rows.filter("kind = 'deal'"), 2), "d18", rocksdb=True)
+    amount = F.round(F.col("price").cast("decimal(10,2)") * F.col("qty").cast("decimal(10,2)"), 2)
+    return out.select("item", "deal_id", amount.cast("double").alias("amount"))
 
 
 @query("d19_stream_header_packages", """

@@ -119,18 +119,17 @@ def running_last_value(t):
 
 
 @query("f08_running_list", """
-SELECT l_orderkey, l_partkey, l_linenumber, string_agg(l_linenumber, ',') OVER (
-  PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice
-  ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS elements FROM lineitem""")
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, string_agg(l_partkey, ',') OVER (
+  PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice
+  ROWS UNBOUNDED PRECEDING) AS elements FROM lineitem""")
 def running_list(t):
-    """Running list with a declared length of ten, so no row grows without bound."""
-    order = [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
-    return framed(
-        t.lineitem, ["l_orderkey", "l_linenumber"], order, [F.floor(F.col("l_partkey") / 4096)],
-        9, 0,
-        lambda _, f: {"elements": F.array_join(
-            F.collect_list(F.col("l_linenumber").cast("string")).over(f), ",")},
-    ).select("l_orderkey", "l_partkey", "l_linenumber", "elements")
+    """All values so far. The list of a row is as long as its group, here the lines of an order."""
+    lines = Window.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.array_join(
+            F.collect_list(F.col("l_partkey").cast("string")).over(lines), ",").alias("elements"))
 
 
 NEWEST = """

@@ -232,10 +232,12 @@ def message_encoding(t):
 SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'base' AS family, 'c_name' AS qualifier, 1000 AS ts,
   c_name AS value FROM customer
 UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'info', 'c_mktsegment', 1000, c_mktsegment FROM customer
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'info', 'c_acctbal', 1000,
+  CAST(c_acctbal AS VARCHAR) FROM customer
 UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'base', 'c_name', c_custkey + 2000, upper(c_name)
   FROM customer""")
 def rows_to_cells(t):
-    return customer_cells(t).filter("qualifier <> 'c_acctbal'")
+    return customer_cells(t)
 
 
 @query("b20_text_to_cells", """

@@ -29,8 +29,11 @@ def quoted_csv(spark: SparkSession, path: str, file_schema: str, columns: list[s
 
 
 def lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """Lines of text files in at least ``min_partitions`` tasks; more if the files give more."""
     rows = spark.read.option("lineSep", "\n").text(path)
-    return rows.repartition(min_partitions) if min_partitions else rows
+    if min_partitions and rows.rdd.getNumPartitions() < min_partitions:
+        return rows.repartition(min_partitions)
+    return rows
 
 
 def parse_lines(df: DataFrame, text: str, fields: dict[str, str], sep: str = ",") -> DataFrame:

@@ -99,6 +99,6 @@ def committed_entries(spark: SparkSession, path: str) -> DataFrame:
 
 def live_values(spark: SparkSession, path: str, now_ms: int) -> DataFrame:
     """Latest value per key that has not expired at ``now_ms``."""
-    rows = latest_per_key(committed_entries(spark, path), ["key"], ["batch", "seq"])
+    rows = latest_per_key(committed_entries(spark, path), ["key"], ["seq", "batch"])
     alive = F.col("expire_at").isNull() | (F.col("expire_at") > now_ms)
     return rows.filter(alive).select("key", "value", "expire_at")

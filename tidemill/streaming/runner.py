@@ -14,14 +14,14 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 @contextmanager
-def stream_settings(spark: SparkSession, rocksdb: bool = False, **extra: str):
+def stream_settings(spark: SparkSession, rocksdb: bool = False,
+                    state_partitions: int | None = None, **extra: str):
     """Settings a query keeps from its start; the session gets its own back.
 
-    State has one store per shuffle partition for the life of the query, so the
-    number is bounded by twice the cores there are.
+    State has one store per shuffle partition for the life of the query. The session's number is
+    taken unless ``state_partitions`` names one.
     """
-    wanted = {_PARTITIONS: str(min(
-        int(spark.conf.get(_PARTITIONS)), 2 * spark.sparkContext.defaultParallelism))}
+    wanted = {} if state_partitions is None else {_PARTITIONS: str(state_partitions)}
     wanted |= {k.replace("__", "."): v for k, v in extra.items()}
     keys = [*wanted, _PROVIDER]
     before = {k: spark.conf.get(k, None) for k in keys}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.partitions import commit_partitions, committable
@@ -46,13 +46,31 @@ class BatchLog:
         return self.spark.read.option("basePath", self.root).parquet(*paths)
 
 
+    def only(self, batch_id: int) -> DataFrame | None:
+        """Rows of one finished batch, read without looking at the others."""
+        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/batch_id={batch_id}/_SUCCESS")
+        if batch_id < 0 or not path.getFileSystem(self._conf).exists(path):
+            return None
+        return self.spark.read.parquet(f"{self.root}/batch_id={batch_id}")
+
+    def forget(self, batch_id: int) -> None:
+        """Drop one batch's folder, for logs of which only the newest batch counts."""
+        if batch_id >= 0:
+            path = self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/batch_id={batch_id}")
+            path.getFileSystem(self._conf).delete(path, True)
+
+
 class UpsertLog(BatchLog):
-    """Keyed table kept as change batches; reading merges them by key."""
+    """Keyed table kept as change batches; reading merges them by key.
+
+    With ``seq`` the largest ``seq`` of a key wins, whichever batch it came in, and equal ones by
+    batch; without, the latest batch wins. ``schema`` is what an empty log is read as.
+    """
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str],
-                 seq: list[str] | None = None, op: str | None = None):
+                 seq: list[str] | None = None, op: str | None = None, schema=None):
         super().__init__(spark, root)
-        self.keys, self.seq, self.op = keys, seq or [], op
+        self.keys, self.seq, self.op, self.schema = keys, seq or [], op, schema
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Only the last change per key of a batch is stored."""
@@ -83,7 +101,7 @@ class UpsertLog(BatchLog):
         """
         ids = self.committed()
         if ids and ids[-1] not in self._finished("upto=*"):
-            merged = latest_per_key(self.rows(), self.keys, ["batch_id", *self.seq])
+            merged = latest_per_key(self.rows(), self.keys, [*self.seq, "batch_id"])
             merged.withColumnRenamed("batch_id", "__batch").write.mode("overwrite").parquet(
                 f"{self.root}/upto={ids[-1]}")
 
@@ -99,7 +117,12 @@ class UpsertLog(BatchLog):
             fs.delete(path(f"{self.root}/{name}"), True)
 
     def current(self) -> DataFrame:
-        rows = latest_per_key(self.rows(), self.keys, ["batch_id", *self.seq]).drop("batch_id")
+        rows = self.rows()
+        if rows is None:
+            if self.schema is None:
+                raise ValueError(f"{self.root} has no finished batch and no schema was given")
+            return self.spark.createDataFrame([], self.schema)
+        rows = latest_per_key(rows, self.keys, [*self.seq, "batch_id"]).drop("batch_id")
         return rows if self.op is None else rows.filter(F.col(self.op).isin(*UPSERTS))
 
 
@@ -131,19 +154,19 @@ class LateSplitter(BatchLog):
         self.ts, self.window, self.delay = ts, window, delay
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import Observation
-
-        seen = self.progress.rows(before=batch_id)
-        ends = F.window(self.ts, self.window)["end"]
+        """The progress log holds the largest time so far; only the batch before is read."""
+        before = self.progress.only(batch_id - 1)
+        newest = None if before is None else before.first()["max_ts"]
         late = F.lit(False)
-        if seen is not None:
-            newest = seen.agg(F.max("max_ts")).first()[0]
-            if newest is not None:
-                late = ends <= F.lit(newest) - F.expr(f"INTERVAL {self.delay}")
+        if newest is not None:
+            ends = F.window(self.ts, self.window)["end"]
+            late = ends <= F.lit(newest) - F.expr(f"INTERVAL {self.delay}")
         stats = Observation()
         self.write_split(batch.observe(stats, F.max(self.ts).alias("max_ts")), late, batch_id)
-        row = self.spark.createDataFrame([(stats.get["max_ts"],)], "max_ts timestamp")
+        seen = [x for x in (newest, stats.get["max_ts"]) if x is not None]
+        row = self.spark.createDataFrame([(max(seen, default=None),)], "max_ts timestamp")
         self.progress.write(row.coalesce(1), batch_id)
+        self.progress.forget(batch_id - 2)
 
     def rows(self, before: int | None = None) -> DataFrame | None:
         out = super().rows(before)
@@ -158,9 +181,10 @@ class PartitionCommitter(BatchLog):
     """Writes by day and announces a day once the watermark is ``delay`` past its start.
 
     Data lies in ``<data>/<part>=<day>/batch_id=<n>``, which a replayed batch
-    overwrites. Days of all earlier batches are looked at again with each
-    batch, so a day is announced even when its own rows stopped long before;
-    rows that come later still are added to the announced day.
+    overwrites. Each batch carries on the folders not yet announced and the
+    largest time so far, so a day is announced even when its own rows stopped
+    long before, and a batch reads nothing but the one before it. Rows that
+    come later still are added to the announced day.
     """
 
     def __init__(self, spark, table: str, data: str, log: str, part: str, ts: str,
@@ -170,23 +194,34 @@ class PartitionCommitter(BatchLog):
         self.disorder, self.delay = disorder, delay
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id))
+        carried = self.only(batch_id - 1)
+        pending, newest = ([], None) if carried is None else (
+            [(r["day"], r["batch"]) for r in carried.where("day is not null").collect()],
+            carried.agg(F.max("max_ts")).first()[0])
+        stats = Observation()
+        rows = batch.observe(
+            stats, F.max(self.ts).alias("max_ts"), F.collect_set(self.part).alias("days")
+        ).withColumn("batch_id", F.lit(batch_id))
         rebalanced(rows, self.part).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(self.part, "batch_id").parquet(self.data)
-        self.write(batch.groupBy(self.part).agg(F.max(self.ts).alias("max_ts")), batch_id)
-        seen = self.rows()
-        watermark = seen.agg(F.max("max_ts") - F.expr(f"INTERVAL {self.disorder}")).scalar()
-        starts = seen.withColumn("start", F.to_timestamp(self.part))
-        ready = committable(starts, watermark, f"INTERVAL {self.delay}", "start")
-        known = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()}
-        fresh = [
-            (day, n) for day, n in ready.select(self.part, "batch_id").collect()
-            if f"{self.part}={day}/batch_id={n}" not in known
-        ]
+        newest = max((x for x in (newest, stats.get["max_ts"]) if x is not None), default=None)
+        pending += [(day, batch_id) for day in stats.get["days"]]
+        table = self.spark.createDataFrame(
+            [(d, n, newest) for d, n in pending] or [(None, None, newest)],
+            "day string, batch int, max_ts timestamp")
+        ready = committable(
+            table.where("day is not null").withColumn("start", F.to_timestamp("day")),
+            F.col("max_ts") - F.expr(f"INTERVAL {self.disorder}"), f"INTERVAL {self.delay}",
+            "start")
+        fresh = [(r["day"], r["batch"]) for r in ready.collect()]
         commit_partitions(
             self.spark, self.table, [{self.part: day, "batch_id": n} for day, n in fresh],
             [f"{self.data}/{self.part}={day}" for day in sorted({day for day, _ in fresh})])
+        left = [(d, n, newest) for d, n in pending if (d, n) not in set(fresh)]
+        self.write(self.spark.createDataFrame(
+            left or [(None, None, newest)], table.schema).coalesce(1), batch_id)
+        self.forget(batch_id - 2)
 
     def announced(self) -> list[str]:
         """Days with a success marker."""
@@ -214,17 +249,29 @@ class BudgetedLoad(BatchLog):
         self.report = BatchLog(spark, f"{root}/report")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """Rows are counted while they are written aside; only within the budget they count.
+
+        The report carries the sums so far, so only the batch before is read.
+        """
         flag = F.coalesce(self.bad, F.lit(True))
-        total, bad = batch.agg(F.count("*"), F.count_if(flag)).first()
-        earlier = self.report.rows(before=batch_id)
-        spent = 0 if earlier is None else earlier.agg(F.sum("filtered_rows")).first()[0] or 0
+        stats = Observation()
+        aside = f"{self.root}/pending-{batch_id}"
+        batch.observe(stats, F.count(F.lit(1)).alias("total"), F.count_if(flag).alias("bad")).filter(
+            ~flag).write.mode("overwrite").parquet(aside)
+        total, bad = stats.get["total"], stats.get["bad"]
+        before = self.report.only(batch_id - 1)
+        spent = 0 if before is None else before.first()["filtered_so_far"]
         if self.max_errors is not None and spent + bad > self.max_errors:
             raise BudgetExceeded(f"{spent + bad} bad rows, limit {self.max_errors}")
         if self.max_ratio is not None and total and bad / total > self.max_ratio:
             raise BudgetExceeded(f"{bad} of {total} rows are bad, limit {self.max_ratio}")
-        self.write(batch.filter(~flag), batch_id)
+        self.forget(batch_id)
+        path = self._jvm.org.apache.hadoop.fs.Path
+        path(aside).getFileSystem(self._conf).rename(
+            path(aside), path(f"{self.root}/batch_id={batch_id}"))
         row = self.spark.createDataFrame(
-            [(total, bad, total - bad)], "scan_rows long, filtered_rows long, sink_rows long")
+            [(total, bad, total - bad, spent + bad)],
+            "scan_rows long, filtered_rows long, sink_rows long, filtered_so_far long")
         self.report.write(row.coalesce(1), batch_id)
 
 

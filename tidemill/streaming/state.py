@@ -1,68 +1,72 @@
-"""Keyed state processors."""
+"""Keyed state processors; rows come and go as Arrow batches."""
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+#: Ids in one numbered part of an emitted list.
+PART_IDS = 1000
+
+
+def _salted(wide: DataFrame, narrow: DataFrame, by, salts: int) -> tuple[DataFrame, DataFrame]:
+    """``narrow`` rows copied to every salt, ``wide`` rows to the salt of column ``by``.
+
+    The rows of a hot key on the wide side are shared by ``salts`` state partitions.
+    """
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return (wide.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")),
+            narrow.withColumn("salt", copies))
+
 
 class PricedDeals(StatefulProcessor):
-    """Deals wait until the price of their item is known; a price releases them."""
+    """Deals wait until the price of their item is known; a price releases them.
+
+    Within a micro-batch, prices take effect before the deals that come with them.
+    """
 
     def init(self, handle) -> None:
         self.price = handle.getValueState("price", "price double")
         self.waiting = handle.getListState("waiting", "deal_id long, qty double")
 
-    def handleInputRows(self, key, rows, timerValues):
-        item = key[0]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         stored = self.price.get()
         price = stored[0] if stored is not None else None
-        held = []
-        for row in rows:
-            if row.kind == "price":
-                if price is None:
-                    for deal_id, qty in self.waiting.get():
-                        yield Row(item=item, deal_id=deal_id, qty=qty, price=row.price)
-                    for deal_id, qty in held:
-                        yield Row(item=item, deal_id=deal_id, qty=qty, price=row.price)
-                    held.clear()
-                    self.waiting.clear()
-                price = row.price
+        for pdf in rows:
+            prices = pdf[pdf.kind == "price"]
+            if len(prices):
+                price = float(prices.sort_values("seq").price.iloc[-1])
                 self.price.update((price,))
-            elif price is None:
-                held.append((row.seq, row.qty))
-                if len(held) >= 1000:
-                    self.waiting.appendList(held)
-                    held = []
-            else:
-                yield Row(item=item, deal_id=row.seq, qty=row.qty, price=price)
-        if held:
-            self.waiting.appendList(held)
+                if self.waiting.exists():
+                    held = list(self.waiting.get())
+                    self.waiting.clear()
+                    yield self._priced(key, [h[0] for h in held], [h[1] for h in held], price)
+            deals = pdf[pdf.kind == "deal"]
+            if len(deals) and price is None:
+                self.waiting.appendList(list(zip(deals.seq.tolist(), deals.qty.tolist())))
+            elif len(deals):
+                yield self._priced(key, deals.seq.tolist(), deals.qty.tolist(), price)
+
+    @staticmethod
+    def _priced(key, ids, qty, price) -> pd.DataFrame:
+        return pd.DataFrame({"item": key[0], "deal_id": ids, "qty": qty, "price": price})
 
     def close(self) -> None:
         pass
 
 
-def priced_deals(prices: DataFrame, deals: DataFrame, salts: int = 1) -> DataFrame:
-    """``prices(item, seq, price)`` with ``deals(item, seq, qty)``.
-
-    With ``salts`` above one every price is sent to all salts of its item and a
-    deal to the salt of its id: the price is broadcast, and the deals of one hot
-    item are shared by ``salts`` state partitions.
-    """
-    p = prices.select(
-        "item", "seq", F.lit("price").alias("kind"), "price",
-        F.lit(None).cast("double").alias("qty"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
-    )
-    d = deals.select(
-        "item", "seq", F.lit("deal").alias("kind"), F.lit(None).cast("double").alias("price"),
-        "qty", F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int").alias("salt"),
-    )
-    return p.unionByName(d).groupBy("item", "salt").transformWithState(
+def priced_deals(prices: DataFrame, deals: DataFrame, salts: int = 4) -> DataFrame:
+    """``prices(item, seq, price)`` with ``deals(item, seq, qty)``; the price is broadcast."""
+    p = prices.select("item", "seq", F.lit("price").alias("kind"), "price",
+                      F.lit(None).cast("double").alias("qty"))
+    d = deals.select("item", "seq", F.lit("deal").alias("kind"),
+                     F.lit(None).cast("double").alias("price"), "qty")
+    d, p = _salted(d, p, "seq", salts)
+    return p.unionByName(d).groupBy("item", "salt").transformWithStateInPandas(
         PricedDeals(), "item long, deal_id long, qty double, price double", "append", "none")
 
 
@@ -73,29 +77,26 @@ class HeaderPackages(StatefulProcessor):
         self.header = handle.getValueState("header", "info string")
         self.packages = handle.getMapState("packages", "package long", "seq long")
 
-    def handleInputRows(self, key, rows, timerValues):
-        code = key[0]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         stored = self.header.get()
         info, known = (stored[0], True) if stored is not None else (None, False)
-        held = {}
-        for row in rows:
-            if row.kind == "header":
-                waiting = [p[0] for p, _ in self.packages.iterator()] if not known else []
-                info, known = row.info, True
+        for pdf in rows:
+            packages = pdf[pdf.kind == "package"]
+            ids = list(dict.fromkeys(packages.package.astype("int64").tolist()))
+            if not known:
+                headers = pdf[pdf.kind == "header"]
+                if not len(headers):
+                    for package in ids:
+                        self.packages.updateValue((package,), (0,))
+                    continue
+                info, known = headers["info"].iloc[0], True
                 self.header.update((info,))
-                if waiting:
-                    self.packages.clear()
-                for package in dict.fromkeys([*waiting, *held]):
-                    yield Row(code=code, package=package, info=info)
-                if not waiting and not held:
-                    yield Row(code=code, package=None, info=info)
-                held.clear()
-            elif known:
-                yield Row(code=code, package=row.package, info=info)
-            else:
-                held[row.package] = row.seq
-        for package, seq in held.items():
-            self.packages.updateValue((package,), (seq,))
+                waiting = [p[0] for p, _ in self.packages.iterator()]
+                self.packages.clear()
+                ids = list(dict.fromkeys([*waiting, *ids])) or [None]
+            if ids:
+                yield pd.DataFrame({"code": key[0], "package": pd.array(ids, "Int64"),
+                                    "info": info})
 
     def close(self) -> None:
         pass
@@ -107,42 +108,43 @@ def header_packages(headers: DataFrame, packages: DataFrame) -> DataFrame:
                        F.lit(None).cast("bigint").alias("package"), "info")
     p = packages.select("code", "seq", F.lit("package").alias("kind"),
                         F.col("package").cast("bigint"), F.lit(None).cast("string").alias("info"))
-    return p.unionByName(h).groupBy("code").transformWithState(
+    return p.unionByName(h).groupBy("code").transformWithStateInPandas(
         HeaderPackages(), "code long, package long, info string", "append", "none")
 
 
 class KeyedTotals(StatefulProcessor):
-    """Row count (value), newest ids (list) and count per kind (map) of a key."""
+    """Row count (value), all ids (list) and count per kind (map) of a key.
 
-    KEEP = 3
+    The list grows in state by appends. Its new stretch goes out in numbered parts, so that no
+    output row grows with the key; the parts of a key together are its list.
+    """
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
         self.count = handle.getValueState("count", "n long", ttlDurationMs=self.ttl_ms)
-        self.newest = handle.getListState("newest", "id long", ttlDurationMs=self.ttl_ms)
+        self.ids = handle.getListState("ids", "id long", ttlDurationMs=self.ttl_ms)
         self.kinds = handle.getMapState(
             "kinds", "kind string", "n long", ttlDurationMs=self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n = self.count.get()[0] if self.count.exists() else 0
-        ids = [r[0] for r in self.newest.get()] if self.newest.exists() else []
-        added = Counter()
-        for row in rows:
-            n += 1
-            added[row.kind] += 1
-            ids = sorted([*ids, row.id])[-self.KEEP:]
+        for pdf in rows:
+            ids = pdf.id.tolist()
+            self.ids.appendList([(i,) for i in ids])
+            for kind, add in pdf.kind.value_counts().items():
+                old = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
+                self.kinds.updateValue((kind,), (old + int(add),))
+            shown = ",".join(f"{k}={v}" for k, v in sorted(
+                (k[0], v[0]) for k, v in self.kinds.iterator()))
+            firsts = range(0, len(ids), PART_IDS)
+            yield pd.DataFrame({
+                "key": key[0], "first": [n + a for a in firsts],
+                "ids": [ids[a:a + PART_IDS] for a in firsts],
+                "n": n + len(ids), "kinds": shown})
+            n += len(ids)
         self.count.update((n,))
-        self.newest.put([(i,) for i in ids])
-        for kind, add in added.items():
-            old = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
-            self.kinds.updateValue((kind,), (old + add,))
-        kinds = sorted((k[0], v[0]) for k, v in self.kinds.iterator())
-        yield Row(
-            key=key[0], n=n, newest=",".join(str(i) for i in ids),
-            kinds=",".join(f"{k}={v}" for k, v in kinds),
-        )
 
     def close(self) -> None:
         pass
@@ -155,5 +157,30 @@ def keyed_totals(rows: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     ever; an available-now run therefore has to switch no-data batches off.
     """
     mode = "none" if ttl_ms is None else "processingTime"
-    return rows.groupBy("key").transformWithState(
-        KeyedTotals(ttl_ms), "key long, n long, newest string, kinds string", "update", mode)
+    return rows.groupBy("key").transformWithStateInPandas(
+        KeyedTotals(ttl_ms), "key long, first long, ids array<long>, n long, kinds string",
+        "update", mode)
+
+
+def timed_join(left: DataFrame, right: DataFrame, key: str, ttl: str, spread: str,
+               how: str = "inner", salts: int = 4) -> DataFrame:
+    """Join of two streams on ``key`` without a bound in event time.
+
+    The TTL (interval text, in processing time) is required: a row meets partners that come within
+    ``ttl`` of it and leaves the state afterwards, so state is bounded by what arrives in that time.
+    Arrival is the time of the micro-batch. Left rows of a hot key are spread over ``salts`` by the
+    column ``spread``; right rows go to all of them. With ``how="left"`` a row without partner goes out when its time is over.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"inner or left, not {how}")
+    wide, narrow = _salted(
+        left.withColumn("__l_at", F.current_timestamp()),
+        right.withColumnRenamed(key, "__r_key").withColumn("__r_at", F.current_timestamp()),
+        spread, salts)
+    span = F.expr(f"INTERVAL {ttl}")
+    wide = wide.withColumnRenamed("salt", "__l_salt").withWatermark("__l_at", "0 seconds")
+    narrow = narrow.withColumnRenamed("salt", "__r_salt").withWatermark("__r_at", "0 seconds")
+    return wide.join(
+        narrow, (F.col(key) == F.col("__r_key")) & (F.col("__l_salt") == F.col("__r_salt"))
+        & (F.col("__r_at") >= F.col("__l_at") - span) & (F.col("__r_at") <= F.col("__l_at") + span),
+        how).drop("__l_at", "__r_at", "__l_salt", "__r_salt", "__r_key")
