@@ -26,8 +26,9 @@ ROOM_LEFT = 4
 #: Items one task packs at a time, and tasks whose rests meet in one task of the next round.
 TASK_ITEMS = 250_000
 FAN_IN = 8
-#: Words whose ids a worker remembers.
-CACHE = 300_000
+#: Words whose ids a worker remembers, and bytes of ids in one batch of pieces.
+CACHE = 200_000
+BATCH_BYTES = 1 << 21
 
 _SPLIT_UNSAFE = re.compile(r"\s ")
 _SPECIAL = "<|endoftext|>"
@@ -98,7 +99,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             at = 0
             while at < batch.num_rows:
                 rows, size = [], 0
-                while at < batch.num_rows and size < 1 << 24:
+                while at < batch.num_rows and size < BATCH_BYTES:
                     ids = encoder.encode(batch.column(1)[at].as_py() or "") + end
                     n = len(ids) // 4
                     cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
