@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.joining import interval_join
 from tidemill.plans.streams import tumble
-from tidemill.session import managed_database
+from tidemill.session import managed_database, qualified
 from tidemill.streaming import state
 from tidemill.streaming.enrich import async_enrich
 from tidemill.streaming.keyvalue import KeyValueSink, KeyValueWriter, PartWritten, live_values
@@ -330,7 +330,7 @@ def test_key_value_entries_expire_and_uncommitted_parts_are_ignored(spark, folde
     feed = Feed(spark, folder, "key string, value string, seq long, ttl long")
     feed.add([("a", "1", 1, 10), ("b", "2", 2, None)])
     feed.add([("a", "3", 3, 100)])
-    store = f"{folder}/store"
+    store = qualified(spark, f"{folder}/store")
     q = (feed.stream().writeStream.format("tidemill_kv").option("now_ms", "1000")
          .option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start(store))
     q.awaitTermination()

@@ -106,10 +106,43 @@ def test_load_gate_allows_exactly_the_ratio(spark):
 def test_label_of_failed_load_can_be_used_again(spark, folder):
     ledger = LoadLedger(spark, folder)
     with pytest.raises(ZeroDivisionError):
-        ledger.run("a", lambda: 1 / 0)
-    assert ledger.run("a", lambda: {"scan_rows": 3, "sink_rows": 3})["sink_rows"] == 3
+        ledger.run("a", lambda _: 1 / 0)
+    assert ledger.rows() is None
+
+    def load(out):
+        spark.range(3).write.mode("overwrite").parquet(out)
+        return {"scan_rows": 3, "sink_rows": 3}
+
+    assert ledger.run("a", load)["sink_rows"] == 3
+    with pytest.raises(LabelUsed):
+        ledger.run("a", load)
+    assert sorted((r.id, r.label) for r in ledger.rows().collect()) == [
+        (0, "a"), (1, "a"), (2, "a")]
+    assert sorted(r.state for r in ledger.entries().collect()) == ["CANCELLED", "FINISHED"]
+
+
+def test_crash_between_load_and_record_doubles_nothing(spark, folder):
+    ledger = LoadLedger(spark, folder)
+
+    def load(out):
+        spark.range(3).write.mode("overwrite").parquet(out)
+        return {"sink_rows": 3}
+
+    def crash(*_):
+        raise KeyboardInterrupt  # neither finished nor failed
+
+    ledger._record = crash
+    with pytest.raises(KeyboardInterrupt):
+        ledger.run("b", load)
+    again = LoadLedger(spark, folder)
+    assert again.rows() is None
+    with pytest.raises(LabelUsed):  # the claim is still fresh
+        again.run("b", load)
+    late = LoadLedger(spark, folder, stale_s=0)
+    late.run("b", load)
+    assert late.rows().count() == 3
     with pytest.raises(LabelUsed):
-        ledger.run("a", dict)
+        late.run("b", load)
 
 
 def test_bitmap_ids_over_one_bucket(spark):

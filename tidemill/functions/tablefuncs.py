@@ -60,6 +60,19 @@ def generate_rows(ids: Column, names: Column, params: dict[str, str]) -> Column:
     )
 
 
+def generate_numbered(count: Column, prefix: Column, params: dict[str, str]) -> Column:
+    """Rows ``(id, name, param...)`` numbered from 1 to ``count``, none for 0 or less.
+
+    ``name`` is the prefix and the number; both forms without arrays are this one, the plain form
+    with ten rows and no prefix.
+    """
+    count = F.greatest(F.coalesce(count, F.lit(0)), F.lit(0)).cast("int")
+    ids = F.slice(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), F.lit(1), count)
+    return F.transform(ids, lambda i: F.struct(
+        i.alias("id"), F.concat(prefix, i.cast("string")).alias("name"),
+        *[F.lit(v).alias(k) for k, v in params.items()]))
+
+
 def numbered_rows(spark: SparkSession, rows: int, prefix: str, params: dict[str, str]) -> DataFrame:
     """``rows`` generated rows ``<prefix><n>`` with the parameters as columns."""
     return spark.range(1, rows + 1).select(
@@ -69,18 +82,36 @@ def numbered_rows(spark: SparkSession, rows: int, prefix: str, params: dict[str,
     )
 
 
-def unique_strings(df: DataFrame, keys: list[str], *parts: Column) -> DataFrame:
-    """``struct(joined, items)`` of the distinct texts of each group, sorted.
+def _joined(parts: tuple[Column, ...]) -> Column:
+    """One part as text, several joined by ``-``."""
+    texts = [p.cast("string") for p in parts]
+    return F.concat_ws("-", *texts) if len(texts) > 1 else texts[0]
+
+
+def unique_strings(df: DataFrame, keys: list[str], *parts: Column, **more: tuple) -> DataFrame:
+    """``uniq``: ``struct(joined, items)`` of the distinct texts of each group, sorted.
 
-    Two parts are joined by ``-``. Rows are deduplicated before they are grouped.
+    ``more`` names further columns with their parts; all come from one grouping, after rows with
+    the same texts have been made one. For texts of a bounded domain.
     """
-    text = F.concat_ws("-", *[p.cast("string") for p in parts]) if len(parts) > 1 else parts[0]
-    pairs = df.select(*keys, text.cast("string").alias("__s")).filter(
-        F.col("__s").isNotNull()).distinct()
-    items = F.array_sort(F.collect_list("__s"))
-    return pairs.groupBy(*keys).agg(items.alias("items")).select(
-        *keys, F.struct(F.array_join("items", ",").alias("joined"), F.col("items")).alias("uniq")
-    )
+    wanted = {**({"uniq": parts} if parts else {}), **more}
+    rows = df.select(*keys, *[_joined(p).alias(n) for n, p in wanted.items()]).distinct()
+    lists = [F.array_sort(F.collect_set(n)).alias(n) for n in wanted]
+    return rows.groupBy(*keys).agg(*lists).select(
+        *keys, *[F.struct(F.array_join(n, ",").alias("joined"), F.col(n).alias("items")).alias(n)
+                 for n in wanted])
+
+
+def unique_strings_with_retract(changes: DataFrame, keys: list[str], text: Column, op: str
+                                ) -> DataFrame:
+    """``unique_strings`` of what is left after ``-U`` and ``-D`` rows have taken texts back.
+
+    A text is listed while more rows brought it than took it. One that two rows brought therefore
+    outlives the first that takes it, which a plain set would already drop.
+    """
+    sign = F.when(F.col(op).isin("-U", "-D"), -1).otherwise(1)
+    held = changes.groupBy(*keys, text.cast("string").alias("__s")).agg(F.sum(sign).alias("__n"))
+    return unique_strings(held.filter("__n > 0"), keys, F.col("__s"))
 
 
 def score_lookup(df: DataFrame, store: DataFrame, name: str, id_col: str) -> DataFrame:

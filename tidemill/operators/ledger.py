@@ -1,11 +1,11 @@
-"""Load labels and load reports kept as a small append-only table."""
+"""Load labels: each label's rows and report are one unit, and a label succeeds once."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SCHEMA = (
     "label string, state string, scan_rows long, filtered_rows long, sink_rows long, reason string"
@@ -13,34 +13,70 @@ SCHEMA = (
 
 
 class LabelUsed(RuntimeError):
-    """A load with this label already succeeded."""
+    """A load with this label succeeded already, or is running."""
 
 
 class LoadLedger:
-    """A successful label cannot be used again; a failed one can."""
+    """A successful label cannot be used again; a failed one can.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        self.spark.createDataFrame([], SCHEMA).write.mode("append").parquet(path)
+    A load writes to the folder it is given (``data/label=<label>``), and only folders of finished
+    labels are read, so a crash at any point leaves no rows behind. The file that claims a label is
+    created exclusively: of two callers one gets it. A claim whose load neither finished nor failed
+    may be taken over after ``stale_s``; the new load overwrites what the crashed one wrote.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, stale_s: float = 86_400):
+        self.spark, self.path, self.stale_s = spark, path.rstrip("/"), stale_s
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs.mkdirs(self._path(f"{self.path}/entries"))
 
     def entries(self) -> DataFrame:
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+        return self.spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(
+            f"{self.path}/entries")
+
+    def _finished(self) -> list[str]:
+        found = self._fs.globStatus(self._path(f"{self.path}/entries/FINISHED/label=*/_SUCCESS"))
+        return sorted(s.getPath().getParent().getName().split("=", 1)[1] for s in found or [])
+
+    def rows(self) -> DataFrame | None:
+        """Rows of finished loads with their ``label``; None when there are none."""
+        names = self._finished()
+        if not names:
+            return None
+        return self.spark.read.option("basePath", f"{self.path}/data").parquet(
+            *[f"{self.path}/data/label={n}" for n in names])
 
     def _record(self, label: str, state: str, report: dict, reason: str = "") -> None:
         row = (label, state, report.get("scan_rows", 0), report.get("filtered_rows", 0),
                report.get("sink_rows", 0), reason)
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
-
-    def run(self, label: str, load: Callable[[], dict]) -> dict:
-        used = self.entries().filter((F.col("label") == label) & (F.col("state") == "FINISHED"))
-        if not used.isEmpty():
-            raise LabelUsed(label)
+        frame = self.spark.createDataFrame([row], SCHEMA).coalesce(1)
+        if state == "FINISHED":
+            frame.write.mode("overwrite").parquet(f"{self.path}/entries/{state}/label={label}")
+        else:
+            frame.write.mode("append").parquet(f"{self.path}/entries/{state}/label={label}")
+
+    def _claim(self, label: str) -> None:
+        claim = self._path(f"{self.path}/claims/{label}")
+        if self._fs.exists(claim):
+            age = time.time() - self._fs.getFileStatus(claim).getModificationTime() / 1000
+            if label in self._finished() or age < self.stale_s:
+                raise LabelUsed(label)
+            self._fs.delete(claim, False)
+        self._fs.mkdirs(claim.getParent())
+        try:
+            self._fs.create(claim, False).close()
+        except Exception as exc:
+            raise LabelUsed(label) from exc
+
+    def run(self, label: str, load: Callable[[str], dict]) -> dict:
+        """``load(folder)`` overwrites ``folder`` and returns its report."""
+        self._claim(label)
         try:
-            report = load()
+            report = load(f"{self.path}/data/label={label}")
         except Exception as exc:
             self._record(label, "CANCELLED", {}, str(exc)[:200])
+            self._fs.delete(self._path(f"{self.path}/claims/{label}"), False)
             raise
         self._record(label, "FINISHED", report)
         return report

@@ -116,8 +116,12 @@ def distinct(t):
 SELECT user_id, string_agg(DISTINCT event_type || '-seen', ',' ORDER BY event_type || '-seen')
   AS types, count(*) AS n FROM events GROUP BY user_id""")
 def listagg(t):
-    seen = distinct_list(t.events, ["user_id"], F.concat("event_type", F.lit("-seen")), "types")
-    return seen.join(t.events.groupBy("user_id").agg(F.count("*").alias("n")), "user_id")
+    """Counted per type first; the list and the total come from those few rows."""
+    kinds = t.events.groupBy("user_id", F.concat("event_type", F.lit("-seen")).alias("k")).agg(
+        F.count("*").alias("n"))
+    return kinds.groupBy("user_id").agg(
+        F.array_join(F.array_sort(F.collect_list("k")), ",").alias("types"),
+        F.sum("n").alias("n"))
 
 
 @query("e08_listagg_ordered", """

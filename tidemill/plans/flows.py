@@ -6,11 +6,11 @@ from pyspark.sql import Window
 from tidemill.catalog import EMPLOYEES_SQL, query
 from tidemill.functions.columns import exact_avg, ts_text
 from tidemill.operators import tables as tbl
-from tidemill.operators.distinct import bitmap_counts, bitmap_rows, extend_dictionary
+from tidemill.operators.distinct import extend_dictionary
 from tidemill.operators.joining import dict_mapping
 from tidemill.operators.ordered import running, with_group_stats
 from tidemill.plans.lifecycle import CHANGELOG_SQL, CHANGES_SQL, STATE_SQL
-from tidemill.session import work_dir
+from tidemill.session import checkpointed, work_dir
 from tidemill.sources import changes as chg
 from tidemill.sources import jsonio
 from tidemill.sources import text as txt
@@ -93,15 +93,20 @@ def backfill_per_window(t):
 SELECT lang, count(DISTINCT source) AS plain, count(DISTINCT source) AS through_bitmap
 FROM documents GROUP BY lang""")
 def exact_distinct(t):
-    """Dictionary, mapping and bitmap count next to the plain distinct count."""
+    """Dictionary, mapping and bitmap count next to the plain distinct count.
+
+    The dictionary is written once and the rows are encoded once; both counts come from the encoded
+    rows. Ids and sources match one to one, so distinct sources add up over the id buckets.
+    """
     docs = t.documents.select("lang", "source")
     empty = docs.select("source", F.lit(0).cast("bigint").alias("sid")).filter("false")
-    first = extend_dictionary(empty, docs.filter("lang = 'en'"), "source", "sid")
-    words = extend_dictionary(first, docs, "source", "sid")
+    words = checkpointed(extend_dictionary(empty, docs, "source", "sid"))
     coded = dict_mapping(docs, words, [("source", "source")], "sid", "id", null_if_missing=False)
-    bits = bitmap_counts(bitmap_rows(coded, ["lang"], "id"), ["lang"], "through_bitmap")
-    plain = docs.groupBy("lang").agg(F.count_distinct("source").alias("plain"))
-    return plain.join(bits, "lang")
+    parts = coded.groupBy("lang", F.bitmap_bucket_number("id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"),
+        F.count_distinct("source").alias("n"))
+    return parts.groupBy("lang").agg(
+        F.sum("n").alias("plain"), F.sum(F.bitmap_count("bits")).alias("through_bitmap"))
 
 
 @query("l06_log_load", """

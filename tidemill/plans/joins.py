@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tidemill.catalog import EMPLOYEES_SQL, query
 from tidemill.functions.columns import exact_avg, exact_sum, money, ts_text
-from tidemill.operators.distinct import distinct_list
 from tidemill.operators.joining import asof_join, dict_mapping, interval_join
 from tidemill.operators.ordered import with_group_stats
 
@@ -252,9 +251,11 @@ FROM {EMPLOYEES_SQL} GROUP BY dept_name"""
 
 @query("d20_grouped_join", GROUP_SUMMARY_SQL)
 def grouped_join(t):
-    counts = t.employees.groupBy("dept_name").agg(F.count("*").alias("n"))
-    lists = distinct_list(t.employees, ["dept_name"], F.col("grp"), "groups")
-    return counts.join(lists, "dept_name", "left")
+    """Two grouped results on one key need one grouping: counted per pair, then per key."""
+    pairs = t.employees.groupBy("dept_name", "grp").agg(F.count("*").alias("n"))
+    return pairs.groupBy("dept_name").agg(
+        F.sum("n").alias("n"),
+        F.array_join(F.array_sort(F.collect_list("grp")), ",").alias("groups"))
 
 
 @query("d21_dictionary_map", """

@@ -422,10 +422,10 @@ def load_labels(t):
     bad = F.col("o_totalprice") < 1000
 
     def load(ratio):
-        def run():
+        def run(folder):
             report = tbl.load_gate(t.orders, bad, ratio)
             good, _ = tbl.split_rejects(t.orders, bad)
-            good.write.mode("append").parquet(f"{root}/data")
+            good.write.mode("overwrite").parquet(folder)
             return report
         return run
 

@@ -7,7 +7,7 @@ from tidemill.functions.columns import day_text, exact_sum, money
 from tidemill.operators import cells as cell
 from tidemill.operators.refresh import overwrite_partitions
 from tidemill.operators.spread import rebalanced
-from tidemill.session import managed_database, work_dir
+from tidemill.session import managed_database, qualified, work_dir
 from tidemill.sources import broker, changes, generator, jsonio
 from tidemill.sources import text as txt
 from tidemill.sources.rowgroups import RowGroupSource
@@ -82,11 +82,11 @@ def json_lines(t):
 
 @query("a06_json_array", EMP_SUMS)
 def json_array(t):
-    """Each file holds one array of at most 1000 rows."""
+    """Each file holds one array of at most 50,000 rows; all files lie in one folder."""
     out = work_dir(t.spark, "jsonarray")
-    (t.employees.groupBy(F.floor(F.col("emp_no") / 1000).alias("doc"))
-     .agg(F.to_json(F.collect_list(F.struct(*EMP_COLS))).alias("value"))
-     .write.partitionBy("doc").text(out))
+    (t.employees.groupBy(F.floor(F.col("emp_no") / 50_000).alias("doc"))
+     .agg(F.to_json(F.collect_list(F.struct(*EMP_COLS))).alias("value")).select("value")
+     .write.option("maxRecordsPerFile", 1).text(out))
     return emp_sums(t.spark.read.schema(EMP_SCHEMA).option("multiLine", True).json(out))
 
 
@@ -314,7 +314,7 @@ SELECT o_orderstatus, count(*) AS n, {SUM('o_totalprice')} AS total FROM orders
 def enumerated_source(t):
     t.spark.dataSource.register(RowGroupSource)
     rows = (t.spark.read.format("tidemill_rowgroups")
-            .schema("o_orderstatus STRING, o_totalprice DOUBLE").load(t.path("orders")))
+            .schema("o_orderstatus STRING, o_totalprice DOUBLE").load(qualified(t.spark, t.path("orders"))))
     return rows.groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.sum(money("o_totalprice")).cast("double").alias("total"))
 

@@ -5,6 +5,8 @@ trigger and reads back what it wrote. Append-mode windows close when the
 watermark passes their end, which the check SQL repeats as a filter.
 """
 
+import time
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +19,11 @@ from tidemill.plans.joins import (
     INTERVAL_SQL, SIX_HOURS, clicks_and_views,
 )
 from tidemill.plans.lifecycle import CHANGES_SQL, STATE_SQL, changes
-from tidemill.session import checkpointed, managed_database, work_dir
+from tidemill.session import checkpointed, managed_database, qualified, work_dir
 from tidemill.sources import broker
 from tidemill.streaming import state
 from tidemill.streaming.enrich import async_enrich
+from tidemill.streaming.follow import snapshot_then_follow
 from tidemill.streaming.keyvalue import KeyValueSink, live_values
 from tidemill.streaming.runner import run_batches, run_to_files
 from tidemill.streaming.sinks import (
@@ -233,8 +236,6 @@ def keyed_state(t):
 @query("i16_state_ttl", KEYED_SQL("event_id % 2 = 1"))
 def state_ttl(t):
     """The second batch comes after the state of the first has expired and starts anew."""
-    import time
-
     log = BatchLog(t.spark, work_dir(t.spark, "i16"))
     rows = two_files(t, "i16-files", t.events, F.col("event_id") % 2 == 1)
 
@@ -327,6 +328,33 @@ def start_commit(t):
         between_commits(rows, "commit_id", F.lit(20), include_start=True), "i22")
 
 
+@query("i22_snapshot_then_follow", f"""
+WITH {CHANGES_SQL}
+SELECT 'latest' AS rule, user_id, '+I' AS op, event_type, value FROM {STATE_SQL('true')}
+UNION ALL SELECT 'chosen', user_id, '+I', event_type, value FROM {STATE_SQL('commit_id <= 9')}
+UNION ALL SELECT 'chosen', user_id, op, event_type, value FROM ch WHERE commit_id > 9
+UNION ALL SELECT 'compacted', user_id, '+I', event_type, value FROM {STATE_SQL(
+    'commit_id <= (SELECT max(commit_id) // 7 * 7 FROM ch)')}
+UNION ALL SELECT 'compacted', user_id, op, event_type, value FROM ch
+  WHERE commit_id > (SELECT max(commit_id) // 7 * 7 FROM ch)""")
+def follow_from_state(t):
+    """State first, then changes: from the latest commit, a chosen one, the last compacted one."""
+    rows = changes(t).select("user_id", "op", "commit_id", "event_id", "event_type", "value")
+    path = work_dir(t.spark, "i22-log")
+    rebalanced(rows, "commit_id").write.partitionBy("commit_id").parquet(path)
+    kept = t.spark.read.schema(rows.schema).parquet(path)
+    newest = kept.agg(F.max("commit_id")).first()[0] or 0
+    out = None
+    for rule, at in (("latest", newest), ("chosen", 9), ("compacted", newest // 7 * 7)):
+        got = snapshot_then_follow(
+            kept, t.spark.readStream.schema(rows.schema).parquet(path), ["user_id"], "op",
+            "commit_id", ["event_id"], F.lit(at), ["event_type", "value"],
+            BatchLog(t.spark, work_dir(t.spark, f"i22-{rule}")), f"i22{rule}")
+        got = got.select(F.lit(rule).alias("rule"), "user_id", "op", "event_type", "value")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 @query("i23_error_budget", """
 SELECT count(*) AS scan_rows, count(*) FILTER (event_type = 'error') AS filtered_rows,
   count(*) FILTER (event_type <> 'error') AS sink_rows, count(*) FILTER (event_type <> 'error')
@@ -386,8 +414,6 @@ def stream_lookup(t):
 SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 def lookup_reload(t):
     """The dimension is read again by the first batch after its time to live."""
-    import time
-
     log = BatchLog(t.spark, work_dir(t.spark, "d13"))
     handle = reloading_lookup(
         lambda: t.read("customer").select("c_custkey", "c_name"),
@@ -543,7 +569,7 @@ def key_value_sink(t):
     """Time to live comes from a column; views have expired when read."""
     spark = t.spark
     spark.dataSource.register(KeyValueSink)
-    out = work_dir(spark, "b16")
+    out = qualified(spark, work_dir(spark, "b16"))
     kind = F.col("event_type")
     rows = t.events_stream.select(
         F.col("user_id").cast("string").alias("key"), kind.alias("value"),
@@ -626,21 +652,28 @@ def changes_stream(t):
 
 
 @query("a23_partition_stream", """
-SELECT rule, event_id FROM events, (VALUES ('name'), ('time')) AS v(rule)
-WHERE CASE WHEN rule = 'name' THEN CAST(hour(ts) AS VARCHAR) >= '5' ELSE hour(ts) >= 5 END""")
+SELECT rule, event_id FROM events, (VALUES ('name'), ('time'), ('created')) AS v(rule)
+WHERE CASE rule WHEN 'name' THEN CAST(hour(ts) AS VARCHAR) >= '5' WHEN 'time' THEN hour(ts) >= 5
+  ELSE hour(ts) < 5 END""")
 def partition_stream(t):
     """A partitioned folder read as a stream from a start partition on.
 
     By name the order is that of text, where '9' comes after '11'; by time it
-    is that of the number.
+    is that of the number; by creation it is that of the files' times.
     """
     root = work_dir(t.spark, "a23")
-    rebalanced(t.events.select("event_id", F.hour("ts").alias("h")), "h").write.partitionBy(
-        "h").parquet(root)
+    hours = t.events.select("event_id", F.hour("ts").alias("h"))
+    rebalanced(hours.filter("h >= 5"), "h").write.partitionBy("h").parquet(root)
+    first = t.spark.read.parquet(root).agg(F.max("_metadata.file_modification_time")).first()[0]
+    time.sleep(1.1)  # some stores keep whole seconds
+    rebalanced(hours.filter("h < 5"), "h").write.mode("append").partitionBy("h").parquet(root)
     schema = T.StructType([T.StructField("event_id", T.LongType()),
                            T.StructField("h", T.StringType())])
     rows = t.spark.readStream.schema(schema).parquet(root)
     by_name = run_to_files(rows.filter(F.col("h") >= "5").select("event_id"), "a23n")
     by_time = run_to_files(rows.filter(F.col("h").cast("int") >= 5).select("event_id"), "a23t")
+    created = run_to_files(rows.filter(
+        F.col("_metadata.file_modification_time") > F.lit(first)).select("event_id"), "a23c")
     return by_name.withColumn("rule", F.lit("name")).unionByName(
-        by_time.withColumn("rule", F.lit("time")))
+        by_time.withColumn("rule", F.lit("time"))).unionByName(
+        created.withColumn("rule", F.lit("created")))

@@ -97,15 +97,18 @@ def explode_csv(t):
 SELECT id, word, CAST(length(word) AS INT) AS length FROM (
   SELECT p_partkey AS id, p_name AS word FROM part
   UNION ALL SELECT p_partkey, 'num:' || p_partkey FROM part WHERE p_partkey >= 5
-  UNION ALL SELECT p_partkey, 'obj:' || (p_size > 10) FROM part)""")
+  UNION ALL SELECT p_partkey, 'obj:' || (p_size > 10) FROM part
+  UNION ALL SELECT p_partkey, 'nums sum:' || CAST(p_size * 0.5::DOUBLE AS VARCHAR) FROM part
+  UNION ALL SELECT p_partkey, 'nums sum:' || CAST(p_size * 0.75::DOUBLE AS VARCHAR) FROM part)""")
 def length_words(t):
-    """The overloads for text, whole numbers and other types."""
+    """The overloads for text, whole numbers, a double, many doubles and other types."""
     rows = t.part.select(
-        F.col("p_partkey").alias("id"), "p_name", (F.col("p_size") > 10).alias("big"))
-    out = None
-    for col in ("p_name", "id", "big"):
-        part = rows.select("id", F.inline(tf.length_words(rows, col)))
-        out = part if out is None else out.unionByName(part)
+        F.col("p_partkey").alias("id"), "p_name", (F.col("p_size") > 10).alias("big"),
+        (F.col("p_size") * F.lit(0.5)).alias("half"),
+        (F.col("p_size") * F.lit(0.25)).alias("quarter"))
+    out = rows.select("id", F.inline(tf.length_words_sum(F.col("half"), F.col("quarter"))))
+    for col in ("p_name", "id", "big", "half"):
+        out = out.unionByName(rows.select("id", F.inline(tf.length_words(rows, col))))
     return out
 
 
@@ -120,18 +123,42 @@ def generate_rows(t):
     return t.lineitem.select("l_orderkey", F.inline(rows))
 
 
+@query("j06_generate_numbered", """
+SELECT p_partkey, id, p_brand || '-' || id AS name, 'one' AS param1 FROM (
+  SELECT p_partkey, p_brand, unnest(range(1, p_size % 4 + 1))::INT AS id FROM part)
+UNION ALL SELECT p_partkey, id, CAST(id AS VARCHAR), 'one' FROM (
+  SELECT p_partkey, unnest(range(1, 11))::INT AS id FROM part)""")
+def generate_numbered(t):
+    """The form with a number and a prefix, taken from columns, and the form with neither."""
+    rows = t.part.select("p_partkey", F.inline(tf.generate_numbered(
+        F.col("p_size") % 4, F.concat("p_brand", F.lit("-")), {"param1": "one"})))
+    return rows.unionByName(t.part.select("p_partkey", F.inline(tf.generate_numbered(
+        F.lit(10), F.lit(""), {"param1": "one"}))))
+
+
 @query("j07_unique_strings", """
 SELECT user_id, string_agg(DISTINCT x, ',' ORDER BY x) AS joined, count(DISTINCT x) AS n,
   string_agg(DISTINCT y, ',' ORDER BY y) AS pairs FROM (SELECT user_id, event_type AS x,
   event_type || '-' || CASE WHEN value > 50 THEN 'hi' ELSE 'lo' END AS y FROM events)
 GROUP BY user_id""")
 def unique_strings(t):
-    one = tf.unique_strings(t.events, ["user_id"], F.col("event_type"))
     level = F.when(F.col("value") > 50, "hi").otherwise("lo")
-    two = tf.unique_strings(t.events, ["user_id"], F.col("event_type"), level)
-    return one.select(
-        "user_id", "uniq.joined", F.size("uniq.items").cast("bigint").alias("n")
-    ).join(two.select("user_id", F.col("uniq.joined").alias("pairs")), "user_id")
+    both = tf.unique_strings(t.events, ["user_id"], F.col("event_type"),
+                             two=(F.col("event_type"), level))
+    return both.select(
+        "user_id", "uniq.joined", F.size("uniq.items").cast("bigint").alias("n"),
+        F.col("two.joined").alias("pairs"))
+
+
+@query("j07_unique_strings_retract", """
+WITH ch AS (SELECT user_id, event_type AS x, CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END AS s
+  FROM events), held AS (SELECT user_id, x FROM ch GROUP BY 1, 2 HAVING sum(s) > 0)
+SELECT user_id, string_agg(x, ',' ORDER BY x) AS joined FROM held GROUP BY user_id""")
+def unique_strings_retract(t):
+    """Every third row takes its text back; a text is listed while some row still holds it."""
+    rows = t.events.withColumn("op", F.when(F.col("event_id") % 3 == 0, "-D").otherwise("+I"))
+    return tf.unique_strings_with_retract(
+        rows, ["user_id"], F.col("event_type"), "op").select("user_id", "uniq.joined")
 
 
 @query("j08_alias_list", """

@@ -59,3 +59,12 @@ def managed_database(spark: SparkSession, label: str) -> str:
     name = f"{label}_{path[-12:]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
     return name
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark gives it, for code on executors that opens files itself."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = system.makeQualified(place).toString()
+    return "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not (
+        uri.startswith("file://")) else uri

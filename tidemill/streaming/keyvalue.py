@@ -22,9 +22,9 @@ from tidemill.operators.tables import latest_per_key
 def _system(path: str):
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    if "://" not in path:
+        raise ValueError(f"{path} has no scheme; see tidemill.session.qualified")
+    return fs.FileSystem.from_uri(path)
 
 
 @dataclass
