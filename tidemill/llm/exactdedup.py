@@ -113,11 +113,12 @@ def dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str
                 place.eqNullSafe(F.col("stays")).alias("stays_here")), "hits")
     models = hits.where("stays_here").select(F.col("digest").alias("key"),
                                              F.col("norm").alias("model"))
-    odd = hits.join(models, F.col("digest") == F.col("key")).where("norm <> model").select(
-        "digest").distinct()
-    odd = stored(odd, "odd")
+    # stored as they are: made distinct at once, the copies of one text could not be split
+    odd = stored(hits.join(models, F.col("digest") == F.col("key")).where(
+        "norm <> model").select("digest"), "odd")
     if odd.isEmpty():
         return out
+    odd = odd.distinct()
     exact = hits.join(odd, "digest", "left_semi")
     classes = exact.groupBy("digest", "norm").agg(
         F.max(place).alias("stays"), F.count("*").alias("size"))
