@@ -39,6 +39,6 @@ def test_columns_rows_and_check_sql(spark, con, name):
     got = spark_result(df)
     if name != "op2_packing":
         table = "pages" if name == "op9_url_filter" else "documents"
-        assert len(got[1]) == con.sql(f"SELECT count(*) FROM {table}").fetchone()[0]
+        assert len(got[1]) == con.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
     if name in SQL:
         assert got == duck_result(con, SQL[name])
