@@ -180,3 +180,10 @@ def test_a_key_hot_within_one_hour(spark):
     total = ordered.running(rows, ["k"], [F.col("t"), F.col("id")], hour,
                             {"s": ("sum", F.col("id"))}, hot_rows=100)
     assert all(r["s"] == r["id"] * (r["id"] + 1) // 2 for r in total.collect())
+
+
+def test_interval_join_refuses_right_outer_forms(spark):
+    side = spark.createDataFrame([(1, 0)], "k int, t int")
+    for how in ("right", "full"):
+        with pytest.raises(ValueError, match="inner or left"):
+            interval_join(side, side, [("k", "k")], "t", "t", 0, 5, how)

@@ -30,8 +30,11 @@ def interval_join(
     row has one bucket, a right row is copied to the (at most two) buckets its
     partners can be in. A hot key is so spread over its time range instead of
     meeting in one task, and no left row can match the same right row twice, so
-    ``left`` outer joins stay exact. Works on streams with watermarks too.
+    ``left`` outer joins stay exact. ``right`` and ``full`` would repeat an unmatched right row
+    in each of its buckets and are refused. Works on streams with watermarks too.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"inner or left, not {how}")
     width = max(upper_s - lower_s, 1) * 1_000_000
     lts, rts = F.col(left_ts), F.col(right_ts)
     left_b = left.withColumn("__lb", F.floor(_micros(lts) / width))
