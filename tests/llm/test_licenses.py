@@ -1,8 +1,9 @@
 """License scan against exact containment in every window."""
 
+import json
 import re
 
-from tidemill.llm.licenses import (CONTAINED, TEMPLATES, anchors, scan, shingles, template_words)
+from tidemill.llm.licenses import (CONTAINED, TABLE, TEMPLATES, anchors, scan, shingles, template_words)
 
 SCHEMA = "doc_id long, text string, words string, matches int"
 
@@ -62,3 +63,29 @@ def test_table_and_empty_table(spark):
     assert sum(map(bool, got.values())) >= sum(
         bool(re.search("Released under the MIT License", r.text or "")) for r in rows) > 0
     assert run(spark, []) == {}
+
+
+def test_whole_texts_and_notices_of_many_licenses(spark):
+    table = {r["license"]: r["text"] for r in map(json.loads, open(TABLE, encoding="utf-8"))}
+    assert len(table) > 60 and not set(table) & set(TEMPLATES)
+    noise = "words that mean nothing at all " * 50
+    names = sorted(table)
+    rows = [f"{noise}{table[n]} {noise}".replace(" ", "\n") for n in names]
+    whole = template_words(table["epl-2.0-notice"])
+    rows += [" ".join(whole[:len(whole) // 2]), noise]
+    got = run(spark, rows)
+    assert all(got[k][n] == 1 for k, n in enumerate(names))
+    assert got[len(names)] == got[len(names) + 1] == {}
+    assert set(got[names.index("isc-text")]) == {"isc-text", "0bsd-text"}
+    assert set(got[names.index("agpl-3.0-header")]) == {"agpl-3.0-header"}
+    assert set(got[names.index("gpl-3.0-header")]) == {"gpl-3.0-header"}
+    assert set(got[names.index("cc-by-sa-4.0-notice")]) == {"cc-by-sa-4.0-notice"}
+
+
+def test_templates_given_as_a_table(spark):
+    given = spark.createDataFrame([("own", "one two three four five six")],
+                                  "license string, text string")
+    docs = spark.createDataFrame([(1, "x one two three four five six y", "w", 1), (1, None, "w", 1),
+                                  (None, "one two three four five", "w", 1)], SCHEMA)
+    got = [(r.doc_id, [tuple(m) for m in r.matches]) for r in scan(docs, given).collect()]
+    assert sorted(got, key=repr) == [(1, [("own", 1.0)]), (1, []), (None, [])]

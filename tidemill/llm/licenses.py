@@ -1,30 +1,36 @@
-"""License notices by MinHash bands over overlapping windows of a text.
-
-Windows are cut for each template length so that every stretch of that length lies inside one
-window. A window's bands retrieve templates, and exact containment of five-word shingles decides.
-With one row per band and ``BANDS`` bands, a window that holds 0.8 of a template's shingles has a
-Jaccard similarity of at least 0.8 / 1.7 and misses all bands with a probability below 3e-7.
-
-Only windows with an anchor word are hashed. Anchors are chosen so that more than a fifth of each
-template's shingles hold one; a window without an anchor therefore cannot reach 0.8. All work is
-done inside the row, so nothing is shuffled.
+"""License notices and whole license texts by MinHash bands over overlapping windows of a text.
+
+The templates are a table (``license_templates.jsonl``, or any that the caller gives). Windows are
+cut for each template length so that every stretch of that length lies inside one window. A
+template's bands are the shingles with the least hash under each of ``BANDS`` hash functions.
+Documents' shingles are joined with them: a window whose own band equals the template's holds that
+shingle, so every window that the bands retrieve is retrieved, and some more. Exact containment of
+five-word shingles decides. A window that holds 0.8 of a template misses all bands with a
+probability of at most 0.2 ** BANDS.
+
+The join sees one row per shingle and passes on those that occur in a template; texts are never
+shuffled. Equal texts are one text until their matches are joined back.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import ascii_lower, let
+from tidemill.llm.common import ascii_lower, stored
 
 SHINGLE = 5
 CONTAINED = 0.8
 BANDS = 24
+#: Shingles of templates up to which they are sent to every executor (about 100 bytes each); a
+#: larger table is joined as Spark sees fit.
+SENT_PARTS = 1_000_000
 
-#: Fixed texts: public notices and the opening clauses of public licenses.
+#: Notices and opening clauses that the check SQL knows; part of the table of templates.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "mit-notice": "Released under the MIT License.",
@@ -43,6 +49,9 @@ TEMPLATES = {
            "terms of the GNU General Public License as published by the Free Software Foundation",
 }
 
+#: One ``license, text`` per line: whole license texts and usual notices.
+TABLE = Path(__file__).with_name("license_templates.jsonl")
+
 _WORD = r"[a-z0-9\x{80}-\x{10ffff}]+"
 
 
@@ -71,85 +80,96 @@ def anchors(templates: dict[str, str]) -> list[str]:
     return sorted(chosen)
 
 
-def bands(parts: Column) -> Column:
-    """One value per band: the least hash of the shingles under the band's hash function."""
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(
-        k, F.array_min(F.transform(parts, lambda s: F.xxhash64(k, s)))))
+def template_table(spark: SparkSession) -> DataFrame:
+    """``license, text`` of all templates that come with the package."""
+    rows = [json.loads(line) for line in TABLE.read_text(encoding="utf-8").splitlines()]
+    return spark.createDataFrame(
+        [*TEMPLATES.items(), *((r["license"], r["text"]) for r in rows)],
+        "license string, text string")
 
 
-def _windows(words: Column, at: Column, size: int) -> Column:
-    """Distinct windows (arrays of shingles) for templates of ``size`` shingles.
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(ascii_lower(text), F.lit(_WORD), 0)
 
-    ``at``: places of anchor words. Windows begin at multiples of the stride.
-    """
-    stride = max(1, size // 2)
-    width = size + stride - 1
-    last = F.size(words) - SHINGLE  # begin of the last shingle
 
-    def touching(p: Column) -> Column:
-        low = F.greatest(F.ceil((p - SHINGLE - width + 2) / stride), F.lit(0)).cast("int")
-        high = F.least(F.floor(p / stride), F.floor(last / stride)).cast("int")
-        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+def _shingled(rows: DataFrame) -> DataFrame:
+    """One row per shingle: the other columns, ``pos`` and ``part``, for rows with ``words``."""
+    places = F.explode(F.sequence(F.lit(0), F.size("words") - SHINGLE))
+    return rows.where(F.size("words") >= SHINGLE).select("*", places.alias("pos")).select(
+        *[c for c in rows.columns if c != "words"], "pos",
+        F.concat_ws(" ", *[F.get("words", F.col("pos") + k) for k in range(SHINGLE)])
+        .alias("part"))
 
-    def window(j: Column) -> Column:
-        return F.transform(
-            F.sequence(j * stride, F.least(j * stride + width - 1, last)),
-            lambda i: F.array_join(F.slice(words, i + 1, F.lit(SHINGLE)), " "))
 
-    starts = F.array_distinct(F.flatten(F.transform(at, touching)))
-    return F.transform(starts, window)
+def bands(parts: DataFrame) -> DataFrame:
+    """``license, part`` of every band: the shingle with the least hash under its function."""
+    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
+    return parts.select("license", "part", band.alias("band")).groupBy("license", "band").agg(
+        F.min_by("part", F.struct(F.xxhash64("band", "part"), "part")).alias("part")
+    ).select("license", "part").distinct()
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+def parts_of(templates: DataFrame) -> DataFrame:
+    """``part, license, size, stride, width, least`` of every distinct shingle of a template.
+
+    ``size``: distinct shingles of the template. ``least``: the shingle stands for a band.
+    """
+    rows = templates.select("license", _words(F.col("text")).alias("words"))
+    short = [r.license for r in rows.where(F.size("words") < SHINGLE).collect()]
+    if short:
+        raise ValueError(f"{sorted(short)} have fewer than {SHINGLE} words")
+    length = F.size("words") - SHINGLE + 1
+    lengths = rows.select("license", length.alias("n"), F.greatest(
+        F.lit(1), F.floor(length / 2).cast("int")).alias("stride"))
+    parts = _shingled(rows).select("license", "part").distinct()
+    sizes = parts.groupBy("license").agg(F.count("*").alias("size"))
+    least = bands(parts).withColumn("least", F.lit(True))
+    return parts.join(sizes, "license").join(lengths, "license").join(
+        least, ["license", "part"], "left").select(
+            "part", "license", "size", "stride", (F.col("n") + F.col("stride") - 1).alias("width"),
+            F.coalesce("least", F.lit(False)).alias("least"))
+
+
+def scan(docs: DataFrame, templates: DataFrame | dict[str, str] | None = None,
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, matches`` for every row: array of ``license, containment`` sorted by name.
 
     ``containment`` is the best over the windows, 0.8 or more. Words are runs of ASCII letters
     (A-Z lower-cased), digits and all characters beyond ASCII. Null and empty texts and texts of
-    fewer than five words have no match. Repeated rows are scanned each. The templates are a short
-    list that goes with the plan; each needs five words.
+    fewer than five words have no match. Repeated rows are scanned each. ``templates`` is a table
+    ``license, text`` with one row per license, by default ``template_table``; each needs five
+    words.
     """
-    templates = TEMPLATES if templates is None else templates
-    known = {name: sorted(set(shingles(template_words(t)))) for name, t in templates.items()}
-    lengths = {name: len(template_words(t)) - SHINGLE + 1 for name, t in templates.items()}
-    stems = anchors(templates)
     session = docs.sparkSession
-    signs = {r.name: r.signs for r in session.createDataFrame(
-        list(known.items()), "name string, parts array<string>").select(
-            "name", bands(F.col("parts")).alias("signs")).collect()}
+    if templates is None:
+        templates = template_table(session)
+    elif isinstance(templates, dict):
+        templates = session.createDataFrame(list(templates.items()), "license string, text string")
+    parts = stored(parts_of(templates).coalesce(1), "templates")
+    # its size is the templates' alone; a shuffled join would send every shingle of the documents
+    if parts.count() <= SENT_PARTS:
+        parts = F.broadcast(parts)
 
-    text = F.col("text")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    low = F.lower(text)
-    maybe = low.contains(stems[0]) if stems else F.lit(False)
-    for stem in stems[1:]:
-        maybe = maybe | low.contains(stem)
-    words = F.when(maybe, F.regexp_extract_all(ascii_lower(text), F.lit(_WORD), 0))
-    rows = rows.select("doc_id", words.alias("words"))
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(stems), i)),
-                      lambda i: i.isNotNull())
-
-    def matched(at: Column) -> Column:
-        out = []
-        for size in sorted(set(lengths.values())):
-            names = [n for n in sorted(known) if lengths[n] == size]
-
-            def best(signed: Column, name: str) -> Column:
-                parts = F.array(*map(F.lit, known[name]))
-                near = F.filter(signed, lambda w: F.arrays_overlap(
-                    w["signs"], F.array(*map(F.lit, signs[name]))))
-                return F.struct(F.lit(name).alias("license"), F.coalesce(F.array_max(F.transform(
-                    near, lambda w: F.size(F.array_intersect(w["parts"], parts))
-                    / F.lit(float(len(known[name]))))), F.lit(0.0)).alias("containment"))
-
-            def all_best(signed: Column) -> Column:
-                return F.array(*[best(signed, n) for n in names])  # noqa: B023  called at once
-
-            out.append(let(
-                F.transform(_windows(F.col("words"), at, size), lambda w: F.struct(
-                    w.alias("parts"), bands(w).alias("signs"))), all_best))
-        return F.array_sort(F.filter(F.concat(*out), lambda m: m["containment"] >= CONTAINED))
-
+    digest = F.md5("text")  # matches hang on the text alone
+    found = _shingled(rows.select(digest.alias("digest"), _words(F.col("text")).alias("words"))) \
+        .join(parts, "part")
+    # the windows that begin at multiples of the stride and hold the shingle
+    low = F.greatest(F.lit(0), F.floor((F.col("pos") - F.col("width") + F.col("stride"))
+                                       / F.col("stride")).cast("int"))
+    high = F.floor(F.col("pos") / F.col("stride")).cast("int")
+    held = found.select("digest", "license", "size", "least", F.xxhash64("part").alias("sign"),
+                        F.explode(F.sequence(low, high)).alias("window"))
+    # one row per shingle and window, then one per window; both with map-side combine
+    windows = held.groupBy("digest", "license", "size", "window", "sign").agg(
+        F.max("least").alias("least")).groupBy("digest", "license", "size", "window").agg(
+            F.count("*").alias("held"), F.max("least").alias("retrieved"))
+    best = windows.where("retrieved").groupBy("digest", "license").agg(
+        F.max(F.col("held") / F.col("size").cast("double")).alias("containment")).where(
+            F.col("containment") >= CONTAINED)
+    matches = stored(best.groupBy("digest").agg(
+        F.array_sort(F.collect_list(F.struct("license", "containment"))).alias("matches")),
+        "matches")
     none = F.array().cast("array<struct<license:string,containment:double>>")
-    return rows.select("doc_id", F.when(
-        F.size("words") >= SHINGLE, let(places, matched)).otherwise(none).alias("matches"))
+    return rows.select("doc_id", digest.alias("digest")).join(matches, "digest", "left").select(
+        "doc_id", F.coalesce("matches", none).alias("matches"))
