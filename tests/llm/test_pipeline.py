@@ -90,6 +90,24 @@ def test_odd_rows(spark):
     assert not ids & {10_001, 10_002, 10_003} and 10_012 in ids
 
 
+def test_even_mixtures_of_languages_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    parts = {}
+    for r in docs.orderBy("doc_id").collect():
+        if r.lang and len(WORD.findall(r.text or "")) >= 60:
+            parts.setdefault(r.lang, " ".join(WORD.findall(r.text)[:40]))
+    langs = sorted(parts)[:4]
+    assert len(langs) == 4
+    mixed = [(20_000_003, " ".join(parts[x] for x in langs[:3])),
+             (20_000_004, " ".join(parts[x] for x in langs))]
+    rows = spark.createDataFrame([(d, t, None, "s", len(t)) for d, t in mixed],
+                                 "doc_id long, text string, lang string, source string, "
+                                 "n_chars long")
+    known = pipeline.language_id(spark, docs.unionByName(rows), FOLDER)
+    assert {r.doc_id for r in known.where("doc_id > 20000000").collect()} == {
+        20_000_003, 20_000_004}
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for df in through(spark, docs, set()):
