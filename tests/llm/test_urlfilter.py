@@ -65,6 +65,21 @@ def test_blocks_spread_over_aliases_and_allow_goes_first(spark):
     assert got[3][0] is None and got[9][0] == "com/de/"
 
 
+def test_targets_that_end_in_a_slash_and_references(spark):
+    refresh = '<meta http-equiv="refresh" content="0; url=http://shop.com/de/">'
+    rows = [
+        (1, "http://a.net/1", link("http://shop.com/de/")), (2, "http://b.net/2", refresh),
+        (3, "http://c.com/de/3", None), (4, "http://d.net/4", link("http://c.com/de/3")),
+        (5, "http://e.net/5", link("http://c.com/de/3")), (5, "http://e.net/5", link("http://x.org/")),
+        (6, "http://f.net/6", link("http://g.net/a?x=1&amp;y=2")),
+        (7, "http://g.net/a?x=1&y=2", link("http://h.com/de&#x2F;")),
+        (8, "http://own.com/de", link("/de/")), (9, "http://i.net/9", link("/a?b=1&copy=2&#0;&#99999999;")),
+    ]
+    got = {k[0]: v[1] for k, v in run(spark, rows).items()}
+    assert [got[k] for k in range(1, 10)] == [
+        "block", "block", "block", "allow", "allow", "block", "block", "block", "allow"]
+
+
 def test_a_hub_and_a_long_chain(spark):
     rows = [(0, "http://hub.com/de/0", None)]
     rows += [(k, f"http://n.net/{k}", link("http://hub.com/de/0")) for k in range(1, 300)]

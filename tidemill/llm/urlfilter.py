@@ -78,10 +78,33 @@ def _links(html: Column) -> Column:
                          lambda t: t.rlike(r"(?i)\brel\s*=\s*[\"']?canonical\b"))
     refresh = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*+>"), 0),
                        lambda t: t.rlike(r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"))
-    return F.concat(
+    return F.transform(F.concat(
         F.transform(canonical, lambda t: F.regexp_extract(
             t, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)),
-        F.transform(refresh, lambda t: F.regexp_extract(t, r"(?i)\burl\s*=\s*['\"]?([^\"'>\s]+)", 1)))
+        F.transform(refresh, lambda t: F.regexp_extract(
+            t, r"(?i)\burl\s*=\s*['\"]?([^\"'>\s]+)", 1))), _unescaped)
+
+
+def _unescaped(text: Column) -> Column:
+    """``text`` with its character references read: numbers and the names that URLs may need."""
+    names = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
+
+    def read(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, "^&#[xX]?0*([0-9A-Fa-f]+);$", 1)
+        code = F.when(F.length(digits) > 7, 0).when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)) \
+            .when(digits != "", digits).otherwise(0).cast("long")
+        held = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(F.when(held, code)), 8, "0")), "UTF-32")
+        out = F.coalesce(sign, ref)
+        for name, value in names.items():
+            out = F.when(ref == name, value).otherwise(out)
+        return out
+
+    pattern = "&(?:#[0-9]++|#[xX][0-9A-Fa-f]++|amp|lt|gt|quot|apos);"
+    pieces, refs = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
+    whole = F.array_join(F.transform(pieces, lambda p, k: F.concat(
+        p, F.coalesce(read(F.get(refs, k)), F.lit("")))), "")
+    return F.when(text.contains("&"), whole).otherwise(text)
 
 
 def _absolute(target: Column, url: Column) -> Column:
@@ -94,16 +117,16 @@ def _absolute(target: Column, url: Column) -> Column:
             .otherwise(F.concat(origin, F.regexp_replace(path_of(url), "[^/]*$", ""), target)))
 
 
-def alias_groups(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``node, component`` of every plain address that is linked to another."""
+def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``a, b, target``: plain addresses of a page and of what it links to, and the latter whole."""
     url = F.col("url")
-    edges = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).where(
+    return pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).where(
         url.isNotNull() & (F.lower("html").contains("canonical")
                            | F.lower("html").contains("http-equiv"))
     ).select("url", F.explode(_links(F.col("html"))).alias("target")).where("target <> ''").select(
-        plain_form(url).alias("a"), plain_form(_absolute(F.col("target"), url)).alias("b")
-    ).where("a <> b")
-    return connected_components(stored(edges.distinct(), "aliases"))
+        plain_form(url).alias("a"), _absolute(F.col("target"), url).alias("target")
+    ).select("a", plain_form(F.col("target")).alias("b"), "target").where(
+        "a is not null and b is not null").distinct()
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "page_id",
@@ -120,16 +143,17 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "page_i
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = stored(rows.select("page_id", "host", "path", rule.alias("rule"),
                               verdict.alias("own"), plain_form(url).alias("address")), "urls")
-    groups = stored(alias_groups(pages, url_col, html_col), "groups")
+    edges = stored(alias_edges(pages, url_col, html_col), "aliases")
+    groups = stored(connected_components(stored(
+        edges.where("a <> b").select("a", "b").distinct(), "links")), "groups")
     # explicit verdicts by address, then by group; both with map-side combine
     named = rows.where("address is not null").groupBy("address").agg(
         F.max(F.col("own") == "allow").alias("allowed"),
         F.max(F.col("own") == "block").alias("blocked"))
-    # linked addresses that are no page themselves also have rules
-    whole = F.concat(F.lit("x://"), F.col("node"))
-    _, far = rule_of(host_of(whole), path_of(whole), rules)
-    named = stored(named.union(groups.select(
-        "node", (far == "allow").alias("allowed"), (far == "block").alias("blocked")))
+    # linked addresses also have rules, judged as they are written: plain forms end without a slash
+    _, far = rule_of(host_of(F.col("target")), path_of(F.col("target")), rules)
+    named = stored(named.union(edges.select(
+        "b", (far == "allow").alias("allowed"), (far == "block").alias("blocked")))
         .groupBy("address").agg(F.max("allowed").alias("allowed"),
                                 F.max("blocked").alias("blocked")), "named")
     grouped = named.join(groups, F.col("address") == F.col("node"), "left").select(
