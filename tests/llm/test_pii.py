@@ -94,6 +94,21 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert all(0.6 <= s <= 1 for s in scores)
 
 
+def test_an_iban_ends_where_its_country_ends_it(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT611904300234573201",
+             "PL61 1090 1014 0000 0712 1981 2874", "NO93 8601 1117 947",
+             "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432",
+             "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR1420041010050500013M02606"]
+    after = ["", " BIC CAIXESBBXXX", " EUR 500", " PLN", " CAIX ESBB", " A", " " + ibans[0], "."]
+    texts = [f"to {i}{a}" for i in ibans for a in after] + [f"to {i}0" for i in ibans]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [texts[r.doc_id][s.start:s.stop] for s in r.spans if s.kind == "iban"]
+             for r in pii.find(docs).collect()}
+    want = [[i] + ([ibans[0]] if ibans[0] in a else []) for i in ibans for a in after]
+    assert [spans[k] for k in range(len(want))] == want
+    assert not any(spans[k] for k in range(len(want), len(texts)))
+
+
 def test_empty_table_clashing_columns_and_repeated_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, spans int, email int, start int")
     assert pii.report(pii.find(docs)).count() == 0

@@ -37,6 +37,30 @@ def _runs(chars: str) -> str:
     return rf"(?:\G|(?<![{chars}]))"
 
 
+#: Length of an IBAN by country (registry of ISO 13616).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """In groups of four or without blanks; a known country ends it where its numbers end."""
+    known = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        known.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}" + r"(?:\x20?[A-Z0-9]{4})"
+                     + f"{{{groups}}}" + (rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""))
+    listed = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    other = (rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}"
+             r"(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?")
+    return (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join([*known, other])
+            + r")(?![A-Za-z0-9])")
+
+
 KINDS = (
     Kind("email", _runs("A-Za-z0-9._%+-")
          + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -45,8 +69,7 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", None, 0.8, "card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.6, "tel|phone|call|mobile|fax"),
     # added by checksum (IBAN) and by context (social security number)
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
-         r"(?![A-Za-z0-9])", None, 0.9, "iban|account|bank", base=False),
+    Kind("iban", _iban(), None, 0.9, "iban|account|bank", base=False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.4,
          "ssn|social security", base=False),
 )
