@@ -23,6 +23,11 @@ COLUMNS = {
     "op9_url_filter": "page_id bigint, host string, path string, rule string, verdict string",
     "op10_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
                 "base_sha256 string, spans string",
+    "op11_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op12_phrases": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, "
+                    "n bigint, score bigint",
+    "op13_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, "
+                      "explained double, identity_error double",
 }
 
 
@@ -37,7 +42,9 @@ def test_columns_rows_and_check_sql(spark, con, name):
     df = QUERIES[name](spark, FOLDER)
     assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == COLUMNS[name]
     got = spark_result(df)
-    if name != "op2_packing":
+    if name == "op13_whitening":
+        assert len(got[1]) == 4 * con.sql("SELECT count(*) FROM embeddings").fetchall()[0][0]
+    elif name not in ("op2_packing", "op12_phrases"):
         table = "pages" if name == "op9_url_filter" else "documents"
         assert len(got[1]) == con.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
     if name in SQL:

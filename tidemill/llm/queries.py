@@ -173,3 +173,50 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     return predict(docs, fit(sample(docs)), with_segments=False).select(
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@op("op11_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.tokencount import count_tokens
+
+    return count_tokens(read(spark, folder, "documents"))
+
+
+@op("op12_phrases", f"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}),
+    '[.,;:!?\\x{{0A}}-\\x{{0D}}]')) AS piece FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x{{20}}\\x{{09}}]+') AS w FROM texts),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM pieces WHERE len(w) > 0),
+f AS (SELECT lang, array_to_string(w[p:p + m - 1], ' ') AS phrase, m, count(*) AS a
+  FROM places, (SELECT unnest(range(1, 6)) AS m) WHERE p + m - 1 <= len(w)
+  GROUP BY lang, phrase, m HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+held AS (SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + k - 1], ' ') AS phrase,
+  max(a) AS most FROM f, (SELECT unnest(range(2, 5)) AS k), (SELECT unnest(range(1, 5)) AS i)
+  WHERE k < m AND i + k - 1 <= m GROUP BY ALL),
+cuts AS (SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, n,
+  (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1) c
+  JOIN f l ON l.lang = c.lang
+    AND l.phrase = array_to_string(string_split(c.phrase, ' ')[1:c.k], ' ')
+  JOIN f r ON r.lang = c.lang
+    AND r.phrase = array_to_string(string_split(c.phrase, ' ')[c.k + 1:c.m], ' ')
+  JOIN totals t ON t.lang = c.lang
+  LEFT JOIN held h ON h.lang = c.lang AND h.phrase = c.phrase
+  WHERE coalesce(most, 0) < c.a),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase
+  ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score::BIGINT AS score FROM best QUALIFY rank <= 2000""")
+def phrases(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.phrases import top_phrases
+
+    return top_phrases(read(spark, folder, "documents"))
+
+
+@op("op13_whitening")
+def whitening(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemill.llm.whitening import whiten
+
+    return whiten(read(spark, folder, "embeddings"))
