@@ -11,6 +11,7 @@ from tidemill.plans.streams import tumble
 from tidemill.session import managed_database, qualified
 from tidemill.streaming import state
 from tidemill.streaming.enrich import async_enrich
+from tidemill.streaming.follow import snapshot_then_follow
 from tidemill.streaming.keyvalue import KeyValueSink, KeyValueWriter, PartWritten, live_values
 from tidemill.streaming.runner import run_batches, run_to_files, stream_settings
 from tidemill.streaming.sinks import (
@@ -342,6 +343,54 @@ def test_key_value_entries_expire_and_uncommitted_parts_are_ignored(spark, folde
     assert {r["key"] for r in live_values(spark, store, 200_000).collect()} == {"b"}
 
 
+def test_restart_loses_no_change_between_runs(spark, folder):
+    kind = "k int, op string, c int, s int, v string"
+    first = spark.createDataFrame([(1, "+I", 1, 1, "a"), (1, "+U", 2, 2, "b")], kind)
+    first.coalesce(1).write.parquet(f"{folder}/log")
+    log = BatchLog(spark, f"{folder}/out")
+
+    def run(at):
+        changes = spark.read.schema(first.schema).parquet(f"{folder}/log")
+        stream = spark.readStream.schema(first.schema).parquet(f"{folder}/log")
+        got = snapshot_then_follow(changes, stream, ["k"], "op", "c", ["s"], F.lit(at), ["v"], log,
+                                   "restart")
+        return sorted((r.op, r.v) for r in got.collect())
+
+    assert run(2) == [("+I", "b")]
+    spark.createDataFrame([(1, "+U", 3, 3, "c")], kind).coalesce(1).write.mode("append").parquet(
+        f"{folder}/log")
+    # the restart is told commit 3 is the latest; the change of commit 3 must still come
+    assert run(3) == [("+I", "b"), ("+U", "c")]
+    assert run(9) == [("+I", "b"), ("+U", "c")]
+
+
+def test_a_refused_move_is_no_load(spark, folder, monkeypatch):
+    load = BudgetedLoad(spark, folder, F.lit(False))
+    monkeypatch.setattr(load, "forget", lambda _: None)
+    rows = spark.range(3)
+    rows.write.parquet(f"{load.root}/batch_id=4/batch_id=4")  # in the way: the move nests or fails
+    rows.write.parquet(f"{load.root}/pending-9")
+    with pytest.raises(Exception):
+        load._publish(f"{load.root}/missing", f"{load.root}/batch_id=9")
+    load._publish(f"{load.root}/pending-9", f"{load.root}/batch_id=9")
+    assert load.committed() == [9] and load.only(9).count() == 3
+
+
+def test_key_value_sink_with_another_session_active(spark, tables):
+    from tidemill.catalog import load_all
+    from tidemill.session import make_active
+
+    wanted = sorted(map(tuple, load_all()["b16_key_value_sink"].build(tables).collect()))
+    make_active(spark.newSession())
+    try:
+        got = sorted(map(tuple, load_all()["b16_key_value_sink"].build(tables).collect()))
+        make_active(spark.newSession())
+        assert load_all()["a25_enumerated_source"].build(tables).count() > 0
+    finally:
+        make_active(spark)
+    assert got == wanted
+
+
 def test_settings_are_given_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with stream_settings(spark, rocksdb=True, spark__sql__streaming__multipleWatermarkPolicy="max"):

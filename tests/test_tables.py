@@ -1,5 +1,7 @@
 """Small cases for table models, change data, cells, refresh and load rules."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +147,41 @@ def test_crash_between_load_and_record_doubles_nothing(spark, folder):
         late.run("b", load)
 
 
+def test_two_callers_of_a_stale_claim_are_not_both_owners(spark, folder):
+    dead = LoadLedger(spark, folder)
+    assert dead._claim("c") == 1
+    one, two = (LoadLedger(spark, folder, stale_s=0) for _ in range(2))
+    seen = two._attempts("c")
+    assert one._claim("c") == 2
+    two._attempts = lambda label: seen  # as listed before the other's claim
+    with pytest.raises(LabelUsed):
+        two._claim("c")
+
+
+def test_a_long_load_keeps_its_claim_and_a_lost_one_does_not_count(spark, folder):
+    mine, other = (LoadLedger(spark, folder, stale_s=2) for _ in range(2))
+
+    def load(out):
+        time.sleep(3)
+        with pytest.raises(LabelUsed):  # over stale_s old, but renewed
+            other.run("d", lambda _: {})
+        spark.range(2).write.mode("overwrite").parquet(out)
+        return {"sink_rows": 2}
+
+    mine.run("d", load)
+    assert mine.rows().count() == 2
+
+    def overtaken(out):
+        spark.range(5).write.parquet(out)
+        LoadLedger(spark, folder, stale_s=-10).run("e", lambda o: (
+            spark.range(1).write.mode("overwrite").parquet(o), {"sink_rows": 1})[1])
+        return {"sink_rows": 5}
+
+    with pytest.raises(LabelUsed):
+        mine.run("e", overtaken)
+    assert mine.rows().where("label = 'e'").count() == 1
+
+
 def test_bitmap_ids_over_one_bucket(spark):
     df = spark.createDataFrame(
         [("p1", i) for i in (1, 2, 32769, 32769)] + [("p2", i) for i in (2, 32769, 70000)],

@@ -19,7 +19,7 @@ from tidemill.plans.joins import (
     INTERVAL_SQL, SIX_HOURS, clicks_and_views,
 )
 from tidemill.plans.lifecycle import CHANGES_SQL, STATE_SQL, changes
-from tidemill.session import checkpointed, managed_database, qualified, work_dir
+from tidemill.session import checkpointed, make_active, managed_database, qualified, work_dir
 from tidemill.sources import broker
 from tidemill.streaming import state
 from tidemill.streaming.enrich import async_enrich
@@ -346,10 +346,13 @@ def follow_from_state(t):
     newest = kept.agg(F.max("commit_id")).first()[0] or 0
     out = None
     for rule, at in (("latest", newest), ("chosen", 9), ("compacted", newest // 7 * 7)):
-        got = snapshot_then_follow(
-            kept, t.spark.readStream.schema(rows.schema).parquet(path), ["user_id"], "op",
-            "commit_id", ["event_id"], F.lit(at), ["event_type", "value"],
-            BatchLog(t.spark, work_dir(t.spark, f"i22-{rule}")), f"i22{rule}")
+        log = BatchLog(t.spark, work_dir(t.spark, f"i22-{rule}"))
+        # run twice: a restart that is given a later commit goes on where the first run began
+        for begin in (at, newest):
+            got = snapshot_then_follow(
+                kept, t.spark.readStream.schema(rows.schema).parquet(path), ["user_id"], "op",
+                "commit_id", ["event_id"], F.lit(begin), ["event_type", "value"], log,
+                f"i22{rule}")
         got = got.select(F.lit(rule).alias("rule"), "user_id", "op", "event_type", "value")
         out = got if out is None else out.unionByName(got)
     return out
@@ -568,6 +571,7 @@ WHERE rn = 1 AND event_type <> 'view'""")
 def key_value_sink(t):
     """Time to live comes from a column; views have expired when read."""
     spark = t.spark
+    make_active(spark)
     spark.dataSource.register(KeyValueSink)
     out = qualified(spark, work_dir(spark, "b16"))
     kind = F.col("event_type")

@@ -14,9 +14,15 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; sizing settings stay with the caller."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    make_active(spark)
     return spark
 
 
+def make_active(spark: SparkSession) -> None:
+    """Spark looks up Python sources by name in the thread's active session, not in the caller's."""
+    spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """`transformWithState` keeps its state in RocksDB."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
@@ -30,7 +36,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:

@@ -16,9 +16,15 @@ def snapshot_then_follow(changes: DataFrame, stream: DataFrame, keys: list[str],
     """The state after commit ``at`` as ``+I`` rows, then every change of later commits.
 
     ``at`` is the latest commit, a chosen one, or the last compacted one. The state is batch 0 of
-    ``log``; a restart that finds it there only follows. ``stream`` is the change log as a stream.
+    ``log`` and the commit it was taken at lies beside it; a restart goes on from that commit,
+    whatever ``at`` it is given, so no change between two runs is lost. ``stream`` is the change
+    log as a stream.
     """
     shown = [*keys, op, *columns]
+    start = BatchLog(log.spark, f"{log.root}-start")
+    if start.only(0) is None:
+        start.write(log.spark.range(1).select(at.cast("long").alias("at")).coalesce(1), 0)
+    at = F.lit(start.only(0).first()["at"])
     if log.only(0) is None:
         state = as_of(changes, keys, op, commit, seq, at, columns)
         log.write(state.select(*keys, F.lit("+I").alias(op), *columns), 0)

@@ -231,6 +231,10 @@ class PartitionCommitter(BatchLog):
         return sorted(s.getPath().getParent().getName().split("=")[1] for s in found)
 
 
+class NotMoved(RuntimeError):
+    """The store refused to move a folder."""
+
+
 class BudgetExceeded(RuntimeError):
     """More bad rows than allowed; the load is paused."""
 
@@ -266,14 +270,25 @@ class BudgetedLoad(BatchLog):
         if self.max_ratio is not None and total and bad / total > self.max_ratio:
             raise BudgetExceeded(f"{bad} of {total} rows are bad, limit {self.max_ratio}")
         self.forget(batch_id)
-        path = self._jvm.org.apache.hadoop.fs.Path
-        path(aside).getFileSystem(self._conf).rename(
-            path(aside), path(f"{self.root}/batch_id={batch_id}"))
+        self._publish(aside, f"{self.root}/batch_id={batch_id}")
         row = self.spark.createDataFrame(
             [(total, bad, total - bad, spent + bad)],
             "scan_rows long, filtered_rows long, sink_rows long, filtered_so_far long")
         self.report.write(row.coalesce(1), batch_id)
 
+    def _publish(self, aside: str, place: str) -> None:
+        """Move a written folder, its success marker last.
+
+        Stores that move a folder file by file never show a marker beside missing files, and a
+        store that answers no instead of raising does not pass for one that moved.
+        """
+        path = self._jvm.org.apache.hadoop.fs.Path
+        fs = path(aside).getFileSystem(self._conf)
+        fs.delete(path(f"{aside}/_SUCCESS"), False)
+        if not fs.rename(path(aside), path(place)):
+            raise NotMoved(f"{aside} to {place}")
+        fs.create(path(f"{place}/_SUCCESS"), True).close()
+
 
 def reloading_lookup(load: Callable[[], DataFrame], join: Callable[[DataFrame, DataFrame], DataFrame],
                      target: Callable[[DataFrame, int], None], ttl_s: float,
