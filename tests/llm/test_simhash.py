@@ -50,6 +50,16 @@ def test_documents(spark):
         (d for d, _, c in want if d is None or d == c), key=repr)
 
 
+def test_an_id_on_two_texts_loses_only_the_repeated_one(spark):
+    a, b = "one two three four five six seven " * 4, "other words of a wholly different text " * 5
+    rows = [(5, a), (5, b), (3, b)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows],
+                                 "doc_id long, text string, gone int, GONE_hash int")
+    kept = simhash.keep_one(docs)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, b), (5, a)]
+    assert kept.columns == docs.columns
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash.near_groups(docs).collect() == []

@@ -32,6 +32,17 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, also where body uses it in a lambda."""
     return F.get(F.transform(F.array(value), body), 0)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import stored
+from tidemill.llm.common import own_names, stored
 from tidemill.llm.components import connected_components
 
 SEED = 42
@@ -61,19 +61,22 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)``, fp the 64 bits as a signed long; a null text has no words."""
+    """``(doc_id, text_hash, fp)``, fp the 64 bits as a signed long; a null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter(
                 (fingerprint(shingle_hashes(t)) if t else 0 for t in
-                 (x.as_py() for x in batch.column(1))), np.uint64, batch.num_rows)
+                 (x.as_py() for x in batch.column(2))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+                [batch.column(0), batch.column(1), pa.array(fps.view(np.int64))],
+                ["doc_id", "text_hash", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, fp bigint")
+    return docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+        F.col(text_col).alias("text"),
+    ).mapInArrow(run, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def flips(bits: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +198,7 @@ def near_links(fps: DataFrame, hot_prefix: int = HOT_PREFIX, bits: int | None =
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, fp, component_id`` (smallest doc_id reachable).
+    """One row per document: ``doc_id, text_hash, fp, component_id`` (smallest doc_id reachable).
 
     Equal fingerprints are one node, so thousands of exact copies cost one row in the search.
     Null texts and texts without words have fingerprint 0 and are linked like any other. Repeated
@@ -209,17 +212,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "fp", "first_id", F.coalesce("component", "fp").alias("root"))
     names = stored(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "names")
     named = stored(rooted.join(names, "root").select("fp", "component_id"), "named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents of ``docs`` with one kept per near-duplicate group: the one naming the group.
 
-    Rows with a null id stay. Rows repeated under the naming id are one document; all its rows stay.
+    Rows with a null id stay. Rows repeated under the naming id are one document; all its rows in
+    the group stay. A row goes for its own text: an id that stands on texts of two groups may lose
+    its row in one and name the other.
     """
     groups = near_groups(docs, id_col, text_col)
+    lost, hashed = own_names(docs, "gone", "gone_hash")
     gone = stored(
-        groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(),
-        "gone",
-    )
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+        groups.where("doc_id <> component_id").select(
+            F.col("doc_id").alias(lost), F.col("text_hash").alias(hashed)).distinct(), "gone")
+    return docs.join(gone, (F.col(id_col) == F.col(lost))
+                     & (F.xxhash64(text_col) == F.col(hashed)), "left_anti")
