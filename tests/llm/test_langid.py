@@ -57,9 +57,10 @@ def test_held_out_accuracy_and_columns(spark):
 
 def test_held_out_rows_are_not_learned_from(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    held = {(r.lang, r.text) for r in docs.collect()
+    begin = lambda t: t.encode()[:langid.SAMPLE_BYTES].decode("utf-8", "ignore")
+    held = {(r.lang, begin(r.text or "")) for r in docs.collect()
             if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
-    rest = {(r.lang, r.text) for r in docs.collect()
+    rest = {(r.lang, begin(r.text or "")) for r in docs.collect()
             if zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
     rows = langid.sample(docs)
     assert 0 < len(rows) <= langid.SAMPLE_DOCS and set(rows) <= rest
@@ -114,3 +115,30 @@ def test_nothing_to_learn_from(spark):
     got = langid.predict(docs, langid.fit(rows)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * 2
     assert langid.predict(docs.limit(0), langid.fit(rows)).count() == 0
+
+
+def test_every_language_is_learned_however_many_and_long(spark):
+    rng = np.random.default_rng(1)
+    names = [f"l{k:02d}" for k in range(70)]
+    stems = {n: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
+             for n in names}
+    rows = []
+    for k in range(560):
+        n = names[k % 70]
+        size = 30 if n != "l69" else 9000  # all texts of one language pass the sample's bytes
+        rows.append((k, " ".join(rng.choice(stems[n], size)), n))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = langid.sample(docs, most=300, text_bytes=2000)
+    assert {lang for lang, _ in taken} == set(names) and len(taken) <= 300
+    assert max(len(t) for _, t in taken) == 2000
+    assert {lang for lang, _ in langid.sample(docs, most=10)} == set(names)
+    model = langid.fit(taken)
+    assert model.fewer == 1 and len(model.langs) == 70
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) / len(rows) > 0.9
+
+
+def test_the_lexicon_tells_words_apart_that_share_both_ends():
+    words = langid.words_of(["underwriting underwrxting underwriting a b a"])
+    entry = langid.Features(words, 0, len(words.begin)).entry
+    assert entry[0] == entry[2] != entry[1] and entry[3] == entry[5] != entry[4]

@@ -2,7 +2,7 @@
 
 States are languages. A word's score for a state sums learned weights of its character n-grams
 (bigrams and trigrams, the blanks around the word included), its four-byte prefix and suffix, and
-its entry in a hashed lexicon; learned transitions join neighbouring words. Forward-backward gives
+the entry of the whole word in a hashed lexicon; learned transitions join neighbouring words. Forward-backward gives
 each word's state probabilities, so text that switches language is cut where it switches. The model
 is fitted by gradient steps on the likelihood of training words that are put together from
 stretches of different languages, which is what teaches it transitions.
@@ -21,14 +21,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-#: Bounds of the training sample: documents, bytes of one of them, languages.
+#: Bounds of the training sample: documents (one a language at least), bytes taken of one of them.
 SAMPLE_DOCS = 1600
 SAMPLE_BYTES = 20_000
-MOST_LANGS = 64
+#: Languages from which on weight tables get fewer entries, so that they stay as large as with these.
+WIDE_LANGS = 64
 EPOCHS = 3
 STEP = 256
+#: Bytes scored and characters chained at once with up to 8 languages, fewer with more.
 _BYTES_AT_ONCE = 1_000_000
+_CHARS_AT_ONCE = 1_500_000
 _GRAM_BITS, _WORD_BITS = 17, 16
 UNKNOWN = "und"
 
@@ -60,10 +64,25 @@ def words_of(texts: list[str | None]) -> Words:
     return Words(data, begin, end, np.diff(at))
 
 
+def _less(size: int, langs: int) -> int:
+    return max(1000, size * 8 // max(8, langs))
+
+
+def _word_hashes(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash over all bytes of each word: bytes times powers of an odd number, modulo 2**32."""
+    starts = np.cumsum(length) - length
+    inside = np.arange(length.sum()) - np.repeat(starts, length)
+    powers = np.full(int(length.max()), 0x01000193, np.uint32)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers, dtype=np.uint32)
+    letters = data[inside + np.repeat(begin, length)] + np.uint32(1)
+    return np.add.reduceat(letters * powers[inside], starts, dtype=np.uint32)
+
+
 class Features:
-    """Indexes into the weight tables of a range of words."""
+    """Indexes into the weight tables of a range of words; ``fewer`` bits than with few languages."""
 
-    def __init__(self, words: Words, first: int, last: int):
+    def __init__(self, words: Words, first: int, last: int, fewer: int = 0):
         begin, end = words.begin[first:last], words.end[first:last]
         low = int(begin[0]) - 1
         data = words.data[low:int(end[-1]) + 4].astype(np.uint32)
@@ -72,17 +91,17 @@ class Features:
         begin, end = begin - low, end - low
         # grams of a word begin at the blank before it and end with the blank behind it
         self.starts = begin - 1
-        self.pair = pair
-        self.triple = triple * np.uint32(2654435761) >> np.uint32(32 - _GRAM_BITS)
+        self.pair = pair * np.uint32(2654435761) >> np.uint32(16 + fewer) if fewer else pair
+        self.triple = triple * np.uint32(2654435761) >> np.uint32(32 - _GRAM_BITS + fewer)
         quad = triple[:-1] << np.uint32(8) | data[3:]
         length = end - begin
         head, tail = quad[begin], quad[np.maximum(end - 4, 0)]
         head = np.where(length >= 4, head, 0)
         tail = np.where(length >= 4, tail, quad[begin] | np.uint32(1 << 31))
-        fold = lambda x, k: x * np.uint32(k) >> np.uint32(32 - _WORD_BITS)
+        fold = lambda x, k: x * np.uint32(k) >> np.uint32(32 - _WORD_BITS + fewer)
         self.prefix, self.suffix = fold(head, 2654435761), fold(tail, 2246822519)
-        self.entry = fold(head * np.uint32(3266489917) ^ tail * np.uint32(668265263)
-                          ^ length.astype(np.uint32) * np.uint32(374761393), 2654435761)
+        whole = _word_hashes(data, begin, length)
+        self.entry = fold(whole ^ whole >> np.uint32(15), 2246822519)
         self.size = int(end[-1])
         #: grams of word w: positions spans[w]..; grams from its last byte on belong to nobody
         self.cuts = np.stack([self.starts, end], axis=1).ravel()
@@ -175,12 +194,13 @@ class Chain:
 class Model:
     def __init__(self, langs: list[str]):
         self.langs, k = langs, len(langs)
+        self.fewer = fewer = min(10, max(0, (k - 1) // WIDE_LANGS).bit_length())
         self.tables = {
-            "pair": np.zeros((1 << 16, k), np.float32),
-            "triple": np.zeros((1 << _GRAM_BITS, k), np.float32),
-            "prefix": np.zeros((1 << _WORD_BITS, k), np.float32),
-            "suffix": np.zeros((1 << _WORD_BITS, k), np.float32),
-            "entry": np.zeros((1 << _WORD_BITS, k), np.float32),
+            "pair": np.zeros((1 << 16 - fewer, k), np.float32),
+            "triple": np.zeros((1 << _GRAM_BITS - fewer, k), np.float32),
+            "prefix": np.zeros((1 << _WORD_BITS - fewer, k), np.float32),
+            "suffix": np.zeros((1 << _WORD_BITS - fewer, k), np.float32),
+            "entry": np.zeros((1 << _WORD_BITS - fewer, k), np.float32),
         }
         self.moves, self.start = 2 * np.eye(k), np.zeros(k)
 
@@ -194,9 +214,10 @@ class Model:
         n = len(words.begin)
         if not n:
             return np.zeros((0, len(self.langs)))
-        cuts = np.searchsorted(words.begin, np.arange(0, int(words.begin[-1]) + 1, _BYTES_AT_ONCE))
+        size = _less(_BYTES_AT_ONCE, len(self.langs))
+        cuts = np.searchsorted(words.begin, np.arange(0, int(words.begin[-1]) + 1, size))
         cuts = np.unique(np.concatenate((cuts, [0, n])))
-        scores = np.concatenate([self.scores(Features(words, a, b))
+        scores = np.concatenate([self.scores(Features(words, a, b, self.fewer))
                                  for a, b in zip(cuts.tolist(), cuts[1:].tolist())])
         first = np.zeros(n, bool)
         starts = np.cumsum(words.counts) - words.counts
@@ -231,7 +252,7 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Mod
             begins[np.minimum((np.cumsum(words.counts) - words.counts)[::lone],
                               len(truth) - 1)] = True
             begins[0] = True
-            f = Features(words, 0, len(words.begin))
+            f = Features(words, 0, len(words.begin), model.fewer)
             chain = Chain(model.scores(f), begins, model.moves, model.start)
             gap = -chain.posteriors()
             gap[np.arange(len(truth)), truth] += 1
@@ -264,29 +285,41 @@ def held_out(id_col: str):
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           lang_col: str = "lang", most: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
+           lang_col: str = "lang", most: int = SAMPLE_DOCS,
+           text_bytes: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
     """At most ``most`` (language, text) rows, about as many for each language.
 
-    Only rows that are not held out, with an id, a language and a text of ``SAMPLE_BYTES`` bytes or
-    fewer; the ``MOST_LANGS`` most frequent languages. Rows are chosen by a hash of their id.
+    Every language of the rows that are not held out and have an id, a language and a text is
+    there, with at least one row even if there are more than ``most`` languages. Of longer texts
+    the first ``text_bytes`` bytes are taken. Rows are chosen by a hash of their id.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
                        F.col(text_col).alias("text")).where(
-        F.col("id").isNotNull() & F.col("lang").isNotNull()
-        & (F.octet_length("text") <= SAMPLE_BYTES) & ~held_out("id"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(
-        MOST_LANGS).collect()
-    if not counts:
+        F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+        & ~held_out("id")).withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 30)))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    langs = counts.count()
+    if not langs:
         return []
-    each = most // len(counts)
-    share = F.coalesce(*[F.when(F.col("lang") == r.lang, min(1.0, 0.9 * each / r["count"]))
-                         for r in counts], F.lit(0.0))
-    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30)).select(
-        "lang", "text", F.xxhash64("id").alias("h")).limit(most)
-    return [(r.lang, r.text) for r in sorted(chosen.collect(), key=lambda r: (r.h, r.text))]
+    each = max(1, most // langs)
+    # few more than wanted of a frequent language; a rare one whole
+    near = rows.join(counts, "lang").where(
+        F.col("h") * F.col("rows") <= F.lit(float(1 << 30)) * (3 * each + 20))
+    first = F.row_number().over(W.partitionBy("lang").orderBy("h", "id", "text"))
+    # as many characters hold those bytes; the rest is cut off after they are read
+    short = F.substring("text", 1, text_bytes)
+    chosen = near.withColumn("at", first).where(F.col("at") <= each).select(
+        "lang", short.alias("text"), "h")
+    return [(r.lang, _first_bytes(r.text, text_bytes))
+            for r in sorted(chosen.collect(), key=lambda r: (r.h, r.lang, r.text))]
+
+
+def _first_bytes(text: str, most: int) -> str:
+    data = text.encode("utf-8", "surrogatepass")
+    return text if len(data) <= most else data[:most].decode("utf-8", "ignore")
 
 
-def _batches(column: pa.Array, most: int = 1_500_000) -> Iterator[tuple[int, list[str | None]]]:
+def _batches(column: pa.Array, most: int) -> Iterator[tuple[int, list[str | None]]]:
     at, n = 0, len(column)
     while at < n:
         first, texts, size = at, [], 0
@@ -304,7 +337,7 @@ def _has_letter(text: str | None) -> bool:
 def _judged(column: pa.Array, model: Model):
     """(first row, language, score, word probabilities, words per row) of stretches of a column."""
     k = len(model.langs)
-    for first, texts in _batches(column):
+    for first, texts in _batches(column, _less(_CHARS_AT_ONCE, k)):
         words = words_of(texts)
         share = model.posteriors(words) if k else np.zeros((len(words.begin), 0))
         totals = np.zeros((len(texts), max(k, 1)))
