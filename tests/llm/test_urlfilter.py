@@ -1,8 +1,12 @@
 """Rules against a plain version; blocks over aliases by hand."""
 
+import random
 import re
+from urllib.parse import urljoin, urlsplit
 
-from tidemill.llm.urlfilter import RULES, judge
+import pytest
+
+from tidemill.llm.urlfilter import RULES, address, judge, links, resolved
 
 SCHEMA = "page_id long, url string, html string, host int, component string, own int"
 
@@ -22,9 +26,10 @@ def plain(url):
     return host, path, *(best or (None, None))
 
 
-def run(spark, rows):
+def run(spark, rows, **how):
     pages = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
-    return {(r.page_id, r.host, r.path): (r.rule, r.verdict) for r in judge(pages).collect()}
+    return {(r.page_id, r.host, r.path): (r.rule, r.verdict)
+            for r in judge(pages, **how).collect()}
 
 
 def link(target):
@@ -48,14 +53,14 @@ def test_rules_equal_plain(spark):
 def test_blocks_spread_over_aliases_and_allow_goes_first(spark):
     rows = [
         (1, "http://a.com/de/1", None),                      # blocked by a rule
-        (2, "http://b.net/2", link("https://www.a.com/de/1/?utm_source=x")),
+        (2, "http://b.net/2", link("HTTP://A.com:80/x/../de/1#part")),
         (3, "http://c.net/3", '<meta http-equiv="refresh" content="0; url=http://b.net/2#top">'),
         (4, "http://d.net/4", link("/5")), (5, "http://d.net/5?a=1", None),
         (6, "http://e.net/6", link("http://gone.com/de/x")),  # alias that is no page
         (7, "http://f.net/7", link("http://x.org/7")),        # alias allowed ...
         (8, "http://g.net/8", link("http://f.net/7")),
         (9, "http://h.com/de/9", link("http://g.net/8")),     # ... and one blocked
-        (10, "http://b.net/2/#x", None), (10, "http://b.net/2/#x", None),
+        (10, "http://b.net/2#x", None), (10, "http://b.net/2#x", None),
         (11, "http://i.net/11", "<link rel=canonical href=>"),
     ]
     got = {k[0]: v for k, v in run(spark, rows).items()}
@@ -90,3 +95,115 @@ def test_a_hub_and_a_long_chain(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_address_forms_are_ties_only_when_asked(spark):
+    rows = [(1, "http://a.com/de/1", None), (2, "http://b.net/2", link("https://www.b.com/2/")),
+            (3, "http://b.com/2?utm_source=x", link("http://a.com/de/1")),
+            (4, "https://www.b.com/2", None)]
+    pages = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    plainly = {r.page_id: (r.verdict, r.decided) for r in judge(pages).collect()}
+    assert plainly == {1: ("block", "rule"), 2: ("allow", "default"), 3: ("block", "alias"),
+                       4: ("allow", "default")}
+    tied = {r.page_id: (r.verdict, r.decided) for r in judge(pages, plain_forms=True).collect()}
+    assert tied == {1: ("block", "rule"), 2: ("block", "alias or form"),
+                    3: ("block", "alias or form"), 4: ("block", "alias or form")}
+
+
+PAGE = "http://site.net/dir/page?id=1"
+
+
+@pytest.mark.parametrize("html,want", [
+    ('<link rel=canonical href="/login?next=http://shop.com/de/x">',
+     ["http://site.net/login?next=http://shop.com/de/x"]),
+    ('<link rel=canonical href="../b">', ["http://site.net/b"]),
+    ('<link rel=canonical href="./b">', ["http://site.net/dir/b"]),
+    ('<link rel=canonical href="?id=2">', ["http://site.net/dir/page?id=2"]),
+    ('<link rel="shortlink Canonical" href=/c>', ["http://site.net/c"]),
+    ('<link title="a > b" rel=canonical href="/c">', ["http://site.net/c"]),
+    ('<meta http-equiv=Refresh content="0; http://o.org/x">', ["http://o.org/x"]),
+    ('<meta http-equiv=refresh content="0;URL=\'/y\'z">', ["http://site.net/y"]),
+    ('<meta http-equiv=refresh content="5">', []),
+    ('<meta http-equiv=refresh content="  3.5 , /w ">', ["http://site.net/w"]),
+    ('<link rel=canonical href="HTTP://Shop.COM:80">', ["http://shop.com/"]),
+    ('<link rel=canonical href="https://shop.com:443/a">', ["https://shop.com/a"]),
+    ('<link rel=canonical href="https://shop.com:80/a">', ["https://shop.com:80/a"]),
+    ('<!-- <link rel=canonical href="/c"> -->', []),
+    ('<!--><link rel=canonical href="/c">', ["http://site.net/c"]),
+    ('<!-- open <link rel=canonical href="/c">', []),
+    ('<script>"<link rel=canonical href=/c>"</script><link rel=canonical href=/d>',
+     ["http://site.net/d"]),
+    ('<link rel=canonical href=b><base href="//cdn.net/q/"><base href="/z/">',
+     ["http://cdn.net/q/b"]),
+    ('<link rel=canonical href="mailto:a@b.com"><link rel=canonical href="javascript:x://y">', []),
+    ('<link rel=canonical rel=next href="/1" href="/2">', ["http://site.net/1"]),
+    ('<link rel=next href="/1"><linker rel=canonical href="/2">', []),
+    ('<link rel=canonical href="/a?x=1&amp;y=2&copy=3&#x26;z">',
+     ["http://site.net/a?x=1&y=2&copy=3&z"]),
+    ('<link rel=canonical href="#top">', ["http://site.net/dir/page?id=1"]),
+    ('<link rel=canonical href=" /s\np ">', ["http://site.net/sp"]),
+    ('<link rel=canonical href="unclosed>', []),
+])
+def test_links_of_a_page(html, want):
+    assert links(address(PAGE), f"<html>{html}</html>") == want
+
+
+def test_resolution_equals_the_library():
+    rng = random.Random(3)
+    signs = ["/", "..", ".", "a", "b c", "?", "#", "x=1", "//", "é", "%41"]
+    for _ in range(4000):
+        base = "http://h.net/" + "".join(rng.choice(["d/", "e/", "f", "?q", "..x/"]) for _ in range(4))
+        target = "".join(rng.choice(signs) for _ in range(rng.randint(1, 6)))
+        # the library joins empty segments, a browser keeps them
+        if "//" in target[1:] or target.startswith("//") and not re.match("//[^/?#]", target):
+            continue
+        want = urlsplit(urljoin(address(base), target.strip()))
+        path = want.path
+        got = resolved(address(base), target)
+        if not path.startswith("/") and path:
+            continue
+        assert urlsplit(got).netloc == want.netloc.lower(), (base, target)
+        assert address(want._replace(fragment="").geturl()) == got.rstrip("?") or "?" in target, (
+            base, target, got)
+
+
+def test_generated_pages_equal_union_find(spark):
+    rng = random.Random(9)
+    hosts = ["a.com", "b.net", "x.org", "example.org", "shop.com", "c.net"]
+    paths = ["/", "/de/", "/de/1", "/fr/2", "/es/3", "/en/1", "/q", "/q?p=1", "/w/x/y"]
+    pool = [f"{s}://{h}{p}" for s in ("http", "https") for h in hosts for p in paths]
+    rows, edges = [], []
+    for k in range(400):
+        url = rng.choice(pool) if rng.random() < 0.4 else f"http://n{k}.net/{k}"
+        html = None
+        if rng.random() < (0.6 if "//n" in url else 0.01):  # more would tie all pages together
+            to = rng.choice([rng.choice(pool), f"http://n{k - 1}.net/{k - 1}", "../z",
+                             "/de/", "?p=2", "", "//shop.com/fr/"])
+            if rng.random() < 0.5:
+                html = f"<p>x</p><link class='>' rel='canonical' href='{to}'>"
+            else:
+                html = f'<meta content="1;url={to}" http-equiv="refresh">'
+            if to:
+                edges.append((url, urljoin(url, to)))
+        rows.append((k, url, html))
+    clean = lambda u: u if urlsplit(u).path else u + "/"
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[find(clean(a))] = find(clean(b))
+    seen = {}
+    for u in {clean(u) for _, u, _ in rows} | {clean(b) for _, b in edges}:
+        seen.setdefault(find(u), set()).add(plain(u)[3])
+    got = run(spark, rows)
+    for k, u, _ in rows:
+        host, path, rule, own = plain(u)
+        group = seen[find(clean(u))]
+        want = own or ("allow" if "allow" in group else "block" if "block" in group else "allow")
+        assert got[(k, host, path)] == (rule, want), u
+    assert {v[1] for v in got.values()} == {"allow", "block"} and any(
+        r is None and v == "block" for r, v in got.values())

@@ -124,7 +124,8 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
 def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     from tidemill.llm.urlfilter import judge
 
-    return judge(read(spark, folder, "pages"))
+    return judge(read(spark, folder, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict")
 
 
 def _license_sql() -> str:
