@@ -80,10 +80,47 @@ def test_equals_plain(spark, monkeypatch, case, block_bytes):
         (r[0] for r in want if r[0] not in hit), key=repr)
 
 
+def maximal(docs, items):
+    """All maximal matches, place by place."""
+    out = []
+    for doc, text in docs:
+        d = words(text)
+        for name, item in items:
+            w = words(item)
+            for p in range(len(d)):
+                for k in range(len(w)):
+                    if d[p] != w[k] or p and k and d[p - 1] == w[k - 1]:
+                        continue
+                    n = 0
+                    while p + n < len(d) and k + n < len(w) and d[p + n] == w[k + n]:
+                        n += 1
+                    if n >= min(10, len(w)):
+                        out.append((doc, p, n, None if name is None else str(name), k))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 40])
+@pytest.mark.parametrize("seed", [3, 4])
+def test_matches_are_maximal_and_complete(spark, monkeypatch, seed, block_bytes):
+    monkeypatch.setattr(decontam, "SHARD_WORDS", 500)
+    monkeypatch.setattr(decontam, "_PAIRS_AT_ONCE", 3)
+    docs, items = random_case(seed)
+    items += [(None, items[0][1]), (77, items[5][1]), (78, "a b " * 12)]
+    docs += [(99, "a b " * 30), (98, "b " + items[6][1])]
+    marked = decontam.mark(*frames(spark, docs, items), block_bytes=block_bytes)
+    got = [(r.doc_id, m.word, m.length, m.item, m.item_word)
+           for r in marked.collect() for m in r.matches]
+    assert sorted(got, key=repr) == maximal(docs, items)
+    for r in marked.collect():
+        hit = {p for m in r.matches for p in range(m.word, m.word + m.length)}
+        assert hit == {p for s in r.spans for p in range(s.start, s.stop)}
+        assert all(a.stop < b.start for a, b in zip(r.spans, r.spans[1:]))
+
+
 def test_longest_matches(spark):
     w = words(LONG)
     docs = [(1, " ".join(w[2:14])), (2, "x y " + " ".join(w[1:15]) + " z"), (3, "nothing"),
             (4, " ".join(w[:9]))]
-    a, b = frames(spark, docs, [(1, LONG), (2, "no such words here at all")])
-    got = [tuple(r) for r in decontam.longest_matches(a, b).collect()]
+    marked = decontam.mark(*frames(spark, docs, [(1, LONG), (2, "no such words here at all")]))
+    got = [tuple(r) for r in decontam.longest_matches(marked).collect()]
     assert got == [("1", 1, 14, 2, 2)]

@@ -1,9 +1,12 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 The documents of a task form shards. A shard's words become numbers of the test vocabulary, its
-suffixes are sorted, and every suffix of every test item is looked up by binary search. Suffixes
-that cannot open a match (the run of words known from the tests is too short) are left out of the
-array, which changes no result. Test items are sent to the tasks in blocks of bounded size; more
+suffixes are sorted, and every suffix of every test item is looked up by binary search for as many
+words as a match needs. Places found one word further in both the item and the document belong to
+one verbatim match, so they join to maximal matches: item, place in the item, place in the document
+and length. Hit words and removal follow from the matches. Suffixes of the training text that
+cannot open a match (the run of words known from the tests is too short) are left out of the array,
+which changes no result; equal beginnings of test suffixes are looked up once. Test items are sent to the tasks in blocks of bounded size; more
 blocks mean more passes over a document inside the same task, never a larger broadcast.
 """
 
@@ -14,7 +17,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 10
@@ -22,6 +25,8 @@ WINDOW = 10
 SHARD_WORDS = 1_000_000
 BLOCK_BYTES = 32 << 20
 _AT_ONCE = 50_000
+#: Pairs of a place and a test suffix held at once; one run of places may have more.
+_PAIRS_AT_ONCE = 4_000_000
 
 #: Byte to byte: a-z, 0-9 and all of UTF-8 beyond ASCII stay, A-Z go to a-z, the rest is blank.
 _WORD_BYTES = bytes(
@@ -35,7 +40,7 @@ def words(text: str | None) -> list[bytes]:
 
 
 class TestBlock:
-    """Items of a block: vocabulary, words as numbers, and the distinct windows by length."""
+    """Items of a block: vocabulary, words as numbers, and by length what their suffixes begin with."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int):
         self.ids: list[str | None] = []
@@ -50,19 +55,21 @@ class TestBlock:
         self.lengths = np.array([len(r) for r in rows], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.tokens = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        #: length -> (window matrix, items of window k: owners[bounds[k]:bounds[k + 1]])
-        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        #: length -> (matrix of beginnings; of row k the item and the word in it of each suffix,
+        #: items[bounds[k]:bounds[k + 1]] and words[...])
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         short = np.minimum(self.lengths, window)
         for w in np.unique(short).tolist():
             own = np.nonzero(short == w)[0]
             n = self.lengths[own] - w + 1
             item = np.repeat(own, n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + self.starts[item]
+            word = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = word + self.starts[item]
             matrix, kind = np.unique(
                 self.tokens[at[:, None] + np.arange(w)], axis=0, return_inverse=True)
-            pairs = np.unique(np.stack([kind.ravel(), item], axis=1), axis=0)
-            bounds = np.searchsorted(pairs[:, 0], np.arange(len(matrix) + 1))
-            self.windows[w] = matrix, pairs[:, 1], bounds
+            order = np.argsort(kind.ravel(), kind="stable")
+            bounds = np.searchsorted(kind.ravel()[order], np.arange(len(matrix) + 1))
+            self.windows[w] = matrix, item[order], word[order], bounds
 
     @property
     def shortest(self) -> int:
@@ -133,23 +140,38 @@ class SuffixArray:
             where.append(self.origin[self.order[slot]])
         return np.concatenate(which), np.concatenate(where)
 
-    def longest_matches(self, block: TestBlock) -> Iterator[tuple[int, int, int, int]]:
-        """(item, word in the item, word in the shard, length): the longest match of each item."""
-        if not len(self.order):
-            return
-        for item, (start, n) in enumerate(zip(block.starts.tolist(), block.lengths.tolist())):
-            best = (0, 0, 0)
-            for k in range(n):
-                if n - k <= best[0]:
-                    break
-                suffix = block.tokens[start + k:start + n]
-                at = int(self._bound(suffix[None, :], False)[0])
-                for near in self.order[max(0, at - 1):at + 1].tolist():
-                    same = self.words[near:near + n - k] == suffix
-                    length = n - k if same.all() else int(same.argmin())
-                    best = max(best, (length, -k, int(self.origin[near])))
-            if best[0] >= min(WINDOW, n):
-                yield item, -best[1], best[2], best[0]
+    def matches(self, block: TestBlock) -> Iterator[np.ndarray]:
+        """Rows (place in the shard, length, item, word in the item) of all maximal matches.
+
+        Places of one item whose difference to the word in the item is the same and which follow
+        one another are one match. A match lies within one document, so a chunk of documents at a
+        time is looked through.
+        """
+        for w, (matrix, items, words_in, bounds) in block.windows.items():
+            which, where = self.occurrences(matrix)
+            order = np.argsort(where, kind="stable")
+            which, where = which[order], where[order]
+            n = bounds[which + 1] - bounds[which]
+            # matches of one place run on to neighbouring places only
+            breaks = np.concatenate(([True], np.diff(where) > 1)) if len(where) else []
+            run = np.cumsum(breaks) - 1 if len(where) else np.zeros(0, np.int64)
+            load = np.cumsum(np.bincount(run, n)) if len(where) else np.zeros(0)
+            chunk = (load[run] // _PAIRS_AT_ONCE).astype(np.int64) if len(where) else run
+            for c in np.unique(chunk).tolist():
+                own = chunk == c
+                kinds, places, count = which[own], where[own], n[own]
+                row = np.repeat(np.arange(len(count)), count)
+                slot = (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                        + bounds[kinds][row])
+                item, word, place = items[slot], words_in[slot], places[row]
+                order = np.lexsort((place, place - word, item))
+                item, word, place = item[order], word[order], place[order]
+                first = np.concatenate(([True], (item[1:] != item[:-1])
+                                        | (place[1:] - word[1:] != place[:-1] - word[:-1])
+                                        | (place[1:] != place[:-1] + 1)))
+                begin = np.nonzero(first)[0]
+                length = np.diff(np.append(begin, len(item))) + w - 1
+                yield np.stack([place[begin], length, item[begin], word[begin]], axis=1)
 
 
 def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, window: int,
@@ -184,81 +206,77 @@ def _shards(batches: Iterator[pa.RecordBatch], column: int, vocabulary: dict[byt
 
 
 def _judged(batches: Iterator[pa.RecordBatch], column: int, block: TestBlock):
-    """(rows of a shard, word counts, {row: items}, {row: word ranges in windows})."""
+    """(rows of a shard, word counts, {row: matches (word, length, item, word in the item)})."""
     for rows, counts, starts, tokens in _shards(batches, column, block.vocabulary):
-        delta = np.zeros(len(tokens) + 1, np.int64)
-        items: dict[int, set] = {}
-        array = SuffixArray(tokens, block)
-        for w, (matrix, owners, bounds) in block.windows.items():
-            which, where = array.occurrences(matrix)
-            np.add.at(delta, where, 1)
-            np.add.at(delta, where + w, -1)
-            row = np.searchsorted(starts, where, side="right") - 1
-            for d, k in np.unique(np.stack([row, which], axis=1), axis=0).tolist():
-                items.setdefault(d, set()).update(owners[bounds[k]:bounds[k + 1]].tolist())
-        edge = np.diff(np.concatenate(([0], (np.cumsum(delta)[:-1] > 0).astype(np.int8), [0])))
-        opens, closes = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
-        own = np.searchsorted(starts, opens, side="right") - 1
-        spans = {}
-        for d in items:
-            lo, hi = np.searchsorted(own, [d, d + 1])
-            spans[d] = list(zip((opens[lo:hi] - starts[d]).tolist(),
-                                (closes[lo:hi] - starts[d]).tolist()))
-        yield rows, counts, items, spans
-
-
-def _merge(spans: list[dict], more: list[tuple[int, int]]) -> list[dict]:
-    out: list[dict] = []
-    for a, b in sorted([(s["start"], s["stop"]) for s in spans] + more):
-        if out and a <= out[-1]["stop"]:
-            out[-1]["stop"] = max(out[-1]["stop"], b)
-        else:
-            out.append({"start": a, "stop": b})
-    return out
-
-
-_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        found: dict[int, list[tuple]] = {}
+        for part in SuffixArray(tokens, block).matches(block):
+            row = np.searchsorted(starts, part[:, 0], side="right") - 1
+            part[:, 0] -= starts[row]
+            for d, match in zip(row.tolist(), part.tolist()):
+                found.setdefault(d, []).append(tuple(match))
+        yield rows, counts, found
+
+
+_MATCH = [("word", pa.int64()), ("length", pa.int64()), ("item", pa.string()),
+          ("item_word", pa.int64())]
+_MATCHES = pa.list_(pa.struct(_MATCH))
+_MATCH_SQL = "array<struct<word:bigint,length:bigint,item:string,item_word:bigint>>"
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
          block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, n_words, items, spans`` for every row of ``docs``.
-
-    ``items``: sorted ids (as text) of test items of which a window occurs; ``spans``: word
-    ranges of the document inside such occurrences, merged. A window is ``window`` consecutive
-    item words, or the whole item if it has fewer. Null and empty texts have no words, on either
-    side. Equal items are found each; rows repeated under one item id count once; words that only
-    match an item with a null id are in ``spans``, the item in no list. Rows repeated in ``docs``
+    """``doc_id, n_words, matches, items, spans`` for every row of ``docs``.
+
+    ``matches``: every maximal verbatim match of ``window`` words or more, or of a whole item if it
+    has fewer, as ``word`` (place in the document), ``length``, ``item`` (its id as text) and
+    ``item_word`` (place in the item), sorted. ``items``: sorted ids of the matched items;
+    ``spans``: word ranges of the document inside matches, merged. Null and empty texts have no
+    words, on either side. Equal items are found each; rows repeated under one item id count once
+    in ``items``; a match of an item with a null id has a null ``item``. Rows repeated in ``docs``
     are judged each. An empty benchmark marks nothing.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = (f"doc_id {kind}, n_words bigint, items array<string>, "
-              "spans array<struct<start:bigint,stop:bigint>>")
+    schema = f"doc_id {kind}, n_words bigint, matches {_MATCH_SQL}"
     marked = docs.select(
         F.col(id_col).alias("doc_id"), F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<string>").alias("items"),
-        F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans"),
-        F.col(text_col).cast("string").alias("text"))
+        F.array().cast(_MATCH_SQL).alias("matches"), F.col(text_col).cast("string").alias("text"))
 
     for block, last in blocks_of(benchmark, item_col, item_text_col, window, block_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], block=block,
                 last=last) -> Iterator[pa.RecordBatch]:
-            for rows, counts, found, ranges in _judged(batches, 4, block):
-                items, spans = rows.column(2).to_pylist(), rows.column(3).to_pylist()
+            for rows, counts, found in _judged(batches, 3, block):
+                matches = rows.column(2).to_pylist()
                 for d, got in found.items():
-                    items[d] = sorted({*items[d], *(block.ids[k] for k in got)} - {None})
-                    spans[d] = _merge(spans[d], ranges[d])
-                columns = [rows.column(0), pa.array(counts),
-                           pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPANS)]
-                names = ["doc_id", "n_words", "items", "spans"]
+                    matches[d] = matches[d] + [
+                        {"word": p, "length": n, "item": block.ids[i], "item_word": k}
+                        for p, n, i, k in got]
+                columns = [rows.column(0), pa.array(counts), pa.array(matches, _MATCHES)]
+                names = ["doc_id", "n_words", "matches"]
                 if not last:
-                    columns, names = [*columns, rows.column(4)], [*names, "text"]
+                    columns, names = [*columns, rows.column(3)], [*names, "text"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
         marked = marked.mapInArrow(run, schema + ("" if last else ", text string"))
-    return marked
+    matches = F.array_sort("matches")
+    none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+
+    def joined(spans: Column, match: Column) -> Column:
+        """Matches come by their first word: one either goes on in the last span or opens one."""
+        last = F.element_at(spans, -1)
+        stop = match["word"] + match["length"]
+        opened = F.struct(match["word"].alias("start"), stop.alias("stop"))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], stop).alias("stop"))
+        return F.when((F.size(spans) == 0) | (match["word"] > last["stop"]),
+                      F.concat(spans, F.array(opened))).otherwise(
+            F.concat(F.slice(spans, F.lit(1), F.size(spans) - 1), F.array(longer)))
+
+    ids = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"])))
+    return marked.select("doc_id", "n_words", matches.alias("matches")).select(
+        "*", F.filter(ids, lambda i: i.isNotNull()).alias("items"),
+        F.when(F.size("matches") == 0, none).otherwise(
+            F.aggregate("matches", none, joined)).alias("spans"))
 
 
 def report(marked: DataFrame) -> DataFrame:
@@ -270,43 +288,22 @@ def report(marked: DataFrame) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text", item_col: str = "item_id",
-                    item_text_col: str = "text") -> DataFrame:
-    """``item_id, item_word, length, doc_id, doc_word``: an item's longest verbatim match.
+def longest_matches(marked: DataFrame) -> DataFrame:
+    """``item_id, item_word, length, doc_id, doc_word``: the longest match of each matched item.
 
-    Only matches of a whole window or more are given. Each shard gives one row per matched item;
-    the rows of an item meet with map-side combine. Equal lengths: the largest (doc_id, word).
+    ``marked`` comes from ``mark``. Equal lengths: the largest (document, word, item word).
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = None
-    for block, _ in blocks_of(benchmark, item_col, item_text_col, WINDOW):
-
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            for rows, _, starts, tokens in _shards(batches, 1, block.vocabulary):
-                found = [(block.ids[i], k, n, d, p - int(starts[d]))
-                         for i, k, p, n in SuffixArray(tokens, block).longest_matches(block)
-                         for d in (int(np.searchsorted(starts, p, side="right")) - 1,)]
-                if found:
-                    name, k, n, d, p = zip(*found)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(name, pa.string()), pa.array(k, pa.int64()),
-                         pa.array(n, pa.int64()), rows.column(0).take(pa.array(d)),
-                         pa.array(p, pa.int64())],
-                        ["item_id", "item_word", "length", "doc_id", "doc_word"])
-
-        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-            run, f"item_id string, item_word bigint, length bigint, doc_id {kind}, doc_word bigint")
-        out = rows if out is None else out.union(rows)
-    best = F.max(F.struct("length", "doc_id", "doc_word", "item_word")).alias("best")
-    return out.groupBy("item_id").agg(best).select(
+    rows = marked.select("doc_id", F.explode("matches").alias("m"))
+    best = F.max(F.struct("m.length", "doc_id", F.col("m.word").alias("doc_word"),
+                          "m.item_word")).alias("best")
+    return rows.groupBy(F.col("m.item").alias("item_id")).agg(best).select(
         "item_id", "best.item_word", "best.length", "best.doc_id", "best.doc_word")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text") -> DataFrame:
-    """Documents of which no word lies in a test window, all columns kept.
+    """Documents without a match, all columns kept.
 
     Each block of test items removes what it hits in one pass over the rows, without a shuffle.
     """
@@ -314,7 +311,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for block, _ in blocks_of(benchmark, item_col, item_text_col, WINDOW):
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            for rows, counts, found, _ in _judged(batches, column, block):
+            for rows, counts, found in _judged(batches, column, block):
                 keep = np.ones(len(counts), bool)
                 keep[list(found)] = False
                 yield rows.filter(pa.array(keep))
