@@ -5,10 +5,10 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tidemill.llm.linededup import dedup_lines
+from tidemill.llm.linededup import dedup_lines, first_occurrences
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-SCHEMA = "doc_id long, text string, h1 int, pos string, keeper int"
+SCHEMA = "doc_id long, text string, h1 int, pos string, marked_ID int"
 
 
 def plain(rows):
@@ -57,6 +57,28 @@ def test_many_lines_and_far_bits(spark):
     assert run(spark, rows) == plain(rows)
 
 
+def test_ranges_stay_sorted_and_are_read_as_they_are(spark):
+    lines = spark.createDataFrame(
+        [(k % 3, 0, k % 4, 0, 9 - k % 10) for k in range(60)],
+        "h1 long, h2 long, doc_id long, text_hash long, pos int")
+    firsts = first_occurrences(lines)
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    assert "Sort [h1" in plan and "Window" in plan
+    want = {(h, d): min(9 - k % 10 for k in range(60) if (k % 3, k % 4) == (h, d))
+            for h in range(3) for d in range(4)}
+    assert {(r.h1, r.doc_id): r.pos for r in firsts.collect()} == want
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a\nb", 5, "k")],
+                                 "doc_id long, text string, __id int, __kept string")
+    out = dedup_lines(docs)
+    assert out.columns == ["doc_id", "text", "__id", "__kept", "__n_lines", "__n_dropped",
+                           "___kept"]
+    assert tuple(out.first()) == (1, "a\nb", 5, "k", 2, 0, "a\nb")
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

@@ -1,17 +1,19 @@
 """Repeated lines: hashes range-partitioned, sorted by document and position, kept as bitmaps.
 
 Only hashes, ids and positions move; text is read where it lies and meets its bitmap at the end.
-A line's hash is 128 bits wide. Ranges are cut over (hash, document), so a line that a third of
-all documents hold is spread over many ranges; what is known of it in each range is one row per
-document there, combined before the next shuffle.
+A line's hash is 128 bits wide. Ranges are cut over (hash, document) and sorted by document and
+position inside; a window over that order streams the first occurrence of a line in each document,
+with no further shuffle. A line that a third of all documents hold is spread over many ranges, each
+of which hands on one summary row of it: how many documents, and the largest.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tidemill.llm.common import BLANKS, ascii_lower, let, stored
+from tidemill.llm.common import BLANKS, ascii_lower, let, own_names, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -33,6 +35,17 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
         "doc_id", "text_hash", "pos")
 
 
+def first_occurrences(lines: DataFrame) -> DataFrame:
+    """The row of ``line_hashes`` that comes first of its line and document, in sorted ranges.
+
+    The window's groups are the ranges' own sort keys, so it reads the ranges as they are sorted.
+    """
+    ranged = lines.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions(
+        "h1", "h2", "doc_id", "pos", "text_hash")
+    order = W.partitionBy("h1", "h2", "doc_id").orderBy("pos", "text_hash")
+    return ranged.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
+
+
 def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``doc_id, text_hash, dropped`` of documents that lose lines.
@@ -41,12 +54,8 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept, so clean documents have no row and long ones only the words with a dropped line.
     """
     lines = stored(line_hashes(docs, id_col, text_col, min_chars), "lines")
-    # rows of one line lie together, latest document first; each (line, document) streams into one
-    ranged = lines.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions(
-        "h1", "h2", F.desc("doc_id"), "pos")
-    seen = ranged.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("first_pos"))
     common = stored(
-        seen.groupBy(F.col("h1").alias("c1"), F.col("h2").alias("c2"))
+        first_occurrences(lines).groupBy(F.col("h1").alias("c1"), F.col("h2").alias("c2"))
         .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
         .where(F.col("n_docs") >= min_docs), "common")
     gone = lines.join(common, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))).where(
@@ -70,12 +79,16 @@ def _dense(dropped: Column) -> Column:
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__kept`` (the text that stays)."""
-    marks = bitmaps.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-                           F.col("dropped").alias("__dropped"))
-    joined = docs.join(marks, F.col(id_col).eqNullSafe(F.col("__id"))
-                       & (F.xxhash64(text_col) == F.col("__hash")), "left")
-    text, dropped = F.coalesce(F.col(text_col), F.lit("")), F.col("__dropped")
+    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__kept`` (the text that stays).
+
+    The three names get further underscores where ``docs`` has them already (``own_names``).
+    """
+    own, hashed, marked = own_names(docs, "marked_id", "marked_hash", "marked")
+    marks = bitmaps.select(F.col("doc_id").alias(own), F.col("text_hash").alias(hashed),
+                           F.col("dropped").alias(marked))
+    joined = docs.join(marks, F.col(id_col).eqNullSafe(F.col(own))
+                       & (F.xxhash64(text_col) == F.col(hashed)), "left")
+    text, dropped = F.coalesce(F.col(text_col), F.lit("")), F.col(marked)
 
     def kept(words: Column, at: Column) -> Column:
         word = F.coalesce(F.get(words, F.floor(at / 64).cast("int")), F.lit(0))
@@ -85,10 +98,11 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
         F.filter(_lines(F.col(text_col)), lambda _, at: kept(words, at)), "\n"))
     count = F.aggregate(dropped, F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w["bits"]))
     breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    n_lines, n_dropped, left = own_names(docs, "__n_lines", "__n_dropped", "__kept")
     return joined.select(
-        *docs.columns, (breaks + 1).cast("long").alias("__n_lines"),
-        F.coalesce(count, F.lit(0)).alias("__n_dropped"),
-        F.when(dropped.isNull(), text).otherwise(rest).alias("__kept"))
+        *docs.columns, (breaks + 1).cast("long").alias(n_lines),
+        F.coalesce(count, F.lit(0)).alias(n_dropped),
+        F.when(dropped.isNull(), text).otherwise(rest).alias(left))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
