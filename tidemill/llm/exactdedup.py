@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import ascii_lower, stored
 from tidemill.session import work_dir
 
-#: Input bytes of one micro-batch.
-BATCH_BYTES = 256 << 30
+#: Input bytes of one micro-batch; the state is asked once a batch for every digest in it.
+BATCH_BYTES = 4 << 30
 #: State on disk; only changes go to the shared folder; no disk is set aside for logs to come, which
 #: would be megabytes for each state partition.
 STATE_SETTINGS = {
@@ -32,10 +32,10 @@ def normal_text(text: Column) -> Column:
 
 
 def _rows(table: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    norm = normal_text(F.col(text_col))
+    norm, place = normal_text(F.col(text_col)), table.metadataColumn("_metadata")
     return table.select(
         F.col(id_col).alias("doc_id"), norm.alias("norm"), F.sha2(norm, 256).alias("digest"),
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        place["file_path"].alias("file"), place["row_index"].alias("row"))
 
 
 def _stream_path(spark: SparkSession, path: str) -> str:
@@ -79,7 +79,8 @@ def states(spark: SparkSession, log: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text",
-          files_per_batch: int | None = None) -> DataFrame:
+          files_per_batch: int | None = None, batch_bytes: int = BATCH_BYTES,
+          work: str | None = None) -> DataFrame:
     """One row per row of the Parquet table at ``path``:
     ``doc_id, keep_id, group_size, kept, digest``.
 
@@ -88,8 +89,13 @@ def dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str
     so exactly one of each group is kept. Null ids are smaller than all others. Every hit's bytes
     are compared with those of the row that stays; a digest shared by different texts is then
     grouped by the texts themselves. An empty table gives no rows.
+
+    ``work`` is a durable folder for the state's checkpoint and log: a later call on the same folder
+    streams only files that came since, and meets the state of the earlier ones. Without it the
+    stream starts on a new folder. Files are streamed ``batch_bytes`` (or ``files_per_batch``) at a
+    time, and each batch after the first is looked up in the state of those before.
     """
-    work = work_dir(spark, "dedup")
+    work = work or work_dir(spark, "dedup")
     table = _rows(spark.read.parquet(path), id_col, text_col)
     base = stored(table.drop("norm"), "digests")
     place = F.struct("doc_id", "file", "row")
@@ -99,7 +105,7 @@ def dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str
                            F.lit(0).cast("long").alias("group_size"),
                            F.lit(True).alias("kept"), "digest")
     digest_stream(spark, path, f"{work}/log", f"{work}/checkpoint", id_col, text_col,
-                  files_per_batch=files_per_batch)
+                  batch_bytes, files_per_batch)
     known = stored(states(spark, f"{work}/log").select(
         F.col("digest").alias("key"), "stays", "size"), "states")
     out = base.join(known, base.digest == known.key).select(
