@@ -64,22 +64,6 @@ def shingles(words: list[str]) -> list[str]:
     return [" ".join(words[k:k + SHINGLE]) for k in range(len(words) - SHINGLE + 1)]
 
 
-def anchors(templates: dict[str, str]) -> list[str]:
-    """Words of which every text holding ``CONTAINED`` of some template's shingles has one."""
-    chosen: set[str] = set()
-    for name, text in templates.items():
-        words = template_words(text)
-        parts = set(shingles(words))
-        if not parts:
-            raise ValueError(f"{name} has fewer than {SHINGLE} words")
-        for word in sorted(set(words), key=lambda w: (w not in chosen, -len(w), w)):
-            covered = sum(any(w in chosen for w in p.split()) for p in parts)
-            if len(parts) - covered < CONTAINED * len(parts) - 1e-9:
-                break
-            chosen.add(word)
-    return sorted(chosen)
-
-
 def template_table(spark: SparkSession) -> DataFrame:
     """``license, text`` of all templates that come with the package."""
     rows = [json.loads(line) for line in TABLE.read_text(encoding="utf-8").splitlines()]
