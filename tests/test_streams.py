@@ -14,6 +14,7 @@ from tidemill.streaming.enrich import async_enrich
 from tidemill.streaming.follow import snapshot_then_follow
 from tidemill.streaming.keyvalue import KeyValueSink, KeyValueWriter, PartWritten, live_values
 from tidemill.streaming.runner import run_batches, run_to_files, stream_settings
+from tidemill.streaming.timers import late_windows, stream_asof_join
 from tidemill.streaming.sinks import (
     BatchLog, BudgetedLoad, LateSplitter, PartitionCommitter, UpsertLog, reloading_lookup,
 )
@@ -391,6 +392,71 @@ def test_key_value_sink_with_another_session_active(spark, tables):
     assert got == wanted
 
 
+def test_late_rows_fire_again_across_restarts(spark, folder):
+    feed = Feed(spark, folder, "k string, ts timestamp, a int")
+
+    def run():
+        rows = late_windows(feed.stream(), "k", "ts", "a", 10_000, 2_000)
+        got = run_to_files(rows, "late", f"{folder}/ck", f"{folder}/out", rocksdb=True)
+        return sorted((r.key, r.window_ms - ms, r.kind, r.firing, r.n, r.total)
+                      for r in got.collect())
+
+    ms = int(START.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    feed.add([("a", at(1), 1), ("a", at(3), 2), ("b", at(4), 5), ("x", at(10), 0)])
+    assert run() == [("a", 0, "fired", 1, 2, 3), ("b", 0, "fired", 1, 1, 5)]
+    # the watermark is at 10: two late rows of a, the first row of c's window
+    feed.add([("a", at(2), 10), ("a", at(9), 20), ("c", at(5), 7), ("x", at(11), 0)])
+    second = run()
+    assert second[:3] == [("a", 0, "fired", 1, 2, 3), ("a", 0, "fired", 2, 3, 13),
+                          ("a", 0, "fired", 3, 4, 33)]
+    assert ("c", 0, "fired", 1, 1, 7) in second
+    feed.add([("x", at(13), 0)])  # 12 is passed: the windows are cleared
+    run()
+    feed.add([("a", at(8), 40), ("a", at(8), 2), ("x", at(14), 0)])
+    last = run()
+    assert ("a", 0, "late", 0, 2, 42) in last
+    assert len([r for r in last if r[0] == "a"]) == 4
+    held = (spark.read.format("statestore").option("stateVarName", "held").load(f"{folder}/ck"))
+    assert {r["key"]["key"] for r in held.collect()} == {"x"}
+
+
+def test_versions_wait_meet_and_go(spark, folder):
+    left = Feed(spark, f"{folder}/l", "k string, ts timestamp, id long")
+    right = Feed(spark, f"{folder}/r", "k string, ts timestamp, id long, v string")
+
+    def run():
+        rows = stream_asof_join(left.stream(), right.stream(), "k", "ts", "id", "id", F.col("v"),
+                                "5 seconds", salts=1)
+        got = run_to_files(rows, "asof", f"{folder}/ck", f"{folder}/out", rocksdb=True)
+        return sorted((r.id, r.version, r.value) for r in got.collect())
+
+    def stored(name):
+        return (spark.read.format("statestore").option("stateVarName", name)
+                .load(f"{folder}/ck").count())
+
+    left.add([("a", at(3), 1), ("a", at(8), 2), ("b", at(4), 3), ("a", at(12), 4)])
+    right.add([("a", at(7), 12, "second"), ("a", at(1), 11, "first"), ("b", at(9), 13, "later"),
+               ("a", at(10), 15, "fourth")])
+    # both inputs have passed 5: rows before are answered, out-of-order versions in time order
+    assert run() == [(1, 11, "first"), (3, None, None)]
+    right.add([("a", at(8), 14, "third"), ("a", at(30), 16, "far")])
+    left.add([("a", at(40), 5)])
+    assert run() == [(1, 11, "first"), (2, 14, "third"), (3, None, None), (4, 15, "fourth")]
+    # of a's versions up to 25 the newest stays, and the one to come
+    kept = (spark.read.format("statestore").option("stateVarName", "versions")
+            .load(f"{folder}/ck").where("key.key = 'a'").count())
+    assert stored("waiting") == 1 and kept == 2
+    many = [("a", at(30 + k / 10), 100 + k, f"v{k}") for k in range(50)]
+    right.add(many)
+    right.add([("a", at(60), 200, "end")])
+    left.add([("a", at(61), 6), ("a", at(2), 7)])  # the second is late
+    assert run()[-1] == (5, 149, "v49")
+    right.add([("a", at(90), 201, "after")])
+    left.add([("a", at(91), 8)])
+    assert run()[-1] == (6, 200, "end") and len(run()) == 6
+    assert stored("versions") <= 5
+
+
 def test_settings_are_given_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with stream_settings(spark, rocksdb=True, spark__sql__streaming__multipleWatermarkPolicy="max"):

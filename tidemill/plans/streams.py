@@ -26,6 +26,7 @@ from tidemill.streaming.enrich import async_enrich
 from tidemill.streaming.follow import snapshot_then_follow
 from tidemill.streaming.keyvalue import KeyValueSink, live_values
 from tidemill.streaming.runner import run_batches, run_to_files
+from tidemill.streaming.timers import late_windows, stream_asof_join
 from tidemill.streaming.sinks import (
     BatchLog, BudgetedLoad, LateSplitter, PartitionCommitter, UpsertLog, fan_out,
     reloading_lookup,
@@ -190,6 +191,40 @@ def late_side_output(t):
     return split.rows().groupBy("event_type", "late").agg(F.count("*").alias("n"))
 
 
+@query("i12_second_firing", """
+WITH e AS (SELECT CAST(user_id % 7 AS VARCHAR) AS key, time_bucket(INTERVAL 1 DAY, ts) AS w, ts, event_id,
+  CASE event_type WHEN 'error' THEN 2 WHEN 'signup' THEN 3 ELSE 1 END AS b FROM events),
+m AS (SELECT max(ts) FILTER (b = 1) AS m1, max(ts) FILTER (b < 3) AS m2, max(ts) AS m3 FROM e),
+r AS (SELECT *, w + INTERVAL 1 DAY AS e, CASE b WHEN 2 THEN m1 WHEN 3 THEN m2 END AS mark FROM e, m),
+k AS (SELECT *, coalesce(mark >= e + INTERVAL 10 DAY, false) AS gone,
+  coalesce(mark >= e, false) AS again FROM r),
+c AS (SELECT key, w, e, m3, count(*) FILTER (NOT again) AS n0, count(*) FILTER (again) AS n1
+  FROM k WHERE NOT gone GROUP BY ALL)
+SELECT key, epoch_ms(w) AS window_ms, 'fired' AS kind, 1 AS firing, n0 AS n FROM c
+  WHERE n0 > 0 AND e <= m3
+UNION ALL SELECT key, epoch_ms(w), 'fired', CAST((n0 > 0)::INT + j AS INT), n0 + j
+  FROM (SELECT *, unnest(range(1, n1 + 1)) AS j FROM c)
+UNION ALL SELECT key, epoch_ms(w), 'late', 0, count(*) FROM k WHERE gone GROUP BY key, w""")
+def second_firing(t):
+    """Days by key over three batches: errors and signups come after most days have fired.
+
+    A day takes late rows for ten days more and fires for each of them; older days send theirs to
+    the side.
+    """
+    turn = (F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "signup", 2)
+            .otherwise(0))
+    rows = t.events_ts.select("ts", "event_id", F.pmod("user_id", F.lit(7)).alias("key"),
+                              turn.alias("turn"))
+    out = work_dir(t.spark, "i12-turns")
+    for k in range(3):
+        rows.filter(F.col("turn") == k).coalesce(1).write.mode("append").parquet(out)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(out)
+    day = 86_400_000
+    fired = run_to_files(late_windows(stream, "key", "ts", "event_id", day, 10 * day), "i12",
+                         rocksdb=True)
+    return fired.groupBy("key", "window_ms", "kind", "firing").agg(F.sum("n").alias("n"))
+
+
 RUNNING_SQL = f"""
 SELECT user_id, count(*) AS n, {SUM('value')} AS total FROM events GROUP BY user_id"""
 
@@ -404,6 +439,29 @@ def stream_window_join(t):
     return run_to_files(rows.select("click_id", "view_id"), "d10")
 
 
+@query("d11_stream_temporal", """
+WITH p AS (SELECT * FROM events WHERE event_type = 'purchase'),
+v AS (SELECT * FROM events WHERE event_type = 'view'),
+m AS (SELECT least((SELECT max(ts) FROM p), (SELECT max(ts) FROM v)) - INTERVAL 3 DAY AS mark)
+SELECT p.event_id, v.event_id AS view_id, v.value AS view_value
+FROM (SELECT p.* FROM p, m WHERE epoch_us(ts) < epoch_ms(mark) * 1000) p
+ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def stream_temporal(t):
+    """The newest view of a purchase's user at its time; views come in two batches.
+
+    The second brings views up to two days older than the newest of the first, within the delay.
+    """
+    views = t.events_ts.filter("event_type = 'view'").select("user_id", "ts", "event_id", "value")
+    day, odd = F.dayofmonth("ts"), F.col("event_id") % 2 == 1
+    late = two_files(t, "d11-views", views, (day >= 16) | (day >= 14) & odd)
+    sales = t.events_stream.filter("event_type = 'purchase'").select("user_id", "ts", "event_id")
+    out = run_to_files(
+        stream_asof_join(sales, late, "user_id", "ts", "event_id", "event_id", F.col("value"),
+                         delay="3 days", salts=2), "d11", rocksdb=True)
+    return out.select(F.col("id").alias("event_id"), F.col("version").alias("view_id"),
+                      F.col("value").cast("double").alias("view_value"))
+
+
 @query("d12_stream_lookup", """
 SELECT l_orderkey, l_linenumber, p_name AS alias FROM lineitem
 LEFT JOIN part ON l_partkey = p_partkey AND p_brand = 'Brand#2'""")
