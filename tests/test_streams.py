@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators.joining import interval_join
-from tidemill.plans.streams import tumble
+from tidemill.plans.streams import first_in_time, tumble
 from tidemill.session import managed_database, qualified
 from tidemill.streaming import state
 from tidemill.streaming.enrich import async_enrich
@@ -457,6 +457,26 @@ def test_versions_wait_meet_and_go(spark, folder):
     assert stored("versions") <= 5
 
 
+def test_first_of_a_key_is_kept_while_its_time_lasts(spark, folder):
+    feed = Feed(spark, folder, "k string, ts timestamp, id long")
+
+    def run():
+        rows = first_in_time(feed.stream(), ["k"], "ts", "10 seconds")
+        return sorted(r.id for r in run_to_files(
+            rows, "first", f"{folder}/ck", f"{folder}/out").collect())
+
+    feed.add([("a", at(1), 1), ("b", at(2), 2)])
+    feed.add([("a", at(5), 3), ("b", at(7), 4), ("c", at(8), 5)])
+    assert run() == [1, 2, 5]
+    feed.add([("z", at(60), 6)])
+    run()
+    feed.add([("a", at(61), 7), ("a", at(62), 8)])  # the time of the first a is over
+    got = run()
+    assert got[:4] == [1, 2, 5, 6] and len(got) == 5
+    kept = spark.read.format("statestore").load(f"{folder}/ck").count()
+    assert kept == 2  # z and the new a; b and c are gone
+
+
 def test_settings_are_given_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with stream_settings(spark, rocksdb=True, spark__sql__streaming__multipleWatermarkPolicy="max"):

@@ -11,7 +11,7 @@ from tidemill.functions.columns import (
 from tidemill.operators import cells as cell
 from tidemill.operators import tables as tbl
 from tidemill.operators.distinct import (
-    bitmap_counts, bitmap_intersect, bitmap_rows, bitmap_union, extend_dictionary,
+    bitmap_counts, bitmap_ids, bitmap_intersect, bitmap_rows, bitmap_union, extend_dictionary,
 )
 from tidemill.operators.joining import dict_mapping
 from tidemill.operators.ledger import LabelUsed, LoadLedger
@@ -193,6 +193,44 @@ def test_bitmap_ids_over_one_bucket(spark):
     assert bitmap_counts(both, [], "n").first()["n"] == 2
 
 
+def test_bitmaps_of_any_density(spark):
+    """Sorted offsets, bits and mixtures of both against sets."""
+    import random
+
+    rng = random.Random(4)
+    sets = {
+        ("a", 1): {1, 2, 64, 65, 32768, 32769, 0, -5, -40000, 10**12},
+        ("a", 2): set(range(1, 32769)), ("a", 3): {5},
+        ("b", 1): set(rng.sample(range(1, 32769), 2047)),
+        ("b", 2): set(rng.sample(range(1, 32769), 2048)),
+        ("b", 3): set(rng.sample(range(1, 70000), 9000)),
+        ("c", 1): {k for k in range(1, 5000)}, ("c", 2): {k for k in range(4990, 9000)},
+    }
+    data = [(k, n, i) for (k, n), ids in sets.items() for i in ids] + [("a", 3, None), ("a", 3, 5)]
+    bits = bitmap_rows(spark.createDataFrame(data, "k string, n int, id long"), ["k", "n"], "id")
+    bits.cache()
+
+    def back(df, keys):
+        out = {}
+        for r in bitmap_ids(df, keys, "id").collect():
+            out.setdefault(tuple(r[c] for c in keys), set()).add(r["id"])
+        return out
+
+    assert back(bits, ["k", "n"]) == sets
+    sizes = {(r.k, r.n, r.bucket): len(r.bits) for r in bits.collect()}
+    assert sizes[("a", 3, 1)] == 2 and sizes[("b", 1, 1)] == 4094 and sizes[("b", 2, 1)] == 4096
+    union = {}
+    for (k, _), ids in sets.items():
+        union.setdefault((k,), set()).update(ids)
+    merged = bitmap_union(bits, ["k"])
+    assert back(merged, ["k"]) == union
+    assert {(r.k,): r.c for r in bitmap_counts(merged, ["k"], "c").collect()} == {
+        k: len(v) for k, v in union.items()}
+    both = bitmap_intersect(bits.where("n < 3"), ["k"]).filter("groups = 2")
+    assert back(both, ["k"]) == {
+        (k,): sets[k, 1] & sets[k, 2] for k in "abc" if sets[k, 1] & sets[k, 2]}
+
+
 def test_dictionary_ids_are_dense_and_stable(spark):
     first = extend_dictionary(
         spark.createDataFrame([], "k string, id long"),

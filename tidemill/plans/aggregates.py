@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemill.catalog import EMPLOYEES_SQL, query
 from tidemill.functions.columns import exact_avg, exact_sum, level_of, money
 from tidemill.operators.distinct import (
-    bitmap_counts, bitmap_intersect, bitmap_rows, bitmap_union, distinct_list,
+    bitmap_counts, bitmap_ids, bitmap_intersect, bitmap_rows, bitmap_union, distinct_list,
     extend_dictionary, list_parts,
 )
 
@@ -100,8 +100,8 @@ def bitmap_to_string(t):
     code = (F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "error", 2)
             .when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 4)
             .otherwise(5))
-    ids = t.events.select("user_id", code.alias("k")).distinct()
-    return ids.groupBy("user_id").agg(
+    bits = bitmap_rows(t.events.select("user_id", code.alias("k")), ["user_id"], "k")
+    return bitmap_ids(bits, ["user_id"], "k").groupBy("user_id").agg(
         F.array_join(F.array_sort(F.collect_list("k")).cast("array<string>"), ",").alias("types"),
         F.count("*").alias("n"),
     )

@@ -98,6 +98,17 @@ def two_phase_sum(t):
     )
 
 
+@query("g06_own_partitioner", """
+SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN 0 ELSE 1 + o_custkey % 3 END AS place
+FROM orders""")
+def own_partitioner(t):
+    """Urgent orders have a partition of their own, the others go by customer; a column decides."""
+    place = F.when(F.col("o_orderpriority").startswith("1"), 0).otherwise(
+        1 + F.col("o_custkey") % 3).cast("int")
+    rows = t.orders.select("o_orderkey", place.alias("id")).repartitionById(4, "id")
+    return rows.select("o_orderkey", F.spark_partition_id().cast("long").alias("place"))
+
+
 @query("g07_bucketed_key", """
 WITH h AS (SELECT c_custkey, c_mktsegment d, list_reduce(
     list_prepend(0::BIGINT, list_transform(string_split(c_mktsegment, ''), lambda c: ascii(c)::BIGINT)),

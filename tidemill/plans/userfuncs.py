@@ -1,6 +1,8 @@
 """User function queries (J)."""
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +29,21 @@ def registered_function(t):
 @query("j01_registered_table_function", """
 SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part""")
 def registered_table_function(t):
-    class Words:
-        def eval(self, text: str):
-            for word in (text or "").split(" "):
-                if word:
-                    yield (word,)
+    """A table function over Arrow batches of a whole table argument, registered by name."""
 
-    t.spark.udtf.register("tidemill_words", F.udtf(Words, returnType="word string"))
+    class Words:
+        def eval(self, rows: pa.RecordBatch):
+            split = pc.split_pattern(pc.fill_null(rows.column("p_name"), ""), " ")
+            words = pa.table({
+                "p_partkey": rows.column("p_partkey").take(pc.list_parent_indices(split)),
+                "word": pc.list_flatten(split)})
+            yield words.filter(pc.not_equal(words["word"], ""))
+
+    t.spark.udtf.register(
+        "tidemill_words", F.arrow_udtf(Words, returnType="p_partkey bigint, word string"))
     return t.spark.sql(
-        "SELECT p_partkey, word FROM {p}, LATERAL tidemill_words(p_name)", p=t.part)
+        "SELECT p_partkey, word FROM tidemill_words(TABLE({p}))",
+        p=t.part.select(F.col("p_partkey").cast("bigint"), "p_name"))
 
 
 @query("j02_scalar_overloads", """

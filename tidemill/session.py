@@ -14,6 +14,8 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; sizing settings stay with the caller."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # recursive queries end by their level; the row limit would cut large tables
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     make_active(spark)
     return spark
 
