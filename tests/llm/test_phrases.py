@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tidemill.llm import phrases
-from tidemill.llm.phrases import MisraGries, marked, phrase_counts, top_phrases
+from tidemill.llm.phrases import Marks, MisraGries, phrase_counts, top_phrases
 
 KIND = "doc_id long, text string, lang string"
 
@@ -173,12 +173,15 @@ def test_a_summary_that_falls_short_is_made_again(spark, monkeypatch):
 
 
 def _short_at_first(self, capacity):
-    self.capacity, self.short = capacity, 0 if capacity > 60 else 10
+    self.capacity, self.short = capacity, 0 if capacity > 300 else 10
     self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     self.waiting, self.size = [], 0
 
 
-def test_marked_bits():
-    keys = np.array([0, 1 << 63, (1 << 64) - 1], np.uint64)
-    table = np.frombuffer(phrases._marks(keys[:2], 8, 0, 256), np.uint8)
-    assert marked(table, keys).tolist() == [True, True, False]
+def test_marks_hold_what_was_put_and_few_strangers():
+    keys = np.random.default_rng(4).integers(0, 1 << 63, 6000).astype(np.uint64) * np.uint64(2)
+    marks = Marks(16, 8)
+    put, others = keys[:1000], keys[1000:]
+    for part in range(8):
+        marks.put(part, marks.packed(put[put >> np.uint64(61) == part], part))
+    assert marks.holds(put).all() and marks.holds(others).mean() < 0.01

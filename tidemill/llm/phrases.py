@@ -4,9 +4,9 @@ Counting every n-gram would move the whole text several times over, so frequent
 first. Occurrences of one length are dealt to hash partitions, where a Misra-Gries summary of more
 counters than ``mass / threshold`` meets them as a stream: each counter runs low by less than the
 threshold, so every frequent n-gram is still there at the end. A longer n-gram is only dealt if
-both n-grams one word shorter survived. Survivors are marked in a bit table of bounded size, in
-which strangers may fall on a marked bit; a second pass over the text counts all marked phrases
-exactly, by their words, and drops what is not frequent.
+both n-grams one word shorter survived. Survivors are marked by two bits each in a table of bounded
+size, in which a stranger may find both its bits marked; a second pass over the text counts all
+marked phrases exactly, by their words, and drops what is not frequent.
 
 Texts are read once: words become 64-bit hashes, checked to be different for different words, and
 sequences of numbers in stored blocks. Per-language figures are counts and cut-offs only.
@@ -34,7 +34,10 @@ SLICE = 4_000_000
 #: Bits of a table of survivors, smallest and largest: 128 KB to 16 MB.
 LEAST_BITS, MOST_BITS = 20, 27
 #: Hash partitions, largest number.
-MOST_PARTS = 1 << 14
+MOST_PARTS = 1 << 16
+#: Counters of a summary as a multiple of ``mass / threshold``: how far below the threshold what
+#: survives may lie is the threshold's share of this.
+COUNTERS = 8
 #: Rows of a per-language table up to which it is broadcast.
 FEW = 100_000
 
@@ -145,7 +148,7 @@ class _Block:
         key = (key ^ (key >> np.uint64(30))) * _MIX
         return key ^ (key >> np.uint64(31))
 
-    def levels(self, tables: list[np.ndarray], last: int) -> Iterator[tuple]:
+    def levels(self, tables: list[Marks], last: int) -> Iterator[tuple]:
         """``(n, keys, places)`` of n-grams all of whose shorter parts are marked in ``tables``."""
         key, fits = self.word, self.sequence > 0
         for n in range(1, last + 1):
@@ -155,7 +158,7 @@ class _Block:
             places = np.nonzero(fits)[0]
             yield n, key[places], places
             if n <= len(tables):
-                places = places[marked(tables[n - 1], key[places])]
+                places = places[tables[n - 1].holds(key[places])]
                 fits = np.zeros(len(key), bool)
                 fits[places] = True
 
@@ -165,21 +168,43 @@ def _read(batch: pa.RecordBatch) -> Iterator[_Block]:
         yield _Block(lang.as_py(), hashes.values.to_numpy(), sequence.as_py())
 
 
-def _bits(table: np.ndarray) -> int:
-    return (len(table) * 8).bit_length() - 1
+class Marks:
+    """Bit table of keys: two bits each, both in the stretch of the key's partition."""
 
+    def __init__(self, bits: int, parts: int):
+        self.bits, self.parts = bits, parts
+        self.table = np.zeros((1 << bits) // 8, np.uint8)
 
-def marked(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether the leading bits of each key are marked."""
-    at = keys >> np.uint64(64 - _bits(table))
-    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    @property
+    def stretch(self) -> int:
+        return (1 << self.bits) // self.parts
 
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low = np.uint64(self.stretch - 1)
+        first = keys >> np.uint64(64 - self.bits)
+        return first, (first & ~low) | (keys & low)
 
-def _marks(keys: np.ndarray, bits: int, first: int, size: int) -> bytes:
-    """Bits ``first`` to ``first + size`` of the table that marks ``keys``."""
-    flags = np.zeros(size, bool)
-    flags[(keys >> np.uint64(64 - bits)).astype(np.int64) - first] = True
-    return np.packbits(flags, bitorder="little").tobytes()
+    def packed(self, keys: np.ndarray, part: int) -> bytes:
+        """The stretch of ``part`` with the bits of ``keys``, which all belong there."""
+        flags = np.zeros(self.stretch, bool)
+        for places in self.places(keys):
+            flags[places.astype(np.int64) - part * self.stretch] = True
+        return np.packbits(flags, bitorder="little").tobytes()
+
+    def put(self, part: int, data: bytes) -> None:
+        size = self.stretch // 8
+        self.table[part * size:(part + 1) * size] = np.frombuffer(data, np.uint8)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for at in self.places(keys):
+            out &= (self.table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
+
+
+def _table(mass: int, threshold: int, parts: int) -> Marks:
+    bits = max((16 * mass // threshold).bit_length(), LEAST_BITS)
+    return Marks(max(min(bits, MOST_BITS), parts.bit_length() + 2), parts)
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,12 +258,12 @@ class MisraGries:
         return self.keys[self.counts + self.short >= threshold]
 
 
-def _level(spoken: DataFrame, n: int, tables: list[np.ndarray], mass: int, parts: int,
-           threshold: int) -> np.ndarray:
-    """Bit table of the n-grams that survive; ``tables`` are those of the shorter lengths."""
+def _level(spoken: DataFrame, n: int, tables: list[Marks], mass: int, parts: int,
+           threshold: int) -> Marks:
+    """Marks of the n-grams that survive; ``tables`` are those of the shorter lengths."""
     shift = np.uint64(64 - (parts.bit_length() - 1))
-    bits = min(MOST_BITS, max(LEAST_BITS, (16 * mass // threshold).bit_length(),
-                              parts.bit_length() + 3))
+    marks = _table(mass, threshold, parts)
+    shape = (marks.bits, parts)
     given = spoken.sparkSession.sparkContext.broadcast(tables)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +271,7 @@ def _level(spoken: DataFrame, n: int, tables: list[np.ndarray], mass: int, parts
             for block in _read(batch):
                 *_, (_, keys, _) = block.levels(given.value, n)
                 keys, counts = np.unique(keys, return_counts=True)
-                part = (keys >> shift).astype(np.int64) if parts > 1 else np.zeros(len(keys), int)
+                part = (keys >> shift).astype(np.int64)
                 ends = np.searchsorted(part, np.arange(parts + 1))
                 own = np.nonzero(ends[1:] > ends[:-1])[0]
                 yield pa.RecordBatch.from_arrays([
@@ -263,20 +288,19 @@ def _level(spoken: DataFrame, n: int, tables: list[np.ndarray], mass: int, parts
                     keys = np.frombuffer(keys, np.uint64)
                     kept.setdefault(part, MisraGries(capacity)).add(
                         keys, _widened(counts, len(keys)))
-            size = (1 << bits) // parts
             for part, summary in kept.items():
                 found = summary.frequent(threshold)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part], pa.int32()), pa.array([summary.short], pa.int64()),
-                    pa.array([_marks(found, bits, part * size, size)], pa.binary())],
+                    pa.array([Marks(*shape).packed(found, part)], pa.binary())],
                     ["part", "short", "marks"])
 
         return run
 
     dealt = spoken.select("lang", "hashes", "sequence").mapInArrow(
         deal, "part int, keys binary, counts binary").repartitionById(parts, F.col("part"))
-    # twice the even share; a partition whose share is larger is found by its own bound
-    capacity = 2 * (mass // (threshold * parts) + 1)
+    # a multiple of the even share; a partition whose share is larger yet is found by its own bound
+    capacity = COUNTERS * (mass // (threshold * parts) + 1)
     while True:
         rows = dealt.mapInArrow(
             summaries(capacity), "part int, short bigint, marks binary").collect()
@@ -284,11 +308,9 @@ def _level(spoken: DataFrame, n: int, tables: list[np.ndarray], mass: int, parts
             break
         capacity *= 2
     given.unpersist()
-    table = np.zeros((1 << bits) // 8, np.uint8)
-    size = len(table) // parts
     for r in rows:
-        table[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["marks"], np.uint8)
-    return table
+        marks.put(r["part"], r["marks"])
+    return marks
 
 
 def _narrow(counts: np.ndarray) -> bytes:
@@ -299,38 +321,92 @@ def _widened(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8 if len(data) == n else np.int64).astype(np.int64)
 
 
-def _marked_rows(spoken: DataFrame, tables: list[np.ndarray], longest: int) -> DataFrame:
-    """``lang, ids, a`` of marked phrases of 2 words and more, summed within blocks."""
+class RowSums:
+    """Counts by rows of word hashes, all of one length."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = self.size = 0
+
+    def add(self, rows: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((rows, counts))
+        self.size += len(rows)
+        if self.size >= 2 * self.held + 500_000:
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.concatenate([r for r, _ in self.parts])
+        counts = np.concatenate([c for _, c in self.parts])
+        order = np.lexsort(rows.T[::-1])
+        rows, counts = rows[order], counts[order]
+        first = np.nonzero(np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1))))[0]
+        rows, counts = rows[first], np.add.reduceat(counts, first)
+        self.parts, self.held, self.size = [(rows, counts)], len(rows), len(rows)
+        return rows, counts
+
+
+def _exact(spoken: DataFrame, tables: list[Marks], longest: int, parts: int,
+           threshold: int) -> DataFrame:
+    """``lang, ids, a`` of all phrases of 2 words and more found ``threshold`` times or more.
+
+    Marked phrases are counted by their words. Tasks sum what they read and deal packed sums to
+    hash partitions; a partition holds the marked phrases of its share, which the summaries'
+    capacity bounds but for the few strangers.
+    """
     given = spoken.sparkSession.sparkContext.broadcast(tables)
+    shift = np.uint64(64 - (parts.bit_length() - 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(sums: dict[tuple[str, int], RowSums]) -> Iterator[pa.RecordBatch]:
+        for (lang, n), own in sums.items():
+            rows, counts = own.merged()
+            key = np.zeros(len(rows), np.uint64)
+            for k in range(n):
+                key = _Block._mixed(key * _ODD + rows[:, k])
+            part = (key >> shift).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            rows, counts, part = rows[order], counts[order], part[order]
+            ends = np.searchsorted(part, np.arange(parts + 1))
+            used = np.nonzero(ends[1:] > ends[:-1])[0]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(used, pa.int32()), pa.array([lang] * len(used), pa.string()),
+                pa.array([n] * len(used), pa.int32()),
+                pa.array([rows[ends[p]:ends[p + 1]].tobytes() for p in used], pa.binary()),
+                pa.array([_narrow(counts[ends[p]:ends[p + 1]]) for p in used], pa.binary()),
+            ], ["part", "lang", "n", "rows", "counts"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], RowSums] = {}
         for batch in batches:
             for block in _read(batch):
                 for n, keys, places in block.levels(given.value, longest):
-                    if n == 1:
-                        continue
-                    places = places[marked(given.value[n - 1], keys)]
-                    if not len(places):
-                        continue
-                    # by words, so that phrases of one key stay apart
-                    rows = np.stack([block.sequence[places + k] for k in range(n)], axis=1)
-                    order = np.lexsort(rows.T[::-1])
-                    rows = rows[order]
-                    first = np.nonzero(np.concatenate(
-                        ([True], (rows[1:] != rows[:-1]).any(axis=1))))[0]
-                    counts = np.diff(np.append(first, len(rows)))
-                    ids = block.hashes[rows[first]].view(np.int64)
-                    for at in range(0, len(ids), 200_000):
-                        part = ids[at:at + 200_000]
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([block.lang] * len(part), pa.string()),
-                            pa.ListArray.from_arrays(
-                                pa.array(np.arange(0, part.size + 1, n), pa.int32()),
-                                pa.array(part.ravel())),
-                            pa.array(counts[at:at + 200_000])], ["lang", "ids", "a"])
+                    if n > 1 and len(places := places[given.value[n - 1].holds(keys)]):
+                        numbers = np.stack([block.sequence[places + k] for k in range(n)], axis=1)
+                        sums.setdefault((block.lang, n), RowSums()).add(
+                            block.hashes[numbers], np.ones(len(numbers), np.int64))
+                if sum(s.size for s in sums.values()) >= BLOCK_WORDS:
+                    yield from packed(sums)
+                    sums = {}
+        yield from packed(sums)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], RowSums] = {}
+        for batch in batches:
+            for lang, n, rows, counts in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                rows = np.frombuffer(rows, np.uint64).reshape(-1, n)
+                sums.setdefault((lang, n), RowSums()).add(rows, _widened(counts, len(rows)))
+        for (lang, n), own in sums.items():
+            rows, counts = own.merged()
+            rows, counts = rows[counts >= threshold].view(np.int64), counts[counts >= threshold]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(rows), pa.string()),
+                pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, n), pa.int32()),
+                                         pa.array(rows.ravel())),
+                pa.array(counts)], ["lang", "ids", "a"])
 
     return spoken.select("lang", "hashes", "sequence").mapInArrow(
-        run, "lang string, ids array<bigint>, a bigint")
+        deal, "part int, lang string, n int, rows binary, counts binary"
+    ).repartitionById(parts, F.col("part")).mapInArrow(
+        total, "lang string, ids array<bigint>, a bigint")
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -370,47 +446,41 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
     if longest < 2 or mass < threshold:
         return single, words, totals
     parts = min(MOST_PARTS, _power_of_two(max(docs.rdd.getNumPartitions(), 8)))
-    tables: list[np.ndarray] = [_word_table(words, mass, threshold)]
+    tables = [_word_table(words, mass, parts, threshold)]
     for n in range(2, longest + 1):
         tables.append(_level(spoken, n, tables, mass, parts, threshold))
-    long = _marked_rows(spoken, tables, longest).groupBy("lang", "ids").agg(
-        F.sum("a").alias("a")).where(F.col("a") >= threshold)
+    long = _exact(spoken, tables, longest, parts, threshold)
     return stored(single.union(long), "counts"), words, totals
 
 
-def _word_table(words: DataFrame, mass: int, threshold: int) -> np.ndarray:
-    """Bit table of the frequent words, built in pieces of bounded size."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (16 * mass // threshold).bit_length()))
-    pieces = 64
+def _word_table(words: DataFrame, mass: int, parts: int, threshold: int) -> Marks:
+    """Marks of the frequent words; a stretch of the table is made in one task."""
+    marks = _table(mass, threshold, parts)
+    shape = (marks.bits, parts)
+    shift = np.uint64(64 - (parts.bit_length() - 1))
 
-    def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_lang: dict[str, list[int]] = {}
             for lang, id_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by_lang.setdefault(lang, []).append(id_)
             for lang, ids in by_lang.items():
-                block = _Block(lang, np.array(ids, np.int64),
-                               np.arange(1, len(ids) + 1, dtype="<u4").tobytes())
-                at = (block.word >> np.uint64(64 - bits)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(at)], ["at"])
-
-    size = (1 << bits) // pieces
+                key = _Block(lang, np.array(ids, np.int64),
+                             np.arange(1, len(ids) + 1, dtype="<u4").tobytes()).word
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((key >> shift).astype(np.int32)), pa.array(key.view(np.int64))],
+                    ["part", "key"])
 
     def packed(key: tuple, table: pa.Table) -> pa.Table:
-        flags = np.zeros(size, bool)
-        flags[table.column("at").to_numpy() - key[0].as_py() * size] = True
-        return pa.table({"piece": pa.array([key[0].as_py()], pa.int64()),
-                         "marks": pa.array([np.packbits(flags, bitorder="little").tobytes()],
-                                           pa.binary())})
-
-    rows = (words.select("lang", "id").mapInArrow(positions, "at bigint").distinct()
-            .select(F.expr(f"at div {size}").alias("piece"), "at")
-            .groupBy("piece").applyInArrow(packed, "piece bigint, marks binary").collect())
-    table = np.zeros((1 << bits) // 8, np.uint8)
-    for r in rows:
-        at = r["piece"] * size // 8
-        table[at:at + size // 8] = np.frombuffer(r["marks"], np.uint8)
-    return table
+        part = key[0].as_py()
+        keys = table.column("key").to_numpy().view(np.uint64)
+        return pa.table({"part": pa.array([part], pa.int32()),
+                         "marks": pa.array([Marks(*shape).packed(keys, part)], pa.binary())})
+
+    for r in (words.select("lang", "id").mapInArrow(keyed, "part int, key bigint")
+              .groupBy("part").applyInArrow(packed, "part int, marks binary").collect()):
+        marks.put(r["part"], r["marks"])
+    return marks
 
 
 def _whole(n: int | Column) -> Column:
