@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemill.llm.common import stored
+
 #: Bounds of the training sample: documents (one a language at least), bytes taken of one of them.
 SAMPLE_DOCS = 1600
 SAMPLE_BYTES = 20_000
@@ -297,19 +299,19 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.col(text_col).alias("text")).where(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
         & ~held_out("id")).withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 30)))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    # one row a language, as the model has: smaller than what every task is sent of that
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
     langs = counts.count()
     if not langs:
         return []
     each = max(1, most // langs)
-    # few more than wanted of a frequent language; a rare one whole
-    near = rows.join(counts, "lang").where(
-        F.col("h") * F.col("rows") <= F.lit(float(1 << 30)) * (3 * each + 20))
+    # few more than wanted of a frequent language, a rare one whole; of a text as many characters
+    # as the bytes could hold, the rest is cut off when they are read
+    near = rows.join(F.broadcast(counts), "lang").where(
+        F.col("h") * F.col("rows") <= F.lit(float(1 << 30)) * (1.2 * each + 50)).select(
+            "lang", "id", "h", F.substring("text", 1, text_bytes).alias("text"))
     first = F.row_number().over(W.partitionBy("lang").orderBy("h", "id", "text"))
-    # as many characters hold those bytes; the rest is cut off after they are read
-    short = F.substring("text", 1, text_bytes)
-    chosen = near.withColumn("at", first).where(F.col("at") <= each).select(
-        "lang", short.alias("text"), "h")
+    chosen = near.withColumn("at", first).where(F.col("at") <= each).select("lang", "text", "h")
     return [(r.lang, _first_bytes(r.text, text_bytes))
             for r in sorted(chosen.collect(), key=lambda r: (r.h, r.lang, r.text))]
 
