@@ -81,23 +81,28 @@ def _is_dense(bits: Column) -> Column:
     return F.octet_length(bits) == _DENSE_BYTES
 
 
-def _words(df: DataFrame, keep: list[str], name: str) -> DataFrame:
-    """``(keep, word, word_bits)``: the 64-id words of every bitmap that hold an id.
+def _sparse_words(df: DataFrame, keep: list[str], name: str) -> DataFrame:
+    """``(keep, word, word_bits)`` of bitmaps stored as offsets: a row per id."""
+    rows = df.where(~_is_dense(F.col(name))).select(
+        *keep, F.explode(_offsets(F.col(name))).alias("__at"))
+    return rows.select(*keep, F.floor(F.col("__at") / _WORD).cast("int").alias("word"),
+                       F.expr(_BIT).alias("word_bits"))
 
-    A bitmap of offsets gives a row per id, so the rows of a word are still to be put together.
-    """
+
+def _dense_words(df: DataFrame, keep: list[str], name: str) -> DataFrame:
+    """``(keep, word, word_bits)`` of bitmaps stored as bits: a row per word that holds an id."""
     bits = F.col(name)
-    offset = F.col("__at")
-    sparse = df.where(~_is_dense(bits)).select(*keep, F.explode(_offsets(bits)).alias("__at"))
-    sparse = sparse.select(
-        *keep, F.floor(offset / _WORD).cast("int").alias("word"), F.expr(_BIT).alias("word_bits"))
     every = F.explode(F.sequence(F.lit(0), F.lit(_BITS // _WORD - 1)))
     # conv reads 64 bits unsigned; as text that may pass a long, so two halves are put together
     high, low = (_part(bits, F.col("word") * 8 + k, 4).cast("long") for k in (1, 5))
-    dense = df.where(_is_dense(bits)).select(*keep, name, every.alias("word")).select(
-        *keep, "word", (F.shiftleft(high, 32).bitwiseOR(low)).alias("word_bits")).where(
+    return df.where(_is_dense(bits)).select(*keep, name, every.alias("word")).select(
+        *keep, "word", F.shiftleft(high, 32).bitwiseOR(low).alias("word_bits")).where(
             "word_bits <> 0")
-    return sparse.unionByName(dense)
+
+
+def _words(df: DataFrame, keep: list[str], name: str) -> DataFrame:
+    """Words of 64 ids of every bitmap; the rows of a word are still to be put together."""
+    return _sparse_words(df, keep, name).unionByName(_dense_words(df, keep, name))
 
 
 def bitmap_rows(df: DataFrame, keys: list[str], id_col: str, name: str = "bits") -> DataFrame:
@@ -121,8 +126,7 @@ def bitmap_union(df: DataFrame, keys: list[str], name: str = "bits") -> DataFram
     group = [*keys, "bucket"]
     dense = df.where(_is_dense(F.col(name))).groupBy(*group).agg(
         F.bitmap_or_agg(name).alias(name))
-    words = _words(df.where(~_is_dense(F.col(name))), group, name).unionByName(
-        _words(dense, group, name))
+    words = _sparse_words(df, group, name).unionByName(_dense_words(dense, group, name))
     return _containers(words.groupBy(*group, "word").agg(
         F.bit_or("word_bits").alias("word_bits")), keys, name)
 
