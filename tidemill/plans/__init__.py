@@ -4,7 +4,7 @@ import importlib
 
 MODULES = (
     "scans", "writes", "projection", "joins", "aggregates", "windows", "ordering",
-    "scalars", "streams", "userfuncs", "lifecycle", "flows",
+    "scalars", "streams", "userfuncs", "lifecycle", "flows", "jobs",
 )
 
 

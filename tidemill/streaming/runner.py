@@ -67,3 +67,25 @@ def run_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], label:
             .trigger(availableNow=True).start()
         )
         query.awaitTermination()
+
+
+def run_until_quiet(df: DataFrame, label: str, checkpoint: str | None = None,
+                    out: str | None = None, **settings: str) -> DataFrame:
+    """As :func:`run_to_files`, for sources that end a batch themselves.
+
+    An available-now trigger asks a source for its end once and stops there; here batches follow
+    each other until one finds nothing new.
+    """
+    spark = df.sparkSession
+    root = work_dir(spark, label)
+    out = out or f"{root}/data"
+    with stream_settings(spark, **settings):
+        query = (
+            df.writeStream.outputMode("append").format("parquet").option("path", out)
+            .option("checkpointLocation", checkpoint or f"{root}/checkpoint").start()
+        )
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    return spark.read.schema(df.schema).parquet(out)
