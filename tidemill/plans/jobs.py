@@ -8,7 +8,7 @@ from tidemill.plans.streams import flat, tumble, two_files, windowed_sql
 from tidemill.session import make_active, qualified, work_dir
 from tidemill.sources.marked import MarkedSource
 from tidemill.streaming.counters import LoadJob
-from tidemill.streaming.idle import POLICY, merge_inputs
+from tidemill.streaming.idle import POLICY, heartbeat, merge_inputs
 from tidemill.streaming.lookup import ParquetLookup, cached_lookup
 from tidemill.streaming.published import Fenced, PublishedLog
 from tidemill.streaming.runner import run_batches, run_to_files, run_until_quiet
@@ -66,6 +66,34 @@ def lookup_cache(t):
     return run_to_files(rows.drop("o_custkey"), "d13c")
 
 
+@query("d14_late_table_rows", """
+WITH n AS (SELECT *, CASE WHEN n_nationkey < 13 THEN TIMESTAMP '2023-12-31'
+  ELSE TIMESTAMP '2024-01-10' END AS loaded FROM nation),
+e AS (SELECT *, user_id % 30 AS nk FROM events),
+closed AS (SELECT least(max(ts) - INTERVAL 30 SECOND, greatest(max(ts) - INTERVAL 25 DAY,
+  (SELECT max(loaded) FROM n))) AS wm FROM events)
+SELECT event_id, n_name FROM e LEFT JOIN n ON n_nationkey = nk AND ts >= loaded, closed
+WHERE n_name IS NOT NULL OR ts < wm""")
+def late_table_rows(t):
+    """The table grows after the events are in; its new rows serve the events since their arrival.
+
+    Events wait for the table's time, which is that of its newest row and trails the events by 25
+    days at most, so a table that stops growing does not keep unmatched events for ever.
+    """
+    loaded = F.when(F.col("n_nationkey") < 13, F.lit("2023-12-31")).otherwise(
+        F.lit("2024-01-10")).cast("timestamp")
+    table = two_files(t, "d14-table", t.nation.select("n_nationkey", "n_name", loaded.alias("loaded")),
+                      F.col("n_nationkey") >= 13)
+    left = t.events_stream.select(
+        "event_id", "ts", F.pmod("user_id", F.lit(30)).cast("int").alias("nk")
+    ).withWatermark("ts", "30 seconds")
+    right = heartbeat(table, t.events_stream.select(F.col("ts").alias("loaded")), "loaded",
+                      "25 days", "0 seconds")
+    rows = left.join(right, (F.col("nk") == F.col("n_nationkey")) & (F.col("ts") >= F.col("loaded"))
+                     & (F.col("ts") <= F.col("loaded") + F.expr("INTERVAL 366 DAYS")), "left")
+    return run_to_files(rows.select("event_id", "n_name"), "d14g", **POLICY)
+
+
 class _Crash(RuntimeError):
     pass
 
