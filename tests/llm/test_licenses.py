@@ -2,6 +2,9 @@
 
 import json
 import re
+import struct
+
+import xxhash
 
 from tidemill.llm.licenses import CONTAINED, TABLE, TEMPLATES, scan, shingles, template_words
 
@@ -81,3 +84,64 @@ def test_templates_given_as_a_table(spark):
                                   (None, "one two three four five", "w", 1)], SCHEMA)
     got = [(r.doc_id, [tuple(m) for m in r.matches]) for r in scan(docs, given).collect()]
     assert sorted(got, key=repr) == [(1, [("own", 1.0)]), (1, []), (None, [])]
+
+
+def _signed(value):
+    return value - 2 ** 64 if value >= 2 ** 63 else value
+
+
+def _shingle_hash(part):
+    seed = 42
+    for word in part.split(" "):
+        seed = xxhash.xxh64_intdigest(word.encode(), seed)
+    return _signed(seed)
+
+
+def _minima(parts, bands):
+    hashes = [struct.pack("<q", _shingle_hash(p)) for p in parts]
+    starts = [xxhash.xxh64_intdigest(struct.pack("<i", b), 42) for b in range(bands)]
+    return [min(_signed(xxhash.xxh64_intdigest(h, s)) for h in hashes) for s in starts]
+
+
+def banded(text, templates, bands):
+    """Every window with its minima; only those with a common one are scored."""
+    found = shingles(template_words(text or ""))
+    out = {}
+    for name, t in templates.items():
+        want, size = set(shingles(template_words(t))), len(template_words(t)) - 4
+        stride, sign = max(1, size // 2), _minima(want, bands)
+        for start in range(0, len(found), stride):
+            held = set(found[start:start + size + stride - 1])
+            share = len(want & held) / len(want)
+            if share >= CONTAINED and any(map(int.__eq__, sign, _minima(held, bands))):
+                out[name] = max(out.get(name, 0), round(share, 9))
+    return out
+
+
+def test_minima_choose_the_windows(spark):
+    text, other = (TEMPLATES[n] for n in ("mit", "bsd"))
+    rows = [None, "", text, other, f"{text} {text} {other}"]
+    for k in range(60):  # copies in other surroundings, with a word changed here and there
+        words = f"{text} {other}".split()
+        words[k % len(words)] = f"x{k}"
+        words[(k * 7 + 30) % len(words)] = f"y{k}"
+        rows.append(" ".join(f"z{k}{n}" for n in range(k)) + " " + " ".join(words))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    given = {n: TEMPLATES[n] for n in ("mit", "bsd", "mit-notice")}
+    missed = {}
+    for bands in (1, 2, 24):
+        got = {r.doc_id: {m.license: round(m.containment, 9) for m in r.matches}
+               for r in scan(docs, given, bands=bands).collect()}
+        assert got == {k: banded(t, given, bands) for k, t in enumerate(rows)}
+        missed[bands] = sum(len(plain(t).keys() & given.keys() - got[k].keys())
+                            for k, t in enumerate(rows))
+    assert missed[1] > 0 == missed[24]
+
+
+def test_templates_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(TEMPLATES.values())],
+                                 "doc_id long, text string")
+    whole = sorted(map(repr, scan(docs).collect()))
+    monkeypatch.setattr("tidemill.llm.licenses.SENT_TEMPLATES", 30)
+    monkeypatch.setattr("tidemill.llm.licenses.SENT_PARTS", 10)
+    assert sorted(map(repr, scan(docs).collect())) == whole
