@@ -168,6 +168,52 @@ def test_state_is_kept_or_forgotten(spark, folder):
     assert totals(1000, "ttl") == [begin, (0, [3], 1, "a=1")]
 
 
+def test_hot_keys_are_shared_by_salts(spark, folder):
+    feed = Feed(spark, folder, "key long, id long, kind string")
+    log = BatchLog(spark, f"{folder}/log")
+
+    def run():
+        run_batches(state.keyed_totals(feed.stream(), salts=3), log.write, "salts", mode="update",
+                    checkpoint=f"{folder}/c", rocksdb=True)
+
+    feed.add([(1, i, "a" if i % 2 else "b,=") for i in range(5000)] + [(2, 9, None)])
+    run()
+    feed.add([(1, i, "a") for i in range(5000, 5100)])
+    run()
+    parts = log.rows().cache()
+    assert parts.filter("key = 1").select("salt").distinct().count() == 3
+    assert all(len(r.ids) <= state.PART_IDS and len(r.last) <= state.LAST_IDS
+               for r in parts.collect())
+    ids = [i for r in parts.filter("key = 1").collect() for i in r.ids]
+    assert sorted(ids) == list(range(5100))
+    got = {r.key: (r.n, r.listed, r.id_total, r.kinds) for r in state.merged_totals(
+        parts).collect()}
+    assert got == {1: (5100, 5100, sum(range(5100)), "a=2600,b,==2500"), 2: (1, 1, 9, None)}
+
+
+def test_packages_of_one_header_are_shared_by_salts(spark, folder):
+    headers = Feed(spark, f"{folder}/h", "code long, seq long, info string")
+    packages = Feed(spark, f"{folder}/p", "code long, seq long, package long")
+    out = f"{folder}/out"
+
+    def run():
+        run_to_files(state.header_packages(headers.stream(), packages.stream(), 3), "hot",
+                     checkpoint=f"{folder}/c", out=out, rocksdb=True)
+        return sorted((r["code"], -1 if r["package"] is None else r["package"], r["info"])
+                      for r in spark.read.parquet(out).collect())
+
+    headers.add([(3, 0, "h3")])
+    packages.add([(1, 0, k) for k in range(50)] * 2)
+    assert run() == [(3, -1, "h3")]
+    headers.add([(1, 0, "h1"), (1, 0, "again"), (2, 0, "h2")])
+    packages.add([(1, 0, 50), (2, 0, 7)])
+    both = [(1, k, "h1") for k in range(51)] + [(2, 7, "h2"), (3, -1, "h3")]
+    assert run() == both
+    packages.add([(3, 0, 5)])
+    headers.add([(4, 0, "h4")])
+    assert run() == sorted([*both, (3, 5, "h3"), (4, -1, "h4")])
+
+
 def test_budget_pauses_and_resumes_from_the_checkpoint(spark, folder):
     feed = Feed(spark, folder, "id int")
     feed.add([(1,), (None,)])

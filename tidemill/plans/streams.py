@@ -112,15 +112,23 @@ def idle_input(t):
 
 
 @query("i06_processing_time", """
-SELECT event_type, count(*) AS n, true AS stamped FROM events GROUP BY event_type""")
+SELECT event_type, CASE event_type WHEN 'error' THEN 2 ELSE 1 END AS arrival, count(*) AS n,
+  true AS stamped FROM events GROUP BY event_type""")
 def processing_time(t):
-    """Windows on the arrival time; all rows of this run arrive in one window or two."""
-    rows = t.events_stream.withColumn("proc_time", F.current_timestamp())
-    out = run_to_files(rows.select("event_type", "proc_time"), "i06")
-    windows = out.groupBy(F.window("proc_time", "10 minutes"), "event_type").agg(
+    """Windows on the time of arrival: errors come in a second batch, so in later windows."""
+    rows = two_files(t, "i06-files", t.events, F.col("event_type") == "error").withColumn(
+        "proc_time", F.current_timestamp())
+    windows = rows.groupBy(F.window("proc_time", "1 millisecond"), "event_type").agg(
         F.count("*").alias("n"))
-    return windows.groupBy("event_type").agg(
-        F.sum("n").alias("n"), F.every(F.col("window").isNotNull()).alias("stamped"))
+    log = UpsertLog(t.spark, work_dir(t.spark, "i06"), ["window", "event_type"])
+    run_batches(windows, log.upsert, "i06", mode="update")
+    seen = log.current()
+    # one row per window, thus per micro-batch
+    starts = seen.select(F.col("window.start").alias("start")).distinct()
+    order = starts.agg(F.array_sort(F.collect_list("start"))).scalar()
+    return seen.select(
+        "event_type", F.array_position(order, F.col("window.start")).cast("int").alias("arrival"),
+        "n", F.col("window.start").isNotNull().alias("stamped"))
 
 
 @query("i07_tumbling_window", windowed_sql("1 DAY", "event_type", f"""count(*) AS n,
@@ -256,21 +264,14 @@ def _keyed(df):
                      F.col("event_type").alias("kind"))
 
 
-def _keyed_result(parts):
-    """Latest count and kinds of a key, and what its numbered list parts hold."""
-    return parts.groupBy("key").agg(
-        F.max("n").alias("n"), F.sum(F.size("ids")).alias("listed"),
-        F.sum(F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x)).alias("id_total"),
-        F.max_by("kinds", "n").alias("kinds"))
-
-
 @query("i14_keyed_state", KEYED_SQL("true"))
 def keyed_state(t):
-    """Value, list and map state per user, kept in the state store over two batches."""
+    """Value, list and map state per user and salt, kept in the state store over two batches."""
     log = BatchLog(t.spark, work_dir(t.spark, "i14"))
     rows = two_files(t, "i14-files", t.events, F.col("event_id") % 2 == 1)
-    run_batches(state.keyed_totals(_keyed(rows)), log.write, "i14", mode="update", rocksdb=True)
-    return _keyed_result(log.rows())
+    run_batches(state.keyed_totals(_keyed(rows), salts=4), log.write, "i14", mode="update",
+                rocksdb=True)
+    return state.merged_totals(log.rows())
 
 
 @query("i16_state_ttl", KEYED_SQL("event_id % 2 = 1"))
@@ -286,7 +287,7 @@ def state_ttl(t):
     run_batches(
         state.keyed_totals(_keyed(rows), ttl_ms=1000), slow, "i16", mode="update",
         rocksdb=True, spark__sql__streaming__noDataMicroBatches__enabled="false")
-    return _keyed_result(log.only(1))
+    return state.merged_totals(log.only(1))
 
 
 @query("i15_running_sum_in_sink", f"SELECT {SUM('value')} AS total FROM events")

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StatefulProcessor
 
 #: Ids in one numbered part of an emitted list.
 PART_IDS = 1000
+#: Ids of a key that stay in state.
+LAST_IDS = 10
 
 
 def _salted(wide: DataFrame, narrow: DataFrame, by, salts: int) -> tuple[DataFrame, DataFrame]:
@@ -70,14 +72,26 @@ def priced_deals(prices: DataFrame, deals: DataFrame, salts: int = 4) -> DataFra
         PricedDeals(), "item long, deal_id long, qty double, price double", "append", "none")
 
 
+#: The salt of the state that decides whether a header goes out alone.
+ALONE = -1
+
+
 class HeaderPackages(StatefulProcessor):
-    """Packages before their header wait; a header without packages goes out alone."""
+    """Packages before their header wait; a header without packages goes out alone.
+
+    Keys are (code, salt). Each salt joins its share of the packages; the salt ``ALONE`` gets the
+    header and a sign of the first packages, and lets the header out if there was no sign yet.
+    """
 
     def init(self, handle) -> None:
         self.header = handle.getValueState("header", "info string")
         self.packages = handle.getMapState("packages", "package long", "seq long")
+        self.seen = handle.getValueState("seen", "any boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if key[1] == ALONE:
+            yield from self._alone(key[0], rows)
+            return
         stored = self.header.get()
         info, known = (stored[0], True) if stored is not None else (None, False)
         for pdf in rows:
@@ -93,30 +107,56 @@ class HeaderPackages(StatefulProcessor):
                 self.header.update((info,))
                 waiting = [p[0] for p, _ in self.packages.iterator()]
                 self.packages.clear()
-                ids = list(dict.fromkeys([*waiting, *ids])) or [None]
+                ids = list(dict.fromkeys([*waiting, *ids]))
             if ids:
-                yield pd.DataFrame({"code": key[0], "package": pd.array(ids, "Int64"),
-                                    "info": info})
+                yield self._rows(key[0], ids, info)
+
+    def _alone(self, code, rows) -> Iterator[pd.DataFrame]:
+        infos, signs = [], False
+        for pdf in rows:  # a sign may come in a later part of the batch than the header
+            infos += pdf[pdf.kind == "header"]["info"].tolist()
+            signs = signs or bool((pdf.kind == "sign").any())
+        if signs and not self.seen.exists():
+            self.seen.update((True,))
+        if infos and not self.header.exists():
+            self.header.update((infos[0],))
+            if not self.seen.exists():
+                yield self._rows(code, [None], infos[0])
+
+    @staticmethod
+    def _rows(code, ids, info) -> pd.DataFrame:
+        return pd.DataFrame({"code": code, "package": pd.array(ids, "Int64"), "info": info})
 
     def close(self) -> None:
         pass
 
 
-def header_packages(headers: DataFrame, packages: DataFrame) -> DataFrame:
-    """``headers(code, seq, info)`` and ``packages(code, seq, package)`` joined in state."""
-    h = headers.select("code", "seq", F.lit("header").alias("kind"),
+def header_packages(headers: DataFrame, packages: DataFrame, salts: int = 4) -> DataFrame:
+    """``headers(code, seq, info)`` and ``packages(code, seq, package)`` joined in state.
+
+    The packages of a code are shared by ``salts`` states, the header goes to all of them. The
+    packages are read twice: once as they are, once for one sign per code and salt.
+    """
+    h = headers.select("code", F.lit("header").alias("kind"),
                        F.lit(None).cast("bigint").alias("package"), "info")
-    p = packages.select("code", "seq", F.lit("package").alias("kind"),
+    p = packages.select("code", F.lit("package").alias("kind"),
                         F.col("package").cast("bigint"), F.lit(None).cast("string").alias("info"))
-    return p.unionByName(h).groupBy("code").transformWithStateInPandas(
+    p, h = _salted(p, h, "package", salts)
+    alone = F.lit(ALONE).alias("salt")
+    signs = p.select("code", "salt", F.lit("sign").alias("kind")).dropDuplicates(["code", "salt"])
+    signs = signs.select("code", "kind", F.lit(None).cast("bigint").alias("package"),
+                         F.lit(None).cast("string").alias("info"), alone)
+    first = h.filter("salt = 0").select("code", "kind", "package", "info", alone)
+    rows = p.unionByName(h).unionByName(signs).unionByName(first)
+    return rows.groupBy("code", "salt").transformWithStateInPandas(
         HeaderPackages(), "code long, package long, info string", "append", "none")
 
 
 class KeyedTotals(StatefulProcessor):
-    """Row count (value), all ids (list) and count per kind (map) of a key.
+    """Row count (value), last ids (list) and count per kind (map) of a key, or of its salt.
 
-    The list grows in state by appends. Its new stretch goes out in numbered parts, so that no
-    output row grows with the key; the parts of a key together are its list.
+    The list of all ids lies in what goes out, not in state: its new stretch goes out in numbered
+    parts, so that neither state nor an output row grows with the rows of a key.
     """
 
     def __init__(self, ttl_ms: int | None = None):
@@ -124,42 +164,67 @@ class KeyedTotals(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.count = handle.getValueState("count", "n long", ttlDurationMs=self.ttl_ms)
-        self.ids = handle.getListState("ids", "id long", ttlDurationMs=self.ttl_ms)
+        self.last = handle.getListState("last", "id long", ttlDurationMs=self.ttl_ms)
         self.kinds = handle.getMapState(
             "kinds", "kind string", "n long", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n = self.count.get()[0] if self.count.exists() else 0
+        last = [r[0] for r in self.last.get()] if self.last.exists() else []
         for pdf in rows:
             ids = pdf.id.tolist()
-            self.ids.appendList([(i,) for i in ids])
+            last = [*last, *ids][-LAST_IDS:]
             for kind, add in pdf.kind.value_counts().items():
                 old = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
                 self.kinds.updateValue((kind,), (old + int(add),))
-            shown = ",".join(f"{k}={v}" for k, v in sorted(
-                (k[0], v[0]) for k, v in self.kinds.iterator()))
+            kinds = sorted((k[0], v[0]) for k, v in self.kinds.iterator())
             firsts = range(0, len(ids), PART_IDS)
+            some = len(firsts)
             yield pd.DataFrame({
-                "key": key[0], "first": [n + a for a in firsts],
+                "key": key[0], "salt": key[1], "first": [n + a for a in firsts],
                 "ids": [ids[a:a + PART_IDS] for a in firsts],
-                "n": n + len(ids), "kinds": shown})
+                "n": n + len(ids), "kinds": ",".join(f"{k}={v}" for k, v in kinds),
+                "names": [[k for k, _ in kinds]] * some, "counts": [[v for _, v in kinds]] * some,
+                "last": [last] * some})
             n += len(ids)
         self.count.update((n,))
+        self.last.put([(i,) for i in last])
 
     def close(self) -> None:
         pass
 
 
-def keyed_totals(rows: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def keyed_totals(rows: DataFrame, ttl_ms: int | None = None, salts: int = 1) -> DataFrame:
     """``rows(key, id, kind)`` summarised per key; state older than the TTL is forgotten.
 
+    With more ``salts`` the rows of a key are shared by that many states, by id;
+    :func:`merged_totals` puts the results together.
+
     A TTL is processing time, for which Spark plans batches without data for
     ever; an available-now run therefore has to switch no-data batches off.
     """
     mode = "none" if ttl_ms is None else "processingTime"
-    return rows.groupBy("key").transformWithStateInPandas(
-        KeyedTotals(ttl_ms), "key long, first long, ids array<long>, n long, kinds string",
-        "update", mode)
+    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
+    return rows.withColumn("salt", salt).groupBy("key", "salt").transformWithStateInPandas(
+        KeyedTotals(ttl_ms), "key long, salt int, first long, ids array<long>, n long, "
+        "kinds string, names array<string>, counts array<long>, last array<long>", "update", mode)
+
+
+def merged_totals(parts: DataFrame) -> DataFrame:
+    """``key, n, listed, id_total, kinds`` of all that :func:`keyed_totals` gave out.
+
+    ``listed`` and ``id_total``: number and sum of the ids in the numbered parts.
+    """
+    salted = parts.groupBy("key", "salt").agg(
+        F.max("n").alias("n"), F.sum(F.size("ids")).alias("listed"),
+        F.sum(F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x)).alias("id_total"),
+        F.max_by(F.arrays_zip("names", "counts"), "n").alias("pairs"))
+    sums = salted.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "listed", "id_total")])
+    kinds = salted.select("key", F.inline("pairs")).groupBy("key", "names").agg(
+        F.sum("counts").alias("k")).groupBy("key").agg(F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("names", "k"))),
+            lambda p: F.concat_ws("=", p["names"], p["k"].cast("string"))), ",").alias("kinds"))
+    return sums.join(kinds, "key", "left")
 
 
 def timed_join(left: DataFrame, right: DataFrame, key: str, ttl: str, spread: str,
