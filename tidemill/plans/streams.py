@@ -598,7 +598,7 @@ def stream_header_packages(t):
     packages = t.stream("lineitem").select(
         F.col("l_orderkey").alias("code"), F.lit(1).cast("bigint").alias("seq"),
         F.col("l_linenumber").alias("package"))
-    rows = run_to_files(state.header_packages(headers, packages), "d19", rocksdb=True).distinct()
+    rows = run_to_files(state.header_packages(headers, packages, salts=2), "d19", rocksdb=True).distinct()
     joined = rows.filter("package IS NOT NULL")
     alone = rows.filter("package IS NULL").join(joined.select("code"), "code", "left_anti")
     return joined.unionByName(alone)
