@@ -162,18 +162,21 @@ def running(
     if unknown:
         raise ValueError(f"unknown running aggregates {sorted(unknown)}")
 
-    def frame(w):
-        return (
-            w.rowsBetween(Window.currentRow, Window.unboundedFollowing) if reverse
-            else w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
+    def framed_rows(rows: DataFrame, by: list[str]):
+        """Rows and their frame. Spark sums a frame that ends with its group anew for every row,
+        which is quadratic; from the last row backwards the same frame is a running one."""
+        w = Window.partitionBy(*by).orderBy(*order)
+        if reverse:
+            rows = rows.withColumn("__place", F.row_number().over(w))
+            w = Window.partitionBy(*by).orderBy(F.col("__place").desc())
+        return rows, w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def local(kind: str, col: Column, w) -> Column:
         return _PLAIN[kind](col).over(w) if kind in _PLAIN else F.last(col, True).over(w)
 
     def plain(rows: DataFrame) -> DataFrame:
-        w = frame(Window.partitionBy(*keys).orderBy(*order))
-        return rows.withColumns({n: local(k, c, w) for n, (k, c) in aggs.items()})
+        rows, w = framed_rows(rows, keys)
+        return rows.withColumns({n: local(k, c, w) for n, (k, c) in aggs.items()}).drop("__place")
 
     def chunked(rows: DataFrame) -> DataFrame:
         on = [*keys, _CHUNK]
@@ -193,10 +196,10 @@ def running(
                 carries.append(F.last(total, True).over(over)["v"].alias(carry))
             merged[name] = _merge(kind, F.col(carry), here)
         carry = rows.groupBy(*on).agg(*totals).select(*on, *carries)
-        w = frame(Window.partitionBy(*on).orderBy(*order))
+        rows, w = framed_rows(rows, on)
         inside = rows.withColumns({f"__l_{n}": local(k, c, w) for n, (k, c) in aggs.items()})
         out = join_back(inside, carry, on).withColumns(merged)
-        return out.drop(*[f"__{p}_{n}" for n in aggs for p in ("c", "l")])
+        return out.drop("__place", *[f"__{p}_{n}" for n in aggs for p in ("c", "l")])
 
     return _by_size(df, keys, order, chunk, hot_rows, plain, chunked)
 
