@@ -34,3 +34,25 @@ def test_a_frame_to_the_end_of_its_group_runs_backwards(spark):
             for r in reversed(own):
                 left += r.id
                 assert r.s == left
+
+
+def test_deals_of_many_items_wait_in_few_states(spark, folder):
+    feed = Feed(spark, folder, "kind string, item long, seq long, x double")
+    feed.add([("deal", i, 1000 + i, 1.0) for i in range(50)]
+             + [("deal", None, BIG, 3.0), ("deal", BIG, None, 2.0)])
+    feed.add([("price", i, 0, float(i)) for i in range(0, 50, 2)] + [("price", BIG, 0, 5.0)])
+    feed.add([("price", None, 0, 7.0), ("price", 1, 1, None), ("price", 2, 2, 9.0)])
+    feed.add([("deal", 2, 3000, 1.0), ("deal", 3, 3001, 1.0)])
+
+    def part(kind, name):
+        return feed.stream().filter(F.col("kind") == kind).select(
+            "item", "seq", F.col("x").alias(name))
+
+    ck = f"{folder}/ck"
+    out = run_to_files(state.priced_deals(part("price", "price"), part("deal", "qty"), 2, 3),
+                       "deals", checkpoint=ck, rocksdb=True)
+    got = {(r["item"], r.deal_id, r.qty, r.price) for r in out.collect()}
+    assert got == {(i, 1000 + i, 1.0, float(i)) for i in range(0, 50, 2)} | {
+        (BIG, None, 2.0, 5.0), (None, BIG, 3.0, 7.0), (1, 1001, 1.0, None), (2, 3000, 1.0, 9.0)}
+    keys = spark.read.format("statestore").option("stateVarName", "prices").load(ck)
+    assert keys.select("key").distinct().count() <= 3

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from tidemill.streaming.packed import BUCKETS, Packed, bucket_of, flagged, known, longs
+
 #: Ids in one numbered part of an emitted list.
 PART_IDS = 1000
 #: Ids of a key that stay in state.
@@ -25,50 +29,77 @@ def _salted(wide: DataFrame, narrow: DataFrame, by, salts: int) -> tuple[DataFra
             narrow.withColumn("salt", copies))
 
 
+_ITEM = ["item", "no_item"]
+_PRICES = pa.schema([("item", pa.int64()), ("no_item", pa.bool_()), ("price", pa.float64())])
+_DEALS = pa.schema([("item", pa.int64()), ("no_item", pa.bool_()), ("seq", pa.int64()),
+                    ("no_seq", pa.bool_()), ("qty", pa.float64())])
+
+
 class PricedDeals(StatefulProcessor):
     """Deals wait until the price of their item is known; a price releases them.
 
-    Within a micro-batch, prices take effect before the deals that come with them.
+    A key is a bucket of items. Within a part of a micro-batch, prices take effect before the deals
+    that come with them.
     """
 
     def init(self, handle) -> None:
-        self.price = handle.getValueState("price", "price double")
-        self.waiting = handle.getListState("waiting", "deal_id long, qty double")
+        self.prices = Packed(handle, "prices", _PRICES)
+        self.waiting = Packed(handle, "waiting", _DEALS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.price.get()
-        price = stored[0] if stored is not None else None
+        prices, changed = self.prices.read(), False
         for pdf in rows:
-            prices = pdf[pdf.kind == "price"]
-            if len(prices):
-                price = float(prices.sort_values("seq").price.iloc[-1])
-                self.price.update((price,))
-                if self.waiting.exists():
-                    held = list(self.waiting.get())
-                    self.waiting.clear()
-                    yield self._priced(key, [h[0] for h in held], [h[1] for h in held], price)
-            deals = pdf[pdf.kind == "deal"]
-            if len(deals) and price is None:
-                self.waiting.appendList(list(zip(deals.seq.tolist(), deals.qty.tolist())))
-            elif len(deals):
-                yield self._priced(key, deals.seq.tolist(), deals.qty.tolist(), price)
+            fresh = pdf[pdf.kind == "price"]
+            if len(fresh):
+                fresh = fresh.sort_values(["no_seq", "seq"]).drop_duplicates(_ITEM, keep="last")
+                fresh = fresh[[*_ITEM, "price"]]
+                prices = fresh if prices.empty else pd.concat([prices, fresh]).drop_duplicates(
+                    _ITEM, keep="last")
+                changed = True
+                yield from self._release(fresh)
+            deals = pdf.loc[pdf.kind == "deal", _DEALS.names]
+            if len(deals):
+                has = known(deals, prices, _ITEM)
+                self.waiting.add(deals[~has])
+                if has.any():
+                    yield self._priced(deals[has], prices)
+        if changed:
+            self.prices.put(prices)
+
+    def _release(self, fresh: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        left, some = [], False
+        for held in self.waiting.each():
+            has = known(held, fresh, _ITEM)
+            left.append(held[~has])
+            if has.any():
+                some = True
+                yield self._priced(held[has], fresh)
+        if some:
+            self.waiting.put(pd.concat(left, ignore_index=True))
 
     @staticmethod
-    def _priced(key, ids, qty, price) -> pd.DataFrame:
-        return pd.DataFrame({"item": key[0], "deal_id": ids, "qty": qty, "price": price})
+    def _priced(deals: pd.DataFrame, prices: pd.DataFrame) -> pd.DataFrame:
+        out = deals.merge(prices, on=_ITEM)
+        return pd.DataFrame({"item": longs(out["item"], out.no_item),
+                             "deal_id": longs(out.seq, out.no_seq), "qty": out.qty,
+                             "price": out.price})
 
     def close(self) -> None:
         pass
 
 
-def priced_deals(prices: DataFrame, deals: DataFrame, salts: int = 4) -> DataFrame:
-    """``prices(item, seq, price)`` with ``deals(item, seq, qty)``; the price is broadcast."""
-    p = prices.select("item", "seq", F.lit("price").alias("kind"), "price",
-                      F.lit(None).cast("double").alias("qty"))
+def priced_deals(prices: DataFrame, deals: DataFrame, salts: int = 4,
+                 buckets: int = BUCKETS) -> DataFrame:
+    """``prices(item, seq, price)`` with ``deals(item, seq, qty)``; the price goes to all salts."""
+    p = prices.select("item", "seq", F.lit("price").alias("kind"),
+                      F.col("price").cast("double"), F.lit(None).cast("double").alias("qty"))
     d = deals.select("item", "seq", F.lit("deal").alias("kind"),
-                     F.lit(None).cast("double").alias("price"), "qty")
+                     F.lit(None).cast("double").alias("price"), F.col("qty").cast("double"))
     d, p = _salted(d, p, "seq", salts)
-    return p.unionByName(d).groupBy("item", "salt").transformWithStateInPandas(
+    rows = p.unionByName(d).select(
+        bucket_of("item", "salt", buckets=buckets).alias("bucket"), *flagged("item"),
+        *flagged("seq"), "kind", "price", "qty")
+    return rows.groupBy("bucket").transformWithStateInPandas(
         PricedDeals(), "item long, deal_id long, qty double, price double", "append", "none")
 
 
