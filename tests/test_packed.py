@@ -56,3 +56,20 @@ def test_deals_of_many_items_wait_in_few_states(spark, folder):
         (BIG, None, 2.0, 5.0), (None, BIG, 3.0, 7.0), (1, 1001, 1.0, None), (2, 3000, 1.0, 9.0)}
     keys = spark.read.format("statestore").option("stateVarName", "prices").load(ck)
     assert keys.select("key").distinct().count() <= 3
+
+
+def test_packages_of_many_codes_wait_in_few_states(spark, folder):
+    headers = Feed(spark, f"{folder}/h", "code long, seq long, info string")
+    packages = Feed(spark, f"{folder}/p", "code long, seq long, package long")
+    headers.add([(c, 0, f"h{c}") for c in range(0, 20, 2)])
+    packages.add([(c, 0, p) for c in range(10) for p in (1, BIG)] * 2)
+    headers.add([(c, 0, f"h{c}") for c in range(20)] + [(None, 0, None)])
+    packages.add([(c, 0, 3) for c in range(10, 15)] + [(BIG, 0, None), (None, 0, 9)])
+    out = run_to_files(state.header_packages(headers.stream(), packages.stream(), 2, buckets=3),
+                       "hp", checkpoint=f"{folder}/ck", rocksdb=True)
+    got = sorted(((r.code, r.package, r.info) for r in out.collect()), key=str)
+    want = [(c, p, f"h{c}") for c in range(10) for p in (1, BIG)]
+    want += [(c, 3, f"h{c}") for c in range(10, 15)] + [(None, 9, None)]
+    # alone: even codes from 10 on in the first batch, then odd ones without packages
+    want += [(c, None, f"h{c}") for c in (10, 12, 14, 15, 16, 17, 18, 19)]
+    assert got == sorted(want, key=str)

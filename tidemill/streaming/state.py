@@ -103,66 +103,81 @@ def priced_deals(prices: DataFrame, deals: DataFrame, salts: int = 4,
         PricedDeals(), "item long, deal_id long, qty double, price double", "append", "none")
 
 
-#: The salt of the state that decides whether a header goes out alone.
-ALONE = -1
+_CODE = ["code", "no_code"]
+_PACKAGE = [*_CODE, "package", "no_package"]
+_CODES = pa.schema([("code", pa.int64()), ("no_code", pa.bool_())])
+_HEADERS = pa.schema([*_CODES, ("info", pa.string())])
+_PACKAGES = pa.schema([*_CODES, ("package", pa.int64()), ("no_package", pa.bool_())])
 
 
 class HeaderPackages(StatefulProcessor):
     """Packages before their header wait; a header without packages goes out alone.
 
-    Keys are (code, salt). Each salt joins its share of the packages; the salt ``ALONE`` gets the
-    header and a sign of the first packages, and lets the header out if there was no sign yet.
+    Keys are buckets of (code, salt). Each salt joins its share of the packages. Buckets marked
+    ``alone`` get the headers and a sign of the first packages, and let a header out if there was no
+    sign yet.
     """
 
     def init(self, handle) -> None:
-        self.header = handle.getValueState("header", "info string")
-        self.packages = handle.getMapState("packages", "package long", "seq long")
-        self.seen = handle.getValueState("seen", "any boolean")
+        self.headers = Packed(handle, "headers", _HEADERS)
+        self.packages = Packed(handle, "packages", _PACKAGES, unique=_PACKAGE)
+        self.seen = Packed(handle, "seen", _CODES)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if key[1] == ALONE:
-            yield from self._alone(key[0], rows)
+        if key[1]:
+            yield from self._alone(rows)
             return
-        stored = self.header.get()
-        info, known = (stored[0], True) if stored is not None else (None, False)
+        headers = self.headers.read()
         for pdf in rows:
-            packages = pdf[pdf.kind == "package"]
-            ids = list(dict.fromkeys(packages.package.astype("int64").tolist()))
-            if not known:
-                headers = pdf[pdf.kind == "header"]
-                if not len(headers):
-                    for package in ids:
-                        self.packages.updateValue((package,), (0,))
-                    continue
-                info, known = headers["info"].iloc[0], True
-                self.header.update((info,))
-                waiting = [p[0] for p, _ in self.packages.iterator()]
-                self.packages.clear()
-                ids = list(dict.fromkeys([*waiting, *ids]))
-            if ids:
-                yield self._rows(key[0], ids, info)
-
-    def _alone(self, code, rows) -> Iterator[pd.DataFrame]:
-        infos, signs = [], False
+            fresh = pdf.loc[pdf.kind == "header", _HEADERS.names].drop_duplicates(_CODE)
+            if len(fresh):
+                fresh = fresh[~known(fresh, headers, _CODE)]
+            if len(fresh):
+                self.headers.add(fresh)
+                headers = fresh if headers.empty else pd.concat([headers, fresh])
+                held = self.packages.read()
+                has = known(held, fresh, _CODE)
+                if has.any():
+                    self.packages.put(held[~has])
+            packages = pdf.loc[pdf.kind == "package", _PACKAGE].drop_duplicates()
+            has = known(packages, headers, _CODE)
+            self.packages.add(packages[~has])
+            ready = packages[has]
+            if len(fresh):
+                ready = pd.concat([held[known(held, fresh, _CODE)], ready]).drop_duplicates()
+            if len(ready):
+                yield self._rows(ready.merge(headers, on=_CODE))
+
+    def _alone(self, rows) -> Iterator[pd.DataFrame]:
+        infos, signs = [], []
         for pdf in rows:  # a sign may come in a later part of the batch than the header
-            infos += pdf[pdf.kind == "header"]["info"].tolist()
-            signs = signs or bool((pdf.kind == "sign").any())
-        if signs and not self.seen.exists():
-            self.seen.update((True,))
-        if infos and not self.header.exists():
-            self.header.update((infos[0],))
-            if not self.seen.exists():
-                yield self._rows(code, [None], infos[0])
+            infos.append(pdf.loc[pdf.kind == "header", _HEADERS.names].drop_duplicates(_CODE))
+            signs.append(pdf.loc[pdf.kind == "sign", _CODE].drop_duplicates())
+        infos = pd.concat(infos).drop_duplicates(_CODE)
+        signs = pd.concat(signs).drop_duplicates()
+        seen = self.seen.read()
+        signs = signs[~known(signs, seen, _CODE)]
+        self.seen.add(signs)
+        if not len(infos):
+            return
+        fresh = infos[~known(infos, self.headers.read(), _CODE)]
+        self.headers.add(fresh)
+        lone = fresh[~known(fresh, pd.concat([seen, signs]), _CODE)]
+        if len(lone):
+            yield self._rows(lone.assign(package=0, no_package=True))
 
     @staticmethod
-    def _rows(code, ids, info) -> pd.DataFrame:
-        return pd.DataFrame({"code": code, "package": pd.array(ids, "Int64"), "info": info})
+    def _rows(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"code": longs(rows.code, rows.no_code),
+                             "package": longs(rows.package, rows.no_package),
+                             "info": rows["info"].array})
 
     def close(self) -> None:
         pass
 
 
-def header_packages(headers: DataFrame, packages: DataFrame, salts: int = 4) -> DataFrame:
+def header_packages(headers: DataFrame, packages: DataFrame, salts: int = 4,
+                    buckets: int = BUCKETS) -> DataFrame:
     """``headers(code, seq, info)`` and ``packages(code, seq, package)`` joined in state.
 
     The packages of a code are shared by ``salts`` states, the header goes to all of them. The
@@ -173,13 +188,19 @@ def header_packages(headers: DataFrame, packages: DataFrame, salts: int = 4) ->
     p = packages.select("code", F.lit("package").alias("kind"),
                         F.col("package").cast("bigint"), F.lit(None).cast("string").alias("info"))
     p, h = _salted(p, h, "package", salts)
-    alone = F.lit(ALONE).alias("salt")
     signs = p.select("code", "salt", F.lit("sign").alias("kind")).dropDuplicates(["code", "salt"])
     signs = signs.select("code", "kind", F.lit(None).cast("bigint").alias("package"),
-                         F.lit(None).cast("string").alias("info"), alone)
-    first = h.filter("salt = 0").select("code", "kind", "package", "info", alone)
-    rows = p.unionByName(h).unionByName(signs).unionByName(first)
-    return rows.groupBy("code", "salt").transformWithStateInPandas(
+                         F.lit(None).cast("string").alias("info"))
+    first = h.filter("salt = 0").select("code", "kind", "package", "info")
+
+    def placed(rows: DataFrame, alone: bool, *keys: str) -> DataFrame:
+        return rows.select(bucket_of(*keys, buckets=buckets).alias("bucket"),
+                           F.lit(alone).alias("alone"), "kind", *flagged("code"),
+                           *flagged("package"), "info")
+
+    rows = placed(p.unionByName(h), False, "code", "salt").unionByName(
+        placed(signs.unionByName(first), True, "code"))
+    return rows.groupBy("bucket", "alone").transformWithStateInPandas(
         HeaderPackages(), "code long, package long, info string", "append", "none")
 
 
