@@ -73,3 +73,26 @@ def test_packages_of_many_codes_wait_in_few_states(spark, folder):
     # alone: even codes from 10 on in the first batch, then odd ones without packages
     want += [(c, None, f"h{c}") for c in (10, 12, 14, 15, 16, 17, 18, 19)]
     assert got == sorted(want, key=str)
+
+
+def test_totals_in_one_state_expire_one_by_one(spark, folder):
+    feed = Feed(spark, folder, "key long, id long, kind string")
+    log = BatchLog(spark, f"{folder}/log")
+
+    def run():
+        run_batches(state.keyed_totals(feed.stream(), 20_000, buckets=1), log.write, "one",
+                    mode="update", checkpoint=f"{folder}/c", rocksdb=True,
+                    spark__sql__streaming__noDataMicroBatches__enabled="false")
+
+    feed.add([(1, 1, "a"), (2, BIG, None), (None, 5, "b")])
+    run()
+    begin = time.monotonic()
+    feed.add([(1, 2, "b")])
+    run()
+    assert time.monotonic() - begin < 20
+    time.sleep(max(0, 21 - (time.monotonic() - begin)))  # key 2 is over; key 1 may be or not
+    feed.add([(2, 6, "a")])
+    run()
+    got = {(r.batch_id, r.key, tuple(r.ids), r.n, r.kinds) for r in log.rows().collect()}
+    assert got == {(0, 1, (1,), 1, "a=1"), (0, 2, (BIG,), 1, ""), (0, None, (5,), 1, "b=1"),
+                   (1, 1, (2,), 2, "a=1,b=1"), (2, 2, (6,), 1, "a=1")}

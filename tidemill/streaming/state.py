@@ -204,49 +204,95 @@ def header_packages(headers: DataFrame, packages: DataFrame, salts: int = 4,
         HeaderPackages(), "code long, package long, info string", "append", "none")
 
 
+_KEY = ["key", "no_key", "salt"]
+_COUNTS = pa.schema([("key", pa.int64()), ("no_key", pa.bool_()), ("salt", pa.int32()),
+                     ("n", pa.int64()), ("until", pa.int64())])
+_LAST = pa.schema([*list(_COUNTS)[:3], ("id", pa.int64()), ("no_id", pa.bool_()),
+                   ("until", pa.int64())])
+_KINDS = pa.schema([*list(_COUNTS)[:3], ("kind", pa.string()), ("n", pa.int64()),
+                    ("until", pa.int64())])
+
+
 class KeyedTotals(StatefulProcessor):
-    """Row count (value), last ids (list) and count per kind (map) of a key, or of its salt.
+    """Row count, last ids and count per kind of each key, or of its salts, in a bucket of them.
 
     The list of all ids lies in what goes out, not in state: its new stretch goes out in numbered
-    parts, so that neither state nor an output row grows with the rows of a key.
+    parts, so that neither state nor an output row grows with the rows of a key. With a TTL every
+    row of state has its own end; Spark's TTL takes what is left of buckets that nothing reaches.
     """
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
-        self.count = handle.getValueState("count", "n long", ttlDurationMs=self.ttl_ms)
-        self.last = handle.getListState("last", "id long", ttlDurationMs=self.ttl_ms)
-        self.kinds = handle.getMapState(
-            "kinds", "kind string", "n long", ttlDurationMs=self.ttl_ms)
+        self.counts = Packed(handle, "counts", _COUNTS, ttl_ms=self.ttl_ms)
+        self.last = Packed(handle, "last", _LAST, ttl_ms=self.ttl_ms)
+        self.kinds = Packed(handle, "kinds", _KINDS, ttl_ms=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n = self.count.get()[0] if self.count.exists() else 0
-        last = [r[0] for r in self.last.get()] if self.last.exists() else []
+        now = until = 0
+        if self.ttl_ms is not None:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            until = now + self.ttl_ms
+        counts, last, kinds = (
+            s if self.ttl_ms is None else s[s.until > now]
+            for s in (self.counts.read(), self.last.read(), self.kinds.read()))
         for pdf in rows:
-            ids = pdf.id.tolist()
-            last = [*last, *ids][-LAST_IDS:]
-            for kind, add in pdf.kind.value_counts().items():
-                old = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
-                self.kinds.updateValue((kind,), (old + int(add),))
-            kinds = sorted((k[0], v[0]) for k, v in self.kinds.iterator())
-            firsts = range(0, len(ids), PART_IDS)
-            some = len(firsts)
-            yield pd.DataFrame({
-                "key": key[0], "salt": key[1], "first": [n + a for a in firsts],
-                "ids": [ids[a:a + PART_IDS] for a in firsts],
-                "n": n + len(ids), "kinds": ",".join(f"{k}={v}" for k, v in kinds),
-                "names": [[k for k, _ in kinds]] * some, "counts": [[v for _, v in kinds]] * some,
-                "last": [last] * some})
-            n += len(ids)
-        self.count.update((n,))
-        self.last.put([(i,) for i in last])
+            at = pdf.groupby(_KEY, sort=False).ngroup()
+            firsts = pdf.loc[~at.duplicated().to_numpy(), _KEY]
+            before = firsts.merge(counts, on=_KEY, how="left").n.fillna(0).astype("int64")
+            added = np.bincount(at, minlength=len(firsts))
+            new = firsts.assign(n=before.to_numpy() + added, until=until)
+            counts = pd.concat([counts, new]).drop_duplicates(_KEY, keep="last")
+            last = pd.concat([last, pdf[[*_KEY, "id", "no_id"]].assign(until=until)])
+            last = last[last.groupby(_KEY, sort=False).cumcount(ascending=False) < LAST_IDS]
+            # a list lives as a whole from its last addition on
+            last.loc[known(last, firsts, _KEY), "until"] = until
+            more = pdf[pdf.kind.notna()].groupby([*_KEY, "kind"], sort=False).size()
+            kinds = pd.concat([kinds, more.reset_index(name="n").assign(until=until)])
+            kinds = kinds.groupby([*_KEY, "kind"], sort=False, as_index=False).agg(
+                {"n": "sum", "until": "max"})
+            yield self._parts(pdf, at, firsts.reset_index(drop=True), before, new, last, kinds)
+        self.counts.put(counts)
+        self.last.put(last)
+        self.kinds.put(kinds)
+
+    @staticmethod
+    def _parts(pdf, at, firsts, before, new, last, kinds) -> pd.DataFrame:
+        """The ids of a part of a batch as numbered lists, with what their keys hold by now."""
+
+        def lists(held: pd.DataFrame, *columns: str) -> list[list]:
+            """The values of the held rows of each key, by its place in ``firsts``."""
+            own = held.merge(firsts.assign(at=range(len(firsts))), on=_KEY)
+            by = own["at"].to_numpy().argsort(kind="stable")
+            ends = np.cumsum(np.bincount(own["at"], minlength=len(firsts)))[:-1]
+            out = []
+            for c in columns:
+                values = own[c].to_numpy(dtype=object)[by]
+                if f"no_{c}" in own:
+                    values[own[f"no_{c}"].to_numpy()[by]] = None
+                out.append([v.tolist() for v in np.split(values, ends)])
+            return out
+
+        (ids,) = lists(pdf[[*_KEY, "id", "no_id"]], "id")
+        (kept,) = lists(last, "id")
+        names, sums = lists(kinds.sort_values("kind"), "kind", "n")
+        out = []
+        for i, (key, none, salt) in enumerate(firsts.itertuples(index=False)):
+            text = ",".join(f"{k}={v}" for k, v in zip(names[i], sums[i]))
+            for a in range(0, len(ids[i]), PART_IDS):
+                out.append((None if none else key, salt, before[i] + a, ids[i][a:a + PART_IDS],
+                            new.n.iat[i], text, names[i], sums[i], kept[i]))
+        parts = pd.DataFrame(out, columns=["key", "salt", "first", "ids", "n", "kinds", "names",
+                                           "counts", "last"])
+        return parts.assign(key=pd.array([p[0] for p in out], "Int64"))
 
     def close(self) -> None:
         pass
 
 
-def keyed_totals(rows: DataFrame, ttl_ms: int | None = None, salts: int = 1) -> DataFrame:
+def keyed_totals(rows: DataFrame, ttl_ms: int | None = None, salts: int = 1,
+                 buckets: int = BUCKETS) -> DataFrame:
     """``rows(key, id, kind)`` summarised per key; state older than the TTL is forgotten.
 
     With more ``salts`` the rows of a key are shared by that many states, by id;
@@ -256,8 +302,11 @@ def keyed_totals(rows: DataFrame, ttl_ms: int | None = None, salts: int = 1) ->
     ever; an available-now run therefore has to switch no-data batches off.
     """
     mode = "none" if ttl_ms is None else "processingTime"
-    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
-    return rows.withColumn("salt", salt).groupBy("key", "salt").transformWithStateInPandas(
+    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt")
+    rows = rows.select("key", "id", "kind", salt).select(
+        bucket_of("key", "salt", buckets=buckets).alias("bucket"), "salt", *flagged("key"),
+        *flagged("id"), "kind")
+    return rows.groupBy("bucket").transformWithStateInPandas(
         KeyedTotals(ttl_ms), "key long, salt int, first long, ids array<long>, n long, "
         "kinds string, names array<string>, counts array<long>, last array<long>", "update", mode)
 
