@@ -96,3 +96,20 @@ def test_totals_in_one_state_expire_one_by_one(spark, folder):
     got = {(r.batch_id, r.key, tuple(r.ids), r.n, r.kinds) for r in log.rows().collect()}
     assert got == {(0, 1, (1,), 1, "a=1"), (0, 2, (BIG,), 1, ""), (0, None, (5,), 1, "b=1"),
                    (1, 1, (2,), 2, "a=1,b=1"), (2, 2, (6,), 1, "a=1")}
+
+
+def test_versions_of_many_keys_share_a_state(spark, folder):
+    left = Feed(spark, f"{folder}/l", "k long, ts timestamp, id long")
+    right = Feed(spark, f"{folder}/r", "k long, ts timestamp, id long, v string")
+    left.add([(k, at(10 + k), k) for k in range(20)])
+    right.add([(k, at(5 + k), 100 + k, f"v{k}") for k in range(0, 20, 2)] + [(3, None, 1, "x")])
+    left.add([(99, at(500), 99)])
+    right.add([(0, at(9), 200, "newer"), (98, at(500), 98, "end")])
+    got = run_to_files(stream_asof_join(left.stream(), right.stream(), "k", "ts", "id", "id",
+                                        F.col("v"), "60 seconds", salts=2, buckets=2),
+                       "asof", f"{folder}/ck", rocksdb=True)
+    want = {(str(k), k, 100 + k, f"v{k}") if k % 2 == 0 else (str(k), k, None, None)
+            for k in range(20)} - {("0", 0, 100, "v0")} | {("0", 0, 200, "newer")}
+    assert {tuple(r) for r in got.select("key", "id", "version", "value").collect()} == want
+    held = spark.read.format("statestore").option("stateVarName", "versions").load(f"{folder}/ck")
+    assert held.select("key.key").distinct().count() <= 2

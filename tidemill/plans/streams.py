@@ -472,7 +472,7 @@ def stream_temporal(t):
     sales = t.events_stream.filter("event_type = 'purchase'").select("user_id", "ts", "event_id")
     out = run_to_files(
         stream_asof_join(sales, late, "user_id", "ts", "event_id", "event_id", F.col("value"),
-                         delay="3 days", salts=2), "d11", rocksdb=True)
+                         delay="3 days", salts=2, buckets=256), "d11", rocksdb=True)
     return out.select(F.col("id").alias("event_id"), F.col("version").alias("view_id"),
                       F.col("value").cast("double").alias("view_value"))
 

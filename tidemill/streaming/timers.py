@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from tidemill.streaming.packed import bucket_of
 from tidemill.streaming.state import _salted
 
 
@@ -95,62 +96,90 @@ def late_windows(rows: DataFrame, key: str, ts: str, amount: str, size_ms: int,
         "append", "EventTime")
 
 
+def _whole(ids: pd.Series) -> list[int | None]:
+    """Ids, which travel as text so that nulls do not make floats of them."""
+    return [None if i is None else int(i) for i in ids]
+
+
+def _place(at_and_id: tuple) -> tuple:
+    at, id_ = at_and_id
+    return at, id_ is not None, id_ or 0
+
+
 class VersionedJoin(StatefulProcessor):
     """Left rows wait until the watermark has passed them, then meet the version valid at their time.
 
     Versions may come in any order. Once the watermark stands at m, every left row up to m has been
     answered, so of the versions up to m only the newest is still needed; the others go. Left rows
-    behind the watermark are late and dropped. One timer per key stands at its earliest waiting row,
-    or, without one, at its next version, so that versions go although no left row comes.
+    behind the watermark are late and dropped. One timer stands at the earliest waiting row or the
+    next version, so that versions go although no left row comes. A state holds one key, or the keys
+    of a bucket, in lists that are read and written as a whole.
     """
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.versions = handle.getMapState("versions", "at long, seq long", "value string")
-        self.waiting = handle.getMapState("waiting", "at long, id long", "none int")
+        self.versions = handle.getListState(
+            "versions", "own string, at long, seq long, value string")
+        self.waiting = handle.getListState("waiting", "own string, at long, id long")
+        self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        mark, wanted = timerValues.getCurrentWatermarkInMs() * 1000, None
         for pdf in rows:
-            for side, at, id_, value in zip(pdf.side, pdf["at"], pdf.id, pdf.value):
-                if side == "version":
-                    self.versions.updateValue((int(at), int(id_)), (value,))
-                elif at >= mark:
-                    self.waiting.updateValue((int(at), int(id_)), (0,))
-        self._set_timer(mark)
+            is_version = pdf.side == "version"
+            new, left = pdf[is_version], pdf[~is_version & (pdf["at"] >= mark)]
+            if len(new):
+                self.versions.appendList(list(zip(
+                    new.own.tolist(), new["at"].tolist(), _whole(new.id), new.value.tolist())))
+            if len(left):
+                self.waiting.appendList(list(zip(
+                    left.own.tolist(), left["at"].tolist(), _whole(left.id))))
+            times = [*left["at"], *new["at"][new["at"] >= mark], *([] if wanted is None else [wanted])]
+            wanted = min(times, default=None)
+        if wanted is not None:
+            held, wanted = self.timer.get(), int(wanted) // 1000 + 1
+            if held is None or wanted < held[0]:
+                if held is not None:
+                    self.handle.deleteTimer(held[0])
+                self._set_timer(wanted)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        versions = sorted((tuple(k), v[0]) for k, v in self.versions.iterator())
-        out, which = [], -1
-        for at, id_ in sorted(tuple(k) for k, _ in self.waiting.iterator()):
-            if at >= mark:
-                break
-            while which + 1 < len(versions) and versions[which + 1][0][0] <= at:
-                which += 1
-            out.append((id_, *((versions[which][0][1], versions[which][1]) if which >= 0
-                               else (None, None))))
-            self.waiting.removeKey((at, id_))
-        passed = [k for k, _ in versions if k[0] < mark]
-        for old in passed[:-1]:
-            self.versions.removeKey(old)
-        self._set_timer(mark)
+        by_key: dict = {}
+        for own, at, seq, value in self.versions.get():
+            by_key.setdefault(own, ({}, set()))[0][(at, seq)] = value
+        for own, at, id_ in self.waiting.get():
+            by_key.setdefault(own, ({}, set()))[1].add((at, id_))
+        out, versions, waiting = [], [], []
+        for own, (held, asked) in by_key.items():
+            order, which = sorted(held, key=_place), -1
+            for at, id_ in sorted(asked, key=_place):
+                if at >= mark:
+                    waiting.append((own, at, id_))
+                    continue
+                while which + 1 < len(order) and order[which + 1][0] <= at:
+                    which += 1
+                out.append((own, id_, *((order[which][1], held[order[which]]) if which >= 0
+                                        else (None, None))))
+            passed = sum(k[0] < mark for k in order)
+            versions += [(own, *k, held[k]) for k in order[max(passed - 1, 0):]]
+        for state, kept in ((self.versions, versions), (self.waiting, waiting)):
+            state.put(kept) if kept else state.clear()
+        times = [at for _, at, _ in waiting] + [v[1] for v in versions if v[1] >= mark]
+        self._set_timer(min(times) // 1000 + 1 if times else None)
         if out:
-            ids, seqs, values = zip(*out)
-            yield pd.DataFrame({"key": key[0], "id": ids, "version": pd.array(seqs, "Int64"),
+            owns, ids, seqs, values = zip(*out)
+            yield pd.DataFrame({"key": pd.array(owns, "string"), "id": pd.array(ids, "Int64"),
+                                "version": pd.array(seqs, "Int64"),
                                 "value": pd.array(values, "string")})
 
-    def _set_timer(self, mark: int) -> None:
+    def _set_timer(self, wanted: int | None) -> None:
         """At the first millisecond by which a waiting row is passed or a version takes over."""
-        times = [k[0] for k, _ in self.waiting.iterator()]
-        times += [k[0] for k, _ in self.versions.iterator() if k[0] >= mark]
-        wanted = min(times) // 1000 + 1 if times else None
-        for old in list(self.handle.listTimers()):
-            old = old[0] if isinstance(old, (tuple, list)) else old
-            if old != wanted:
-                self.handle.deleteTimer(old)
-        if wanted is not None:
+        if wanted is None:
+            self.timer.clear()
+        else:
+            self.timer.update((wanted,))
             self.handle.registerTimer(wanted)
 
     def close(self) -> None:
@@ -159,17 +188,22 @@ class VersionedJoin(StatefulProcessor):
 
 def stream_asof_join(left: DataFrame, versions: DataFrame, key: str, ts: str, left_id: str,
                      version_id: str, value: Column, delay: str = "0 seconds",
-                     salts: int = 4) -> DataFrame:
+                     salts: int = 4, buckets: int | None = None) -> DataFrame:
     """``key, id, version, value``: each left row with the version valid at its time, or nulls.
 
     Two streams with event time ``ts`` (microseconds count); a row goes out once the slower
     input's watermark has passed it. Of versions of one time the largest ``version_id`` is valid.
-    Left rows of a hot key are spread over ``salts``; versions go to all of them.
+    Left rows of a hot key are spread over ``salts``; versions go to all of them. With many small
+    keys name a number of ``buckets``: each state then holds the keys of one. Rows without a time
+    are left out.
     """
+    own = F.col(key).cast("string")
+    group = own if buckets is None else bucket_of(key, buckets=buckets).cast("string")
+
     def side(df: DataFrame, name: str, id_: str, value: Column) -> DataFrame:
-        return df.withWatermark(ts, delay).select(
-            F.col(key).cast("string").alias("key"), F.lit(name).alias("side"),
-            F.unix_micros(ts).alias("at"), F.col(id_).cast("long").alias("id"),
+        return df.withWatermark(ts, delay).where(F.col(ts).isNotNull()).select(
+            group.alias("key"), own.alias("own"), F.lit(name).alias("side"),
+            F.unix_micros(ts).alias("at"), F.col(id_).cast("long").cast("string").alias("id"),
             value.cast("string").alias("value"))
 
     wide, narrow = _salted(side(left, "left", left_id, F.lit(None)),
