@@ -113,3 +113,21 @@ def test_versions_of_many_keys_share_a_state(spark, folder):
     assert {tuple(r) for r in got.select("key", "id", "version", "value").collect()} == want
     held = spark.read.format("statestore").option("stateVarName", "versions").load(f"{folder}/ck")
     assert held.select("key.key").distinct().count() <= 2
+
+
+def test_a_question_opens_the_files_of_its_keys(spark, folder):
+    table = f"{folder}/t"
+    rows = [(k, f"n{k}") for k in range(200)] + [(7, "again"), (None, "none")]
+    spark.createDataFrame(rows, "k int, name string").coalesce(1).write.parquet(table)
+    ask = ParquetLookup.laid_out(spark.read.parquet(table), "k", ["name"], f"{folder}/by-key", 10)
+    assert ask.buckets == 21 and len(ask._table([7]).files) == 1
+    assert ask([7, 150, 999]) == {7: ("n7",), 150: ("n150",)} and ask([]) == {}
+    asked = spark.createDataFrame([(i, i % 250 if i % 9 else None) for i in range(1000)],
+                                  "i int, k int")
+    name = T.StructType([T.StructField("name", T.StringType())])
+    got = cached_lookup(ask.near(asked, "k", ["i"]), "k", name, ask, max_rows=5, ttl_s=60,
+                        name=folder, hit="hit").collect()
+    assert {(r.i, r.k, r.name) for r in got} == {
+        (i, k, f"n{k}" if k is not None and k < 200 else None)
+        for i in range(1000) for k in [i % 250 if i % 9 else None]}
+    assert qualified(spark, folder) in ask.uri

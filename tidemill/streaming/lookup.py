@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import time
+import zlib
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.session import qualified
+
 _KEPT: dict[str, "LookupCache"] = {}
 
 
@@ -43,23 +47,62 @@ class LookupCache:
             self._rows.popitem(last=False)
 
 
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(buckets))
+
+
 class ParquetLookup:
     """Answers keys from a Parquet table; statistics rule out row groups without any of them.
 
     ``uri`` needs a scheme (``tidemill.session.qualified``). Of several rows of a key the first
-    read counts.
+    read counts. A table of :meth:`laid_out` has a folder per bucket of keys, of which only those of
+    the asked keys are opened.
     """
 
-    def __init__(self, uri: str, key: str, columns: list[str]):
-        self.uri, self.key, self.columns = uri, key, columns
-
-    def __call__(self, keys: list) -> dict:
+    def __init__(self, uri: str, key: str, columns: list[str], buckets: int | None = None):
+        self.uri, self.key, self.columns, self.buckets = uri, key, columns, buckets
+
+    @classmethod
+    def laid_out(cls, table: DataFrame, key: str, columns: list[str], path: str,
+                 bucket_rows: int = 1000) -> ParquetLookup:
+        """Copies a table of files to ``path`` by buckets of about ``bucket_rows`` keys.
+
+        Keys are whole numbers or text. The rows of a key keep the order they have in the files.
+        """
+        buckets = max(1, -(-table.count() // bucket_rows))
+        rows = table.select(key, *columns, F.col("_metadata.file_path").alias("__file"),
+                            F.col("_metadata.file_block_start").alias("__block"),
+                            F.monotonically_increasing_id().alias("__row"))
+        rows.where(F.col(key).isNotNull()).withColumn("__bucket", _bucket(key, buckets)).repartition(
+            "__bucket").sortWithinPartitions("__bucket", "__file", "__block", "__row").drop(
+                "__file", "__block", "__row").write.partitionBy("__bucket").parquet(path)
+        return cls(qualified(table.sparkSession, path), key, columns, buckets)
+
+    def near(self, rows: DataFrame, key: str, tie: list[str]) -> DataFrame:
+        """``rows`` of a batch so that those of a bucket lie together, a hot key in several tasks."""
+        by = [_bucket(key, self.buckets), F.col(key), *[F.col(c) for c in tie]]
+        return rows.repartitionByRange(*by).sortWithinPartitions(*by)
+
+    def _table(self, keys: list):
         import pyarrow.dataset as ds
         from pyarrow import fs
 
         system, path = fs.FileSystem.from_uri(self.uri)
-        table = ds.dataset(path, filesystem=system, format="parquet")
+        if self.buckets is None:
+            return ds.dataset(path, filesystem=system, format="parquet")
+        wanted = {zlib.crc32(str(k).encode()) % self.buckets for k in keys}
+        files = [f.path for b in sorted(wanted) for f in sorted(system.get_file_info(
+            fs.FileSelector(f"{path}/__bucket={b}", allow_not_found=True)), key=lambda f: f.path)
+            if f.path.endswith(".parquet")]
+        return ds.dataset(files, filesystem=system, format="parquet") if files else None
+
+    def __call__(self, keys: list) -> dict:
+        import pyarrow.dataset as ds
+
+        table = self._table(keys)
         found: dict = {}
+        if table is None:
+            return found
         for batch in table.to_batches(columns=[self.key, *self.columns],
                                       filter=ds.field(self.key).isin(keys)):
             names, *values = (c.to_pylist() for c in batch.columns)
