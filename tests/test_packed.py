@@ -131,3 +131,15 @@ def test_a_question_opens_the_files_of_its_keys(spark, folder):
         (i, k, f"n{k}" if k is not None and k < 200 else None)
         for i in range(1000) for k in [i % 250 if i % 9 else None]}
     assert qualified(spark, folder) in ask.uri
+
+
+def test_timed_join_in_one_store(spark, folder):
+    feed = Feed(spark, folder, "side string, k int, v int")
+    feed.add([("l", 1, 10), ("r", 2, 20), ("l", None, 90)])
+    feed.add([("r", 1, 11), ("l", 2, 21), ("r", None, 12)])
+    rows = feed.stream()
+    out = run_to_files(state.timed_join(
+        rows.filter("side = 'l'").select("k", F.col("v").alias("lv")),
+        rows.filter("side = 'r'").select("k", F.col("v").alias("rv")), "k", "1 HOUR", "lv"),
+        "one", checkpoint=f"{folder}/ck", rocksdb=True, **state.ONE_STORE)
+    assert sorted((r.lv, r.rv) for r in out.collect()) == [(10, 11), (21, 20)]

@@ -531,7 +531,8 @@ def stream_join(t):
     lines = t.stream("lineitem").select(
         F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("long").alias("line"))
     orders = t.stream("orders").select(F.col("o_orderkey").alias("key"))
-    pairs = run_to_files(state.timed_join(lines, orders, "key", "1 HOUR", "line"), "d09")
+    pairs = run_to_files(state.timed_join(lines, orders, "key", "1 HOUR", "line"), "d09",
+                         rocksdb=True, **state.ONE_STORE)
     return pairs.groupBy("key").agg(F.count("*").alias("n"), F.sum("line").alias("total"))
 
 

@@ -328,6 +328,15 @@ def merged_totals(parts: DataFrame) -> DataFrame:
     return sums.join(kinds, "key", "left")
 
 
+#: Settings of a stream that joins in state, with RocksDB: both sides in one store on disk instead of
+#: four in memory, of which a batch stores the changes and no row is looked up to be counted.
+ONE_STORE = {
+    "spark__sql__streaming__stateStore__rocksdb__trackTotalNumberOfRows": "false",
+    "spark__sql__streaming__join__stateFormatVersion": "3",
+    "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+}
+
+
 def timed_join(left: DataFrame, right: DataFrame, key: str, ttl: str, spread: str,
                how: str = "inner", salts: int = 4) -> DataFrame:
     """Join of two streams on ``key`` without a bound in event time.
