@@ -394,15 +394,30 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         run, schema)
 
 
+def _sureness(share: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Mean probability of each word's own best language, by document."""
+    out, full = np.zeros(len(counts)), counts > 0
+    if share.size and full.any():
+        starts = (np.cumsum(counts) - counts)[full]
+        out[full] = np.add.reduceat(share.max(axis=1), starts) / counts[full]
+    return out
+
+
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text",
-               least_score: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` with a language and a score of ``least_score`` or more, columns kept."""
+               least_score: float = 0.5, mixed: bool = False) -> DataFrame:
+    """Rows of ``docs`` with a language and a score of ``least_score`` or more, columns kept.
+
+    With ``mixed`` a text may switch between languages: the score is how sure the words are of
+    their own language each, not how much of the text is in the most frequent one.
+    """
     column = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, langs, scores, _, _ in _judged(batch.column(column), model):
-                keep = [x != UNKNOWN and s >= least_score for x, s in zip(langs, scores)]
+            for first, langs, scores, share, counts in _judged(batch.column(column), model):
+                if mixed:
+                    scores = _sureness(share, counts)
+                keep = [x != UNKNOWN and bool(s >= least_score) for x, s in zip(langs, scores)]
                 yield batch.slice(first, len(langs)).filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
