@@ -31,6 +31,8 @@ UNKNOWN = "und"
 #: Words of one block, and characters of a text split at a time.
 BLOCK_WORDS = 2_000_000
 SLICE = 4_000_000
+#: Rows of word hashes that a task holds in the exact pass, and those made at a time.
+HELD_ROWS, MADE_ROWS = 600_000, 200_000
 #: Bits of a table of survivors, smallest and largest: 128 KB to 16 MB.
 LEAST_BITS, MOST_BITS = 20, 27
 #: Hash partitions, largest number.
@@ -331,7 +333,7 @@ class RowSums:
     def add(self, rows: np.ndarray, counts: np.ndarray) -> None:
         self.parts.append((rows, counts))
         self.size += len(rows)
-        if self.size >= 2 * self.held + 500_000:
+        if self.size >= 2 * self.held + MADE_ROWS:
             self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
@@ -379,13 +381,17 @@ def _exact(spoken: DataFrame, tables: list[Marks], longest: int, parts: int,
         for batch in batches:
             for block in _read(batch):
                 for n, keys, places in block.levels(given.value, longest):
-                    if n > 1 and len(places := places[given.value[n - 1].holds(keys)]):
-                        numbers = np.stack([block.sequence[places + k] for k in range(n)], axis=1)
+                    if n == 1:
+                        continue
+                    places = places[given.value[n - 1].holds(keys)]
+                    for at in range(0, len(places), MADE_ROWS):
+                        own = places[at:at + MADE_ROWS]
+                        numbers = np.stack([block.sequence[own + k] for k in range(n)], axis=1)
                         sums.setdefault((block.lang, n), RowSums()).add(
                             block.hashes[numbers], np.ones(len(numbers), np.int64))
-                if sum(s.size for s in sums.values()) >= BLOCK_WORDS:
-                    yield from packed(sums)
-                    sums = {}
+                    if sum(s.size for s in sums.values()) >= HELD_ROWS:
+                        yield from packed(sums)
+                        sums = {}
         yield from packed(sums)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
