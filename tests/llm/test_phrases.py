@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemill.llm import phrases
@@ -185,3 +187,61 @@ def test_marks_hold_what_was_put_and_few_strangers():
     for part in range(8):
         marks.put(part, marks.packed(put[put >> np.uint64(61) == part], part))
     assert marks.holds(put).all() and marks.holds(others).mean() < 0.01
+
+
+def _large_block(words, seed):
+    """One stored row: ``words`` word numbers with breaks, of 50,000 different words."""
+    rng = np.random.default_rng(seed)
+    hashes = rng.integers(-2**63, 2**63 - 1, 50_000, dtype=np.int64)
+    sequence = np.minimum(rng.zipf(1.3, words) - 1, len(hashes)).astype("<u4")
+    return pa.RecordBatch.from_arrays([
+        pa.array(["en"]), pa.array([hashes], pa.list_(pa.int64())),
+        pa.array([sequence.tobytes()], pa.binary())], ["lang", "hashes", "sequence"])
+
+
+def test_memory_for_the_places_of_a_block_does_not_grow_with_the_block():
+    batch = _large_block(2_000_000, 1)
+    tables = [Marks(20, 8) for _ in range(3)]
+    for table in tables:
+        table.table[:] = 255
+    tracemalloc.start()
+    try:
+        for block in phrases._read(batch):
+            for n, keys, places in block.levels(tables, 4):
+                assert len(keys) == len(places)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40e6
+
+
+def test_n_grams_across_stretches_of_places_are_counted_once(monkeypatch):
+    [block] = phrases._read(_large_block(3_000, 2))
+    numbers = block.sequence.tolist()
+    tables = [Marks(20, 8) for _ in range(4)]
+    for table in tables:
+        table.table[:] = 255
+    for places in (1, 2, 7, 1000, 5000):
+        monkeypatch.setattr(phrases, "PLACES", places)
+        found = defaultdict(list)
+        for n, _, at in block.levels(tables, 5):
+            found[n].extend(at.tolist())
+        for n in range(1, 6):
+            want = [p for p in range(len(numbers) - n + 1) if all(numbers[p:p + n])]
+            assert found[n] == want
+            keys, counts = block.counted(tables, n)
+            assert (keys[1:] > keys[:-1]).all()
+            assert sorted(counts.tolist()) == sorted(
+                Counter(tuple(numbers[p:p + n]) for p in want).values())
+
+
+def test_row_sums_add_up_however_often_they_are_merged():
+    rng = np.random.default_rng(3)
+    sums, want = phrases.RowSums(), Counter()
+    for _ in range(5):
+        rows = rng.integers(0, 9, (400, 3)).astype(np.uint64)
+        sums.add(rows, np.ones(len(rows), np.int64))
+        want.update(map(tuple, rows.tolist()))
+        sums.merged()
+        rows, counts = sums.merged()
+        assert dict(zip(map(tuple, rows.tolist()), counts.tolist())) == want

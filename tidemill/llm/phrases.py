@@ -31,6 +31,8 @@ UNKNOWN = "und"
 #: Words of one block, and characters of a text split at a time.
 BLOCK_WORDS = 2_000_000
 SLICE = 4_000_000
+#: Places of a block whose n-grams a task has in hand at a time.
+PLACES = 250_000
 #: Rows of word hashes that a task holds in the exact pass, and those made at a time.
 HELD_ROWS, MADE_ROWS = 600_000, 200_000
 #: Bits of a table of survivors, smallest and largest: 128 KB to 16 MB.
@@ -95,25 +97,26 @@ def blocks(docs: DataFrame, seed: int, text_col: str = "text",
         held: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            nonlocal held, size
-            columns = [[], [], [], [], []]
-            for lang, (numbers, parts) in held.items():
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            while held:
+                lang = next(iter(held))
+                numbers, parts = held.pop(lang)
                 sequence = np.concatenate(parts)
                 words = list(numbers)[1:]
-                hashes = [xxh64_intdigest(w, seed) for w in words]
+                hashes = np.fromiter((xxh64_intdigest(w, seed) for w in words),
+                                     np.uint64, len(words))
                 counts = np.bincount(sequence, minlength=len(words) + 1)[1:]
-                for column, value in zip(columns, (
-                        lang, [w.decode("utf-8", "surrogatepass") for w in words],
-                        np.array(hashes, np.uint64).view(np.int64), counts,
-                        sequence.astype("<u4").tobytes())):
-                    column.append(value)
-            held, size = {}, 0
-            return pa.RecordBatch.from_arrays([
-                pa.array(columns[0], pa.string()), pa.array(columns[1], pa.list_(pa.string())),
-                pa.array(columns[2], pa.list_(pa.int64())),
-                pa.array(columns[3], pa.list_(pa.int64())), pa.array(columns[4], pa.binary()),
-            ], ["lang", "words", "hashes", "counts", "sequence"])
+                del numbers, parts
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang], pa.string()),
+                    pa.array([[w.decode("utf-8", "surrogatepass") for w in words]],
+                             pa.list_(pa.string())),
+                    pa.array([hashes.view(np.int64)], pa.list_(pa.int64())),
+                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([sequence.astype("<u4", copy=False).tobytes()], pa.binary()),
+                ], ["lang", "words", "hashes", "counts", "sequence"])
+            size = 0
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -122,9 +125,9 @@ def blocks(docs: DataFrame, seed: int, text_col: str = "text",
                     parts.append(part)
                     size += len(part)
                 if size >= BLOCK_WORDS:
-                    yield flush()
-        if held:
-            yield flush()
+                    numbers = parts = None
+                    yield from flush()
+        yield from flush()
 
     return docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
@@ -134,16 +137,21 @@ def blocks(docs: DataFrame, seed: int, text_col: str = "text",
 
 
 class _Block:
-    """Hashes of the words of a block and, by length, keys of the n-grams at each place."""
+    """Hashes of the words of a block and, by length, keys of the n-grams at each place.
+
+    Places are taken ``PLACES`` at a time, so memory does not grow with the block; the last words
+    of n-grams at the end of such a stretch are read beyond it.
+    """
 
-    def __init__(self, lang: str, hashes: np.ndarray, sequence: bytes):
+    def __init__(self, lang: str, hashes: np.ndarray, sequence: bytes | pa.Buffer):
         from xxhash import xxh64_intdigest
 
         self.lang = lang
         self.hashes = np.concatenate((np.zeros(1, np.int64), hashes)).view(np.uint64)
         self.sequence = np.frombuffer(sequence, "<u4")
         own = np.uint64(xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 0))
-        self.word = self._mixed(self.hashes ^ own)[self.sequence]
+        #: Key of each word number.
+        self.words = self._mixed(self.hashes ^ own)
 
     @staticmethod
     def _mixed(key: np.ndarray) -> np.ndarray:
@@ -151,23 +159,37 @@ class _Block:
         return key ^ (key >> np.uint64(31))
 
     def levels(self, tables: list[Marks], last: int) -> Iterator[tuple]:
-        """``(n, keys, places)`` of n-grams all of whose shorter parts are marked in ``tables``."""
-        key, fits = self.word, self.sequence > 0
-        for n in range(1, last + 1):
-            if n > 1:
-                key = self._mixed(key[:-1] * _ODD + self.word[n - 1:])
-                fits = fits[:-1] & fits[1:]
-            places = np.nonzero(fits)[0]
-            yield n, key[places], places
-            if n <= len(tables):
-                places = places[tables[n - 1].holds(key[places])]
-                fits = np.zeros(len(key), bool)
-                fits[places] = True
+        """``(n, keys, places)`` of n-grams all of whose shorter parts are marked in ``tables``.
+
+        Each length comes once for each stretch of places.
+        """
+        for at in range(0, len(self.sequence), PLACES):
+            sequence = self.sequence[at:at + PLACES + last - 1]
+            word = self.words[sequence]
+            key, fits = word, sequence > 0
+            for n in range(1, last + 1):
+                if n > 1:
+                    key = self._mixed(key[:-1] * _ODD + word[n - 1:])
+                    fits = fits[:-1] & fits[1:]
+                places = np.nonzero(fits)[0]
+                keys = key[places]
+                own = np.searchsorted(places, PLACES)
+                yield n, keys[:own], at + places[:own]
+                if n <= len(tables):
+                    places = places[tables[n - 1].holds(keys)]
+                    fits = np.zeros(len(key), bool)
+                    fits[places] = True
+
+    def counted(self, tables: list[Marks], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the n-grams of length ``n`` in rising order, and how often each occurs."""
+        parts = [np.unique(keys, return_counts=True)
+                 for m, keys, _ in self.levels(tables, n) if m == n]
+        return summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[_Block]:
     for lang, hashes, sequence in zip(*(batch.column(k) for k in range(3))):
-        yield _Block(lang.as_py(), hashes.values.to_numpy(), sequence.as_py())
+        yield _Block(lang.as_py(), hashes.values.to_numpy(), sequence.as_buffer())
 
 
 class Marks:
@@ -271,8 +293,7 @@ def _level(spoken: DataFrame, n: int, tables: list[Marks], mass: int, parts: int
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in _read(batch):
-                *_, (_, keys, _) = block.levels(given.value, n)
-                keys, counts = np.unique(keys, return_counts=True)
+                keys, counts = block.counted(given.value, n)
                 part = (keys >> shift).astype(np.int64)
                 ends = np.searchsorted(part, np.arange(parts + 1))
                 own = np.nonzero(ends[1:] > ends[:-1])[0]
@@ -337,6 +358,8 @@ class RowSums:
             self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.size == self.held:
+            return self.parts[0]
         rows = np.concatenate([r for r, _ in self.parts])
         counts = np.concatenate([c for _, c in self.parts])
         order = np.lexsort(rows.T[::-1])
@@ -359,8 +382,10 @@ def _exact(spoken: DataFrame, tables: list[Marks], longest: int, parts: int,
     shift = np.uint64(64 - (parts.bit_length() - 1))
 
     def packed(sums: dict[tuple[str, int], RowSums]) -> Iterator[pa.RecordBatch]:
-        for (lang, n), own in sums.items():
+        while sums:
+            (lang, n), own = sums.popitem()
             rows, counts = own.merged()
+            del own
             key = np.zeros(len(rows), np.uint64)
             for k in range(n):
                 key = _Block._mixed(key * _ODD + rows[:, k])
@@ -390,8 +415,11 @@ def _exact(spoken: DataFrame, tables: list[Marks], longest: int, parts: int,
                         sums.setdefault((block.lang, n), RowSums()).add(
                             block.hashes[numbers], np.ones(len(numbers), np.int64))
                     if sum(s.size for s in sums.values()) >= HELD_ROWS:
-                        yield from packed(sums)
-                        sums = {}
+                        # repeats of different stretches sum up, which may leave little to deal
+                        for own in sums.values():
+                            own.merged()
+                        if sum(s.size for s in sums.values()) >= HELD_ROWS * 2 // 3:
+                            yield from packed(sums)
         yield from packed(sums)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -471,8 +499,7 @@ def _word_table(words: DataFrame, mass: int, parts: int, threshold: int) -> Mark
             for lang, id_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by_lang.setdefault(lang, []).append(id_)
             for lang, ids in by_lang.items():
-                key = _Block(lang, np.array(ids, np.int64),
-                             np.arange(1, len(ids) + 1, dtype="<u4").tobytes()).word
+                key = _Block(lang, np.array(ids, np.int64), b"").words[1:]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((key >> shift).astype(np.int32)), pa.array(key.view(np.int64))],
                     ["part", "key"])
