@@ -7,9 +7,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tidemill.llm import phrases
+from tidemill.llm.common import stored
 from tidemill.llm.phrases import Marks, MisraGries, phrase_counts, top_phrases
 
 KIND = "doc_id long, text string, lang string"
@@ -245,3 +247,72 @@ def test_row_sums_add_up_however_often_they_are_merged():
         sums.merged()
         rows, counts = sums.merged()
         assert dict(zip(map(tuple, rows.tolist()), counts.tolist())) == want
+
+
+LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_blocks_come_and_lie_a_few_at_a_time(spark):
+    long = spark.range(0, 24, 1, 1).selectExpr(
+        "id", "cast(array_join(transform(sequence(1, 32768), i -> md5(cast(id * i as string))), '')"
+        " as binary) as sequence")
+    rows = stored(long, "long", **phrases.SHORT_GROUPS)
+    for path in rows.inputFiles():
+        groups = pq.ParquetFile(path.removeprefix("file://")).metadata
+        assert groups.num_rows == 24
+        assert all(groups.row_group(i).num_rows <= 6 for i in range(groups.num_row_groups))
+
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    with phrases._short_batches(spark):
+        counts = [r.n for r in rows.coalesce(1).mapInArrow(seen, "n long").collect()]
+    assert sum(counts) == 24 and max(counts) <= 5
+
+
+def test_a_limit_of_the_session_is_kept_and_ours_goes(spark):
+    assert spark.conf.get(LIMIT, None) is None
+    with pytest.raises(ZeroDivisionError), phrases._short_batches(spark):
+        assert spark.conf.get(LIMIT) == str(phrases.BATCH_BYTES)
+        1 / 0
+    assert spark.conf.get(LIMIT, None) is None
+    spark.conf.set(LIMIT, "1m")
+    try:
+        with phrases._short_batches(spark):
+            assert spark.conf.get(LIMIT) == "1m"
+        assert spark.conf.get(LIMIT) == "1m"
+    finally:
+        spark.conf.unset(LIMIT)
+
+
+def test_phrases_are_counted_over_short_batches_and_groups(spark, monkeypatch):
+    seen = []
+
+    def level(spoken, *rest, made=phrases._level):
+        seen.append((spark.conf.get(LIMIT, None), spoken.inputFiles()))
+        return made(spoken, *rest)
+
+    monkeypatch.setattr(phrases, "_level", level)
+    monkeypatch.setitem(phrases.SHORT_GROUPS, "parquet.block.size", 1)
+    rows = corpus(21)
+    assert result(top_phrases(spark.createDataFrame(rows, KIND).coalesce(2), 5)) == plain(rows, 5)
+    assert spark.conf.get(LIMIT, None) is None and len(seen) == 4
+    for limit, files in seen:
+        assert limit == str(phrases.BATCH_BYTES)
+        for path in files:
+            groups = pq.ParquetFile(path.removeprefix("file://")).metadata
+            assert groups.num_row_groups == groups.num_rows > 1
+
+
+def test_shares_are_whole_and_come_in_short_lists(monkeypatch):
+    monkeypatch.setattr(phrases, "BATCH_BYTES", 100)
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 7, 400):
+        part = np.sort(rng.integers(0, 40, size))
+        lists = list(phrases._shares(part, 9))
+        flat = [x for own in lists for x in own]
+        assert [p for p, a, b in flat for _ in range(a, b)] == part.tolist()
+        assert [p for p, _, _ in flat] == sorted(set(part.tolist()))
+        assert all((own[-1][1] - own[0][1]) * 9 < 100 for own in lists)
+    assert len(lists) > 10

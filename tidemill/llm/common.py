@@ -15,13 +15,14 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` to a new folder below ``spark.checkpoint.dir`` and read it again.
 
-    Cuts the lineage: what follows survives lost executors and sees fixed rows.
+    Cuts the lineage: what follows survives lost executors and sees fixed rows. ``options`` are
+    the writer's.
     """
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

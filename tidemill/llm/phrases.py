@@ -15,10 +15,11 @@ sequences of numbers in stored blocks. Per-language figures are counts and cut-o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -33,6 +34,12 @@ BLOCK_WORDS = 2_000_000
 SLICE = 4_000_000
 #: Places of a block whose n-grams a task has in hand at a time.
 PLACES = 250_000
+#: Bytes of rows that go to a Python worker, or come from it, at a time; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+#: Stored blocks lie in groups of few rows and in short pages, as a reader holds such a group and
+#: a writer such a page. Sizes are looked at after each row, not each hundred: rows are long.
+SHORT_GROUPS = {"parquet.block.size": BATCH_BYTES, "parquet.page.size.row.check.min": 1,
+                "parquet.page.size.row.check.max": 1}
 #: Rows of word hashes that a task holds in the exact pass, and those made at a time.
 HELD_ROWS, MADE_ROWS = 600_000, 200_000
 #: Bits of a table of survivors, smallest and largest: 128 KB to 16 MB.
@@ -282,6 +289,34 @@ class MisraGries:
         return self.keys[self.counts + self.short >= threshold]
 
 
+@contextmanager
+def _short_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers get ``BATCH_BYTES`` at a time, unless the session has a limit of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is not None:
+        yield
+        return
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
+def _shares(part: np.ndarray, width: int) -> Iterator[list[tuple[int, int, int]]]:
+    """``(part, start, end)`` of each value of sorted ``part``.
+
+    They come in lists of about ``BATCH_BYTES``, a row being ``width`` bytes wide.
+    """
+    starts = np.nonzero(np.concatenate(([True], part[1:] != part[:-1])))[0] if len(part) else []
+    batch = np.array(starts, np.int64) * width // BATCH_BYTES
+    shares = list(zip(part[starts].tolist(), starts, [*starts[1:], len(part)])) if len(part) else []
+    ends = np.nonzero(batch[1:] != batch[:-1])[0] + 1
+    for at, end in zip([0, *ends], [*ends, len(shares)]):
+        if end > at:
+            yield shares[at:end]
+
+
 def _level(spoken: DataFrame, n: int, tables: list[Marks], mass: int, parts: int,
            threshold: int) -> Marks:
     """Marks of the n-grams that survive; ``tables`` are those of the shorter lengths."""
@@ -295,13 +330,12 @@ def _level(spoken: DataFrame, n: int, tables: list[Marks], mass: int, parts: int
             for block in _read(batch):
                 keys, counts = block.counted(given.value, n)
                 part = (keys >> shift).astype(np.int64)
-                ends = np.searchsorted(part, np.arange(parts + 1))
-                own = np.nonzero(ends[1:] > ends[:-1])[0]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(own, pa.int32()),
-                    pa.array([keys[ends[p]:ends[p + 1]].tobytes() for p in own], pa.binary()),
-                    pa.array([_narrow(counts[ends[p]:ends[p + 1]]) for p in own], pa.binary()),
-                ], ["part", "keys", "counts"])
+                for own in _shares(part, 9):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([p for p, _, _ in own], pa.int32()),
+                        pa.array([keys[a:b].tobytes() for _, a, b in own], pa.binary()),
+                        pa.array([_narrow(counts[a:b]) for _, a, b in own], pa.binary()),
+                    ], ["part", "keys", "counts"])
 
     def summaries(capacity: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,14 +426,14 @@ def _exact(spoken: DataFrame, tables: list[Marks], longest: int, parts: int,
             part = (key >> shift).astype(np.int64)
             order = np.argsort(part, kind="stable")
             rows, counts, part = rows[order], counts[order], part[order]
-            ends = np.searchsorted(part, np.arange(parts + 1))
-            used = np.nonzero(ends[1:] > ends[:-1])[0]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(used, pa.int32()), pa.array([lang] * len(used), pa.string()),
-                pa.array([n] * len(used), pa.int32()),
-                pa.array([rows[ends[p]:ends[p + 1]].tobytes() for p in used], pa.binary()),
-                pa.array([_narrow(counts[ends[p]:ends[p + 1]]) for p in used], pa.binary()),
-            ], ["part", "lang", "n", "rows", "counts"])
+            for used in _shares(part, 8 * n + 1):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([p for p, _, _ in used], pa.int32()),
+                    pa.array([lang] * len(used), pa.string()),
+                    pa.array([n] * len(used), pa.int32()),
+                    pa.array([rows[a:b].tobytes() for _, a, b in used], pa.binary()),
+                    pa.array([_narrow(counts[a:b]) for _, a, b in used], pa.binary()),
+                ], ["part", "lang", "n", "rows", "counts"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, int], RowSums] = {}
@@ -461,8 +495,14 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
     ``threshold`` times or more, ``ids`` the hashes of their words; ``words(lang, id, word, a)``:
     the frequent words; ``totals(lang, n)``: word occurrences.
     """
+    with _short_batches(docs.sparkSession):
+        return _phrase_counts(docs, threshold, longest, text_col, lang_col)
+
+
+def _phrase_counts(docs: DataFrame, threshold: int, longest: int, text_col: str,
+                   lang_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     for seed in range(8):
-        spoken = stored(blocks(docs, seed, text_col, lang_col), "spoken")
+        spoken = stored(blocks(docs, seed, text_col, lang_col), "spoken", **SHORT_GROUPS)
         every = stored(
             spoken.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w"))
             .select("lang", F.col("w.hashes").alias("id"), F.col("w.words").alias("word"),
