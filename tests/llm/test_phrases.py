@@ -256,7 +256,7 @@ def test_blocks_come_and_lie_a_few_at_a_time(spark):
     long = spark.range(0, 24, 1, 1).selectExpr(
         "id", "cast(array_join(transform(sequence(1, 32768), i -> md5(cast(id * i as string))), '')"
         " as binary) as sequence")
-    rows = stored(long, "long", **phrases.SHORT_GROUPS)
+    rows = stored(long, "long", **phrases.SHORT_PAGES | {"parquet.block.size": 4 << 20})
     for path in rows.inputFiles():
         groups = pq.ParquetFile(path.removeprefix("file://")).metadata
         assert groups.num_rows == 24
@@ -286,7 +286,7 @@ def test_a_limit_of_the_session_is_kept_and_ours_goes(spark):
         spark.conf.unset(LIMIT)
 
 
-def test_phrases_are_counted_over_short_batches_and_groups(spark, monkeypatch):
+def test_phrases_are_counted_over_short_batches_and_bounded_groups(spark, monkeypatch):
     seen = []
 
     def level(spoken, *rest, made=phrases._level):
@@ -294,7 +294,7 @@ def test_phrases_are_counted_over_short_batches_and_groups(spark, monkeypatch):
         return made(spoken, *rest)
 
     monkeypatch.setattr(phrases, "_level", level)
-    monkeypatch.setitem(phrases.SHORT_GROUPS, "parquet.block.size", 1)
+    monkeypatch.setitem(phrases.SHORT_PAGES, "parquet.block.size", 1)
     rows = corpus(21)
     assert result(top_phrases(spark.createDataFrame(rows, KIND).coalesce(2), 5)) == plain(rows, 5)
     assert spark.conf.get(LIMIT, None) is None and len(seen) == 4

@@ -36,10 +36,11 @@ SLICE = 4_000_000
 PLACES = 250_000
 #: Bytes of rows that go to a Python worker, or come from it, at a time; a longer row goes alone.
 BATCH_BYTES = 4 << 20
-#: Stored blocks lie in groups of few rows and in short pages, as a reader holds such a group and
-#: a writer such a page. Sizes are looked at after each row, not each hundred: rows are long.
-SHORT_GROUPS = {"parquet.block.size": BATCH_BYTES, "parquet.page.size.row.check.min": 1,
-                "parquet.page.size.row.check.max": 1}
+#: Stored blocks lie in bounded row groups and in short pages, as a reader holds such a group and
+#: a writer such a page. Sizes are looked at after each row, not each hundred: rows are long. Groups
+#: are not smaller, as a file's groups go to several tasks, which then sum up less before they deal.
+SHORT_PAGES = {"parquet.block.size": 64 << 20, "parquet.page.size.row.check.min": 1,
+               "parquet.page.size.row.check.max": 1}
 #: Rows of word hashes that a task holds in the exact pass, and those made at a time.
 HELD_ROWS, MADE_ROWS = 600_000, 200_000
 #: Bits of a table of survivors, smallest and largest: 128 KB to 16 MB.
@@ -502,7 +503,7 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
 def _phrase_counts(docs: DataFrame, threshold: int, longest: int, text_col: str,
                    lang_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     for seed in range(8):
-        spoken = stored(blocks(docs, seed, text_col, lang_col), "spoken", **SHORT_GROUPS)
+        spoken = stored(blocks(docs, seed, text_col, lang_col), "spoken", **SHORT_PAGES)
         every = stored(
             spoken.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w"))
             .select("lang", F.col("w.hashes").alias("id"), F.col("w.words").alias("word"),
